@@ -9,28 +9,31 @@ from pyspark.sql import functions as F
 SPACE = r"\s\x1c-\x1f"
 EMAIL_SHAPE = rf"(?U)^[^@{SPACE}]+@[^@{SPACE}]+\.[^@{SPACE}]+$"
 
-# The country code and its national numbers, by the public numbering plan:
-# mobile, landline, 800 freephone, and the 400/600/700/900 service ranges.
-COUNTRY_CODE = "971"
-NATIONAL_NUMBER = r"^(?:5[0-9]{8}|[2-4679][0-9]{7}|800[0-9]{2,9}|[4679]00[0-9]{6})$"
+# National numbers behind country code 971, by the public numbering plan: mobile, landline,
+# 800 freephone, and the 400/600/700/900 service ranges; and numbers of other countries.
+NATIONAL_NUMBER = r"5[0-9]{8}|[2-4679][0-9]{7}|800[0-9]{2,9}|[4679]00[0-9]{6}"
+FOREIGN_NUMBER = r"(?!971)[1-9][0-9]{7,14}"
+# What may stand around the digits of a number, apart from leading words.
+EXTENSION = r"[\s,;]*(?:extension|extn|ext|x|#)[.:\s]*[0-9]{1,7}\s*$"
+SEPARATORS = r"[\s().\-/]+"
 # Arabic-Indic, extended Arabic-Indic and full-width digits.
 OTHER_DIGITS = "٠١٢٣٤٥٦٧٨٩" "۰۱۲۳۴۵۶۷۸۹" "０１２３４５６７８９"
 
 
+def _match(value: Column, pattern: str) -> Column:
+    """``value`` when all of it has the anchored ``pattern``, else NULL; evaluates ``value`` once."""
+    return F.nullif(F.regexp_extract(value, pattern, 0), F.lit(""))
+
+
 def normalize_email(email: Column) -> Column:
     """Trimmed lower-case address, NULL when it does not look like one."""
-    cleaned = F.lower(F.regexp_replace(email, rf"(?U)^[{SPACE}]+|[{SPACE}]+$", ""))
-    return F.when(cleaned.rlike(EMAIL_SHAPE), cleaned)
+    return _match(F.lower(F.regexp_replace(email, rf"(?U)^[{SPACE}]+|[{SPACE}]+$", "")), EMAIL_SHAPE)
 
 
 def email_domain(email: Column) -> Column:
     return F.split_part(email, F.lit("@"), F.lit(2))
 
 
-def _national(number: Column) -> Column:
-    return F.when(number.rlike(NATIONAL_NUMBER), F.concat(F.lit("+" + COUNTRY_CODE), number))
-
-
 def normalize_phone(raw: Column, strict: bool = False) -> Column:
     """E.164 text or NULL.
 
@@ -44,22 +47,8 @@ def normalize_phone(raw: Column, strict: bool = False) -> Column:
             .when(raw.rlike(r"^0[0-9]{9}$"), F.concat(F.lit("+971"), F.substring(raw, 2, 9)))
             .when(raw.rlike(r"^971[0-9]{9}$"), F.concat(F.lit("+"), raw))
         )
-    text = F.translate(raw, OTHER_DIGITS + "＋", "0123456789" * 3 + "+")
-    text = F.regexp_replace(text, r"^[^0-9+]+", "")
-    text = F.regexp_replace(text, r"(?i)(?U)[\s,;]*(?:extension|extn|ext|x|#)[.:\s]*[0-9]{1,7}\s*$", "")
-    text = F.regexp_replace(text, r"\(0\)", "")
-    digits = F.regexp_replace(text, r"[^0-9]+", "")
-    # After the country code a stray trunk 0 may follow.
-    own = F.regexp_replace(F.substring(digits, 4, 20), r"^0", "")
-    foreign = F.when(digits.rlike(r"^[1-9][0-9]{7,14}$"), F.concat(F.lit("+"), digits))
-    national = F.coalesce(
-        _national(F.regexp_replace(digits, r"^0", "")),
-        F.when(digits.startswith(COUNTRY_CODE), _national(own)),
-    )
-    behind_00 = F.substring(digits, 3, 20)
-    return F.when(text.rlike(r"(?U)^\+?[0-9()./\-\s]+$"), F
-        .when(text.startswith("+"), F.when(digits.startswith(COUNTRY_CODE), _national(own)).otherwise(foreign))
-        .when(digits.startswith("00"), F
-            .when(behind_00.startswith(COUNTRY_CODE), _national(F.regexp_replace(F.substring(digits, 6, 20), r"^0", "")))
-            .otherwise(F.when(behind_00.rlike(r"^[1-9][0-9]{7,14}$"), F.concat(F.lit("+"), behind_00))))
-        .otherwise(national))
+    ascii_digits = F.translate(raw, OTHER_DIGITS + "＋", "0123456789" * 3 + "+")
+    # Whatever is left besides digits and a leading plus makes the last match fail.
+    bare = F.regexp_replace(ascii_digits, rf"(?i)(?U)^[^0-9+]+|\(0\)|{EXTENSION}|{SEPARATORS}", "")
+    local = F.regexp_replace(bare, rf"^(?:(?:\+|00)?971)?0?({NATIONAL_NUMBER})$", "+971$1")
+    return _match(F.regexp_replace(local, r"^00", "+"), rf"^\+(?:971(?:{NATIONAL_NUMBER})|{FOREIGN_NUMBER})$")

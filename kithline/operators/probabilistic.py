@@ -28,7 +28,7 @@ from kithline.functions.similarity import (
 )
 from kithline.operators.deterministic import pair_columns, pair_endpoints, unmatched_records
 from kithline.operators.skew import lookup, tiled_join
-from kithline.plans.staging import Staging
+from kithline.plans.staging import Staged, Staging
 
 ATTRIBUTES = ("source_system", "name", "dob", "phone", "domain", "block")
 SCORES = ("jw_name", "dob_score", "phone_score", "email_domain_score", "confidence")
@@ -195,24 +195,36 @@ def record_pairs(profile_pairs: DataFrame, members: DataFrame, cfg: LinkageConfi
     return whole.select(*pair_columns("l", "r"), *SCORES)
 
 
+def fuzzy_pass(
+    normalized: DataFrame,
+    matched: DataFrame,
+    systems: Sequence[str],
+    staging: Staging,
+    cfg: LinkageConfig = DEFAULT,
+    min_confidence: float | None = None,
+) -> tuple[Staged, Staged]:
+    """Scored profile pairs and the members of their profiles, over all records that are not ``matched`` nodes."""
+    records = staging.put(block_records(unmatched_records(normalized, matched), cfg), "fuzzy-records")
+    scored = staging.put(
+        score_profiles(profiles(records.df), systems, cfg, min_confidence, records.rows), "scored")
+    return scored, staging.put(profile_members(records.df, scored.df, cfg, records.rows), "members")
+
+
 def probabilistic_match(
     normalized: DataFrame,
     deterministic_pairs: DataFrame,
+    systems: Sequence[str],
     staging: Staging,
     cfg: LinkageConfig = DEFAULT,
     min_confidence: float | None = None,
-    systems: Sequence[str] | None = None,
 ) -> DataFrame:
     """Scored pairs of records without a deterministic pair, all that reach ``min_confidence``.
 
     The default is the review threshold, below which no later step looks. 0 asks for every pair of every block.
     """
-    records = block_records(unmatched_records(normalized, pair_endpoints(deterministic_pairs)), cfg)
-    staged = staging.put(records, "fuzzy-records")
-    names = systems or [r[0] for r in staged.df.select("source_system").distinct().collect()]  # one row per system
-    scored = staging.put(score_profiles(profiles(staged.df), names, cfg, min_confidence, staged.rows), "scored")
-    members = profile_members(staged.df, scored.df, cfg, staged.rows)
-    return record_pairs(scored.df, members, cfg)
+    scored, members = fuzzy_pass(
+        normalized, pair_endpoints(deterministic_pairs), systems, staging, cfg, min_confidence)
+    return record_pairs(scored.df, members.df, cfg)
 
 
 def auto_pairs(scored: DataFrame, cfg: LinkageConfig = DEFAULT) -> DataFrame:

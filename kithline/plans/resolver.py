@@ -64,7 +64,8 @@ class Resolver:
 
     def probabilistic_match(self, normalized: DataFrame, deterministic_pairs: DataFrame,
                             min_confidence: float | None = None) -> DataFrame:
-        return prob.probabilistic_match(normalized, deterministic_pairs, self.staging(), self.cfg, min_confidence)
+        return prob.probabilistic_match(
+            normalized, deterministic_pairs, tuple(self.adapters), self.staging(), self.cfg, min_confidence)
 
     def assign_ids(self, normalized: DataFrame, linked_pairs: DataFrame) -> DataFrame:
         return assign_ids(normalized, linked_pairs, self.staging(), self.cfg)
@@ -78,12 +79,8 @@ class Resolver:
         normalized = staging.put(self.normalize(sources), "normalized")
         links = staging.put(det.deterministic_links(normalized.df, cfg, normalized.rows), "det-links")
 
-        records = staging.put(
-            prob.block_records(det.unmatched_records(normalized.df, links.df), cfg), "fuzzy-records")
-        scored = staging.put(
-            prob.score_profiles(prob.profiles(records.df), tuple(sources), cfg, row_bound=records.rows), "scored")
+        scored, members = prob.fuzzy_pass(normalized.df, links.df, tuple(sources), staging, cfg)
         auto, review = prob.auto_pairs(scored.df, cfg), prob.review_pairs(scored.df, cfg)
-        members = staging.put(prob.profile_members(records.df, scored.df, cfg, records.rows), "members")
 
         linked = lookup(members.df, prob.profile_endpoints(auto), ["rep"], cfg, row_bound=members.rows)
         edges = (
