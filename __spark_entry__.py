@@ -52,17 +52,28 @@ def _scored(spark: SparkSession, sf_dir: str, band: Callable[[DataFrame], DataFr
     normalized = staging.put(normalize(sources), "normalized")
     links = staging.put(det.deterministic_links(normalized.df, DEFAULT, normalized.rows), "det-links")
     scored, members = prob.fuzzy_pass(normalized.df, links.df, tuple(sources), staging)
-    return prob.record_pairs(band(scored.df), members.df).withColumn("jw_name", F.round("jw_name", 6))
+    pairs = prob.record_pairs(band(scored.df), members, staging, pair_bound=scored.rows)
+    return pairs.withColumn("jw_name", F.round("jw_name", 6))
 
 
-def _unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _links(spark: SparkSession, sf_dir: str, *columns: str) -> tuple[DataFrame, DataFrame]:
+    """(staged normalized records, their exact links); with ``columns`` no others are staged."""
     normalized = _normalized(spark, sf_dir)
-    return det.unmatched_records(normalized, det.deterministic_links(normalized)).drop("node")
+    staged = Staging(spark).put(normalized.select(*columns) if columns else normalized, "normalized")
+    return staged.df, det.deterministic_links(staged.df, row_bound=staged.rows)
+
+
+LINK_COLUMNS = ("source_system", "source_id", *sorted({c for r in DEFAULT.rules for c in r.columns}))
+
+
+def _unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    normalized, links = _links(spark, sf_dir)
+    return det.unmatched_records(normalized, links).drop("node")
 
 
 def _rule(rule_id: str) -> Query:
     cfg = replace(DEFAULT, rules=tuple(r for r in DEFAULT.rules if r.rule_id == rule_id))
-    return lambda spark, sf_dir: det.deterministic_match(_normalized(spark, sf_dir), cfg)
+    return lambda spark, sf_dir: det.deterministic_match(_normalized(spark, sf_dir), Staging(spark), cfg)
 
 
 def _source(name: str) -> Query:
@@ -147,11 +158,11 @@ def _sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _matched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return det.deterministic_links(_normalized(spark, sf_dir)).select("node.*").distinct()
+    return _links(spark, sf_dir, *LINK_COLUMNS)[1].select("node.*").distinct()
 
 
 def _det_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return det.deterministic_links(_normalized(spark, sf_dir)).select(
+    return _links(spark, sf_dir, *LINK_COLUMNS)[1].select(
         "node.*", F.col("root.source_system").alias("root_source"), F.col("root.source_id").alias("root_id"), "rule_id")
 
 
@@ -191,7 +202,7 @@ def queries() -> dict[str, Query]:
         "weighted_confidence": _confidence,                                                 # SC11
         "sql_functions": _sql_functions,                                                    # UD2
         "det_d1": _rule("D1"), "det_d2": _rule("D2"), "det_d3": _rule("D3"),                # JN1 JN2 JN3 FLT5
-        "det_best": lambda s, d: det.deterministic_match(_normalized(s, d)),                # CO1 UN2 AG1
+        "det_best": lambda s, d: det.deterministic_match(_normalized(s, d), Staging(s)),                # CO1 UN2 AG1
         "det_links": _det_links,                                                            # linear form of CO1
         "matched": _matched,                                                                # AG2 UN3
         "unmatched": _unmatched,                                                            # JN4

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from kithline.config import DEFAULT, LinkageConfig, Rule
 from kithline.functions.ids import record_node
 from kithline.operators.skew import lookup, tiled_join
+from kithline.plans.staging import Staging
 
 KEY = ("rule_id", "link_key")
 
@@ -55,21 +56,22 @@ def deterministic_links(normalized: DataFrame, cfg: LinkageConfig = DEFAULT, row
     return linked.select("node", "root", "rule_id", "confidence")
 
 
-def deterministic_match(normalized: DataFrame, cfg: LinkageConfig = DEFAULT) -> DataFrame:
+def deterministic_match(normalized: DataFrame, staging: Staging, cfg: LinkageConfig = DEFAULT) -> DataFrame:
     """All matching pairs, smaller record left, each once with its strongest rule.
 
-    Heavy groups are cut into tiles; the result itself grows with the square of a group.
+    Only keys that two records share reach the pair join, and heavy ones are cut into tiles; the result itself grows
+    with the square of a group.
     """
-    keys = rule_keys(normalized, cfg.rules).distinct()
-    groups = rule_groups(keys, cfg).drop("root")
-    shared = lookup(keys, groups, KEY, cfg)
-    left = shared.select(*KEY, "confidence", F.col("node").alias("l"))
-    right = shared.select(*KEY, F.col("node").alias("r"))
+    keys = staging.put(rule_keys(normalized, cfg.rules).distinct(), "rule-keys")
+    groups = rule_groups(keys.df, cfg).drop("root")
+    shared = staging.put(lookup(keys.df, groups, KEY, cfg, row_bound=keys.rows), "shared-keys")
+    left = shared.df.select(*KEY, "confidence", F.col("node").alias("l"))
+    right = shared.df.select(*KEY, F.col("node").alias("r"))
     ordered = F.col("l") < F.col("r")
     if cfg.cross_source_only:
         ordered = ordered & (F.col("l.source_system") != F.col("r.source_system"))
     return (
-        tiled_join(left, right, KEY, "l", "r", cfg)
+        tiled_join(left, right, KEY, "l", "r", cfg, shared.rows)
         .where(ordered)
         .groupBy("l", "r").agg(F.min("rule_id").alias("rule_id"), F.max("confidence").alias("confidence"))
         .select(*pair_columns("l", "r"), "rule_id", "confidence")

@@ -186,12 +186,19 @@ def profile_members(records: DataFrame, profile_pairs: DataFrame, cfg: LinkageCo
     return members.select("node", "rep").distinct()
 
 
-def record_pairs(profile_pairs: DataFrame, members: DataFrame, cfg: LinkageConfig = DEFAULT) -> DataFrame:
-    """The pair table behind profile pairs: every record of one profile with every record of the other."""
-    left = members.select(F.col("node").alias("l"), F.col("rep").alias("rep_l"))
-    right = members.select(F.col("node").alias("r"), F.col("rep").alias("rep_r"))
-    half = tiled_join(profile_pairs.select("rep_l", "rep_r", *SCORES), left, ["rep_l"], "rep_r", "l", cfg)
-    whole = tiled_join(half, right, ["rep_r"], "l", "r", cfg)
+def record_pairs(profile_pairs: DataFrame, members: Staged, staging: Staging, cfg: LinkageConfig = DEFAULT,
+                 pair_bound: int | None = None) -> DataFrame:
+    """The pair table behind profile pairs: every record of one profile with every record of the other.
+
+    ``pair_bound`` is a known upper bound on the number of ``profile_pairs``.
+    """
+    left = members.df.select(F.col("node").alias("l"), F.col("rep").alias("rep_l"))
+    right = members.df.select(F.col("node").alias("r"), F.col("rep").alias("rep_r"))
+    bound = None if pair_bound is None else max(pair_bound, members.rows)
+    half = staging.put(
+        tiled_join(profile_pairs.select("rep_l", "rep_r", *SCORES), left, ["rep_l"], "rep_r", "l", cfg, bound)
+        .drop("rep_l"), "half-pairs")
+    whole = tiled_join(half.df, right, ["rep_r"], "l", "r", cfg, max(half.rows, members.rows))
     return whole.select(*pair_columns("l", "r"), *SCORES)
 
 
@@ -224,7 +231,7 @@ def probabilistic_match(
     """
     scored, members = fuzzy_pass(
         normalized, pair_endpoints(deterministic_pairs), systems, staging, cfg, min_confidence)
-    return record_pairs(scored.df, members.df, cfg)
+    return record_pairs(scored.df, members, staging, cfg, scored.rows)
 
 
 def auto_pairs(scored: DataFrame, cfg: LinkageConfig = DEFAULT) -> DataFrame:

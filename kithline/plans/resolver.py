@@ -60,7 +60,7 @@ class Resolver:
         return normalize(sources, self.cfg, self.adapters)
 
     def deterministic_match(self, normalized: DataFrame) -> DataFrame:
-        return det.deterministic_match(normalized, self.cfg)
+        return det.deterministic_match(normalized, self.staging(), self.cfg)
 
     def probabilistic_match(self, normalized: DataFrame, deterministic_pairs: DataFrame,
                             min_confidence: float | None = None) -> DataFrame:
@@ -94,7 +94,7 @@ class Resolver:
         attribution = xw.method_attribution(links.df, linked)
         crosswalk = staging.put(xw.build_crosswalk(components, attribution, run_ts), "crosswalk")
 
-        review_queue = xw.build_review_queue(prob.record_pairs(review, members.df, cfg), run_ts)
+        review_queue = xw.build_review_queue(prob.record_pairs(review, members, staging, cfg, scored.rows), run_ts)
         gold_rows = crosswalk.df
         if cfg.hold_review:
             waiting = lookup(members.df, prob.profile_endpoints(review), ["rep"], cfg, row_bound=members.rows)
