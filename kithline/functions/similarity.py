@@ -77,15 +77,15 @@ def _jaro_winkler_series(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(result)
 
 
-@F.pandas_udf(DoubleType())
-def jaro_winkler_batch(a: pd.Series, b: pd.Series) -> pd.Series:
-    return _jaro_winkler_series(a, b)
+jaro_winkler_batch = F.pandas_udf(_jaro_winkler_series, DoubleType())
+# Declared nondeterministic so that a filter on the score is not pushed below it, which would run the batches twice.
+_jaro_winkler_once = F.pandas_udf(_jaro_winkler_series, DoubleType()).asNondeterministic()
 
 
 def jaro_winkler(a: Column, b: Column) -> Column:
     """Jaro-Winkler in [0, 1]; 0.0 when a side is NULL or empty. Equal names never leave the JVM."""
     equal = (a == b) & (F.length(a) > 0)
-    return F.when(equal, F.lit(1.0)).otherwise(jaro_winkler_batch(F.when(~equal, a), F.when(~equal, b)))
+    return F.when(equal, F.lit(1.0)).otherwise(_jaro_winkler_once(F.when(~equal, a), F.when(~equal, b)))
 
 
 def jaro_winkler_bound(a: Column, b: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kithline.config import DEFAULT, LinkageConfig
 from kithline.functions.ids import customer_id, record_node
-from kithline.operators.skew import lookup
+from kithline.operators.skew import group_extremes, lookup
 from kithline.plans.staging import Staged, Staging
 
 
@@ -28,8 +28,7 @@ def _round(staged: Staged, cfg: LinkageConfig) -> DataFrame:
     large = lookup(links, parent, ["root"], cfg, "left", bound).select(
         "node", F.coalesce("next", "root").alias("root"))
     # Small star: all parents of a node move to the smallest one.
-    smallest = large.groupBy("node").agg(F.min("root").alias("low"))
-    small = lookup(large, smallest, ["node"], cfg, "inner", bound)
+    small = group_extremes(large, ["node"], "root", "low", "high", cfg, bound)
     return small.select(
         F.when(F.col("root") == F.col("low"), F.col("node")).otherwise(F.col("root")).alias("node"),
         F.col("low").alias("root"),

@@ -1,6 +1,6 @@
 """The exact pass: records that agree on all columns of a rule.
 
-Inside a run a group of k equal records is k links to its smallest record, found with one aggregate over all rules
+Inside a run a group of k equal records is k links to its smallest record, found with one shuffle for all rules
 at once. The pair table, k(k-1)/2 rows by definition, is a separate operator that the run does not need.
 """
 
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from kithline.config import DEFAULT, LinkageConfig, Rule
 from kithline.functions.ids import record_node
-from kithline.operators.skew import lookup, tiled_join
+from kithline.operators.skew import group_extremes, tiled_join
 from kithline.plans.staging import Staging
 
 KEY = ("rule_id", "link_key")
@@ -36,23 +36,23 @@ def rule_keys(normalized: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return normalized.select(record_node().alias("node"), F.explode(entries).alias("e")).select("node", "e.*")
 
 
-def rule_groups(keys: DataFrame, cfg: LinkageConfig = DEFAULT) -> DataFrame:
-    """(rule_id, link_key, root): keys shared by at least two records, with the smallest of them."""
-    groups = keys.groupBy(*KEY).agg(F.min("node").alias("root"), F.max("node").alias("top"))
+def shared_keys(keys: DataFrame, cfg: LinkageConfig = DEFAULT, row_bound: int | None = None) -> DataFrame:
+    """The ``keys`` that at least two records share, each row with the group's smallest record as ``root``."""
+    grouped = group_extremes(keys, KEY, "node", "root", "top", cfg, row_bound)
     # The smallest and the largest record decide: they differ when there are two records, and their source
     # systems differ when there are two systems.
     shared = F.col("root.source_system") < F.col("top.source_system") if cfg.cross_source_only \
         else F.col("root") < F.col("top")
-    return groups.where(shared).drop("top")
+    return grouped.where(shared).drop("top")
 
 
 def deterministic_links(normalized: DataFrame, cfg: LinkageConfig = DEFAULT, row_bound: int | None = None) -> DataFrame:
     """(node, root, rule_id, confidence): every matched record with its group's smallest record, per rule.
 
-    The smallest record itself is listed too, so the frame names all matched records.
+    The smallest record itself is listed too, so the frame names all matched records. ``row_bound`` is the number of
+    records where known.
     """
-    keys = rule_keys(normalized, cfg.rules)
-    linked = lookup(keys, rule_groups(keys, cfg), KEY, cfg, row_bound=row_bound)
+    linked = shared_keys(rule_keys(normalized, cfg.rules), cfg, row_bound)
     return linked.select("node", "root", "rule_id", "confidence")
 
 
@@ -63,8 +63,7 @@ def deterministic_match(normalized: DataFrame, staging: Staging, cfg: LinkageCon
     with the square of a group.
     """
     keys = staging.put(rule_keys(normalized, cfg.rules).distinct(), "rule-keys")
-    groups = rule_groups(keys.df, cfg).drop("root")
-    shared = staging.put(lookup(keys.df, groups, KEY, cfg, row_bound=keys.rows), "shared-keys")
+    shared = staging.put(shared_keys(keys.df, cfg, keys.rows).drop("root"), "shared-keys")
     left = shared.df.select(*KEY, "confidence", F.col("node").alias("l"))
     right = shared.df.select(*KEY, F.col("node").alias("r"))
     ordered = F.col("l") < F.col("r")

@@ -212,8 +212,8 @@ def fuzzy_pass(
 ) -> tuple[Staged, Staged]:
     """Scored profile pairs and the members of their profiles, over all records that are not ``matched`` nodes."""
     records = staging.put(block_records(unmatched_records(normalized, matched), cfg), "fuzzy-records")
-    scored = staging.put(
-        score_profiles(profiles(records.df), systems, cfg, min_confidence, records.rows), "scored")
+    table = staging.put(profiles(records.df), "profiles")
+    scored = staging.put(score_profiles(table.df, systems, cfg, min_confidence, table.rows), "scored")
     return scored, staging.put(profile_members(records.df, scored.df, cfg, records.rows), "members")
 
 

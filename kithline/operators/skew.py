@@ -1,6 +1,6 @@
-"""Joins that keep their balance when one key holds a large share of all rows.
+"""Joins and group lookups that keep their balance when one key holds a large share of all rows.
 
-Both find the heavy keys with one map-side-combined count and route by the largest ``heavy_keys_bound`` of them.
+All find the heavy keys with one map-side-combined count and route by the largest ``heavy_keys_bound`` of them.
 The routing table is broadcast: the bound, not the data, limits its size. Heavy keys beyond the bound are each
 smaller than total rows / bound, so the ordinary shuffle holds them. No row is dropped on any route.
 """
@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kithline.config import LinkageConfig
@@ -49,6 +49,35 @@ def lookup(
     return near.unionByName(far)
 
 
+def group_extremes(
+    rows: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    low: str,
+    high: str,
+    cfg: LinkageConfig,
+    row_bound: int | None = None,
+) -> DataFrame:
+    """``rows`` with the smallest and the largest ``value`` of their key, in one shuffle.
+
+    A window does it for ordinary keys. A window gathers a key in one task, so heavy keys are left out of it: their
+    extremes are partial aggregates, broadcast back to their rows. ``row_bound`` is as for ``lookup``.
+    """
+    keys = list(keys)
+    window = Window.partitionBy(*keys)
+
+    def windowed(part: DataFrame) -> DataFrame:
+        return part.withColumns({low: F.min(value).over(window), high: F.max(value).over(window)})
+
+    if row_bound is not None and row_bound <= cfg.heavy_key_rows:
+        return windowed(rows)
+    heavy = F.broadcast(heavy_keys(rows, keys, cfg))
+    near = rows.join(heavy, keys, "left_semi")
+    extremes = near.groupBy(*keys).agg(F.min(value).alias(low), F.max(value).alias(high))
+    near = near.join(F.broadcast(extremes), keys)
+    return near.unionByName(windowed(rows.join(heavy, keys, "left_anti")))
+
+
 def tiled_join(
     left: DataFrame,
     right: DataFrame,

@@ -27,11 +27,9 @@ def _pick(names: list[str], place: str) -> str:
 
 def _luhn_digit(body: str) -> str:
     """SQL for the check digit of a 14-digit number text."""
-    digits = []
-    for place in range(14):
-        digit = f"cast(substr({body}, {14 - place}, 1) as int)"
-        digits.append(f"if({digit} > 4, 2 * {digit} - 9, 2 * {digit})" if place % 2 == 0 else digit)
-    return f"((10 - ({' + '.join(digits)}) % 10) % 10)"
+    digit = f"cast(substr({body}, 14 - i, 1) as int)"
+    doubled = f"if({digit} > 4, 2 * {digit} - 9, 2 * {digit})"
+    return f"((10 - aggregate(sequence(0, 13), 0, (s, i) -> s + if(i % 2 = 1, {digit}, {doubled})) % 10) % 10)"
 
 
 def _people(spark: SparkSession, sf_dir: str) -> DataFrame:
