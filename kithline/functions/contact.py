@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# White space as Python's str.strip sees it, and the e-mail shape built on it.
+# White space as Python's str.strip sees it, as a list and as a pattern, and the e-mail shape.
+SPACES = " \t\n\v\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a" \
+         "\u2028\u2029\u202f\u205f\u3000"
 SPACE = r"\s\x1c-\x1f"
 EMAIL_SHAPE = rf"(?U)^[^@{SPACE}]+@[^@{SPACE}]+\.[^@{SPACE}]+$"
 
@@ -14,6 +16,7 @@ EMAIL_SHAPE = rf"(?U)^[^@{SPACE}]+@[^@{SPACE}]+\.[^@{SPACE}]+$"
 NATIONAL_NUMBER = r"5[0-9]{8}|[2-4679][0-9]{7}|800[0-9]{2,9}|[4679]00[0-9]{6}"
 FOREIGN_NUMBER = r"(?!971)[1-9][0-9]{7,14}"
 # What may stand around the digits of a number, apart from leading words.
+LOCAL_SHAPE = rf"^(?:(?:\+|00)?971)?0?({NATIONAL_NUMBER})$"
 EXTENSION = r"[\s,;]*(?:extension|extn|ext|x|#)[.:\s]*[0-9]{1,7}\s*$"
 SEPARATORS = r"[\s().\-/]+"
 # Arabic-Indic, extended Arabic-Indic and full-width digits.
@@ -27,7 +30,7 @@ def _match(value: Column, pattern: str) -> Column:
 
 def normalize_email(email: Column) -> Column:
     """Trimmed lower-case address, NULL when it does not look like one."""
-    return _match(F.lower(F.regexp_replace(email, rf"(?U)^[{SPACE}]+|[{SPACE}]+$", "")), EMAIL_SHAPE)
+    return _match(F.lower(F.trim(email, F.lit(SPACES))), EMAIL_SHAPE)
 
 
 def email_domain(email: Column) -> Column:
@@ -47,8 +50,13 @@ def normalize_phone(raw: Column, strict: bool = False) -> Column:
             .when(raw.rlike(r"^0[0-9]{9}$"), F.concat(F.lit("+971"), F.substring(raw, 2, 9)))
             .when(raw.rlike(r"^971[0-9]{9}$"), F.concat(F.lit("+"), raw))
         )
+    # The plain shapes need one match; only what fails it goes through the cleaning.
+    plain = F.concat(F.lit("+971"), F.nullif(F.regexp_extract(raw, LOCAL_SHAPE, 1), F.lit("")))
     ascii_digits = F.translate(raw, OTHER_DIGITS + "＋", "0123456789" * 3 + "+")
     # Whatever is left besides digits and a leading plus makes the last match fail.
     bare = F.regexp_replace(ascii_digits, rf"(?i)(?U)^[^0-9+]+|\(0\)|{EXTENSION}|{SEPARATORS}", "")
-    local = F.regexp_replace(bare, rf"^(?:(?:\+|00)?971)?0?({NATIONAL_NUMBER})$", "+971$1")
-    return _match(F.regexp_replace(local, r"^00", "+"), rf"^\+(?:971(?:{NATIONAL_NUMBER})|{FOREIGN_NUMBER})$")
+    local = F.regexp_replace(bare, LOCAL_SHAPE, "+971$1")
+    return F.coalesce(
+        plain,
+        _match(F.regexp_replace(local, r"^00", "+"), rf"^\+(?:971(?:{NATIONAL_NUMBER})|{FOREIGN_NUMBER})$"),
+    )

@@ -12,6 +12,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+# Fixed value: a name that only needs lower case.
+CLEAN = r"^[a-z0-9_]+(?: [a-z0-9_]+)*$"
+
 # The batch function travels with its helpers, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -25,6 +28,8 @@ def _fold(name: str) -> str | None:
 @F.pandas_udf(StringType())
 def _fold_batch(names: pd.Series) -> pd.Series:
     distinct = names.dropna().unique()
+    if not len(distinct):
+        return names
     return names.map(dict(zip(distinct, map(_fold, distinct)))).astype(object)
 
 
@@ -34,9 +39,14 @@ def normalize_name(name: Column) -> Column:
     ASCII names stay in the JVM. Spark has no Unicode decomposition, so other names pass through one
     Arrow-batched function; ASCII rows reach it as NULLs.
     """
-    plain = name.rlike(r"^\p{ASCII}*$")
-    native = F.nullif(F.trim(F.regexp_replace(F.lower(name), r"[^a-z0-9_]+", " ")), F.lit(""))
-    return F.when(plain, native).otherwise(_fold_batch(F.when(~plain, name)))
+    lower = F.lower(name)
+    ascii_only = name.rlike(r"^\p{ASCII}*$")
+    words = F.nullif(F.trim(F.regexp_replace(lower, r"[^a-z0-9_]+", " ")), F.lit(""))
+    return (
+        F.when(lower.rlike(CLEAN), lower)
+        .when(ascii_only, words)
+        .otherwise(_fold_batch(F.when(~ascii_only, name)))
+    )
 
 
 def block_key(name: Column, block_null_names: bool = False) -> Column:
