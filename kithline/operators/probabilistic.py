@@ -171,17 +171,17 @@ def score_profiles(
     return named.withColumn("confidence", total).where(F.col("confidence") >= floor)
 
 
-def profile_endpoints(profile_pairs: DataFrame) -> DataFrame:
-    """(rep, profile, confidence): both sides of profile pairs, each profile once with its best score."""
-    sides = [F.struct(F.col(f"rep_{s}").alias("rep"), F.col(f"profile_{s}").alias("profile")) for s in "lr"]
-    ends = profile_pairs.select(F.explode(F.array(*sides)).alias("end"), "confidence").select("end.*", "confidence")
-    return ends.groupBy("rep", "profile").agg(F.max("confidence").alias("confidence"))
+def best_scores(profile_pairs: DataFrame) -> DataFrame:
+    """(rep, confidence): both sides of profile pairs, each profile once with its best score."""
+    ends = profile_pairs.select(F.explode(F.array("rep_l", "rep_r")).alias("rep"), "confidence")
+    return ends.groupBy("rep").agg(F.max("confidence").alias("confidence"))
 
 
 def profile_members(records: DataFrame, profile_pairs: DataFrame, cfg: LinkageConfig = DEFAULT,
                     row_bound: int | None = None) -> DataFrame:
     """(node, rep): the records behind the profiles that occur in ``profile_pairs``."""
-    table = profile_endpoints(profile_pairs).select("profile", "rep")
+    sides = [F.struct(F.col(f"rep_{s}").alias("rep"), F.col(f"profile_{s}").alias("profile")) for s in "lr"]
+    table = profile_pairs.select(F.explode(F.array(*sides)).alias("end")).select("end.*").distinct()
     members = lookup(records.select("node", "profile"), table, ["profile"], cfg, row_bound=row_bound)
     return members.select("node", "rep").distinct()
 

@@ -82,7 +82,8 @@ class Resolver:
         scored, members = prob.fuzzy_pass(normalized.df, links.df, tuple(sources), staging, cfg)
         auto, review = prob.auto_pairs(scored.df, cfg), prob.review_pairs(scored.df, cfg)
 
-        linked = lookup(members.df, prob.profile_endpoints(auto), ["rep"], cfg, row_bound=members.rows)
+        linked = staging.put(
+            lookup(members.df, prob.best_scores(auto), ["rep"], cfg, row_bound=members.rows), "auto-linked").df
         edges = (
             links.df.select("node", "root")
             .unionByName(linked.select("node", F.col("rep").alias("root")))
@@ -97,7 +98,7 @@ class Resolver:
         review_queue = xw.build_review_queue(prob.record_pairs(review, members, staging, cfg, scored.rows), run_ts)
         gold_rows = crosswalk.df
         if cfg.hold_review:
-            waiting = lookup(members.df, prob.profile_endpoints(review), ["rep"], cfg, row_bound=members.rows)
+            waiting = lookup(members.df, prob.best_scores(review), ["rep"], cfg, row_bound=members.rows)
             gold_rows = xw.held_back(gold_rows, waiting.select("node.*"))
         return Resolution(
             dim_customer=survivorship(normalized.df, gold_rows, run_ts, cfg),
