@@ -25,6 +25,19 @@ from kithline.plans.staging import Staging  # noqa: E402
 from kithline.sources.derived import derived_sources  # noqa: E402
 from oracle_queries import oracle_sql as _oracle_sql  # noqa: E402
 
+try:  # the subpackage for training text, with the pipeline on top of it, may be absent
+    from corpus_pipeline import ORACLE_SQL as _PIPELINE_SQL
+    from corpus_pipeline import run as _pipeline
+    from kithline.llm.oracle import oracle_sql as _llm_sql
+    from kithline.llm.queries import queries as _llm_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "kithline.llm"):
+        raise
+    LLM_QUERIES, LLM_SQL = {}, {}
+else:
+    LLM_QUERIES = _llm_queries() | {"pipeline": _pipeline}
+    LLM_SQL = _llm_sql() | ({"pipeline": _PIPELINE_SQL} if _PIPELINE_SQL else {})
+
 RUN_TS = datetime(2025, 1, 1, tzinfo=timezone.utc)
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -233,6 +246,8 @@ def queries() -> dict[str, Query]:
         "run_stats": lambda s, d: _run(s, d).stats,                                         # CO8
     }
 
+    table |= LLM_QUERIES
+
     def in_utc(query: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             _utc(spark)
@@ -243,5 +258,5 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    """DuckDB SQL per query."""
-    return _oracle_sql()
+    """DuckDB SQL per query that SQL can express."""
+    return _oracle_sql() | LLM_SQL
