@@ -36,7 +36,19 @@ component AS (SELECT s.doc_id, len(s.s) AS n, r.c AS component_id FROM sets s
   JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) r ON r.a = s.doc_id)"""
 
 
+REPEATED_PASSAGES = f"""
+WITH w AS (SELECT row_number() OVER () AS r, doc_id, {words('text')} AS w FROM documents),
+win AS (SELECT r, i, array_to_string(w[i:i + 34], ' ') AS g FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM w)),
+twice AS (SELECT g FROM win GROUP BY g HAVING count(*) > 1),
+gone AS (SELECT DISTINCT r, i + k AS p FROM win SEMI JOIN twice USING (g), range(35) AS t(k)),
+word AS (SELECT r, p, w[p] AS x FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS p FROM w)),
+kept AS (SELECT r, count(*) AS n, string_agg(x, ' ' ORDER BY p) AS t FROM word ANTI JOIN gone USING (r, p) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (r)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_ngram_jaccard_join": f"WITH RECURSIVE {components()} SELECT doc_id, n AS n_shingles, component_id FROM component",
+        "op7_substring_dedup": REPEATED_PASSAGES,
     }

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from kithline.llm.common import table
 from kithline.llm.ngram_join import jaccard_components
+from kithline.llm.substring_dedup import remove_repeated_passages
 from kithline.plans.staging import Staging
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,7 +19,12 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id")
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_passages(table(spark, sf_dir, "documents"), Staging(spark))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
+        "op7_substring_dedup": op7_substring_dedup,
     }

@@ -105,7 +105,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0], _POWERS[1]
 
 
-def _sums(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def sums(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Polynomial sums of ranges of ``values``: differences of prefix sums, moved to the same power."""
     power, back = _powers(len(values) + 1)
     with np.errstate(over="ignore"):
@@ -121,7 +121,7 @@ def hashes(words: Words, lower: bool = False) -> np.ndarray:
     table = _BYTE[_LOWER] if lower else _BYTE
     with np.errstate(over="ignore"):
         sizes = (words.ends - words.starts).astype(np.uint64)
-        return mix(_sums(table[words.data], words.starts, words.ends) + sizes * _BASE)
+        return mix(sums(table[words.data], words.starts, words.ends) + sizes * _BASE)
 
 
 def runs(values: np.ndarray, first: np.ndarray, width: int, whole_if_short: bool = False) -> tuple[np.ndarray, np.ndarray]:
@@ -159,4 +159,4 @@ def rolling(values: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarr
     if len(texts) == 0:
         return np.zeros(0, dtype=np.uint64), begin
     at = np.repeat(first[texts] - begin[texts], out[texts]) + np.arange(begin[-1])
-    return mix(_sums(values, at, at + width), width), begin
+    return mix(sums(values, at, at + width), width), begin
