@@ -8,7 +8,7 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 def words(text: str) -> str:
     """SQL for the list of words of a text (null: none)."""
-    return f"list_filter(regexp_split_to_array(coalesce({text}, ''), '[ \\t\\n\\x0B\\f\\r]+'), x -> x <> '')"
+    return f"list_filter(regexp_split_to_array(coalesce({text}, ''), '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '')"
 
 
 def lower(text: str) -> str:
@@ -18,7 +18,7 @@ def lower(text: str) -> str:
 def shingles(words_: str, width: int = 5) -> str:
     """SQL for the distinct shingles of a list of words; fewer words than a shingle are one."""
     return (f"CASE WHEN len({words_}) >= {width} THEN list_distinct(list_transform(range(1, len({words_}) - {width - 2}), "
-            f"i -> array_to_string({words_}[i:i + {width - 1}], ' '))) WHEN len({words_}) > 0 "
+            f"lambda i: array_to_string({words_}[i:i + {width - 1}], ' '))) WHEN len({words_}) > 0 "
             f"THEN [array_to_string({words_}, ' ')] ELSE [] END")
 
 
