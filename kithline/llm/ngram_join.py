@@ -5,6 +5,9 @@ global order. One order makes the candidates, and a candidate pair must also sha
 order before the sets are compared. All orders put frequent shingles last (by a fixed-size count table over all
 documents), so that passages which many documents share are in hardly any prefix.
 
+Texts travel only for candidates that a cheap bound leaves: parities of the shingles per slot tell in how many shingles
+two sets differ at least, and so how large their overlap can be at most.
+
 Equal sets are one class, standing for all its documents. Candidates come in two steps that together lose no link:
 first every member of a prefix bucket meets the bucket's smallest member; the links found give components; then only
 bucket members of *different* components meet each other. A group of k near copies so costs k comparisons, not k*k.
@@ -47,9 +50,37 @@ def _sets(texts: pa.Array, cfg: JaccardJoin) -> Iterator[tuple[int, list[np.ndar
         yield row, [np.unique(hashed[i:j]) for i, j in zip(first[:-1], first[1:])]
 
 
+def _parities(tokens: np.ndarray, most: int = 8192) -> bytes:
+    """Parity of the number of shingles in each of about 2n slots: two sets differ in at least as many shingles as slots."""
+    slots = 64
+    while slots < min(2 * len(tokens), most):
+        slots *= 2
+    hit = np.bincount((W.mix(tokens, 55) & np.uint64(slots - 1)).astype(np.int64), minlength=slots) & 1
+    return np.packbits(hit.astype(np.uint8)).tobytes()
+
+
+def _bounded(cfg: "JaccardJoin"):
+    """Keeps the pairs whose overlap, as the parities bound it from above, can be large enough."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("bits_a", "bits_b", "n_a", "n_b")]
+            kept = []
+            for k, (bits_a, bits_b, n_a, n_b) in enumerate(zip(*columns)):
+                a, b = np.frombuffer(bits_a, dtype=np.uint8), np.frombuffer(bits_b, dtype=np.uint8)
+                while len(a) > len(b):
+                    a = a[:len(a) // 2] ^ a[len(a) // 2:]
+                while len(b) > len(a):
+                    b = b[:len(b) // 2] ^ b[len(b) // 2:]
+                common = (n_a + n_b - int(np.bitwise_count(a ^ b).sum())) // 2
+                if 100 * common >= cfg.percent * (n_a + n_b - common):
+                    kept.append(k)
+            yield batch.select(["a", "b"]).take(pa.array(kept, type=pa.int64()))
+    return run
+
+
 def _describe(cfg: JaccardJoin):
-    """Rows (kind 0, doc_id, set size, key) per document, then (kind 1, slot, count) for the count table."""
-    names = ["kind", "id", "n", "key1", "key2"]
+    """Rows (kind 0, doc_id, set size, key, parities) per document, then (kind 1, slot, count) for the count table."""
+    names = ["kind", "id", "n", "key1", "key2", "bits"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(cfg.count_slots, dtype=np.int64)
@@ -66,11 +97,12 @@ def _describe(cfg: JaccardJoin):
                     keys.append((sums[border[1:]] - sums[border[:-1]]).view(np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.zeros(len(sets), dtype=np.int32)), ids.slice(row, len(sets)), pa.array(sizes),
-                     pa.array(keys[0]), pa.array(keys[1])], names=names)
+                     pa.array(keys[0]), pa.array(keys[1]), pa.array([_parities(s) for s in sets], type=pa.binary())], names=names)
         slots = np.flatnonzero(counts)
         zero = pa.array(np.zeros(len(slots), dtype=np.int64))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.ones(len(slots), dtype=np.int32)), pa.array(slots), pa.array(counts[slots]), zero, zero], names=names)
+            [pa.array(np.ones(len(slots), dtype=np.int32)), pa.array(slots), pa.array(counts[slots]), zero, zero,
+             pa.nulls(len(slots), pa.binary())], names=names)
     return run
 
 
@@ -158,13 +190,21 @@ def jaccard_components(docs: DataFrame, staging: Staging, cfg: JaccardJoin = Jac
     ``class_id`` is the smallest document with the same set, ``component_id`` the smallest one that links reach."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    described = staging.put(docs.mapInArrow(_describe(cfg), "kind int, id long, n long, key1 long, key2 long"), "sets").df
+    described = staging.put(docs.mapInArrow(_describe(cfg), "kind int, id long, n long, key1 long, key2 long, bits binary"), "sets").df
     levels = spark.sparkContext.broadcast(_levels(described.where("kind = 1"), cfg))
     sets = described.where("kind = 0")
     classes = sets.where("n > 0").groupBy("n", "key1", "key2").agg(F.min("id").alias("class_id"))
     members = staging.put(sets.join(classes, ["n", "key1", "key2"], "left").select(
-        F.col("id").alias("doc_id"), "n", F.coalesce("class_id", "id").alias("class_id")), "classes").df
+        F.col("id").alias("doc_id"), "n", F.coalesce("class_id", "id").alias("class_id"), "bits"), "classes").df
     node = members.where("n > 0 and doc_id is not null").select("doc_id", "class_id", "n").distinct()
+    parities = members.where("n > 0 and doc_id = class_id").groupBy("doc_id", "n").agg(F.min("bits").alias("bits"))
+
+    def possible(pairs: DataFrame) -> DataFrame:
+        """The pairs whose parities allow a link; texts are fetched for these only."""
+        for side in ("a", "b"):
+            pairs = pairs.join(parities.select(F.col("doc_id").alias(side), F.col("n").alias(f"n_{side}"),
+                                               F.col("bits").alias(f"bits_{side}")), [side, f"n_{side}"])
+        return pairs.mapInArrow(_bounded(cfg), "a long, b long").distinct()
 
     bucket = Window.partitionBy("token")
     postings = docs.where("doc_id is not null").mapInArrow(_postings(levels, cfg), "token long, doc_id long")
@@ -175,10 +215,11 @@ def jaccard_components(docs: DataFrame, staging: Staging, cfg: JaccardJoin = Jac
         return df.join(node.select(F.col("doc_id").alias(column), F.col("class_id").alias(suffix), F.col("n").alias(f"n_{suffix}")), column)
 
     stars = shared.where("doc_id != low").select("doc_id", "low").distinct()
-    stars = classed(classed(stars, "doc_id", "a"), "low", "b").where(_fits(cfg)).select("a", "b").distinct()
+    stars = classed(classed(stars, "doc_id", "a"), "low", "b").where(_fits(cfg)).select(
+        "a", "b", "n_a", "n_b").distinct()
     tried = staging.put(stars, "stars").df
     same = node.where("doc_id != class_id").select(F.col("doc_id").alias("a"), F.col("class_id").alias("b"))
-    found = staging.put(_verified(docs, tried, levels, cfg, staging), "links").df
+    found = staging.put(_verified(docs, possible(tried), levels, cfg, staging), "links").df
     roots = connected_components(found, staging)
 
     labelled = classed(shared.select("token", "doc_id"), "doc_id", "id").join(roots, "id", "left").select(
@@ -189,8 +230,8 @@ def jaccard_components(docs: DataFrame, staging: Staging, cfg: JaccardJoin = Jac
     right = mixed.select("token", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("label_b"))
     across = left.join(right, "token").where((F.col("a") > F.col("b")) & (F.col("label_a") != F.col("label_b")) & _fits(cfg))
     known = tried.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    across = across.select("a", "b").distinct().join(known, ["a", "b"], "left_anti")
-    more = _verified(docs, across, levels, cfg, staging)
+    across = across.select("a", "b", "n_a", "n_b").distinct().join(known, ["a", "b"], "left_anti")
+    more = _verified(docs, possible(across), levels, cfg, staging)
     final = connected_components(found.unionByName(more).unionByName(same), staging)
     return members.join(final.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
