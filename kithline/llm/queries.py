@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kithline.llm.common import table
+from kithline.llm import language_id
+from kithline.llm.common import crc_fold, table
 from kithline.llm.ngram_join import jaccard_components
 from kithline.llm.substring_dedup import remove_repeated_passages
 from kithline.plans.staging import Staging
@@ -23,8 +25,16 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_passages(table(spark, sf_dir, "documents"), Staging(spark))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fold = crc_fold(F.col("doc_id"))
+    return language_id.identify(docs, language_id.fit(docs, fold != 0)).select(
+        "doc_id", (fold == 0).alias("held_out"), "lang_pred", "score", "rate")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
+        "op9_language_id": op9_language_id,
         "op7_substring_dedup": op7_substring_dedup,
     }
