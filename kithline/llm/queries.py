@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kithline.llm import language_id
+from kithline.llm import language_id, secrets
 from kithline.llm.common import crc_fold, table
 from kithline.llm.ngram_join import jaccard_components
 from kithline.llm.substring_dedup import remove_repeated_passages
@@ -16,6 +16,13 @@ from kithline.plans.staging import Staging
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", *[secrets.count_of("base", kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
+        F.sha2(secrets.as_text("base"), 256).alias("base_sha256"), secrets.as_text("found").alias("spans"))
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), Staging(spark)).select(
         "doc_id", "n_shingles", "component_id")
@@ -34,6 +41,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_secret_scan": op2_secret_scan,
         "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
         "op9_language_id": op9_language_id,
         "op7_substring_dedup": op7_substring_dedup,
