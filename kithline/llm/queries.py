@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kithline.llm import language_id, secrets
+from kithline.llm import language_id, secrets, sentencepiece_fst
 from kithline.llm.common import crc_fold, table
 from kithline.llm.ngram_join import jaccard_components
 from kithline.llm.substring_dedup import remove_repeated_passages
 from kithline.plans.staging import Staging
 
+#: The public piece table that the registered query encodes with.
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -23,6 +25,10 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secrets.as_text("base"), 256).alias("base_sha256"), secrets.as_text("found").alias("spans"))
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_fst.encode(table(spark, sf_dir, "documents"), sentencepiece_fst.PieceTable.load(PIECE_MODEL))
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), Staging(spark)).select(
         "doc_id", "n_shingles", "component_id")
@@ -42,6 +48,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op2_secret_scan": op2_secret_scan,
+        "op3_sentencepiece": op3_sentencepiece,
         "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
         "op9_language_id": op9_language_id,
         "op7_substring_dedup": op7_substring_dedup,
