@@ -47,8 +47,21 @@ SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(c
 FROM w LEFT JOIN kept USING (r)"""
 
 
+def contaminated(docs: str = "documents") -> str:
+    """SQL for (doc_id, item_id, n_shingles, n_shared, containment) of all contaminated documents."""
+    plain = "regexp_replace(" + lower("coalesce(text, '')") + ", '[^\\pL\\pN]+', ' ', 'g')"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {words(plain)} AS w FROM {docs}),
+ds AS (SELECT r, doc_id, unnest({shingles('w')}) AS g FROM d),
+b AS (SELECT DISTINCT item_id, {words(plain)} AS w FROM benchmark),
+bs AS (SELECT item_id, len({shingles('w')}) AS n, unnest({shingles('w')}) AS g FROM b)
+SELECT doc_id, item_id, n AS n_shingles, count(*) AS n_shared, count(*) / n AS containment
+FROM ds JOIN bs USING (g) GROUP BY r, doc_id, item_id, n HAVING 100 * count(*) >= 75 * n"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_ngram_jaccard_join": f"WITH RECURSIVE {components()} SELECT doc_id, n AS n_shingles, component_id FROM component",
+        "op5_decontamination": contaminated(),
         "op7_substring_dedup": REPEATED_PASSAGES,
     }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kithline.llm import language_id, secrets, sentencepiece_fst
+from kithline.llm import decontamination, fingerprints, language_id, secrets, sentencepiece_fst
 from kithline.llm.common import crc_fold, table
 from kithline.llm.ngram_join import jaccard_components
 from kithline.llm.substring_dedup import remove_repeated_passages
@@ -34,6 +34,11 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id")
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Staging(spark))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_passages(table(spark, sf_dir, "documents"), Staging(spark))
 
@@ -51,5 +56,7 @@ def queries() -> dict[str, Query]:
         "op3_sentencepiece": op3_sentencepiece,
         "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
         "op9_language_id": op9_language_id,
+        "op5_decontamination": op5_decontamination,
+        "op10_fingerprints": lambda spark, sf_dir: fingerprints.fingerprint_with_edits(table(spark, sf_dir, "documents")),
         "op7_substring_dedup": op7_substring_dedup,
     }
