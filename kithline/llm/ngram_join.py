@@ -8,9 +8,11 @@ documents), so that passages which many documents share are in hardly any prefix
 Texts travel only for candidates that a cheap bound leaves: parities of the shingles per slot tell in how many shingles
 two sets differ at least, and so how large their overlap can be at most.
 
-Equal sets are one class, standing for all its documents. Candidates come in two steps that together lose no link:
-first every member of a prefix bucket meets the bucket's smallest member; the links found give components; then only
-bucket members of *different* components meet each other. A group of k near copies so costs k comparisons, not k*k.
+Equal sets are one class, standing for all its documents. Candidates are met in an order that spares most of them, and
+loses no link: every member of a prefix bucket first meets one member of it, the links found give components, and this
+is repeated with other members while it joins components; then all bucket members of *different* components meet.
+A group of k near copies so costs some k comparisons, not k*k. Where in its prefix a shingle stands bounds the overlap of
+two sets whose first common shingle it is, which spares more.
 
 Defined results: a null or wordless text has no shingle and no link; a text of fewer words than a shingle is one shingle;
 rows with the same id are one node; a row without id gets its set size and no component; other columns are ignored.
@@ -40,6 +42,11 @@ class JaccardJoin:
     more_orders: int = 2
     #: Entries of the count table (its size does not depend on the input).
     count_slots: int = 1 << 17
+    #: Bucket members meet one of theirs until at most so many pairs of different components per member are left.
+    pairs_per_member: int = 2
+    most_attempts: int = 6
+    #: Pairs of different components from which on a bucket's join looks at parities, before a pair comes to be.
+    dense_pairs: int = 2_000
 
 
 def _sets(texts: pa.Array, cfg: JaccardJoin) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -50,9 +57,8 @@ def _sets(texts: pa.Array, cfg: JaccardJoin) -> Iterator[tuple[int, list[np.ndar
         yield row, [np.unique(hashed[i:j]) for i, j in zip(first[:-1], first[1:])]
 
 
-def _parities(tokens: np.ndarray, most: int = 8192) -> bytes:
+def _parities(tokens: np.ndarray, most: int = 8192, slots: int = 64) -> bytes:
     """Parity of the number of shingles in each of about 2n slots: two sets differ in at least as many shingles as slots."""
-    slots = 64
     while slots < min(2 * len(tokens), most):
         slots *= 2
     hit = np.bincount((W.mix(tokens, 55) & np.uint64(slots - 1)).astype(np.int64), minlength=slots) & 1
@@ -80,7 +86,7 @@ def _bounded(cfg: "JaccardJoin"):
 
 def _describe(cfg: JaccardJoin):
     """Rows (kind 0, doc_id, set size, key, parities) per document, then (kind 1, slot, count) for the count table."""
-    names = ["kind", "id", "n", "key1", "key2", "bits"]
+    names = ["kind", "id", "n", "key1", "key2", "bits", "short"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(cfg.count_slots, dtype=np.int64)
@@ -97,12 +103,14 @@ def _describe(cfg: JaccardJoin):
                     keys.append((sums[border[1:]] - sums[border[:-1]]).view(np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.zeros(len(sets), dtype=np.int32)), ids.slice(row, len(sets)), pa.array(sizes),
-                     pa.array(keys[0]), pa.array(keys[1]), pa.array([_parities(s) for s in sets], type=pa.binary())], names=names)
+                     pa.array(keys[0]), pa.array(keys[1]), pa.array([_parities(s) for s in sets], type=pa.binary()),
+                     pa.array([np.frombuffer(_parities(s, 512, 512), dtype=np.int64) for s in sets], type=pa.list_(pa.int64()))],
+                    names=names)
         slots = np.flatnonzero(counts)
         zero = pa.array(np.zeros(len(slots), dtype=np.int64))
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.ones(len(slots), dtype=np.int32)), pa.array(slots), pa.array(counts[slots]), zero, zero,
-             pa.nulls(len(slots), pa.binary())], names=names)
+             pa.nulls(len(slots), pa.binary()), pa.nulls(len(slots), pa.list_(pa.int64()))], names=names)
     return run
 
 
@@ -112,27 +120,31 @@ def _levels(counts: DataFrame, cfg: JaccardJoin) -> np.ndarray:
     for slot, n in counts.groupBy("id").agg(F.sum("n").alias("n")).collect():
         total[slot] = n
     mean = total.mean()
-    return np.floor(np.log2(np.maximum((total - mean) / (4 * np.sqrt(mean + 1)), 0.5)) + 1).astype(np.uint64)
+    return np.floor(np.log2(np.maximum((total - mean) / (2 * np.sqrt(mean + 1)), 0.5)) + 1).astype(np.uint64)
 
 
 def _prefix(tokens: np.ndarray, order: int, levels: np.ndarray, cfg: JaccardJoin) -> np.ndarray:
-    """The first shingles of a set in one global order: rare ones first, then by a hash of the order's own."""
+    """The first shingles of a set in one global order, in that order: rare ones first, then by a hash of the order's own."""
     n = len(tokens)
     keep = n - (cfg.percent * n + 99) // 100 + 1
     rank = (levels[(tokens % np.uint64(len(levels))).astype(np.int64)] << np.uint64(58)) | (W.mix(tokens, order) >> np.uint64(6))
-    return tokens[np.argpartition(rank, keep - 1)[:keep]] if keep < n else tokens
+    first = np.argpartition(rank, keep - 1)[:keep] if keep < n else np.arange(n)
+    return tokens[first[np.argsort(rank[first])]]
 
 
 def _postings(levels, cfg: JaccardJoin):
-    """(token, doc_id) of every document's prefix in the first order."""
+    """(token, doc_id, place) of every document's prefix in the first order."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             for row, sets in _sets(batch.column("text"), cfg):
                 parts = [_prefix(s, 1, levels.value, cfg) if len(s) else s for s in sets]
-                owner = np.repeat(ids[row:row + len(sets)], [len(p) for p in parts])
+                sizes = np.array([len(p) for p in parts])
+                owner = np.repeat(ids[row:row + len(sets)], sizes)
+                place = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(parts).view(np.int64)), pa.array(owner.astype(np.int64))], names=["token", "doc_id"])
+                    [pa.array(np.concatenate(parts).view(np.int64)), pa.array(owner.astype(np.int64)), pa.array(place.astype(np.int32))],
+                    names=["token", "doc_id", "place"])
     return run
 
 
@@ -180,8 +192,10 @@ def _verified(docs: DataFrame, pairs: DataFrame, levels, cfg: JaccardJoin, stagi
 
 
 def _fits(cfg: JaccardJoin):
-    """Sizes of two sets that can be similar enough."""
-    return (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * cfg.percent) & (F.col("a") != F.col("b"))
+    """Two sets that can be similar enough, as their sizes and the places of a first common shingle have it."""
+    least = (F.col("n_a") + F.col("n_b")) * cfg.percent
+    left = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
+    return (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * cfg.percent) & (left * (100 + cfg.percent) >= least)
 
 
 def jaccard_components(docs: DataFrame, staging: Staging, cfg: JaccardJoin = JaccardJoin()) -> DataFrame:
@@ -190,14 +204,14 @@ def jaccard_components(docs: DataFrame, staging: Staging, cfg: JaccardJoin = Jac
     ``class_id`` is the smallest document with the same set, ``component_id`` the smallest one that links reach."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    described = staging.put(docs.mapInArrow(_describe(cfg), "kind int, id long, n long, key1 long, key2 long, bits binary"), "sets").df
+    described = staging.put(docs.mapInArrow(_describe(cfg), "kind int, id long, n long, key1 long, key2 long, bits binary, short array<bigint>"), "sets").df
     levels = spark.sparkContext.broadcast(_levels(described.where("kind = 1"), cfg))
     sets = described.where("kind = 0")
     classes = sets.where("n > 0").groupBy("n", "key1", "key2").agg(F.min("id").alias("class_id"))
     members = staging.put(sets.join(classes, ["n", "key1", "key2"], "left").select(
-        F.col("id").alias("doc_id"), "n", F.coalesce("class_id", "id").alias("class_id"), "bits"), "classes").df
+        F.col("id").alias("doc_id"), "n", F.coalesce("class_id", "id").alias("class_id"), "bits", "short"), "classes").df
     node = members.where("n > 0 and doc_id is not null").select("doc_id", "class_id", "n").distinct()
-    parities = members.where("n > 0 and doc_id = class_id").groupBy("doc_id", "n").agg(F.min("bits").alias("bits"))
+    parities = members.where("n > 0 and doc_id = class_id").groupBy("doc_id", "n").agg(F.min("bits").alias("bits"), F.min("short").alias("short"))
 
     def possible(pairs: DataFrame) -> DataFrame:
         """The pairs whose parities allow a link; texts are fetched for these only."""
@@ -207,31 +221,59 @@ def jaccard_components(docs: DataFrame, staging: Staging, cfg: JaccardJoin = Jac
         return pairs.mapInArrow(_bounded(cfg), "a long, b long").distinct()
 
     bucket = Window.partitionBy("token")
-    postings = docs.where("doc_id is not null").mapInArrow(_postings(levels, cfg), "token long, doc_id long")
-    shared = staging.put(postings.select("token", "doc_id", F.min("doc_id").over(bucket).alias("low"),
-                                         F.max("doc_id").over(bucket).alias("high")).where("low < high").drop("high"), "buckets").df
 
-    def classed(df: DataFrame, column: str, suffix: str) -> DataFrame:
-        return df.join(node.select(F.col("doc_id").alias(column), F.col("class_id").alias(suffix), F.col("n").alias(f"n_{suffix}")), column)
-
-    stars = shared.where("doc_id != low").select("doc_id", "low").distinct()
-    stars = classed(classed(stars, "doc_id", "a"), "low", "b").where(_fits(cfg)).select(
-        "a", "b", "n_a", "n_b").distinct()
-    tried = staging.put(stars, "stars").df
+    def across_labels(rows: DataFrame, name: str) -> Staged:
+        """The members of buckets that hold more than one component."""
+        limits = {"low": F.min("label").over(bucket), "high": F.max("label").over(bucket)}
+        return staging.put(rows.withColumns(limits).where("low < high").drop("low", "high"), name)
+
+    postings = docs.where("doc_id is not null").mapInArrow(_postings(levels, cfg), "token long, doc_id long, place int")
+    limits = {"low": F.min("doc_id").over(bucket), "high": F.max("doc_id").over(bucket)}
+    shared = staging.put(postings.withColumns(limits).where("low < high").drop("low", "high"), "buckets").df
+    classed = shared.join(node, "doc_id").groupBy("token", F.col("class_id").alias("id"), "n").agg(F.min("place").alias("place"))
+    mixed = across_labels(classed.withColumn("label", F.col("id")), "mixed")
+    tried, found = None, None
+    for attempt in range(cfg.most_attempts):
+        # Every member of a bucket meets one of its members, another one at each attempt.
+        member = F.struct(F.xxhash64("id", F.lit(attempt)).alias("draw"), "id", "n", "place", "label")
+        stars = mixed.df.withColumn("first", F.min(member).over(bucket)).where("label != first.label").select(
+            F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("place").alias("place_a"),
+            F.col("first.id").alias("b"), F.col("first.n").alias("n_b"), F.col("first.place").alias("place_b")).where(_fits(cfg))
+        swap = F.col("a") < F.col("b")
+        stars = stars.select(*[F.when(swap, F.col(y)).otherwise(F.col(x)).alias(x) for x, y in
+                               (("a", "b"), ("b", "a"), ("n_a", "n_b"), ("n_b", "n_a"))]).distinct()
+        if tried is not None:
+            stars = stars.join(tried.select("a", "b"), ["a", "b"], "left_anti")
+        stars = staging.put(stars, "stars")
+        tried = stars.df if tried is None else tried.unionByName(stars.df)
+        links = staging.put(_verified(docs, possible(stars.df), levels, cfg, staging), "links")
+        found = links.df if found is None else found.unionByName(links.df)
+        roots = connected_components(found, staging).withColumnRenamed("root", "new")
+        mixed = across_labels(mixed.df.join(roots, "id", "left").withColumn("label", F.coalesce("new", "label")).drop("new"), "mixed")
+        per_token = mixed.df.groupBy("token", "label").agg(F.count(F.lit(1)).alias("k")).groupBy("token").agg(
+            ((F.pow(F.sum("k"), F.lit(2)) - F.sum(F.col("k") * F.col("k"))) / 2).alias("pairs"))
+        per_token = staging.put(per_token, "bucket-pairs").df
+        pairs = per_token.agg(F.sum("pairs")).first()[0] or 0
+        if links.rows * 20 <= stars.rows or pairs <= cfg.pairs_per_member * mixed.rows:
+            break
+
+    def across(rows: DataFrame, *more: str) -> DataFrame:
+        sides = [rows.select("token", F.col("id").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("n", "place", "label", *more)])
+                 for s in "ab"]
+        condition = (F.col("a") > F.col("b")) & (F.col("label_a") != F.col("label_b")) & _fits(cfg)
+        if more:
+            apart = F.aggregate(F.zip_with("short_a", "short_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
+            common = (F.col("n_a") + F.col("n_b") - apart) / 2
+            condition &= common * (100 + cfg.percent) >= (F.col("n_a") + F.col("n_b")) * cfg.percent
+        return sides[0].join(sides[1], on=[sides[0]["token"] == sides[1]["token"], condition]).select("a", "b", "n_a", "n_b")
+
+    dense = per_token.where(F.col("pairs") > cfg.dense_pairs).select("token")
+    crowded = mixed.df.join(dense, "token", "left_semi").join(
+        parities.select(F.col("doc_id").alias("id"), "n", "short"), ["id", "n"])
+    pairs = across(mixed.df.join(dense, "token", "left_anti")).unionByName(across(crowded, "short"))
+    pairs = pairs.distinct().join(tried.select("a", "b"), ["a", "b"], "left_anti")
+    more = _verified(docs, possible(pairs), levels, cfg, staging)
     same = node.where("doc_id != class_id").select(F.col("doc_id").alias("a"), F.col("class_id").alias("b"))
-    found = staging.put(_verified(docs, possible(tried), levels, cfg, staging), "links").df
-    roots = connected_components(found, staging)
-
-    labelled = classed(shared.select("token", "doc_id"), "doc_id", "id").join(roots, "id", "left").select(
-        "token", "id", F.col("n_id").alias("n"), F.coalesce("root", "id").alias("label")).distinct()
-    mixed = staging.put(labelled.withColumns({"low": F.min("label").over(bucket), "high": F.max("label").over(bucket)})
-                        .where("low < high").drop("low", "high"), "mixed").df
-    left = mixed.select("token", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("label").alias("label_a"))
-    right = mixed.select("token", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("label_b"))
-    across = left.join(right, "token").where((F.col("a") > F.col("b")) & (F.col("label_a") != F.col("label_b")) & _fits(cfg))
-    known = tried.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    across = across.select("a", "b", "n_a", "n_b").distinct().join(known, ["a", "b"], "left_anti")
-    more = _verified(docs, possible(across), levels, cfg, staging)
     final = connected_components(found.unionByName(more).unionByName(same), staging)
     return members.join(final.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
