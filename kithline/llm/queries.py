@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kithline.llm import decontamination, fingerprints, language_id, secrets, sentencepiece_fst
+from kithline.llm import decontamination, fingerprints, language_id, quality, secrets, sentencepiece_fst, toxicity
 from kithline.llm.common import crc_fold, table
 from kithline.llm.ngram_join import jaccard_components
 from kithline.llm.substring_dedup import remove_repeated_passages
@@ -39,6 +39,22 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Staging(spark))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels, fold = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), crc_fold(F.col("doc_id"))
+    model = toxicity.fit(toxicity.labelled(docs, labels, "toxic", fold != 0))
+    return toxicity.score(docs, model).select(
+        "doc_id", (fold == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels, fold = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), crc_fold(F.col("doc_id"))
+    wanted = labels.select("doc_id", F.col("quality").alias("label")).where("label is not null").distinct()
+    pages = docs.where(fold != 0).select("doc_id", "text", *quality.PAGE_COLUMNS)
+    model = quality.fit(pages.join(wanted, "doc_id"), pages.join(wanted, "doc_id", "left_anti"))
+    return quality.score(docs, model).select(
+        "doc_id", (fold == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_passages(table(spark, sf_dir, "documents"), Staging(spark))
 
@@ -58,5 +74,7 @@ def queries() -> dict[str, Query]:
         "op9_language_id": op9_language_id,
         "op5_decontamination": op5_decontamination,
         "op10_fingerprints": lambda spark, sf_dir: fingerprints.fingerprint_with_edits(table(spark, sf_dir, "documents")),
+        "op6_toxicity": op6_toxicity,
+        "op8_quality": op8_quality,
         "op7_substring_dedup": op7_substring_dedup,
     }
