@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kithline.llm import decontamination, fingerprints, language_id, quality, secrets, sentencepiece_fst, toxicity
+from kithline.llm import decontamination, fingerprints, html_text, language_id, quality, secrets, sentencepiece_fst, toxicity
 from kithline.llm.common import crc_fold, table
 from kithline.llm.ngram_join import jaccard_components
 from kithline.llm.substring_dedup import remove_repeated_passages
@@ -68,6 +68,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_html_extraction": lambda spark, sf_dir: html_text.extract(table(spark, sf_dir, "pages")),
         "op2_secret_scan": op2_secret_scan,
         "op3_sentencepiece": op3_sentencepiece,
         "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
