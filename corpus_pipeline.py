@@ -1,31 +1,70 @@
-"""Corpus cleaning in stages over the documents table."""
+"""Corpus cleaning: five stages over the documents table, each one's result written and read again by the next.
 
-from __future__ import annotations
+Rows are never dropped for having a null id, and rows that share an id are kept or dropped together.
+"""
 
-import os
+from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from kithline.llm import decontamination, language_id, secrets, sentencepiece_fst
+from kithline.llm.common import table
 from kithline.llm.ngram_join import jaccard_components
-from kithline.plans.staging import Staging, shared_folder  # noqa: F401
+from kithline.llm.queries import PIECE_MODEL
+from kithline.plans.staging import Staging
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
-def _one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest document of every group of near duplicates."""
-    groups = jaccard_components(docs, Staging(spark))
-    keep = groups.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(keep, "doc_id", "left_semi").select(*COLUMNS)
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` whose id is not among ``ids(doc_id)``."""
+    return docs.join(ids.where("doc_id is not null").distinct(), "doc_id", "left_anti").select(*COLUMNS)
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops what is in no language: null texts and texts without a letter."""
+    model = language_id.fit(docs, F.lit(True))
+    if model is None:  # nothing labelled to learn from: only the letters decide
+        return docs.where(F.col("text").rlike(r"\p{L}")).select(*COLUMNS)
+    return language_id.keep_known(docs.select(*COLUMNS), model)
+
+
+def one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of every group of near duplicates, and every document without a word."""
+    return _without(docs, jaccard_components(docs, Staging(spark)).where("doc_id <> component_id").select("doc_id"))
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that contain a benchmark item."""
+    return _without(docs, decontamination.contaminated(docs, table(spark, sf_dir, "benchmark"), Staging(spark)).select("doc_id"))
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces secrets in texts; every document stays, ``n_chars`` follows the text."""
+    return secrets.redact(docs.select(*COLUMNS)).withColumn(
+        "n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars"))).select(*COLUMNS)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every remaining text."""
+    return sentencepiece_fst.encode(docs, sentencepiece_fst.PieceTable.load(PIECE_MODEL))
 
 
-STAGES = [("ngram_jaccard_join", _one_per_group)]
+STAGES = [
+    ("language_id", known_language),
+    ("ngram_jaccard_join", one_per_group),
+    ("benchmark_decontamination", without_benchmark),
+    ("secret_scan", without_secrets),
+    ("sentencepiece", encoded),
+]
+#: Language models and token ids are beyond SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, each one's result written and read again as the next one's documents."""
-    docs, staging = spark.read.parquet(os.path.join(sf_dir, "documents.parquet")), Staging(spark)
+    """Applies the stages to ``documents``."""
+    docs, staging = table(spark, sf_dir, "documents"), Staging(spark)
     for name, stage in STAGES:
         docs = staging.put(stage(spark, docs, sf_dir), name).df
     return docs

@@ -223,3 +223,19 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
         return docs.select("doc_id", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(0.0).alias("rate"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     return docs.mapInArrow(_predict(shared), "doc_id long, lang_pred string, score double, rate double")
+
+
+def _known(model, columns: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        predict = _predict(model)
+        for batch in batches:
+            tags = [t for part in predict(iter([batch])) for t in part.column("lang_pred").to_pylist()]
+            yield batch.select(columns).filter(pa.array([t != UNKNOWN for t in tags], pa.bool_()))
+    return run
+
+
+def keep_known(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs(doc_id, text, ...)`` whose text is in some language."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    schema = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes)
+    return docs.mapInArrow(_known(shared, docs.columns), schema)
