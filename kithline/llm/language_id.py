@@ -117,8 +117,8 @@ class Model:
         order = np.argsort(-size, kind="stable")
         owner, begin, size = owner[order], begin[order], size[order]
         alive = len(size) - np.searchsorted(size[::-1], np.arange(1, cfg.line + 1))
-        counts = np.ones((len(self.languages), len(size)), dtype=np.int64)
-        state = np.repeat(self.roots[:, None], len(size), axis=1)
+        counts = np.zeros((len(self.languages), len(size)), dtype=np.int64)
+        state = np.zeros(counts.shape, dtype=np.int64)  # state 0 has no transition: the next character begins a phrase
         flat = self.table.reshape(-1)
         for step in range(int(size.max(initial=0))):
             n = alive[step]
@@ -126,9 +126,7 @@ class Model:
             following = flat[state[:, :n] * width + c]
             broken = following == 0
             counts[:, :n] += broken
-            again = flat[self.roots[:, None] * width + c]
-            again = np.where(again == 0, self.roots[:, None], again)
-            state[:, :n] = np.where(broken, again, following)
+            state[:, :n] = np.where(broken, flat[self.roots[:, None] * width + c], following)
         total = np.zeros((len(lengths), len(self.languages)))
         for k in range(len(self.languages)):
             total[:, k] = np.bincount(owner, counts[k], minlength=len(lengths))

@@ -139,7 +139,7 @@ def count_of(spans, kind: str):
 def _redact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = []
-        for value, spans in zip(batch.column("text"), batch.column("found").to_pylist()):
+        for value, spans in zip(batch.column("text"), batch.column("_row_spans").to_pylist()):
             text, out, at = value.as_py(), [], 0
             if text is not None and spans:
                 for span in spans:
@@ -155,10 +155,10 @@ def _redact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def redact(docs: DataFrame, cfg: SecretScan = SecretScan()) -> DataFrame:
     """``docs(doc_id, text, ...)`` with every span replaced by ``[secret]``; overlapping spans become one."""
+    row = {"_row_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))), "_row_tag": F.xxhash64(F.coalesce("text", F.lit("")))}
     found = scan(docs, cfg).where(F.size("found") > 0).select(
-        F.coalesce("doc_id", F.lit(-(2**63))).alias("_id"), F.col("tag").alias("_tag"), "found").groupBy("_id", "_tag").agg(
-        F.first("found").alias("found"))
-    marked = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))),
-                               "_tag": F.xxhash64(F.coalesce("text", F.lit("")))})
-    return marked.join(found, ["_id", "_tag"], "left").drop("_id", "_tag").select(*docs.columns, "found").mapInArrow(
-        _redact, ", ".join([*[f"`{n}` {t}" for n, t in docs.dtypes], f"found array<{_SPAN}>"])).drop("found")
+        F.coalesce("doc_id", F.lit(-(2**63))).alias("_row_id"), F.col("tag").alias("_row_tag"), F.col("found").alias("_row_spans"),
+    ).groupBy("_row_id", "_row_tag").agg(F.first("_row_spans").alias("_row_spans"))
+    marked = docs.withColumns(row).join(found, [*row], "left").select(*docs.columns, "_row_spans")
+    schema = ", ".join([*[f"`{n}` {t}" for n, t in docs.dtypes], f"_row_spans array<{_SPAN}>"])
+    return marked.mapInArrow(_redact, schema).drop("_row_spans")
