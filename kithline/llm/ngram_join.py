@@ -44,7 +44,7 @@ class JaccardJoin:
     count_slots: int = 1 << 17
     #: Bucket members meet one of theirs until at most so many pairs of different components per member are left.
     pairs_per_member: int = 2
-    most_attempts: int = 6
+    most_attempts: int = 2
     #: Pairs of different components from which on a bucket's join looks at parities, before a pair comes to be.
     dense_pairs: int = 2_000
 
