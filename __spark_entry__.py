@@ -23,6 +23,8 @@ from kithline.operators import survivorship as gold  # noqa: E402
 from kithline.operators.normalize import normalize, normalize_source  # noqa: E402
 from kithline.plans.staging import Staging  # noqa: E402
 from kithline.sources.derived import derived_sources  # noqa: E402
+from kithline.sources.readers import empty_source, read_parquet, read_sectioned_json  # noqa: E402
+from kithline.sources.sinks import write_files  # noqa: E402
 from oracle_queries import oracle_sql as _oracle_sql  # noqa: E402
 
 try:  # the subpackage for training text, with the pipeline on top of it, may be absent
@@ -40,6 +42,8 @@ else:
 
 RUN_TS = datetime(2025, 1, 1, tzinfo=timezone.utc)
 Query = Callable[[SparkSession, str], DataFrame]
+#: Every key with more than four pairs is cut, and the list of cut keys is shuffled.
+HOT = replace(DEFAULT, tile_pairs=4, broadcast_keys=0)
 
 
 def _utc(spark: SparkSession) -> None:
@@ -59,13 +63,14 @@ def _linked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.linked_records(run.normalized, run.crosswalk)
 
 
-def _scored(spark: SparkSession, sf_dir: str, band: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+def _scored(spark: SparkSession, sf_dir: str, band: Callable[[DataFrame], DataFrame] = lambda df: df,
+            cfg: LinkageConfig = DEFAULT, floor: float | None = None) -> DataFrame:
     """Record pairs of the fuzzy pass, rounded for comparison."""
     sources, staging = derived_sources(spark, sf_dir), Staging(spark)
     normalized = staging.put(normalize(sources), "normalized")
-    links = staging.put(det.deterministic_links(normalized.df, DEFAULT, normalized.rows), "det-links")
-    scored, members = prob.fuzzy_pass(normalized.df, links.df, tuple(sources), staging)
-    pairs = prob.record_pairs(band(scored.df), members, staging, pair_bound=scored.rows)
+    links = staging.put(det.deterministic_links(normalized.df, DEFAULT), "det-links")
+    scored, members = prob.fuzzy_pass(normalized.df, links.df, tuple(sources), staging, cfg, floor)
+    pairs = prob.record_pairs(band(scored.df), members, staging, cfg)
     return pairs.withColumn("jw_name", F.round("jw_name", 6))
 
 
@@ -73,7 +78,7 @@ def _links(spark: SparkSession, sf_dir: str, *columns: str) -> tuple[DataFrame,
     """(staged normalized records, their exact links); with ``columns`` no others are staged."""
     normalized = _normalized(spark, sf_dir)
     staged = Staging(spark).put(normalized.select(*columns) if columns else normalized, "normalized")
-    return staged.df, det.deterministic_links(staged.df, row_bound=staged.rows)
+    return staged.df, det.deterministic_links(staged.df)
 
 
 LINK_COLUMNS = ("source_system", "source_id", *sorted({c for r in DEFAULT.rules for c in r.columns}))
@@ -118,25 +123,24 @@ def _eids(spark: SparkSession, sf_dir: str, clean: Callable, column: str = "emir
 
 
 def _names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    name = fn.normalize_name(F.col("name_english"))
-    return derived_sources(spark, sf_dir)["t24"].select(
-        F.lit("t24").alias("source_system"), F.col("customer_id").alias("source_id"), name.alias("name_english"),
-    ).withColumn("block_key", fn.block_key(F.col("name_english")))
+    sources = derived_sources(spark, sf_dir)
+    names = sources["t24"].select(F.lit("t24").alias("source_system"), F.col("customer_id").alias("source_id"), "name_english").unionByName(
+        sources["sfdc"].select(F.lit("sfdc").alias("source_system"), F.col("contact_id").alias("source_id"),
+                               F.concat_ws(" ", "first_name", "last_name").alias("name_english")))
+    return names.withColumn("name_english", fn.normalize_name(F.col("name_english"))).withColumn("block_key", fn.block_key(F.col("name_english")))
 
 
 def _neighbours(spark: SparkSession, sf_dir: str, **columns) -> DataFrame:
-    """Signals of two linear pairings: a contact with its own customer, a customer with the one 25 further on."""
-    sources = derived_sources(spark, sf_dir)
-    t24, sfdc = (normalize_source(s, sources[s]) for s in ("t24", "sfdc"))
+    """Signals of linear pairings that every record enters: records of a customer number with each other (contacts,
+    duplicates, app users), and records with those 25 numbers further on."""
+    rows = _normalized(spark, sf_dir).withColumn("number", F.regexp_extract("source_id", "[0-9]+", 0).cast("long"))
 
-    def side(df: DataFrame, suffix: str, pairing: str) -> DataFrame:
+    def side(suffix: str, step: int) -> DataFrame:
         kept = ("source_system", "source_id", "emirates_id", "name_english", "dob", "phone_e164", "email")
-        return df.selectExpr(f"{pairing} AS pairing", *[f"{c} AS {c}_{suffix}" for c in kept])
+        return rows.selectExpr(f"number + {step} AS pairing", *[f"{c} AS {c}_{suffix}" for c in kept])
 
-    numbered = t24.where("source_id NOT LIKE 'D%'")
-    left = side(t24, "l", "concat('S', source_id)").unionByName(side(numbered, "l", "cast(source_id + 25 as string)"))
-    right = side(sfdc, "r", "source_id").unionByName(side(numbered, "r", "source_id"))
-    pairs = left.join(right, "pairing")
+    order = F.struct("source_system_l", "source_id_l") < F.struct("source_system_r", "source_id_r")
+    pairs = side("l", 0).join(side("r", 0), "pairing").where(order).unionByName(side("l", 25).join(side("r", 0), "pairing"))
     return pairs.select(
         F.col("source_system_l").alias("left_source"), F.col("source_id_l").alias("left_id"),
         F.col("source_system_r").alias("right_source"), F.col("source_id_r").alias("right_id"),
@@ -162,14 +166,56 @@ def _confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both SQL functions over all raw core-banking rows; account numbers stand in for ids of another shape."""
     fn.register_functions(spark)
-    return _neighbours(
-        spark, sf_dir,
-        jw_name=F.expr("round(fn_jaro_winkler(name_english_l, name_english_r), 6)"),
-        eid_ok=F.expr("fn_validate_eid_checksum(emirates_id_l)"),
+    return derived_sources(spark, sf_dir)["t24"].selectExpr(
+        "customer_id AS source_id",
+        "round(fn_jaro_winkler(lower(name_english), split_part(email, '@', 1)), 6) AS jw",
+        "fn_validate_eid_checksum(emirates_id) AS eid_ok",
+        "fn_validate_eid_checksum(replace(emirates_id, '784', '')) AS short_ok",
     )
 
 
+def _staged_sinks(kind: str, result: str) -> Query:
+    """A result of a whole run, written by the sink and read back."""
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        run = _run(spark, sf_dir)
+        frame = run.review_queue if result == "review_queue" else getattr(run, result)
+        folder = f"{run.staging.folder}/export"
+        write_files({result: frame}, folder, kind)
+        return spark.read.schema(frame.schema).format(kind).load(f"{folder}/{result}")
+    return query
+
+
+def _sectioned_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All derived sources as sectioned JSON documents, one per hundred customer numbers, read back and unified."""
+    staging = Staging(spark)
+    sources = derived_sources(spark, sf_dir)
+    ids = {"t24": "customer_id", "sfdc": "contact_id", "amplitude": "user_id"}
+    parts = []
+    for name, df in sources.items():
+        number = F.regexp_extract(ids[name], "[0-9]+", 0).cast("long")
+        rows = df.groupBy(F.floor(number / 100).alias("part")).agg(F.collect_list(F.struct("*")).alias(name))
+        parts.append(rows)
+    documents = parts[0]
+    for part in parts[1:]:
+        documents = documents.join(part, "part", "full")
+    path = f"{staging.folder}/sections"
+    documents.drop("part").write.option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").json(path)
+    return normalize(read_sectioned_json(spark, path, lines=True))
+
+
+def _empty_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run's input in which one source has no rows."""
+    return normalize({**derived_sources(spark, sf_dir), "amplitude": empty_source(spark, "amplitude")})
+
+
+def _parquet_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = Staging(spark).folder
+    write_files(derived_sources(spark, sf_dir), folder)
+    return normalize(read_parquet(spark, {name: f"{folder}/{name}" for name in derived_sources(spark, sf_dir)}))
+
+
 def _matched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _links(spark, sf_dir, *LINK_COLUMNS)[1].select("node.*").distinct()
 
@@ -201,7 +247,7 @@ def queries() -> dict[str, Query]:
         "normalize_sfdc": _source("sfdc"),                                                  # PRJ2 FLT2 SC15
         "normalize_amplitude": _source("amplitude"),                                        # PRJ3 FLT3
         "union_sources": _normalized,                                                       # PRJ4 UN1
-        "eid_raw": lambda s, d: _eids(s, d, lambda c: F.nullif(F.trim(c), F.lit("")), "emirates_id_raw"),  # PRJ5
+        "eid_raw": lambda s, d: _eids(s, d, fn.raw_text, "emirates_id_raw"),  # PRJ5
         "phone_clean": lambda s, d: PHONES(s, d, fn.normalize_phone),                       # SC1
         "phone_strict": lambda s, d: PHONES(s, d, lambda c: fn.normalize_phone(c, True)),   # SC2
         "email_clean": lambda s, d: EMAILS(s, d, fn.normalize_email),                       # SC3
@@ -232,7 +278,7 @@ def queries() -> dict[str, Query]:
         "t24_pick": lambda s, d: gold.t24_pick(_linked(s, d)),                              # AG5 FLT11
         "fallback_name": _fallback_name,                                                    # AG6
         "latest_contact_row": lambda s, d: gold.latest_contact_row(_linked(s, d)),          # WN1 TK1 FLT10
-        "first_value_contact": lambda s, d: gold.latest_contact_row(_linked(s, d)),         # WN2
+        "first_value_contact": lambda s, d: gold.first_value_contact(_linked(s, d)),        # WN2
         "latest_contact_attr": lambda s, d: gold.latest_contact_attributes(_linked(s, d)),  # WN3
         "segment_tier": lambda s, d: gold.segment_pick(_linked(s, d)),                      # AG7
         "lifetime": lambda s, d: gold.lifetime(_linked(s, d)),                              # AG8 SO2
@@ -244,6 +290,20 @@ def queries() -> dict[str, Query]:
         "golden_count": lambda s, d: _run(s, d).dim_customer.agg(
             F.count(F.lit(1)).alias("golden_customer_count")),                              # AG11
         "run_stats": lambda s, d: _run(s, d).stats,                                         # CO8
+        "parquet_sources": _parquet_sources,                                                # SRC1
+        "sectioned_json": _sectioned_json,                                                  # SRC2
+        "empty_source": _empty_source,                                                      # SRC3
+        "sink_crosswalk": _staged_sinks("parquet", "crosswalk"),                            # SNK1
+        "sink_review_queue": _staged_sinks("parquet", "review_queue"),                      # SNK2
+        "sink_dim_customer": _staged_sinks("parquet", "dim_customer"),                      # SNK3
+        "json_export": _staged_sinks("json", "dim_customer"),                               # SNK4
+        # The same results with tiny bounds, so that hot keys are cut and moved in the ways large tables need.
+        "det_best_tiled": lambda s, d: det.deterministic_match(_normalized(s, d), Staging(s), HOT),
+        "prob_scored_tiled": lambda s, d: _scored(s, d, cfg=HOT),
+        "review_queue_tiled": lambda s, d: _run(s, d, HOT).review_queue,
+        "dim_customer_tiled": lambda s, d: _run(s, d, HOT).dim_customer,
+        # A lower floor than any later step looks at: the whole block is compared.
+        "prob_scored_all": lambda s, d: _scored(s, d, floor=0.3),
     }
 
     table |= LLM_QUERIES

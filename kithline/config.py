@@ -65,11 +65,10 @@ class LinkageConfig:
     # True keeps records that wait in the review queue out of the golden table.
     hold_review: bool = False
 
-    # Scale. A key with more rows than this is routed around the shuffle (lookups) or cut into
-    # tiles of this many rows (pair joins); the routing table never has more keys than the bound.
-    heavy_key_rows: int = 500_000
-    heavy_keys_bound: int = 1_000
-    tile_rows: int = 20_000
+    # Scale. A key that stands for more pairs than this is cut into tiles of at most so many in a pair join.
+    tile_pairs: int = 4_000_000
+    # The table of cut keys is broadcast up to this many rows; a longer one meets its rows by a shuffle.
+    broadcast_keys: int = 100_000
     # Component rounds grow with the logarithm of the longest chain; more than this is a fault.
     max_rounds: int = 60
 

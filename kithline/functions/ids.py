@@ -6,8 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # National id shapes, with optional and with mandatory hyphens, and the id prefix.
-EID_SHAPE = r"^784-?[0-9]{4}-?[0-9]{7}-?[0-9]$"
-EID_SHAPE_HYPHENS = r"^784-[0-9]{4}-[0-9]{7}-[0-9]$"
+EID_SHAPE = r"\A784-?[0-9]{4}-?[0-9]{7}-?[0-9]\z"
+EID_SHAPE_HYPHENS = r"\A784-[0-9]{4}-[0-9]{7}-[0-9]\z"
 CUSTOMER_ID_PREFIX = "MAL-"
 
 
@@ -33,6 +33,11 @@ def eid_checksum_ok(eid: Column) -> Column:
     return F.call_function("luhn_check", F.replace(eid, F.lit("-"), F.lit("")))
 
 
+def raw_text(value: Column) -> Column:
+    """The text as it came, without outer blanks; NULL when nothing is left. For audit columns beside cleaned ones."""
+    return F.nullif(F.trim(value), F.lit(""))
+
+
 def validate_emirates_id(eid: Column, strict_hyphens: bool = False) -> Column:
     """The 15 digits when shape and checksum hold, else NULL."""
     digits = F.replace(eid, F.lit("-"), F.lit(""))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 # Fixed value: a name that only needs lower case.
-CLEAN = r"^[a-z0-9_]+(?: [a-z0-9_]+)*$"
+CLEAN = r"\A[a-z0-9_]+(?: [a-z0-9_]+)*\z"
 
 # The batch function travels with its helpers, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -40,7 +40,7 @@ def normalize_name(name: Column) -> Column:
     Arrow-batched function; ASCII rows reach it as NULLs.
     """
     lower = F.lower(name)
-    ascii_only = name.rlike(r"^\p{ASCII}*$")
+    ascii_only = name.rlike(r"\A\p{ASCII}*\z")
     words = F.nullif(F.trim(F.regexp_replace(lower, r"[^a-z0-9_]+", " ")), F.lit(""))
     return (
         F.when(lower.rlike(CLEAN), lower)

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from kithline.config import DEFAULT, LinkageConfig
 from kithline.functions.ids import customer_id, record_node
-from kithline.operators.skew import group_extremes, lookup
 from kithline.plans.staging import Staged, Staging
 
 
@@ -20,16 +19,18 @@ def _is_forest_of_stars(links: DataFrame) -> bool:
     return wrong.isEmpty()
 
 
-def _round(staged: Staged, cfg: LinkageConfig) -> DataFrame:
-    """One large-star and one small-star step (Kiveris et al., 2014) over links that point to smaller nodes."""
-    links, bound = staged.df, staged.rows
+def _round(links: DataFrame, staging: Staging) -> DataFrame:
+    """One large-star and one small-star step (Kiveris et al., 2014) over links that point to smaller nodes.
+
+    Each step is a map-side combined minimum and one equi join, whose large partitions adaptive execution splits.
+    """
     # Large star: a link to a node that itself hangs on something moves to that node's smallest parent.
     parent = links.groupBy("node").agg(F.min("root").alias("next")).withColumnRenamed("node", "root")
-    large = lookup(links, parent, ["root"], cfg, "left", bound).select(
-        "node", F.coalesce("next", "root").alias("root"))
+    large = staging.put(links.join(parent, "root", "left").select(
+        "node", F.coalesce("next", "root").alias("root")), "large-star").df
     # Small star: all parents of a node move to the smallest one.
-    small = group_extremes(large, ["node"], "root", "low", "high", cfg, bound)
-    return small.select(
+    low = large.groupBy("node").agg(F.min("root").alias("low"))
+    return large.join(low, "node").select(
         F.when(F.col("root") == F.col("low"), F.col("node")).otherwise(F.col("root")).alias("node"),
         F.col("low").alias("root"),
     ).distinct()
@@ -48,7 +49,7 @@ def connected_components(edges: DataFrame, staging: Staging, cfg: LinkageConfig
     for _ in range(cfg.max_rounds):
         if _is_forest_of_stars(staged.df):
             return staged
-        staged = staging.put(_round(staged, cfg), "links")
+        staged = staging.put(_round(staged.df, staging), "links")
     raise RuntimeError(f"components did not settle in {cfg.max_rounds} rounds")
 
 
@@ -66,7 +67,6 @@ def assign_ids(normalized: DataFrame, pairs: DataFrame, staging: Staging, cfg: L
     nodes = normalized.select(record_node().alias("node")).distinct()
     left, right = record_node("left_source", "left_id"), record_node("right_source", "right_id")
     edges = pairs.select(left.alias("node"), right.alias("root"))
-    edges = lookup(edges, nodes, ["node"], cfg)
-    edges = lookup(edges, nodes.withColumnRenamed("node", "root"), ["root"], cfg)
+    edges = edges.join(nodes, "node").join(nodes.withColumnRenamed("node", "root"), "root").select("node", "root")
     links = connected_components(edges, staging, cfg)
     return component_map(nodes, links.df).select("node.*", "mal_customer_id")

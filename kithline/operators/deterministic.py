@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from kithline.config import DEFAULT, LinkageConfig, Rule
 from kithline.functions.ids import record_node
-from kithline.operators.skew import group_extremes, tiled_join
+from kithline.operators.skew import tiled_join
 from kithline.plans.staging import Staging
 
 KEY = ("rule_id", "link_key")
@@ -36,23 +36,22 @@ def rule_keys(normalized: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return normalized.select(record_node().alias("node"), F.explode(entries).alias("e")).select("node", "e.*")
 
 
-def shared_keys(keys: DataFrame, cfg: LinkageConfig = DEFAULT, row_bound: int | None = None) -> DataFrame:
+def shared_keys(keys: DataFrame, cfg: LinkageConfig = DEFAULT) -> DataFrame:
     """The ``keys`` that at least two records share, each row with the group's smallest record as ``root``."""
-    grouped = group_extremes(keys, KEY, "node", "root", "top", cfg, row_bound)
+    groups = keys.groupBy(*KEY).agg(F.min("node").alias("root"), F.max("node").alias("top"))
     # The smallest and the largest record decide: they differ when there are two records, and their source
     # systems differ when there are two systems.
     shared = F.col("root.source_system") < F.col("top.source_system") if cfg.cross_source_only \
         else F.col("root") < F.col("top")
-    return grouped.where(shared).drop("top")
+    return keys.join(groups.where(shared).drop("top"), list(KEY))
 
 
-def deterministic_links(normalized: DataFrame, cfg: LinkageConfig = DEFAULT, row_bound: int | None = None) -> DataFrame:
+def deterministic_links(normalized: DataFrame, cfg: LinkageConfig = DEFAULT) -> DataFrame:
     """(node, root, rule_id, confidence): every matched record with its group's smallest record, per rule.
 
-    The smallest record itself is listed too, so the frame names all matched records. ``row_bound`` is the number of
-    records where known.
+    The smallest record itself is listed too, so the frame names all matched records.
     """
-    linked = shared_keys(rule_keys(normalized, cfg.rules), cfg, row_bound)
+    linked = shared_keys(rule_keys(normalized, cfg.rules), cfg)
     return linked.select("node", "root", "rule_id", "confidence")
 
 
@@ -63,14 +62,14 @@ def deterministic_match(normalized: DataFrame, staging: Staging, cfg: LinkageCon
     with the square of a group.
     """
     keys = staging.put(rule_keys(normalized, cfg.rules).distinct(), "rule-keys")
-    shared = staging.put(shared_keys(keys.df, cfg, keys.rows).drop("root"), "shared-keys")
+    shared = staging.put(shared_keys(keys.df, cfg).drop("root"), "shared-keys")
     left = shared.df.select(*KEY, "confidence", F.col("node").alias("l"))
     right = shared.df.select(*KEY, F.col("node").alias("r"))
     ordered = F.col("l") < F.col("r")
     if cfg.cross_source_only:
         ordered = ordered & (F.col("l.source_system") != F.col("r.source_system"))
     return (
-        tiled_join(left, right, KEY, "l", "r", cfg, shared.rows)
+        tiled_join(left, right, KEY, "l", "r", cfg, staging)
         .where(ordered)
         .groupBy("l", "r").agg(F.min("rule_id").alias("rule_id"), F.max("confidence").alias("confidence"))
         .select(*pair_columns("l", "r"), "rule_id", "confidence")

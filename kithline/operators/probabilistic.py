@@ -27,7 +27,7 @@ from kithline.functions.similarity import (
     phone_tail,
 )
 from kithline.operators.deterministic import pair_columns, pair_endpoints, unmatched_records
-from kithline.operators.skew import lookup, tiled_join
+from kithline.operators.skew import tiled_join
 from kithline.plans.staging import Staged, Staging
 
 ATTRIBUTES = ("source_system", "name", "dob", "phone", "domain", "block")
@@ -114,9 +114,11 @@ class _Keys:
         keys += [F.when(F.col("dob").isNotNull(), key("d", block, b.cast("string"))) for b in near]
         if self.domain:
             known = F.col("domain").isNotNull() & F.col("name").isNotNull()
+            # A nameless record scores no name at all: it meets others on a domain that suffices alone.
+            nameless = F.col("domain").isNotNull() & F.lit(self.cfg.block_null_names and self._floor <= self.cfg.weight_email_domain)
             short = F.length("name") < self.equal_name_length
             keys.append(F.when(known & short, key("n", F.col("name"), F.col("domain"))))
-            keys.append(F.when(known & ~short, key("e", block, F.col("domain"))))
+            keys.append(F.when((known & ~short) | nameless, key("e", block, F.col("domain"))))
         return rows.withColumn("link_key", F.explode(F.array_compact(F.array(*keys))))
 
     def first_shared(self, near_dob: Column, same_tail: Column) -> Column:
@@ -131,9 +133,9 @@ class _Keys:
 def score_profiles(
     table: DataFrame,
     systems: Sequence[str],
+    staging: Staging,
     cfg: LinkageConfig = DEFAULT,
     min_confidence: float | None = None,
-    row_bound: int | None = None,
 ) -> DataFrame:
     """(rep_l, profile_l, rep_r, profile_r, scores) of all profile pairs of two systems that reach ``min_confidence``."""
     floor = cfg.review_threshold if min_confidence is None else min_confidence
@@ -147,7 +149,7 @@ def score_profiles(
         side.select("partner", "link_key", *[F.col(c).alias(f"{c}_{s}") for c in ("rep", *ATTRIBUTES[1:])])
         for side, s in ((left, "l"), (right, "r"))
     ]
-    both = tiled_join(*suffixed, ["partner", "link_key"], "rep_l", "rep_r", cfg, row_bound)
+    both = tiled_join(*suffixed, ["partner", "link_key"], "rep_l", "rep_r", cfg, staging)
     l, r = (lambda c: F.col(f"{c}_l")), (lambda c: F.col(f"{c}_r"))
     tails = F.coalesce(phone_tail(l("phone")) == phone_tail(r("phone")), F.lit(False))
     pairs = both.where(
@@ -177,28 +179,22 @@ def best_scores(profile_pairs: DataFrame) -> DataFrame:
     return ends.groupBy("rep").agg(F.max("confidence").alias("confidence"))
 
 
-def profile_members(records: DataFrame, profile_pairs: DataFrame, cfg: LinkageConfig = DEFAULT,
-                    row_bound: int | None = None) -> DataFrame:
+def profile_members(records: DataFrame, profile_pairs: DataFrame) -> DataFrame:
     """(node, rep): the records behind the profiles that occur in ``profile_pairs``."""
     sides = [F.struct(F.col(f"rep_{s}").alias("rep"), F.col(f"profile_{s}").alias("profile")) for s in "lr"]
     table = profile_pairs.select(F.explode(F.array(*sides)).alias("end")).select("end.*").distinct()
-    members = lookup(records.select("node", "profile"), table, ["profile"], cfg, row_bound=row_bound)
+    members = records.select("node", "profile").join(table, "profile")
     return members.select("node", "rep").distinct()
 
 
-def record_pairs(profile_pairs: DataFrame, members: Staged, staging: Staging, cfg: LinkageConfig = DEFAULT,
-                 pair_bound: int | None = None) -> DataFrame:
-    """The pair table behind profile pairs: every record of one profile with every record of the other.
-
-    ``pair_bound`` is a known upper bound on the number of ``profile_pairs``.
-    """
+def record_pairs(profile_pairs: DataFrame, members: Staged, staging: Staging, cfg: LinkageConfig = DEFAULT) -> DataFrame:
+    """The pair table behind profile pairs: every record of one profile with every record of the other."""
     left = members.df.select(F.col("node").alias("l"), F.col("rep").alias("rep_l"))
     right = members.df.select(F.col("node").alias("r"), F.col("rep").alias("rep_r"))
-    bound = None if pair_bound is None else max(pair_bound, members.rows)
     half = staging.put(
-        tiled_join(profile_pairs.select("rep_l", "rep_r", *SCORES), left, ["rep_l"], "rep_r", "l", cfg, bound)
+        tiled_join(profile_pairs.select("rep_l", "rep_r", *SCORES), left, ["rep_l"], "rep_r", "l", cfg, staging)
         .drop("rep_l"), "half-pairs")
-    whole = tiled_join(half.df, right, ["rep_r"], "l", "r", cfg, max(half.rows, members.rows))
+    whole = tiled_join(half.df, right, ["rep_r"], "l", "r", cfg, staging)
     return whole.select(*pair_columns("l", "r"), *SCORES)
 
 
@@ -213,8 +209,8 @@ def fuzzy_pass(
     """Scored profile pairs and the members of their profiles, over all records that are not ``matched`` nodes."""
     records = staging.put(block_records(unmatched_records(normalized, matched), cfg), "fuzzy-records")
     table = staging.put(profiles(records.df), "profiles")
-    scored = staging.put(score_profiles(table.df, systems, cfg, min_confidence, table.rows), "scored")
-    return scored, staging.put(profile_members(records.df, scored.df, cfg, records.rows), "members")
+    scored = staging.put(score_profiles(table.df, systems, staging, cfg, min_confidence), "scored")
+    return scored, staging.put(profile_members(records.df, scored.df), "members")
 
 
 def probabilistic_match(
@@ -231,7 +227,7 @@ def probabilistic_match(
     """
     scored, members = fuzzy_pass(
         normalized, pair_endpoints(deterministic_pairs), systems, staging, cfg, min_confidence)
-    return record_pairs(scored.df, members, staging, cfg, scored.rows)
+    return record_pairs(scored.df, members, staging, cfg)
 
 
 def auto_pairs(scored: DataFrame, cfg: LinkageConfig = DEFAULT) -> DataFrame:

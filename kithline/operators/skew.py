@@ -1,81 +1,17 @@
-"""Joins and group lookups that keep their balance when one key holds a large share of all rows.
+"""A many-to-many join that keeps its balance whatever the keys hold.
 
-All find the heavy keys with one map-side-combined count and route by the largest ``heavy_keys_bound`` of them.
-The routing table is broadcast: the bound, not the data, limits its size. Heavy keys beyond the bound are each
-smaller than total rows / bound, so the ordinary shuffle holds them. No row is dropped on any route.
+Joins to a table with one row per key need nothing of the kind: adaptive execution splits their large partitions.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kithline.config import LinkageConfig
-
-
-def heavy_keys(rows: DataFrame, keys: Sequence[str], cfg: LinkageConfig) -> DataFrame:
-    """The keys with more than ``heavy_key_rows`` rows, largest first, at most ``heavy_keys_bound``."""
-    return (
-        rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > cfg.heavy_key_rows)
-        .orderBy(F.desc("_n"), *keys)
-        .limit(cfg.heavy_keys_bound)
-        .select(*keys)
-    )
-
-
-def lookup(
-    rows: DataFrame,
-    table: DataFrame,
-    keys: Sequence[str],
-    cfg: LinkageConfig,
-    how: str = "inner",
-    row_bound: int | None = None,
-) -> DataFrame:
-    """Join many ``rows`` to a ``table`` with one row per key; ``how`` is 'inner' or 'left'.
-
-    Rows of heavy keys stay where they are and meet a broadcast of their few table rows; all others shuffle.
-    A known ``row_bound`` on the number of rows that rules heavy keys out saves the counting.
-    """
-    keys = list(keys)
-    if row_bound is not None and row_bound <= cfg.heavy_key_rows:
-        return rows.join(table, keys, how)
-    heavy = heavy_keys(rows, keys, cfg)
-    few = table.join(F.broadcast(heavy), keys, "left_semi")
-    near = rows.join(F.broadcast(heavy), keys, "left_semi").join(F.broadcast(few), keys, how)
-    far = rows.join(F.broadcast(heavy), keys, "left_anti").join(table, keys, how)
-    return near.unionByName(far)
-
-
-def group_extremes(
-    rows: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    low: str,
-    high: str,
-    cfg: LinkageConfig,
-    row_bound: int | None = None,
-) -> DataFrame:
-    """``rows`` with the smallest and the largest ``value`` of their key, in one shuffle.
-
-    A window does it for ordinary keys. A window gathers a key in one task, so heavy keys are left out of it: their
-    extremes are partial aggregates, broadcast back to their rows. ``row_bound`` is as for ``lookup``.
-    """
-    keys = list(keys)
-    window = Window.partitionBy(*keys)
-
-    def windowed(part: DataFrame) -> DataFrame:
-        return part.withColumns({low: F.min(value).over(window), high: F.max(value).over(window)})
-
-    if row_bound is not None and row_bound <= cfg.heavy_key_rows:
-        return windowed(rows)
-    heavy = F.broadcast(heavy_keys(rows, keys, cfg))
-    near = rows.join(heavy, keys, "left_semi")
-    extremes = near.groupBy(*keys).agg(F.min(value).alias(low), F.max(value).alias(high))
-    near = near.join(F.broadcast(extremes), keys)
-    return near.unionByName(windowed(rows.join(heavy, keys, "left_anti")))
+from kithline.plans.staging import Staging
 
 
 def tiled_join(
@@ -85,36 +21,26 @@ def tiled_join(
     spread_left: str,
     spread_right: str,
     cfg: LinkageConfig,
-    pair_bound: int | None = None,
+    staging: Staging,
 ) -> DataFrame:
     """All (left, right) rows with equal keys, both sides many-to-many, no other column name in common.
 
-    The pairs of a heavy key are cut into a grid: a left row belongs to one of its key's left slices and is
-    copied to every right slice, and the other way round, so that one task sees at most about ``tile_rows`` by
-    ``tile_rows``. Slices are taken from a hash of the ``spread`` columns, which is stable when a task is retried.
+    The pairs of every key above ``tile_pairs`` are cut into a grid: a left row belongs to one of its key's left slices
+    and is copied to every right slice, and the other way round, so that a tile stands for about ``tile_pairs`` pairs at
+    most. Slices are taken from a hash of the ``spread`` columns, which is stable when a task is retried. Keys are
+    counted on both sides, map-side combined, and only those to be cut are listed.
     """
     keys = list(keys)
-    if pair_bound is not None and pair_bound <= cfg.tile_rows:
-        return left.join(right, keys)
-    sizes = (
-        left.select(*keys, F.lit(1).alias("_l"), F.lit(0).alias("_r"))
-        .unionAll(right.select(*keys, F.lit(0).alias("_l"), F.lit(1).alias("_r")))
-        .groupBy(*keys).agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
-    )
-    grid = F.broadcast(
-        sizes.where((F.col("_l") > 0) & (F.col("_r") > 0) & (F.greatest("_l", "_r") > cfg.tile_rows))
-        .orderBy(F.desc(F.col("_l").cast("double") * F.col("_r")), *keys)
-        .limit(cfg.heavy_keys_bound)
-        .select(
-            *keys,
-            F.ceil(F.col("_l") / cfg.tile_rows).cast("int").alias("_slices_l"),
-            F.ceil(F.col("_r") / cfg.tile_rows).cast("int").alias("_slices_r"),
-        )
-    )
+    counts = [side.groupBy(*keys).agg(F.count(F.lit(1)).alias(name)) for side, name in ((left, "_l"), (right, "_r"))]
+    rows = max(1, int(cfg.tile_pairs ** 0.5))
+    cut = counts[0].join(counts[1], keys).where(F.col("_l").cast("double") * F.col("_r") > cfg.tile_pairs).select(
+        *keys, F.ceil(F.col("_l") / rows).cast("int").alias("_slices_l"), F.ceil(F.col("_r") / rows).cast("int").alias("_slices_r"))
+    grid = staging.put(cut, "tiles")
+    table = F.broadcast(grid.df) if grid.rows <= cfg.broadcast_keys else grid.df
 
     def slices(side: DataFrame, own: str, other: str, spread: str) -> DataFrame:
         return (
-            side.join(grid, keys, "left")
+            side.join(table, keys, "left")
             .withColumn(f"_tile{own}", F.pmod(F.xxhash64(spread), F.coalesce(f"_slices{own}", F.lit(1))).cast("int"))
             .withColumn(f"_tile{other}", F.explode(F.sequence(F.lit(0), F.coalesce(f"_slices{other}", F.lit(1)) - 1)))
             .drop("_slices_l", "_slices_r")

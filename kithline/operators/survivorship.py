@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kithline.config import DEFAULT, SEGMENT_TIERS, LinkageConfig
@@ -77,6 +77,14 @@ def latest_contact_row(linked: DataFrame) -> DataFrame:
     return rows.select(GROUP, "contact.*")
 
 
+def first_value_contact(linked: DataFrame) -> DataFrame:
+    """``latest_contact_row`` as a window over whole customers; meant for SQL users, a run takes the aggregate."""
+    newest = Window.partitionBy(GROUP).orderBy(F.desc_nulls_last("updated_at"), "source_system", "source_id").rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = linked.where("email IS NOT NULL OR phone_e164 IS NOT NULL")
+    return rows.select(GROUP, *[F.first(c).over(newest).alias(c) for c in ("email", "phone_e164")]).distinct()
+
+
 def latest_contact_attributes(linked: DataFrame) -> DataFrame:
     return linked.groupBy(GROUP).agg(*[contact_attribute(c).alias(c) for c in ("email", "phone_e164")])
 

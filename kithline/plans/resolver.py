@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +17,6 @@ from kithline.operators import deterministic as det
 from kithline.operators import probabilistic as prob
 from kithline.operators.components import assign_ids, component_map, connected_components
 from kithline.operators.normalize import normalize
-from kithline.operators.skew import lookup
 from kithline.operators.survivorship import survivorship
 from kithline.plans.staging import Staging
 from kithline.sources.adapters import ADAPTERS, Adapter
@@ -27,7 +28,6 @@ class Resolution:
 
     dim_customer: DataFrame
     crosswalk: DataFrame
-    review_queue: DataFrame
     stats: DataFrame
     normalized: DataFrame
     det_links: DataFrame
@@ -35,6 +35,17 @@ class Resolution:
     attribution: DataFrame
     scored: DataFrame
     members: DataFrame
+    make_review_queue: Callable[[], DataFrame]
+    staging: Staging
+
+    @cached_property
+    def review_queue(self) -> DataFrame:
+        """Borderline pairs; made when they are first asked for, as no other result needs the pairs."""
+        return self.make_review_queue()
+
+    def release(self) -> None:
+        """Deletes the run's staged tables; results that were not written elsewhere are gone with them."""
+        self.staging.release()
 
     def results(self) -> dict[str, DataFrame]:
         return {"dim_customer": self.dim_customer, "crosswalk": self.crosswalk,
@@ -42,7 +53,8 @@ class Resolution:
 
     def create_views(self, prefix: str = "") -> None:
         """Temp views of all results and steps, for SQL over a finished run."""
-        for name, df in vars(self).items():
+        steps = {name: df for name, df in vars(self).items() if isinstance(df, DataFrame)}
+        for name, df in {**steps, "review_queue": self.review_queue}.items():
             df.createOrReplaceTempView(prefix + name)
 
 
@@ -77,13 +89,12 @@ class Resolver:
         """Link all sources. Steps that are read more than once are staged; nothing passes through the driver."""
         cfg, staging, run_ts = self.cfg, self.staging(), run_ts or _now()
         normalized = staging.put(self.normalize(sources), "normalized")
-        links = staging.put(det.deterministic_links(normalized.df, cfg, normalized.rows), "det-links")
+        links = staging.put(det.deterministic_links(normalized.df, cfg), "det-links")
 
         scored, members = prob.fuzzy_pass(normalized.df, links.df, tuple(sources), staging, cfg)
         auto, review = prob.auto_pairs(scored.df, cfg), prob.review_pairs(scored.df, cfg)
 
-        linked = staging.put(
-            lookup(members.df, prob.best_scores(auto), ["rep"], cfg, row_bound=members.rows), "auto-linked").df
+        linked = staging.put(members.df.join(prob.best_scores(auto), "rep"), "auto-linked").df
         edges = (
             links.df.select("node", "root")
             .unionByName(linked.select("node", F.col("rep").alias("root")))
@@ -95,22 +106,25 @@ class Resolver:
         attribution = xw.method_attribution(links.df, linked)
         crosswalk = staging.put(xw.build_crosswalk(components, attribution, run_ts), "crosswalk")
 
-        review_queue = xw.build_review_queue(prob.record_pairs(review, members, staging, cfg, scored.rows), run_ts)
+        def review_queue() -> DataFrame:
+            return xw.build_review_queue(prob.record_pairs(review, members, staging, cfg), run_ts)
+
         gold_rows = crosswalk.df
         if cfg.hold_review:
-            waiting = lookup(members.df, prob.best_scores(review), ["rep"], cfg, row_bound=members.rows)
+            waiting = members.df.join(prob.best_scores(review), "rep")
             gold_rows = xw.held_back(gold_rows, waiting.select("node.*"))
         return Resolution(
             dim_customer=survivorship(normalized.df, gold_rows, run_ts, cfg),
             crosswalk=crosswalk.df,
-            review_queue=review_queue,
-            stats=xw.run_stats(crosswalk.df, _queue_size(review, members.df, cfg, scored.rows)),
+            stats=xw.run_stats(crosswalk.df, _queue_size(review, members.df)),
             normalized=normalized.df,
             det_links=links.df,
             components=components,
             attribution=attribution,
             scored=scored.df,
             members=members.df,
+            make_review_queue=review_queue,
+            staging=staging,
         )
 
 
@@ -118,11 +132,11 @@ def _now() -> datetime:
     return datetime.now(timezone.utc)
 
 
-def _queue_size(review: DataFrame, members: DataFrame, cfg: LinkageConfig, row_bound: int) -> DataFrame:
+def _queue_size(review: DataFrame, members: DataFrame) -> DataFrame:
     """Number of record pairs behind the review pairs, from profile sizes, without making the pairs."""
     sizes = members.groupBy("rep").agg(F.count(F.lit(1)).alias("n"))
     sized = review.select("rep_l", "rep_r")
     for side in ("l", "r"):
         table = sizes.select(F.col("rep").alias(f"rep_{side}"), F.col("n").alias(f"n_{side}"))
-        sized = lookup(sized, table, [f"rep_{side}"], cfg, row_bound=row_bound)
+        sized = sized.join(table, f"rep_{side}")
     return sized.agg(F.coalesce(F.sum(F.col("n_l") * F.col("n_r")), F.lit(0)).alias("n"))

@@ -27,7 +27,7 @@ def shared_folder(spark: SparkSession) -> str:
     if folder:
         return folder
     master = spark.conf.get("spark.master", "")
-    if not master.startswith("local"):
+    if not (master == "local" or master.startswith("local[")):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return tempfile.mkdtemp(prefix="kithline-")
 
@@ -40,6 +40,11 @@ class Staging:
         self.folder = os.path.join(folder or shared_folder(spark), f"linkage-{uuid.uuid4().hex}")
         self._tables = 0
 
+    def release(self) -> None:
+        """Deletes the folder, wherever the session's file systems have it."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
     def put(self, df: DataFrame, name: str) -> Staged:
         self._tables += 1
         path = os.path.join(self.folder, f"{self._tables:03d}-{name}")

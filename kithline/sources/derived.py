@@ -12,12 +12,12 @@ from pyspark.sql import functions as F
 
 # Names that customer numbers are turned into.
 FIRST_NAMES = (
-    "Ahmed Omar Fatima Priya Karim Nadia Layla Yusuf Rania Hassan "
-    "Maria John Chen Olga Peter Susan Tariq Vikram Zainab Bilal"
+    "Adeline Bruno Chiara Dmitri Elena Farouk Greta Hakan Imani Jonas "
+    "Keiko Lorenzo Mirela Nuri Odette Pavel Qiana Ravi Selma Tomas"
 ).split()
 LAST_NAMES = (
-    "Mansoori Khan Nair Salah Aziz Farid Rahman Haddad Qureshi Petrov "
-    "Garcia Smith Wong Ivanova Brown Taylor Hussain Patel Ibrahim Zaabi"
+    "Abalos Berghoff Castell Dunmore Eriksen Fontaine Gallo Hruska Ilves Janssen "
+    "Kowal Lindqvist Moreau Novotny Okafor Pereira Quist Renner Sandoval Tanaka"
 ).split()
 
 
@@ -61,20 +61,21 @@ def t24(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return rows.selectExpr(
         "if(copy, concat('D', k), cast(k as string)) AS customer_id",
-        "if(k % 7 = 0, NULL, concat_ws('-', '784', 1950 + k % 50, k7, check_digit)) AS emirates_id",
+        "if(k % 7 = 0, NULL, concat_ws(if(k % 9 = 4, '', '-'), '784', 1950 + k % 50, k7, check_digit)) AS emirates_id",
         "dob",
-        "concat(first_name, ' ', last_name) AS name_english",
+        "concat(first_name, if(k % 31 = 2, char(9), ' '), last_name, if(k % 41 = 5, char(10), '')) AS name_english",
         "if(k % 2 = 0, concat('عميل ', k), NULL) AS name_arabic",
-        "if(copy, concat('+97154', k7), concat(element_at(array('0', '00971', '971', '+971'), cast(k % 4 as int) + 1), m9))"
-        " AS mobile",
-        "if(copy, concat('dup', k, '@dup.example'), email) AS email",
+        "if(copy, concat('+97154', k7), concat(element_at(array('0', '00971', '971', '+971'), cast(k % 4 as int) + 1), m9,"
+        " if(k % 47 = 7, char(10), ''))) AS mobile",
+        "CASE WHEN copy THEN concat('dup', k, '@dup.example') WHEN k % 53 = 8 THEN concat('no address ', k)"
+        " WHEN k % 43 = 6 THEN concat(char(9), email, ' ', char(10)) ELSE email END AS email",
         "CASE WHEN c_acctbal < 0 THEN 'HIGH' WHEN c_acctbal < 5000 THEN 'MED' ELSE 'LOW' END AS risk_rating",
         "CASE WHEN copy THEN 'mass' WHEN c_mktsegment = 'HOUSEHOLD' THEN 'mass'"
         " WHEN c_mktsegment = 'FURNITURE' THEN 'affluent' WHEN c_mktsegment = 'MACHINERY' THEN 'priority'"
         " WHEN c_mktsegment = 'BUILDING' THEN 'private' END AS segment",
-        "'APPROVED' AS kyc_status",
+        "if(copy, 'PENDING', 'APPROVED') AS kyc_status",
         "first_order AS created_at",
-        "last_order AS updated_at",
+        "CASE WHEN NOT copy THEN last_order WHEN k % 100 = 3 THEN last_order + interval 20 days END AS updated_at",
         "if(k % 29 = 0 AND NOT copy, 'CLOSED', 'ACTIVE') AS record_status",
     )
 

@@ -38,7 +38,7 @@ def _phone(raw: str) -> str:
 
 
 def _bare(raw: str) -> str:
-    return f"replace(replace({raw}, '(0)', ''), ' ', '')"
+    return f"regexp_replace(replace({raw}, '(0)', ''), '\\s+', '', 'g')"
 
 
 def _eid(raw: str) -> str:
@@ -48,7 +48,8 @@ def _eid(raw: str) -> str:
 
 
 def _email(raw: str) -> str:
-    return f"CASE WHEN regexp_matches(trim({raw}), '^[^@\\s]+@[^@\\s]+\\.[^@\\s]+$') THEN lower(trim({raw})) END"
+    bare = f"regexp_replace({raw}, '^\\s+|\\s+$', '', 'g')"
+    return f"CASE WHEN regexp_matches({bare}, '^[^@\\s]+@[^@\\s]+\\.[^@\\s]+$') THEN lower({bare}) END"
 
 
 def _name(raw: str) -> str:
@@ -99,14 +100,18 @@ people AS (
     ) ON o_custkey = c_custkey
 ),
 t24_base AS (
-    SELECT *, CASE WHEN k % 7 <> 0 THEN '784-' || 1950 + k % 50 || '-' || k7 || '-'
-        || ({_luhn("('784' || 1950 + k % 50 || k7)")} + CASE WHEN k % 25 = 1 THEN 1 ELSE 0 END) % 10 END AS eid
+    SELECT *, CASE WHEN k % 7 <> 0 THEN replace('784-' || 1950 + k % 50 || '-' || k7 || '-'
+        || ({_luhn("('784' || 1950 + k % 50 || k7)")} + CASE WHEN k % 25 = 1 THEN 1 ELSE 0 END) % 10,
+            CASE WHEN k % 9 = 4 THEN '-' ELSE chr(10) END, '') END AS eid,
+        first_name || CASE WHEN k % 31 = 2 THEN chr(9) ELSE ' ' END || last_name
+            || CASE WHEN k % 41 = 5 THEN chr(10) ELSE '' END AS full_name
     FROM people
 ),
 t24 AS (
-    SELECT CAST(k AS VARCHAR) AS customer_id, eid AS emirates_id, dob, first_name || ' ' || last_name AS name_english,
+    SELECT CAST(k AS VARCHAR) AS customer_id, eid AS emirates_id, dob, full_name AS name_english,
         CASE WHEN k % 2 = 0 THEN 'عميل ' || k END AS name_arabic,
-        ['0', '00971', '971', '+971'][k % 4 + 1] || m9 AS mobile, mail AS email,
+        ['0', '00971', '971', '+971'][k % 4 + 1] || m9 || CASE WHEN k % 47 = 7 THEN chr(10) ELSE '' END AS mobile,
+        CASE WHEN k % 53 = 8 THEN 'no address ' || k WHEN k % 43 = 6 THEN chr(9) || mail || ' ' || chr(10) ELSE mail END AS email,
         CASE WHEN c_acctbal < 0 THEN 'HIGH' WHEN c_acctbal < 5000 THEN 'MED' ELSE 'LOW' END AS risk_rating,
         CASE c_mktsegment WHEN 'HOUSEHOLD' THEN 'mass' WHEN 'FURNITURE' THEN 'affluent' WHEN 'MACHINERY'
             THEN 'priority' WHEN 'BUILDING' THEN 'private' END AS segment, 'APPROVED' AS kyc_status,
@@ -114,10 +119,10 @@ t24 AS (
         CASE WHEN k % 29 = 0 THEN 'CLOSED' ELSE 'ACTIVE' END AS record_status
     FROM t24_base
     UNION ALL
-    SELECT 'D' || k, eid, dob, first_name || ' ' || last_name, CASE WHEN k % 2 = 0 THEN 'عميل ' || k END,
+    SELECT 'D' || k, eid, dob, full_name, CASE WHEN k % 2 = 0 THEN 'عميل ' || k END,
         '+97154' || k7, 'dup' || k || '@dup.example',
-        CASE WHEN c_acctbal < 0 THEN 'HIGH' WHEN c_acctbal < 5000 THEN 'MED' ELSE 'LOW' END, 'mass', 'APPROVED',
-        first_order, last_order, 'ACTIVE'
+        CASE WHEN c_acctbal < 0 THEN 'HIGH' WHEN c_acctbal < 5000 THEN 'MED' ELSE 'LOW' END, 'mass', 'PENDING',
+        first_order, CASE WHEN k % 100 = 3 THEN last_order + INTERVAL 20 DAY END, 'ACTIVE'
     FROM t24_base WHERE k % 50 = 3
 ),
 sfdc_base AS (SELECT *, CASE WHEN k % 3 = 0 THEN k // 3 % 5 ELSE 0 END AS c FROM people WHERE k % 3 = 0 OR k % 37 = 1),
@@ -266,12 +271,15 @@ def _gold(query: str) -> str:
 
 
 def _neighbours(columns: str) -> str:
-    """Signals of two linear pairings: a CRM contact with its own customer, a customer with the one 25 further on."""
-    return _sources(f""", numbered AS (SELECT *, CAST(source_id AS BIGINT) AS k FROM n_t24 WHERE source_id NOT LIKE 'D%')
-        SELECT {LINK}, {columns} FROM n_t24 l JOIN n_sfdc r ON r.source_id = 'S' || l.source_id
+    """Signals of linear pairings: records of one customer number, and records with those 25 numbers further on."""
+    return _sources(f""", numbered AS (SELECT *, CAST(regexp_extract(source_id, '[0-9]+') AS BIGINT) AS k FROM normalized)
+        SELECT {LINK}, {columns} FROM numbered l JOIN numbered r ON r.k = l.k AND {KEY_ORDER}
         UNION ALL SELECT {LINK}, {columns} FROM numbered l JOIN numbered r ON r.k = l.k + 25""")
 
 
+FULL_NAME = "concat_ws(' ', first_name, last_name)"
+
+
 def _star(rule: str, columns: str, present: str) -> str:
     return f"""SELECT source_system, source_id, first(source_system) OVER w AS root_source,
         first(source_id) OVER w AS root_id, '{rule}' AS rule_id FROM normalized WHERE {present}
@@ -285,7 +293,20 @@ PAIR = "left_source, left_id, right_source, right_id"
 
 
 def oracle_sql() -> dict[str, str]:
-    """DuckDB SQL per query name."""
+    """DuckDB SQL per query name. Reading, writing and other bounds change nothing, so such queries share their SQL."""
+    table = _plain_queries()
+    return table | {name: table[like] for name, like in SAME_RESULT.items()}
+
+
+SAME_RESULT = {
+    "parquet_sources": "union_sources", "sectioned_json": "union_sources", "sink_crosswalk": "crosswalk",
+    "sink_review_queue": "review_queue", "sink_dim_customer": "dim_customer", "json_export": "dim_customer",
+    "det_best_tiled": "det_best", "prob_scored_tiled": "prob_scored", "review_queue_tiled": "review_queue",
+    "dim_customer_tiled": "dim_customer",
+}
+
+
+def _plain_queries() -> dict[str, str]:
     return {
         "normalize_t24": _sources("SELECT * FROM n_t24"),
         "normalize_sfdc": _sources("SELECT * FROM n_sfdc"),
@@ -304,7 +325,8 @@ def oracle_sql() -> dict[str, str]:
             f"UNION ALL SELECT 'amplitude', user_id, {_email('email')} FROM amplitude"),
         "name_clean": _sources(
             f"SELECT 't24' AS source_system, customer_id AS source_id, {_name('name_english')} AS name_english, "
-            f"{_soundex(_name('name_english'))} AS block_key FROM t24"),
+            f"{_soundex(_name('name_english'))} AS block_key FROM t24 UNION ALL "
+            f"SELECT 'sfdc', contact_id, {_name(FULL_NAME)}, {_soundex(_name(FULL_NAME))} FROM sfdc"),
         "eid_valid": _sources(
             f"SELECT customer_id AS source_id, {_eid('emirates_id')} AS emirates_id FROM t24"),
         "eid_strict": _sources(
@@ -317,8 +339,11 @@ def oracle_sql() -> dict[str, str]:
         "weighted_confidence": _neighbours(
             f"round(CAST(0.4 AS DOUBLE) * ({JW}) + CAST(0.3 AS DOUBLE) * ({DOB_SCORE}) + CAST(0.2 AS DOUBLE) * "
             f"({PHONE_SCORE}) + CAST(0.1 AS DOUBLE) * ({DOMAIN_SCORE}), 6) AS confidence"),
-        "sql_functions": _neighbours(
-            f"round({JW}, 6) AS jw_name, l.emirates_id IS NOT NULL AS eid_ok"),
+        "sql_functions": _sources(
+            f"""SELECT customer_id AS source_id,
+                CASE WHEN email IS NULL THEN 0.0
+                    ELSE round(jaro_winkler_similarity(lower(name_english), split_part(email, '@', 1)), 6) END AS jw,
+                ({_eid('emirates_id')}) IS NOT NULL AS eid_ok, false AS short_ok FROM t24"""),
         "det_d1": _sources(D1), "det_d2": _sources(D2), "det_d3": _sources(D3),
         "det_best": _links("SELECT * FROM det"),
         "det_links": _sources(" UNION ALL ".join(f"SELECT * FROM ({_star(*a)})" for a in (
@@ -332,6 +357,8 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT block_key, source_system, count(*) AS n FROM unmatched WHERE block_key IS NOT NULL GROUP BY ALL)
             GROUP BY block_key"""),
         "prob_scored": _links(f"SELECT {PAIR}, {SCORES} FROM scored"),
+        "prob_scored_all": _links(f"SELECT {PAIR}, {SCORES} FROM candidates WHERE confidence >= 0.3"),
+        "empty_source": _sources("SELECT * FROM n_t24 UNION ALL SELECT * FROM n_sfdc"),
         "prob_auto": _links(f"SELECT {PAIR}, {SCORES} FROM auto"),
         "prob_review": _links(f"SELECT {PAIR}, {SCORES} FROM review"),
         "components": _gold("SELECT source_system, source_id, split_part(root, ':', 1) AS root_source, "

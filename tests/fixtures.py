@@ -21,7 +21,7 @@ def normalized(spark, records):
 def random_records(seed, n, hot=False):
     """Records with many collisions. ``hot`` gives a third of them one id, or one phone tail, block and domain."""
     rng = random.Random(seed)
-    names = ["mohammed ali", "mohamed ali", "muhammad aly", "nadia aziz", "nadya aziz", "omar khan", "omer khan", None]
+    names = ["lorenzo pereira", "lorenzo perera", "laurenzo pereyra", "selma tanaka", "selma tanaca", "dmitri moro", "dmitry moro", None]
     records = []
     for i in range(n):
         system = rng.choice(["t24", "sfdc", "amplitude"])
@@ -41,7 +41,7 @@ def random_records(seed, n, hot=False):
         }
         if hot and i % 3 == 0:
             if seed % 2:
-                record |= {"emirates_id": "784199012345676"}
+                record |= {"emirates_id": "784197933445567"}
             else:
                 record |= {"emirates_id": None, "dob": None, "phone_e164": f"+97150{i % 9}000000",
                            "name_english": rng.choice(names[:3]), "email": f"h{i}@hot.example"}

@@ -14,12 +14,13 @@ from kithline.functions.ids import record_node
 from kithline.operators.components import assign_ids, connected_components
 from kithline.operators.deterministic import deterministic_links, deterministic_match
 from kithline.operators.probabilistic import block_sizes, probabilistic_match
-from kithline.operators.skew import lookup, tiled_join
+from kithline.operators.skew import tiled_join
 from kithline.plans.staging import Staging
 
 SYSTEMS = ("t24", "sfdc", "amplitude")
-# Every key with more than two rows counts as heavy, so all the routes for hot keys are taken.
-TINY = replace(DEFAULT, heavy_key_rows=2, heavy_keys_bound=5, tile_rows=2)
+# Every key with more than four pairs is cut into tiles; with no broadcast, the list of cut keys is shuffled too.
+TINY = replace(DEFAULT, tile_pairs=4)
+SHUFFLED = replace(TINY, broadcast_keys=0)
 CASES = [(1, True, DEFAULT), (1, True, TINY), (2, True, TINY), (3, False, TINY)]
 
 
@@ -77,6 +78,10 @@ def test_probabilistic_pairs(spark, seed, hot, cfg, floor):
 @pytest.mark.parametrize("options", [
     {"block_null_names": True}, {"confidence_scale": 3, "dob_tolerance_days": 7},
     {"weight_name": 0.2, "weight_dob": 0.5, "dob_tolerance_days": 0}, {"weight_email_domain": 0.3, "weight_dob": 0.1},
+    {"block_null_names": True, "weight_name": 0.2, "weight_dob": 0.1, "weight_phone": 0.1, "weight_email_domain": 0.6},
+    {"block_null_names": True, "weight_name": 0.3, "weight_dob": 0.1, "weight_phone": 0.1, "weight_email_domain": 0.5,
+     "review_threshold": 0.55},
+    {"block_null_names": True, "weight_name": 0.1, "weight_dob": 0.6, "weight_phone": 0.2, "weight_email_domain": 0.1},
 ], ids=str)
 def test_probabilistic_options(spark, options):
     cfg = replace(TINY, **options)
@@ -131,13 +136,9 @@ def test_assign_ids_ignores_unknown_records(spark):
         n: brute.customer_id(root) for n, root in expected.items()}
 
 
-@pytest.mark.parametrize("cfg", [DEFAULT, TINY])
-def test_lookup_and_tiled_join_equal_plain_joins(spark, cfg):
+@pytest.mark.parametrize("cfg", [DEFAULT, TINY, SHUFFLED])
+def test_tiled_join_equals_a_plain_join(spark, cfg):
     rows = spark.range(200).selectExpr("CASE WHEN id % 3 = 0 THEN 0 WHEN id % 10 = 1 THEN NULL ELSE id % 17 END AS k", "id AS x")
-    table = spark.range(12).selectExpr("id AS k", "id * 10 AS y")
-    for how in ("inner", "left"):
-        got = sorted(map(tuple, lookup(rows, table, ["k"], cfg, how).select("k", "x", "y").collect()), key=str)
-        assert got == sorted(map(tuple, rows.join(table, "k", how).select("k", "x", "y").collect()), key=str)
     other = rows.selectExpr("k", "x AS z").where("z % 2 = 0")
-    got = sorted(map(tuple, tiled_join(rows, other, ["k"], "x", "z", cfg).select("k", "x", "z").collect()))
+    got = sorted(map(tuple, tiled_join(rows, other, ["k"], "x", "z", cfg, Staging(spark)).select("k", "x", "z").collect()))
     assert got == sorted(map(tuple, rows.join(other, "k").select("k", "x", "z").collect()))

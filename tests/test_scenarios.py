@@ -23,7 +23,7 @@ from kithline.sources.adapters import ADAPTERS, Adapter
 from kithline.sources.schemas import NORMALIZED
 
 RUN_TS = datetime(2025, 1, 1, tzinfo=timezone.utc)
-EID = "784-1990-1234567-6"
+EID = "784-1979-3344556-7"
 
 
 def t24(**values):
@@ -41,41 +41,41 @@ BORN = date(1990, 1, 1)
 T24 = [
     t24(customer_id="D1a", emirates_id=EID, dob=BORN, name_english="Xavier One", mobile="0501111111"),
     t24(customer_id="D1b", emirates_id=EID.replace("-", ""), name_english="Quentin One"),
-    t24(customer_id="D2", dob=date(1988, 6, 15), name_english="Fatima Khan", mobile="0503334444"),
-    t24(customer_id="D3", dob=date(1995, 2, 20), name_english="Priya Nair", email="priya@example.com"),
-    t24(customer_id="NEAR", dob=date(1992, 8, 8), name_english="Omar Al Zaabi", mobile="0507777777", email="omar1@near.com"),
-    t24(customer_id="TAIL", name_english="Rania Haddad", mobile="0501234567", email="rania@tail.com"),
+    t24(customer_id="D2", dob=date(1977, 11, 3), name_english="Greta Moreau", mobile="0529081726"),
+    t24(customer_id="D3", dob=date(1969, 9, 30), name_english="Chiara Gallo", email="chiara@gallo.example"),
+    t24(customer_id="NEAR", dob=date(1984, 12, 1), name_english="Dmitri van Quist", mobile="0543121212", email="dv@near.example"),
+    t24(customer_id="TAIL", name_english="Odette Hruska", mobile="0567654321", email="odette@tail.example"),
     t24(customer_id="AUTO", name_english="Wilhelm Gott", mobile="0521212121", email="w@auto.com"),
-    t24(customer_id="NONE", dob=date(1970, 1, 1), name_english="Yusuf Rahman", mobile="0501112222", email="y@none.com"),
-    t24(customer_id="WINS", dob=date(1985, 4, 4), name_english="Nadia Aziz", name_arabic="نادية عزيز", mobile="0504445555",
-        email="nadia@t24.example.com", risk_rating="HIGH", segment="priority", updated_at=datetime(2023, 1, 1)),
-    t24(customer_id="SEGa", dob=date(1980, 1, 1), name_english="Layla Farid", mobile="0508887777", segment="mass"),
-    t24(customer_id="SEGb", dob=date(1980, 1, 1), name_english="Layla Farid", mobile="0508887777", segment="priority"),
+    t24(customer_id="NONE", dob=date(1970, 1, 1), name_english="Hakan Ilves", mobile="0521357924", email="y@none.com"),
+    t24(customer_id="WINS", dob=date(1973, 7, 7), name_english="Selma Tanaka", name_arabic="سلمى تاناكا", mobile="0558642097",
+        email="selma@t24.example.com", risk_rating="HIGH", segment="priority", updated_at=datetime(2023, 1, 1)),
+    t24(customer_id="SEGa", dob=date(1980, 1, 1), name_english="Keiko Renner", mobile="0541029384", segment="mass"),
+    t24(customer_id="SEGb", dob=date(1980, 1, 1), name_english="Keiko Renner", mobile="0541029384", segment="priority"),
     t24(customer_id="NULL", kyc_status=None),
-    t24(customer_id="ARAB", dob=date(1971, 1, 1), name_english="Bob Rashid", name_arabic="محمد بن راشد"),
-    t24(customer_id="CHa", emirates_id="784198511223343", dob=date(1981, 1, 1), name_english="Igor Chain"),
-    t24(customer_id="CHb", emirates_id="784198511223343", dob=date(1982, 2, 2), name_english="Igor Chain", email="c@chain.com"),
-    t24(customer_id="BLANK", dob=date(1983, 3, 3), name_english="Karim Salah", mobile="0506667777", email="k.old@blank.com"),
+    t24(customer_id="ARAB", dob=date(1971, 1, 1), name_english="Ravi Sandoval", name_arabic="بافل بن يانسن"),
+    t24(customer_id="CHa", emirates_id="784200176543211", dob=date(1981, 1, 1), name_english="Igor Chain"),
+    t24(customer_id="CHb", emirates_id="784200176543211", dob=date(1982, 2, 2), name_english="Igor Chain", email="c@chain.com"),
+    t24(customer_id="BLANK", dob=date(1983, 3, 3), name_english="Pavel Janssen", mobile="0562718281", email="k.old@blank.com"),
     t24(customer_id="GONE", emirates_id=EID, name_english="Xavier One", record_status="CLOSED"),
     t24(customer_id="GONE2", emirates_id=EID, name_english="Xavier One", record_status=None),
 ]
 SFDC = [
-    sfdc("Fatima", "Khan", contact_id="D2", dob=date(1988, 6, 15), phone="00971503334444"),
-    sfdc("Priya", "Nair", contact_id="D3", dob=date(1995, 2, 20), email="PRIYA@Example.com"),
-    sfdc("Omar", "Al Zaabi", contact_id="NEAR", phone="+971509997777", email="omar1@near.com"),
-    sfdc("Rania", "Haddad", contact_id="TAIL", phone="+971509234567", email="rania.other@tail.com"),
+    sfdc("Greta", "Moreau", contact_id="D2", dob=date(1977, 11, 3), phone="00971529081726"),
+    sfdc("Chiara", "Gallo", contact_id="D3", dob=date(1969, 9, 30), email="CHIARA@Gallo.example"),
+    sfdc("Dmitri", "van Quist", contact_id="NEAR", phone="+971549991212", email="dv@near.example"),
+    sfdc("Odette", "Hruska", contact_id="TAIL", phone="+971569654321", email="odette.other@tail.example"),
     sfdc("Wilhelm", "Gott", contact_id="AUTO", phone="+971 52 121 2121", email="other@auto.com"),
-    sfdc("Alexandra", "Petrova", contact_id="NONE", dob=date(1995, 6, 6), phone="+971509998888", email="a@none.com"),
-    sfdc("Nadja", "Aziz", contact_id="WINS", dob=date(1985, 4, 4), phone="+971504445555", email="nadia@sfdc.example.com"),
+    sfdc("Mirela", "Okafor", contact_id="NONE", dob=date(1991, 3, 9), phone="+971566420864", email="a@none.com"),
+    sfdc("Zelma", "Tanaka", contact_id="WINS", dob=date(1973, 7, 7), phone="+971558642097", email="selma@sfdc.example.com"),
     sfdc("Igor", "Chain", contact_id="CH", dob=date(1982, 2, 2), email="C@chain.com"),
-    sfdc("Karim", "Salah", contact_id="BLANK", dob=date(1983, 3, 3), phone="+971506667777", last_modified_date=datetime(2023, 1, 1)),
-    sfdc("Karim", "Salah", contact_id="BLANK2", dob=date(1983, 3, 3), email="k.old@blank.com",
+    sfdc("Pavel", "Janssen", contact_id="BLANK", dob=date(1983, 3, 3), phone="+971562718281", last_modified_date=datetime(2023, 1, 1)),
+    sfdc("Pavel", "Janssen", contact_id="BLANK2", dob=date(1983, 3, 3), email="k.old@blank.com",
          last_modified_date=datetime(2025, 1, 1)),
     sfdc("Xavier", "One", contact_id="GONE", dob=BORN, phone="0501111111", is_deleted=True),
     sfdc("Xavier", "One", contact_id="GONE2", dob=BORN, phone="0501111111", is_deleted=None),
 ]
 AMPLITUDE = [
-    {"user_id": "A1", "email": "omar1@near.com", "first_seen_at": datetime(2024, 6, 1), "last_seen_at": datetime(2025, 1, 10)},
+    {"user_id": "A1", "email": "dv@near.example", "first_seen_at": datetime(2024, 6, 1), "last_seen_at": datetime(2025, 1, 10)},
     {"user_id": "A2", "email": None, "first_seen_at": datetime(2024, 6, 1)},
 ]
 
@@ -149,15 +149,15 @@ def test_review_queue(run):
 
 def test_golden_records(crosswalk, golden):
     wins = golden[crosswalk["t24", "WINS"].mal_customer_id]
-    assert (wins.risk_rating, wins.kyc_status, wins.name_arabic) == ("HIGH", "APPROVED", "نادية عزيز")
-    assert (wins.name_english, wins.email) == ("nadia aziz", "nadia@sfdc.example.com")
+    assert (wins.risk_rating, wins.kyc_status, wins.name_arabic) == ("HIGH", "APPROVED", "سلمى تاناكا")
+    assert (wins.name_english, wins.email) == ("selma tanaka", "selma@sfdc.example.com")
     assert (wins.source_systems, wins.first_seen_at) == ("sfdc,t24", datetime(2020, 1, 1))
     assert golden[crosswalk["t24", "SEGa"].mal_customer_id].segment == "priority"
-    assert golden[crosswalk["t24", "ARAB"].mal_customer_id].name_arabic == "محمد بن راشد"
+    assert golden[crosswalk["t24", "ARAB"].mal_customer_id].name_arabic == "بافل بن يانسن"
     empty = golden[crosswalk["t24", "NULL"].mal_customer_id]
     assert (empty.segment, empty.email, empty.name_english, empty.source_systems) == (None, None, None, "t24")
     blank = golden[crosswalk["t24", "BLANK"].mal_customer_id]
-    assert (blank.email, blank.phone_e164) == ("k.old@blank.com", "+971506667777")
+    assert (blank.email, blank.phone_e164) == ("k.old@blank.com", "+971562718281")
     assert set(golden) == {r.mal_customer_id for r in crosswalk.values()}
 
 
@@ -261,7 +261,7 @@ def test_result_does_not_depend_on_order_or_partitions(spark):
     """Shuffled rows, other partitions and routes for hot keys give the same ids."""
     records = random_records(9, 150, hot=True)
     adapters = {s: Adapter(s, "source_id", {f.name: f.name for f in NORMALIZED.fields[2:]}) for s in ("t24", "sfdc", "amplitude")}
-    tiny = replace(DEFAULT, heavy_key_rows=2, heavy_keys_bound=3, tile_rows=2)
+    tiny = replace(DEFAULT, tile_pairs=4, broadcast_keys=0)
 
     def results(order, cfg):
         tables = {}
