@@ -211,7 +211,7 @@ def jaccard_components(docs: DataFrame, staging: Staging, cfg: JaccardJoin = Jac
     members = staging.put(sets.join(classes, ["n", "key1", "key2"], "left").select(
         F.col("id").alias("doc_id"), "n", F.coalesce("class_id", "id").alias("class_id"), "bits", "short"), "classes").df
     node = members.where("n > 0 and doc_id is not null").select("doc_id", "class_id", "n").distinct()
-    parities = members.where("n > 0 and doc_id = class_id").groupBy("doc_id", "n").agg(F.min("bits").alias("bits"), F.min("short").alias("short"))
+    parities = members.where("n > 0 and doc_id = class_id").select("doc_id", "n", "bits", "short").distinct()
 
     def possible(pairs: DataFrame) -> DataFrame:
         """The pairs whose parities allow a link; texts are fetched for these only."""
