@@ -44,9 +44,11 @@ class JaccardJoin:
     count_slots: int = 1 << 17
     #: Bucket members meet one of theirs until at most so many pairs of different components per member are left.
     pairs_per_member: int = 2
-    most_attempts: int = 2
+    most_attempts: int = 1
     #: Pairs of different components from which on a bucket's join looks at parities, before a pair comes to be.
     dense_pairs: int = 2_000
+    #: First shingles of a set that are looked through for an earlier meeting of two sets in a crowded bucket.
+    earlier: int = 32
 
 
 def _sets(texts: pa.Array, cfg: JaccardJoin) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -265,12 +267,17 @@ def jaccard_components(docs: DataFrame, staging: Staging, cfg: JaccardJoin = Jac
             apart = F.aggregate(F.zip_with("short_a", "short_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
             common = (F.col("n_a") + F.col("n_b") - apart) / 2
             condition &= common * (100 + cfg.percent) >= (F.col("n_a") + F.col("n_b")) * cfg.percent
+            # A pair that shares an earlier shingle comes to be there, and not once more for every further one.
+            condition &= ~F.coalesce(F.arrays_overlap("earlier_a", "earlier_b"), F.lit(False))
         return sides[0].join(sides[1], on=[sides[0]["token"] == sides[1]["token"], condition]).select("a", "b", "n_a", "n_b")
 
     dense = per_token.where(F.col("pairs") > cfg.dense_pairs).select("token")
     crowded = mixed.df.join(dense, "token", "left_semi").join(
         parities.select(F.col("doc_id").alias("id"), "n", "short"), ["id", "n"])
-    pairs = across(mixed.df.join(dense, "token", "left_anti")).unionByName(across(crowded, "short"))
+    begins = mixed.df.groupBy("id", "n").agg(F.slice(F.array_sort(F.collect_list(F.struct("place", "token"))), 1, cfg.earlier).alias("begin"))
+    crowded = crowded.join(begins, ["id", "n"]).withColumn("earlier", F.transform(
+        F.filter("begin", lambda x: x["place"] < F.col("place")), lambda x: x["token"])).drop("begin")
+    pairs = across(mixed.df.join(dense, "token", "left_anti")).unionByName(across(crowded, "short", "earlier"))
     pairs = pairs.distinct().join(tried.select("a", "b"), ["a", "b"], "left_anti")
     more = _verified(docs, possible(pairs), levels, cfg, staging)
     same = node.where("doc_id != class_id").select(F.col("doc_id").alias("a"), F.col("class_id").alias("b"))
