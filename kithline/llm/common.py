@@ -26,6 +26,11 @@ def only_ids(rows: DataFrame, ids: Staged, column: str) -> DataFrame:
     return rows.join(F.broadcast(wanted) if ids.rows <= BROADCAST_IDS else wanted, column, "left_semi")
 
 
+def met(table_: Staged) -> DataFrame:
+    """A counted table for an equi join: it travels to the other side if it is short enough, else both meet."""
+    return F.broadcast(table_.df) if table_.rows <= BROADCAST_IDS else table_.df
+
+
 def connected_components(edges: DataFrame, staging: Staging, max_rounds: int = 60) -> DataFrame:
     """(id, root) of every node of ``edges(a, b)`` that is not its component's smallest.
 

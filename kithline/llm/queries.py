@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kithline.llm import decontamination, fingerprints, html_text, language_id, quality, secrets, sentencepiece_fst, toxicity
-from kithline.llm.common import crc_fold, table
+from kithline.llm.common import crc_fold, met, table
 from kithline.llm.ngram_join import jaccard_components
 from kithline.llm.substring_dedup import remove_repeated_passages
 from kithline.plans.staging import Staging
@@ -41,7 +41,7 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels, fold = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), crc_fold(F.col("doc_id"))
-    model = toxicity.fit(toxicity.labelled(docs, labels, "toxic", fold != 0))
+    model = toxicity.fit(toxicity.labelled(docs, labels, "toxic", fold != 0, Staging(spark)))
     return toxicity.score(docs, model).select(
         "doc_id", (fold == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
@@ -49,6 +49,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels, fold = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), crc_fold(F.col("doc_id"))
     wanted = labels.select("doc_id", F.col("quality").alias("label")).where("label is not null").distinct()
+    wanted = met(Staging(spark).put(wanted, "labels"))
     pages = docs.where(fold != 0).select("doc_id", "text", *quality.PAGE_COLUMNS)
     model = quality.fit(pages.join(wanted, "doc_id"), pages.join(wanted, "doc_id", "left_anti"))
     return quality.score(docs, model).select(

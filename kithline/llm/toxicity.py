@@ -24,6 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kithline.llm import words as W
+from kithline.llm.common import met
+from kithline.plans.staging import Staging
 
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[128:] = True
@@ -221,8 +223,9 @@ def score(docs: DataFrame, model: Model | float) -> DataFrame:
     return docs.mapInArrow(_score(docs.sparkSession.sparkContext.broadcast(model)), "doc_id long, score double")
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str, may_learn: Column) -> DataFrame:
+def labelled(docs: DataFrame, labels: DataFrame, label: str, may_learn: Column, staging: Staging) -> DataFrame:
     """(text, label) of the labelled rows that may be learnt from; an id with both labels counts for each once."""
     wanted = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")).where(
         F.col("label").isNotNull() & may_learn).distinct()
+    wanted = met(staging.put(wanted, "labels"))
     return docs.where(may_learn).select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id").select("text", "label")
