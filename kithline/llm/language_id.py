@@ -8,8 +8,9 @@ with the fewest phrases, divided by the phrases that its own labelled text needs
 Characters are lower-cased letters; whatever is no letter counts as a blank, and several blanks as one.
 
 Reference texts are a bounded sample: of the labelled rows that may be learnt from, the rows first in hash order are
-taken until ``reference_chars`` letters per language are there. The automata are fixed-size tables (states x alphabet),
-and all texts are parsed in lockstep, whole, in lines of ``line`` characters whose ends also end a phrase.
+taken until ``reference_chars`` letters per language are there. Every letter is a symbol of its own, in any script; the
+automata's transitions stand in one hash table, so its size follows from the references and not from the alphabet.
+All texts are parsed in lockstep, whole, in lines of ``line`` characters whose ends also end a phrase.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0; equal phrase rates go to the first
 language in alphabetical order; a null label is not learnt from; with no labels at all every text is ``und``.
@@ -38,6 +39,7 @@ class CrossParsing:
     sample_rows: int = 400
     sample_chars: int = 2_000
     languages: int = 64
+    #: Columns of a dense transition table, for callers that bring one; ``fit`` has no limit on letters.
     alphabet: int = 47
     line: int = 1024
     #: Steepness of the score: the share of the winner when phrase rates are turned into likelihoods.
@@ -48,9 +50,8 @@ def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
 
 
-def _automaton(symbols: np.ndarray, alphabet: int) -> np.ndarray:
-    """Transition table of the suffix automaton of a text; state 1 is the root, 0 means no transition."""
-    goto = np.zeros((2 * len(symbols) + 3, alphabet), dtype=np.int32)
+def _states(symbols: np.ndarray) -> list[dict[int, int]]:
+    """Transitions per state of the suffix automaton of a text; state 1 is the root, 0 means no transition."""
     rows: list[dict[int, int]] = [{}, {}]
     link, length = [0, 0], [0, 0]
     last = 1
@@ -79,10 +80,54 @@ def _automaton(symbols: np.ndarray, alphabet: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[new] = clone
         last = new
+    return rows
+
+
+def _automaton(symbols: np.ndarray, alphabet: int) -> np.ndarray:
+    """The automaton as a dense table (states x alphabet)."""
+    rows = _states(symbols)
+    goto = np.zeros((len(rows), alphabet), dtype=np.int32)
     for state, row in enumerate(rows):
         for c, target in row.items():
             goto[state, c] = target
-    return goto[:len(rows)].copy()
+    return goto
+
+
+class Transitions:
+    """(state, symbol) -> state, as a hash table with open addressing; at most half of it is in use."""
+
+    def __init__(self, states: np.ndarray, symbols: np.ndarray, targets: np.ndarray):
+        keys = states.astype(np.int64) << 21 | symbols.astype(np.int64)
+        bits = max(4, int(2 * len(keys)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), np.int64((1 << bits) - 1)
+        self.keys = np.full(1 << bits, -1, dtype=np.int64)
+        self.targets = np.zeros(1 << bits, dtype=np.int32)
+        at, targets = self._home(keys), targets.astype(np.int32)
+        while len(keys):
+            slots, first = np.unique(at, return_index=True)
+            first = first[self.keys[slots] < 0]
+            self.keys[at[first]], self.targets[at[first]] = keys[first], targets[first]
+            left = np.ones(len(keys), dtype=bool)
+            left[first] = False
+            keys, targets, at = keys[left], targets[left], (at[left] + 1) & self.mask
+
+    def _home(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def follow(self, states: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        """The next states; 0 where there is no transition."""
+        keys = (states << 21 | symbols).reshape(-1)
+        at = self._home(keys)
+        there = self.keys[at]
+        out = np.where(there == keys, self.targets[at], 0)
+        rest = np.flatnonzero((there != keys) & (there >= 0))
+        while len(rest):
+            at[rest] = (at[rest] + 1) & self.mask
+            there = self.keys[at[rest]]
+            hit = there == keys[rest]
+            out[rest[hit]] = self.targets[at[rest[hit]]]
+            rest = rest[~hit & (there >= 0)]
+        return out.reshape(states.shape).astype(np.int64)
 
 
 @dataclass
@@ -91,11 +136,16 @@ class Model:
 
     languages: list[str]
     symbol: np.ndarray
-    table: np.ndarray
+    table: Transitions | np.ndarray
     roots: np.ndarray
     usual: np.ndarray
     config: CrossParsing
 
+    def __post_init__(self):
+        if isinstance(self.table, np.ndarray):
+            states, symbols = np.nonzero(self.table)
+            self.table = Transitions(states, symbols, self.table[states, symbols])
+
     def read(self, codes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Symbols of the characters, and the texts' lengths in symbols."""
         symbols = self.symbol[codes]
@@ -107,7 +157,7 @@ class Model:
 
     def phrases(self, codes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Phrases per text and language of texts whose characters stand one behind the other."""
-        cfg, width = self.config, self.config.alphabet
+        cfg = self.config
         symbols, lengths = self.read(codes, lengths)
         parts = (lengths + cfg.line - 1) // cfg.line
         owner = np.repeat(np.arange(len(lengths)), parts)
@@ -119,14 +169,15 @@ class Model:
         alive = len(size) - np.searchsorted(size[::-1], np.arange(1, cfg.line + 1))
         counts = np.zeros((len(self.languages), len(size)), dtype=np.int64)
         state = np.zeros(counts.shape, dtype=np.int64)  # state 0 has no transition: the next character begins a phrase
-        flat = self.table.reshape(-1)
         for step in range(int(size.max(initial=0))):
             n = alive[step]
             c = symbols[begin[:n] + step]
-            following = flat[state[:, :n] * width + c]
+            following = self.table.follow(state[:, :n], c)
             broken = following == 0
             counts[:, :n] += broken
-            state[:, :n] = np.where(broken, flat[self.roots[:, None] * width + c], following)
+            which, place = np.nonzero(broken)
+            following[which, place] = self.table.follow(self.roots[which], c[place])
+            state[:, :n] = following
         total = np.zeros((len(lengths), len(self.languages)))
         for k in range(len(self.languages)):
             total[:, k] = np.bincount(owner, counts[k], minlength=len(lengths))
@@ -165,21 +216,17 @@ def fit(docs: DataFrame, may_learn: Column, cfg: CrossParsing = CrossParsing())
     # Odd rows are the reference, even ones tell the usual phrase rate; a single row serves as both.
     own = {k: (texts[k][1::2] or texts[k], texts[k][0::2]) for k in languages}
     references = {k: _codes(_mixed(own[k][0], cfg.reference_chars)) for k in languages}
-    everything = np.concatenate(list(references.values()))
-    values, counts = np.unique(everything, return_counts=True)
-    letters = np.array([chr(v).isalpha() for v in values])
-    common = values[letters][np.argsort(-counts[letters], kind="stable")][:cfg.alphabet - 2]
-    # Everything that is no letter reads as one blank (symbol 0), rare letters as one letter (the last symbol).
-    symbol = np.where([chr(v).isalpha() for v in range(0x110000)], cfg.alphabet - 1, 0).astype(np.uint8)
-    symbol[common] = np.arange(1, len(common) + 1)
-    tables, roots, at = [], [], 0
+    # Everything that is no letter reads as one blank (symbol 0), a letter as itself.
+    symbol = np.where([chr(v).isalpha() for v in range(0x110000)], np.arange(0x110000), 0).astype(np.int32)
+    arcs, roots, at = [], [], 0
     for k in languages:
         plain = symbol[references[k]]
-        goto = _automaton(plain[(plain != 0) | np.concatenate(([True], plain[1:] != plain[:-1]))], cfg.alphabet)
+        states = _states(plain[(plain != 0) | np.concatenate(([True], plain[1:] != plain[:-1]))])
         roots.append(at + 1)
-        tables.append(np.where(goto > 0, goto + at, 0).astype(np.int32))
-        at += len(goto)
-    model = Model(languages, symbol, np.concatenate(tables), np.array(roots), np.ones(len(languages)), cfg)
+        own_arcs = np.array([(state, c, target) for state, row in enumerate(states) for c, target in row.items()], dtype=np.int64)
+        arcs.append(own_arcs.reshape(-1, 3) + np.array([at, 0, at]))
+        at += len(states)
+    model = Model(languages, symbol, Transitions(*np.concatenate(arcs).T), np.array(roots), np.ones(len(languages)), cfg)
     for k, name in enumerate(languages):
         model.usual[k] = max(model.rates([_mixed(own[name][1], cfg.calibration_chars)])[0, k], 1e-6)
     return model

@@ -268,6 +268,30 @@ def test_language_held_out_and_ragged(spark):
     assert [some[k].lang_pred for k in (1, 2, 3, 70, 4)] == ["und"] * 4 + ["xx"] and some[70].score == 0
 
 
+def test_languages_of_further_scripts(spark):
+    # Two languages each of Han characters and of Cyrillic letters, beside Latin ones; words of one length in all of them.
+    rng = random.Random(9)
+    letters = {"l1": "abcdefghijklm", "l2": "nopqrstuvwxyz", "l3": "àáâãäåæçèéêëì", "l4": "íîïðñòóôõöøùú", "c1": "абвгдежзийклм",
+               "c2": "нопрстуфхцчшщ", "h1": "".join(map(chr, range(0x4E00, 0x4E80))), "h2": "".join(map(chr, range(0x5000, 0x5080)))}
+
+    def text(lang, n):
+        return " ".join("".join(rng.choice(letters[lang]) for _ in range(4)) for _ in range(n))
+    rows = [(text(k, 60), k) for k in letters for _ in range(40)]
+    model = language_id.fit(spark.createDataFrame(rows, "text string, lang string"), F.lit(True))
+    tests = [(k, text(k, 8)) for k in letters for _ in range(20)]
+    got = language_id.identify(docs_of(spark, list(enumerate(t for _, t in tests))), model).collect()
+    assert {(r.doc_id, r.lang_pred) for r in got} == {(i, k) for i, (k, _) in enumerate(tests)}
+
+
+def test_transitions_equal_a_dense_table():
+    rng = random.Random(10)
+    goto = language_id._automaton(np.array([rng.randint(1, 40) for _ in range(3000)]), 41)
+    states, symbols = np.nonzero(goto)
+    table = language_id.Transitions(states, symbols, goto[states, symbols])
+    grid = np.mgrid[0:len(goto), 0:41].astype(np.int64)
+    assert (table.follow(grid[0], grid[1]) == goto).all()
+
+
 def test_phrases_are_the_longest_matches():
     rng = random.Random(8)
     reference = "".join(rng.choice("abc") for _ in range(60))
