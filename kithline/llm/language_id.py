@@ -7,7 +7,7 @@ with the fewest phrases, divided by the phrases that its own labelled text needs
 
 Characters are lower-cased letters; whatever is no letter counts as a blank, and several blanks as one.
 
-Reference texts are a bounded sample: of the labelled rows that may be learnt from, the rows first in hash order are
+Reference texts are a bounded sample: of the distinct labelled texts that may be learnt from, those first in hash order are
 taken until ``reference_chars`` letters per language are there. Every letter is a symbol of its own, in any script; the
 automata's transitions stand in one hash table, so its size follows from the references and not from the alphabet.
 All texts are parsed in lockstep, whole, in lines of ``line`` characters whose ends also end a phrase.
@@ -38,7 +38,6 @@ class CrossParsing:
     #: Labelled rows per language that reach the driver at most, and characters of each.
     sample_rows: int = 400
     sample_chars: int = 2_000
-    languages: int = 64
     #: Columns of a dense transition table, for callers that bring one; ``fit`` has no limit on letters.
     alphabet: int = 47
     line: int = 1024
@@ -201,18 +200,20 @@ def fit(docs: DataFrame, may_learn: Column, cfg: CrossParsing = CrossParsing())
     rank = F.xxhash64("text")
     best = labelled.select("lang", F.struct(rank.alias("rank"), F.substring("text", 1, cfg.sample_chars).alias("text")).alias("row"))
     # The hash-first rows per language, by a bounded range of hashes: the sample does not grow with the input.
-    sizes = best.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(cfg.languages).collect()
+    sizes = labelled.select("lang", rank.alias("rank")).distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()
     if not sizes:
         return None
     share = spark.createDataFrame(
         [(r["lang"], min(1.0, 2.0 * cfg.sample_rows / r["n"])) for r in sizes], "lang string, share double")
-    span = F.pmod(F.col("row.rank"), F.lit(1 << 20)) < F.col("share") * (1 << 20)
-    rows = best.join(F.broadcast(share), "lang").where(span).select("lang", "row.rank", "row.text").distinct().orderBy(
-        "lang", "rank", "text").limit(4 * cfg.sample_rows * len(sizes)).collect()
+    span = F.pmod(F.col("row.rank"), F.lit(1 << 40)) < F.col("share") * (1 << 40)
+    # Copies have one hash and are in the share together, so they are one row each after it.
+    rows = best.join(F.broadcast(share), "lang").where(span).select("lang", "row.rank", "row.text").distinct().collect()
     texts: dict[str, list[str]] = {}
-    for r in rows:
+    for r in sorted(rows, key=lambda r: (r["lang"], r["rank"], r["text"])):
         texts.setdefault(r["lang"], []).append(r["text"])
     languages = sorted(texts)
+    if missing := {r["lang"] for r in sizes}.difference(languages):
+        raise RuntimeError(f"no reference text was drawn for the labelled languages {sorted(missing)}")
     # Odd rows are the reference, even ones tell the usual phrase rate; a single row serves as both.
     own = {k: (texts[k][1::2] or texts[k], texts[k][0::2]) for k in languages}
     references = {k: _codes(_mixed(own[k][0], cfg.reference_chars)) for k in languages}

@@ -6,7 +6,7 @@ the factors let two terms that are harmless alone, such as an insult and the men
 
 Which terms enter is decided by counts over *all* rows that may be learnt from (a table of fixed size): the
 ``terms`` slots whose presence differs most between the labels. The machine is then fitted on a bounded sample of
-the rows, the first ``sample_rows`` per label in hash order, with AdaGrad; scores are calibrated on a part of the sample
+the distinct texts, the first ``sample_rows`` per label in hash order, with AdaGrad; scores are calibrated on a part of the sample
 that was not fitted. Scoring reads every whole text.
 
 Defined results: a text without known terms gets the bias' score; without labelled rows of both kinds every score is the
@@ -190,10 +190,12 @@ def fit(labelled: DataFrame, cfg: FactorizationMachine = FactorizationMachine())
     column[best] = np.arange(len(best))
 
     draw = F.xxhash64("text").alias("draw")
-    share_of = F.when(F.col("label") == 1, F.lit(min(1.0, 1.5 * cfg.sample_rows / total[1]))).otherwise(
-        F.lit(min(1.0, 1.5 * cfg.sample_rows / total[0])))
+    # Copies have one hash, so shares are of distinct texts, and copies are one row each after the draw.
+    distinct = {r["label"]: r["count"] for r in rows.select("label", draw).distinct().groupBy("label").count().collect()}
+    share_of = F.when(F.col("label") == 1, F.lit(min(1.0, 1.5 * cfg.sample_rows / distinct[1]))).otherwise(
+        F.lit(min(1.0, 1.5 * cfg.sample_rows / distinct[0])))
     sample = rows.select("label", draw, "text").where(F.pmod(F.col("draw"), F.lit(1 << 20)) < share_of * (1 << 20))
-    picked = [sample.where(F.col("label") == k).select("label", "draw", F.substring("text", 1, cfg.sample_chars).alias("text")).orderBy(
+    picked = [sample.where(F.col("label") == k).select("label", "draw", F.substring("text", 1, cfg.sample_chars).alias("text")).distinct().orderBy(
         F.pmod(F.col("draw"), F.lit(1 << 20)), "draw").limit(cfg.sample_rows).collect() for k in (0, 1)]
     texts = [r["text"] for part in picked for r in part]
     labels = np.array([r["label"] for part in picked for r in part], dtype=np.float64)

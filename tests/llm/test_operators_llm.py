@@ -292,6 +292,27 @@ def test_transitions_equal_a_dense_table():
     assert (table.follow(grid[0], grid[1]) == goto).all()
 
 
+def test_copies_do_not_crowd_out_training_texts(spark):
+    # op9: a language of which all but a few rows are one text, and more languages than 64.
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = [("one and the same text", "xx")] * 60_000 + [(f"text {letters[k]} of many", "xx") for k in range(9)]
+    rows += [(f"only words of {letters[k % 26]}{letters[k // 26]}", f"l{k:02d}") for k in range(70)]
+    frame = spark.createDataFrame(rows, "text string, lang string")
+    assert len(language_id.fit(frame, F.lit(True)).languages) == 71
+    # op6, op8: every distinct text is drawn, and a copied one once.
+    texts = [f"text number {k} of {k % 7}" for k in range(40)]
+    known = spark.createDataFrame([(t, "s", "xx", k % 2) for k, t in enumerate(texts)] + [(t, "s", "xx", k) for t in texts[:2] for k in (0, 1)] * 500,
+                                  "text string, source string, lang string, label int")
+    drawn = quality._sample(known, 40, 40, quality.CoTraining())
+    assert sorted(r["text"] for r in drawn) == sorted(texts)
+    seen = []
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(toxicity, "_fit_machine", lambda model, t, labels: seen.extend(zip(t, labels)))
+        patch.setattr(toxicity, "_calibrate", lambda model, t, labels: seen.extend(zip(t, labels)))
+        toxicity.fit(known, toxicity.FactorizationMachine(slots=1 << 12, terms=50, sample_rows=30))
+    assert len(seen) == len(set(seen)) == 42
+
+
 def test_phrases_are_the_longest_matches():
     rng = random.Random(8)
     reference = "".join(rng.choice("abc") for _ in range(60))
