@@ -158,9 +158,10 @@ def _compare(levels, cfg: JaccardJoin):
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            right = batch.column("b").to_numpy()
-            change = np.flatnonzero(np.concatenate(([True], right[1:] != right[:-1])))
-            which = np.cumsum(np.concatenate(([0], (right[1:] != right[:-1]).astype(np.int64))))
+            # An id may have several texts, so a run of equal rows on the right is one of equal ids and texts.
+            right, tag = batch.column("b").to_numpy(), batch.column("tag_b").to_numpy()
+            new = np.concatenate(([True], (right[1:] != right[:-1]) | (tag[1:] != tag[:-1])))
+            change, which = np.flatnonzero(new), np.cumsum(new) - 1
             others = [s for _, sets in _sets(batch.column("text_b").take(pa.array(change)), cfg) for s in sets]
             prefixes: dict[tuple[int, int], np.ndarray] = {}
             kept = []
@@ -189,7 +190,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, levels, cfg: JaccardJoin, stagi
     ids = staging.put(pairs.df.select(F.col("a").alias("id")).union(pairs.df.select("b")).distinct(), "ids")
     texts = only_ids(docs.select("doc_id", "text"), ids, "doc_id")
     left = pairs.df.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-    both = left.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
+    both = left.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"), F.xxhash64("text").alias("tag_b")), "b")
     return both.mapInArrow(_compare(levels, cfg), "a long, b long")
 
 

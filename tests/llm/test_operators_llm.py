@@ -194,6 +194,13 @@ def test_components_equal_brute_force(spark, cfg):
     assert collections.Counter(map(tuple, got)) == brute_components(rows)
 
 
+def test_links_of_every_text_of_a_repeated_id(spark):
+    one, two = ([f"{k}{i}" for i in range(60)] for k in "pq")
+    rows = [(5, " ".join(one)), (5, " ".join(two)), (6, " ".join(one[:57])), (7, " ".join(two[:57]))]
+    got = jaccard_components(docs_of(spark, rows), Staging(spark)).select("doc_id", "n_shingles", "component_id").collect()
+    assert collections.Counter(map(tuple, got)) == brute_components(rows)
+
+
 def test_components_of_odd_tables(spark):
     only_null = jaccard_components(docs_of(spark, [(None, "a b c"), (None, None)]), Staging(spark)).collect()
     assert sorted((r.n_shingles, r.component_id) for r in only_null) == [(0, None), (1, None)]
