@@ -1,6 +1,7 @@
 """Corpus cleaning: five stages over the documents table, each one's result written and read again by the next.
 
-Rows are never dropped for having a null id, and rows that share an id are kept or dropped together.
+Rows are never dropped for having a null id, and rows that share an id are kept or dropped together. A row without id
+is decided by its text: it is a document of its own, behind all that have an id, and its exact copies without id are one.
 """
 
 from __future__ import annotations
@@ -17,13 +18,38 @@ from kithline.plans.staging import Staging
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` whose id is not among ``ids(doc_id)``."""
-    return docs.join(ids.where("doc_id is not null").distinct(), "doc_id", "left_anti").select(*COLUMNS)
+KEY = "_row_key"
+_NO_ID = 2**62
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with a key of rows: the id, or for rows without one a hash of the text, above the usual range of ids."""
+    hashed = F.xxhash64("text").bitwiseAND(F.lit(_NO_ID - 1)) + F.lit(_NO_ID)
+    return docs.withColumn(KEY, F.coalesce(F.col("doc_id").cast("long"), hashed))
+
+
+def _texts(keyed: DataFrame) -> DataFrame:
+    return keyed.select(F.col(KEY).alias("doc_id"), "text")
+
+
+def _without(keyed: DataFrame, keys: DataFrame) -> DataFrame:
+    """``keyed`` whose key is not among ``keys(doc_id)``."""
+    return keyed.join(keys.select(F.col("doc_id").alias(KEY)).distinct(), KEY, "left_anti").select(*COLUMNS)
+
+
+def _once(docs: DataFrame, staging: Staging) -> DataFrame:
+    """``docs`` with one row (the one with the smallest other columns) of exact copies that have words and no id."""
+    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    nameless = F.col("doc_id").isNull() & worded
+    more = [c for c in COLUMNS if c not in ("doc_id", "text")]
+    once = docs.where(nameless).groupBy("text").agg(F.min(F.struct(*more)).alias("row")).select(
+        F.lit(None).cast(docs.schema["doc_id"].dataType).alias("doc_id"), "text", "row.*")
+    return docs.where(~nameless).select(*COLUMNS).unionByName(staging.put(once.select(*COLUMNS), "nameless").df)
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops what is in no language: null texts and texts without a letter."""
+    """Drops what is in no language: null texts and texts without a letter. Any lettered text is nearest to some language,
+    whatever its phrase rate, so the parse itself drops nothing."""
     model = language_id.fit(docs, F.lit(True))
     if model is None:  # nothing labelled to learn from: only the letters decide
         return docs.where(F.col("text").rlike(r"\p{L}")).select(*COLUMNS)
@@ -31,13 +57,17 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of every group of near duplicates, and every document without a word."""
-    return _without(docs, jaccard_components(docs, Staging(spark)).where("doc_id <> component_id").select("doc_id"))
+    """Keeps the document with the smallest id of every group of near duplicates, one without id only if none has an id,
+    and every document without a word."""
+    staging = Staging(spark)
+    keyed = _keyed(_once(docs, staging))
+    return _without(keyed, jaccard_components(_texts(keyed), staging).where("doc_id <> component_id").select("doc_id"))
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that contain a benchmark item."""
-    return _without(docs, decontamination.contaminated(docs, table(spark, sf_dir, "benchmark"), Staging(spark)).select("doc_id"))
+    keyed = _keyed(docs)
+    return _without(keyed, decontamination.contaminated(_texts(keyed), table(spark, sf_dir, "benchmark"), Staging(spark)).select("doc_id"))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -36,3 +36,17 @@ def test_empty_tables(spark, tmp_path):
     spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
     assert P.run(spark, str(tmp_path)).count() == 0
+
+
+def test_rows_without_id_are_decided(spark, tmp_path):
+    spark.createDataFrame([(1, ITEM)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    other = " ".join(reversed(WORDS))
+    rows = [(1, BASE, "a"), (None, BASE, "a"), (None, " ".join(WORDS[:119] + ["other"]), "a"), (None, other, "b"), (None, other, "a"),
+            (None, other, "a"), (None, "a text of its own", "a"), (None, f"before {ITEM} after", "a"), (None, "", "a"), (None, "", "a"), (None, None, "a")]
+    docs = spark.createDataFrame([(i, t, "xx", s, 0) for i, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    once = P.one_per_group(spark, docs, str(tmp_path))
+    assert tuple(once.columns) == P.COLUMNS and once.schema["doc_id"].dataType == docs.schema["doc_id"].dataType
+    left = [rows[0], rows[4], *rows[6:]]
+    assert sorted(((r.doc_id, r.text, r.source) for r in once.collect()), key=str) == sorted(left, key=str)
+    clean = P.without_benchmark(spark, once, str(tmp_path)).collect()
+    assert sorted(((r.doc_id, r.text, r.source) for r in clean), key=str) == sorted([r for r in left if ITEM not in (r[1] or "")], key=str)
