@@ -5,6 +5,7 @@ its ancestors, less with each level, and a container's sum is discounted by the
 best container is kept, widened to the article or main element around it; without one, siblings that score well, or
 are headings and paragraphs with few links, are kept too. What lies in navigation, page headers and footers, sidebars,
 notices, adverts, forms, scripts, styles or reader comments, by element, role, class or heading, has no points and no text.
+Outside article and main elements, neighbouring blocks that are mostly links have no text either.
 
 Defined results: a null or empty page, or one without text outside such parts, gives the empty string; unclosed and
 misnested elements are closed where the next block begins; a missing end of a comment or script runs to the page's end.
@@ -236,9 +237,11 @@ class _Page:
             return ""
         tops = self.kept()
         loose = ("li", "div", "td", "th", "ul", "ol", "section", "table")
+        kept = [(node, text, linked) for node, text, linked in self.blocks if self._below(node, tops)]
+        # Outside an article or main element, neighbouring blocks of links are a menu; inside it they are its own lists.
+        dense = [False, *(self.tag[node] in loose and linked >= 0.6 * len(text) and not self.home[node] for node, text, linked in kept), False]
         return "\n\n".join(
-            text for node, text, linked in self.blocks
-            if self._below(node, tops) and not (self.tag[node] in loose and linked >= 0.6 * len(text)))
+            text for k, (_, text, _) in enumerate(kept, 1) if not (dense[k] and (dense[k - 1] or dense[k + 1])))
 
 
 def main_text(source: str | None) -> str:

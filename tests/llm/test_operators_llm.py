@@ -82,6 +82,19 @@ def test_main_text(page, expected):
     assert html_text.main_text(page) == expected
 
 
+def test_linked_lists_of_an_article_stay():
+    links = [f"Source number {k}, a study" for k in range(3)]
+    listed = "".join(f"<li><a href=x>{t}</a></li>" for t in links)
+    body = "A first paragraph, with commas, and long enough to be the text of the page."
+    cells = "<table><tr><td><a href=x>Cell one</a></td><td><a href=y>Cell two</a></td></tr></table>"
+    for tag in ("article", "main"):
+        page = f"<ul>{listed}</ul><{tag}><p>{body}</p><h2>Sources</h2><ul>{listed}</ul>{cells}</{tag}>"
+        assert html_text.main_text(page) == "\n\n".join([body, "Sources", *links, "Cell one", "Cell two"])
+    # Without an article, neighbouring blocks of links are a menu, and a single one is not.
+    page = f"<body><div id=content><ul>{listed}</ul><p>{body}</p><p>{body}</p><div><a href=x>The data</a></div><p>{body}</p></div>"
+    assert html_text.main_text(page) == "\n\n".join([body, body, "The data", body])
+
+
 def test_extract_keeps_every_page(spark):
     pages = spark.createDataFrame([(1, "u", p, "x") for p, _ in PAGES] + [(None, None, "<p>z", "x")],
                                   "page_id long, url string, html string, text string")
