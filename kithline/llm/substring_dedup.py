@@ -1,16 +1,17 @@
-"""Removal of passages that occur more than once, by relative Lempel-Ziv parsing of all texts against all texts.
+"""Removal of passages that occur more than once, by counting minimizer blocks of all texts.
 
-*Reference blocks.* Every window of ``window`` words picks its smallest ``anchor``-word hash; the windows that pick the
-same anchor form a block (about twelve windows, all words they cover). Equal windows pick equal anchors, so every
-repeated window lies in two blocks with the same anchor. All blocks of all documents are indexed, whole texts each.
+This stands in for a relative Lempel-Ziv parse, whose greedy longest factors would need an index of all texts in one
+place: no factor is sought and no run of blocks is formed, blocks are counted and flagged one by one.
 
-*Parsing.* A document is read as the sequence of its blocks. A block that the index holds at another place extends the
-current factor; a run of such blocks is one long factor, all of whose windows repeat.
+*Blocks.* Every window of ``window`` words picks its smallest ``anchor``-word hash; the windows that pick the
+same anchor form a block (about twelve windows, all words they cover). Equal windows pick equal anchors, so every
+repeated window lies in two blocks with the same anchor. All blocks of all documents are counted, whole texts each.
+All windows of a block that is found at another place repeat.
 
-*Factor boundaries.* A block whose anchor is indexed elsewhere, but with other words around it, is where a factor ends.
-Its windows, and those of one copy of each block with that anchor, are compared one by one, so that nothing that repeats
-within a block, at either end of a factor, is lost. The result is exact: a word goes if and only if it is covered by
-a window whose words start at another place too, in the same text or another.
+*Edges.* Where a block's anchor is found elsewhere, but with other words around it, its windows, and those of one copy of
+each block with that anchor, are compared one by one, so that nothing that repeats within a block is lost. The result is
+exact: a word goes if and only if it is covered by a window whose words start at another place too, in the same text or
+another.
 
 Nothing is gathered by passage: counts are map-side combined and joined back, so copies cost rows, never pairs.
 
