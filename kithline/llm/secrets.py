@@ -4,8 +4,9 @@ Patterns with an unmistakable shape (``assign``, ``access``, ``hex``) are report
 also has parts that alone prove nothing: a client or user id (``ident``), a random-looking key (``key``), an address to
 log in to (``endpoint``). Such weak candidates are reported only when complementary parts stand within ``reach`` code
 points in the same scope, a paragraph: an identifier with a secret, an endpoint with both. The link is an interval join:
-parts meet in cells of ``reach`` code points, each weak part being sent to its own cell and both neighbours, and the
-distance decides. A cell holds at most as many parts as fit into it, so no group grows with the input.
+parts meet in cells of ``reach`` code points, each part being sent to all cells that it covers and a weak one also to
+the neighbours at both ends, and the distance decides. A cell holds at most as many parts as fit into it, so no group
+grows with the input.
 
 Defined results: a null text is empty; repeated rows each get a result; other columns are ignored.
 """
@@ -30,7 +31,7 @@ ASSIGN_LEAST = 8
 IDENT = re.compile(
     r"""(?:access[_-]?key(?:[_-]?id)?|client[_-]?id|account[_-]?id|user(?:[_-]?(?:id|name))?|login)"""
     r"""["']?\x20*[:=]\x20*["']?[A-Za-z0-9][A-Za-z0-9._@+-]{2,}""", re.A | re.I)
-KEY = re.compile(r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/_-]{24,128}={0,2}(?![A-Za-z0-9+/=_-])")
+KEY = re.compile(r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/_-]{24,}={0,2}(?![A-Za-z0-9+/=_-])")
 ENDPOINT = re.compile(r"""(?:(?:host|endpoint|server)["']?\x20*[:=]\x20*["']?)?[a-z][a-z0-9+.-]{1,15}://[^\s"'<>]+|(?:host|endpoint|server)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.-]+(?::\d+)?""", re.A | re.I)
 BLANK_LINE = re.compile(r"\n[ \t\r]*\n")
 
@@ -99,11 +100,11 @@ def linked_parts(scanned: DataFrame, cfg: SecretScan) -> DataFrame:
     row = ["doc_id", "tag", "scope"]
     part = scanned.where(F.size("parts") > 0).select("doc_id", "tag", F.explode("parts").alias("p")).select(
         "doc_id", "tag", "p.*").distinct()
-    cell = F.floor(F.col("start") / cfg.reach)
-    weak = part.where("rank >= 3").withColumn("cell", F.explode(F.array(cell - 1, cell, cell + 1)))
-    # A part that is longer than a cell is met at both of its ends.
-    other = part.select(*row, "role", F.col("start").alias("other_start"), F.col("end").alias("other_end")).withColumn(
-        "cell", F.explode(F.array_distinct(F.array(F.floor(F.col("other_start") / cfg.reach), F.floor(F.col("other_end") / cfg.reach)))))
+    first, last = (F.floor(F.col(c) / cfg.reach) for c in ("start", "end"))
+    weak = part.where("rank >= 3").withColumn("cell", F.explode(F.sequence(first - 1, last + 1)))
+    # A long part may also lie around a weak one, with both of its ends out of reach.
+    other = part.withColumn("cell", F.explode(F.sequence(first, last))).select(
+        *row, "role", F.col("start").alias("other_start"), F.col("end").alias("other_end"), "cell")
     gap = F.greatest(F.col("other_start") - F.col("end"), F.col("start") - F.col("other_end"))
     near = weak.withColumnRenamed("role", "own").join(other, [*row, "cell"]).where((gap <= cfg.reach) & (F.col("own") != F.col("role")))
     seen = near.groupBy("doc_id", "tag", "start", "rank", "end", "own").agg(

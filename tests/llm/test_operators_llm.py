@@ -131,6 +131,20 @@ def test_weak_parts_need_complements_in_their_scope(spark):
     assert {r.doc_id: " ".join(p.split(":")[0] for p in r.s.split(",") if p) for r in rows} == {i: k for i, (_, k) in cases.items()}
 
 
+def test_long_parts_are_linked(spark):
+    long_key = "aB3" * 100
+    url = "https://bucket.example.org/" + "x/" * 340 + "end"
+    cases = {
+        1: (f"{url} client_id = app-7 " + "y " * 20 + "password = hunter2hunter2", "endpoint ident assign"),
+        2: (f"client_id = app-7 {long_key}", "ident key"),
+        3: ("login = " + "a.b" * 230 + " " + "y " * 20 + "password = hunter2hunter2", "ident assign"),
+        4: ("secret=" + "Z." * 400 + "user=bob" + ".Z" * 400, "assign ident"),
+        5: (f"{url} " + "y " * 200 + "client_id = app-7 password = hunter2hunter2", "ident assign"),
+    }
+    rows = secrets.scan(docs_of(spark, [(i, t) for i, (t, _) in cases.items()])).select("doc_id", secrets.as_text("found").alias("s")).collect()
+    assert {r.doc_id: " ".join(p.split(":")[0] for p in r.s.split(",") if p) for r in rows} == {i: k for i, (_, k) in cases.items()}
+
+
 def test_redaction_keeps_rows_and_columns(spark):
     docs = docs_of(spark, RAGGED + [(9, "a token=abcdefgh1 b")])
     out = secrets.redact(docs)
