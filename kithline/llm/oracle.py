@@ -59,9 +59,46 @@ SELECT doc_id, item_id, n AS n_shingles, count(*) AS n_shared, count(*) / n AS c
 FROM ds JOIN bs USING (g) GROUP BY r, doc_id, item_id, n HAVING 100 * count(*) >= 75 * n"""
 
 
+def collocations(least: int = 100, top: int = 2000) -> str:
+    """SQL for the best phrases of 2 to 5 words of each language."""
+    plain = lower("coalesce(text, '')")
+    return f"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({plain}, '[.,;:!?\n\x0B\f\r]')) AS p FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(p, '[ \t]+'), lambda x: x <> '') AS w FROM p),
+total AS (SELECT lang, sum(len(w))::HUGEINT AS n FROM w GROUP BY lang),
+gram AS (SELECT lang, w[i:i + k - 1] AS g FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, range(1, 6) AS t(k))),
+f AS (SELECT lang, g, count(*)::HUGEINT AS a FROM gram GROUP BY lang, g HAVING count(*) >= {least}),
+inner_ AS (SELECT DISTINCT lang, a, g[i:j] AS g FROM (SELECT lang, a, g, i, unnest(range(i + 1, len(g) + 1)) AS j FROM
+  (SELECT lang, a, g, unnest(range(1, len(g))) AS i FROM f)) WHERE j - i + 1 < len(g)),
+kept AS (SELECT lang, g, a FROM f WHERE len(g) > 1 AND NOT EXISTS (SELECT 1 FROM inner_ x WHERE x.lang = f.lang AND x.g = f.g AND 100 * x.a >= 100 * f.a)),
+cut AS (SELECT lang, g, a, unnest(range(1, len(g))) AS k FROM kept),
+scored AS (SELECT c.lang, c.g, c.a, c.k, h.a AS l, t.a AS r, n, (1000::HUGEINT * c.a * n) // (h.a * t.a) AS score FROM cut c JOIN total USING (lang)
+  JOIN f h ON h.lang = c.lang AND h.g = c.g[:c.k] JOIN f t ON t.lang = c.lang AND t.g = c.g[c.k + 1:]),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' ')) AS rank,
+  array_to_string(g, ' ') AS phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM lowest QUALIFY rank <= {top}"""
+
+
+HARD_NEGATIVES = """
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(x::DOUBLE * 256)::BIGINT) AS q FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.r AS ar, a.vec_id AS anchor_id, b.r, b.vec_id, a.label = b.label AS same,
+    list_sum(list_transform(list_zip(a.q, b.q), lambda x: x[1] * x[2]))::BIGINT AS score
+  FROM v a JOIN v b ON a.r <> b.r AND len(a.q) = len(b.q) WHERE a.vec_id % 100 = 0),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY ar ORDER BY score DESC, vec_id, r) <= 5)
+SELECT anchor_id, p.vec_id AS positive_id, (row_number() OVER (PARTITION BY p.ar, p.r ORDER BY n.score DESC, n.vec_id, n.r))::INTEGER AS rank,
+  n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM p JOIN (SELECT ar, r, vec_id, score FROM s WHERE NOT same) n ON n.ar = p.ar AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+QUALIFY rank <= 10"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_ngram_jaccard_join": f"WITH RECURSIVE {components()} SELECT doc_id, n AS n_shingles, component_id FROM component",
         "op5_decontamination": contaminated(),
         "op7_substring_dedup": REPEATED_PASSAGES,
+        "op11_collocations": collocations(),
+        "op12_hard_negatives": HARD_NEGATIVES,
     }

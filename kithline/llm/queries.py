@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kithline.llm import decontamination, fingerprints, html_text, language_id, quality, secrets, sentencepiece_fst, toxicity
+from kithline.llm import (
+    best_fit_packing, collocations, decontamination, fingerprints, hard_negatives, html_text, language_id, quality, secrets,
+    sentencepiece_fst, toxicity)
 from kithline.llm.common import crc_fold, met, table
 from kithline.llm.ngram_join import jaccard_components
 from kithline.llm.substring_dedup import remove_repeated_passages
@@ -15,6 +17,8 @@ from kithline.plans.staging import Staging
 
 #: The public piece table that the registered query encodes with.
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+#: The public vocabulary that documents are packed with.
+WORD_MODEL = "/opt/tokenizers/word_bpe_49k.json"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -67,6 +71,19 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (fold == 0).alias("held_out"), "lang_pred", "score", "rate")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"), Staging(spark))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", moved), Staging(spark))
+
+
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit_packing.pack(table(spark, sf_dir, "documents"), WORD_MODEL, Staging(spark)).drop("ids")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_html_extraction": lambda spark, sf_dir: html_text.extract(table(spark, sf_dir, "pages")),
@@ -79,4 +96,7 @@ def queries() -> dict[str, Query]:
         "op6_toxicity": op6_toxicity,
         "op8_quality": op8_quality,
         "op7_substring_dedup": op7_substring_dedup,
+        "op11_collocations": op11_collocations,
+        "op12_hard_negatives": op12_hard_negatives,
+        "op13_best_fit_packing": op13_best_fit_packing,
     }

@@ -70,8 +70,10 @@ def _blocks(hashed: np.ndarray, first: np.ndarray, cfg: SubstringDedup):
     size = np.diff(np.concatenate((begin, [total])))
     start = at[begin]
     with np.errstate(over="ignore"):
+        # The first and the last window hold all words of a block.
         shape = (place[begin] - start).astype(np.uint64) * np.uint64(1_000_003) + size.astype(np.uint64)
-        block = W.mix(W.sums(hashed, start, start + size + cfg.window - 1) + W.mix(shape, 7), 8)
+        wide = W.windows(hashed, cfg.window)
+        block = W.mix(W.mix(wide[start] + W.mix(shape, 7), 8) + wide[start + size - 1], 8)
     return texts[begin], start - first[texts[begin]], size, grams[place[begin]], block
 
 
@@ -108,7 +110,7 @@ def _edge_windows(cfg: SubstringDedup):
                 start, size = np.concatenate(start), np.concatenate(size)
                 local = np.repeat(start, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
                 at = local + words.first[owner]
-                window = W.mix(W.sums(hashed, at, at + cfg.window), 9)
+                window = W.windows(hashed, cfg.window)[at]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(window.view(np.int64)), pa.array(ids[row + owner]), pa.array(tags[row + owner]),
                      pa.array(local.astype(np.int32))], names=["window", "doc_id", "tag", "start"])

@@ -13,15 +13,15 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are turned into arrays at once (a longer single text is handled alone).
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 500_000
 #: White space of the contracts: blank, tab, line feed, vertical tab, form feed, carriage return.
 SPACES = (32, 9, 10, 11, 12, 13)
 
 _RNG = np.random.Generator(np.random.PCG64(20_240_917))
-_BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACE = _RNG.integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_POWERS = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
+#: Masks of the first 0 to 8 bytes of eight.
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
 _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[list(SPACES)] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -74,13 +74,18 @@ def chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int
         row = to
 
 
-def split(data: np.ndarray, borders: np.ndarray) -> Words:
-    """Words of the texts whose bytes lie between ``borders``."""
+def lowered(data: np.ndarray) -> bytes:
+    """The bytes with A-Z folded."""
+    return _LOWER[data].tobytes()
+
+
+def split(data: np.ndarray, borders: np.ndarray, blank: np.ndarray = _IS_SPACE) -> Words:
+    """Words of the texts whose bytes lie between ``borders``; ``blank`` tells per byte value if it stands between words."""
     n = len(data)
     if n == 0:
         none = np.zeros(0, dtype=np.int64)
         return Words(data, none, none, np.zeros(len(borders), dtype=np.int64))
-    solid = ~_IS_SPACE[data]
+    solid = ~blank[data]
     begins = solid.copy()
     begins[1:] &= ~solid[:-1]
     inner = borders[(borders > 0) & (borders < n)]
@@ -93,35 +98,30 @@ def split(data: np.ndarray, borders: np.ndarray) -> Words:
     return Words(data, starts, ends, np.searchsorted(starts, borders))
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first ``n`` powers of the base and of its inverse modulo 2**64 (kept between calls)."""
-    if len(_POWERS[0]) < n:
-        inverse = np.uint64(pow(int(_BASE), -1, 2**64))
-        with np.errstate(over="ignore"):
-            for k, base in enumerate((_BASE, inverse)):
-                table = np.ones(max(n, CHUNK_BYTES + 1), dtype=np.uint64)
-                np.multiply.accumulate(np.full(len(table) - 1, base), out=table[1:])
-                _POWERS[k] = table
-    return _POWERS[0], _POWERS[1]
-
-
-def sums(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Polynomial sums of ranges of ``values``: differences of prefix sums, moved to the same power."""
-    power, back = _powers(len(values) + 1)
-    with np.errstate(over="ignore"):
-        sums = np.zeros(len(values) + 1, dtype=np.uint64)
-        np.cumsum(values * power[:len(values)], out=sums[1:])
-        return (sums[ends] - sums[starts]) * back[starts]
-
-
 def hashes(words: Words, lower: bool = False) -> np.ndarray:
-    """One 64-bit hash per word; ``lower`` folds A-Z first."""
+    """One 64-bit hash per word; ``lower`` folds A-Z first.
+
+    A word's eight-byte pieces are scrambled, each with its place, and summed: no structure of a text survives that, as it
+    would in a polynomial modulo 2**64."""
     if len(words.starts) == 0:
         return np.zeros(0, dtype=np.uint64)
-    table = _BYTE[_LOWER] if lower else _BYTE
+    data = np.zeros(len(words.data) + 8, dtype=np.uint8)
+    data[:-8] = _LOWER[words.data] if lower else words.data
+    eight = np.ndarray((len(words.data),), dtype="<u8", buffer=data, strides=(1,))  # the eight bytes from each place on
+    size = words.ends - words.starts
+    pieces = (size + 7) >> 3
+    total = mix(eight[words.starts] & _FIRST[np.minimum(size, 8)])
+    long = np.flatnonzero(pieces > 1)
     with np.errstate(over="ignore"):
-        sizes = (words.ends - words.starts).astype(np.uint64)
-        return mix(sums(table[words.data], words.starts, words.ends) + sizes * _BASE)
+        if len(long):
+            more = pieces[long] - 1
+            begin = np.cumsum(more) - more
+            place = np.arange(int(more.sum())) - np.repeat(begin, more) + 1
+            at = np.repeat(words.starts[long], more) + 8 * place
+            left = np.repeat(words.ends[long], more) - at
+            value = mix((eight[at] & _FIRST[np.minimum(left, 8)]) ^ mix(place.astype(np.uint64), 3), 4)
+            total[long] += np.add.reduceat(value, begin)
+        return mix(total + size.astype(np.uint64) * _BASE, 5)
 
 
 def runs(values: np.ndarray, first: np.ndarray, width: int, whole_if_short: bool = False) -> tuple[np.ndarray, np.ndarray]:
@@ -149,14 +149,33 @@ def runs(values: np.ndarray, first: np.ndarray, width: int, whole_if_short: bool
     return result, begin
 
 
+def windows(values: np.ndarray, width: int) -> np.ndarray:
+    """Hash of every ``width`` consecutive values, joined from hashes of halves and of halves of these."""
+    parts, have, size = [], values, 1
+    at = 0
+    with np.errstate(over="ignore"):
+        while True:
+            if width & size:  # the part of this size begins behind the smaller ones
+                parts.append((at, have))
+                at += size
+            if 2 * size > width:
+                break
+            have = mix(have[:len(have) - size] * _BASE + have[size:], size) if len(have) > size else have[:0]
+            size *= 2
+        n = max(len(values) - width + 1, 0)
+        total = np.full(n, np.uint64(width), dtype=np.uint64)
+        for k, (offset, part) in enumerate(parts):
+            total = mix(total * _BASE + part[offset:offset + n], k)
+    return total
+
+
 def rolling(values: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """As ``runs``, for wide windows: polynomial sums by differences of prefix sums, so the width costs nothing."""
-    counts = np.diff(first)
-    out = np.maximum(counts - width + 1, 0)
+    """As ``runs``, for wide windows; the cost grows with the logarithm of the width."""
+    out = np.maximum(np.diff(first) - width + 1, 0)
     begin = np.zeros(len(first), dtype=np.int64)
     np.cumsum(out, out=begin[1:])
     texts = np.flatnonzero(out)
     if len(texts) == 0:
         return np.zeros(0, dtype=np.uint64), begin
     at = np.repeat(first[texts] - begin[texts], out[texts]) + np.arange(begin[-1])
-    return mix(sums(values, at, at + width), width), begin
+    return windows(values, width)[at], begin
