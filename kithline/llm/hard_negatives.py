@@ -301,10 +301,10 @@ def _select(cfg: HardNegatives, windows: bool):
             out = []
             for row in batch.to_pylist():
                 dim, blocks = row["dim"], row["maps"]
-                a = _array(row["vectors"], np.int32).reshape(-1, dim)
                 labels, n = _array(row["labels"]), len(row["labels"]) // 8
-                low = _array(b"".join(m["low"] for m in blocks), np.int32).reshape(-1, dim)
-                high = _array(b"".join(m["high"] for m in blocks), np.int32).reshape(-1, dim)
+                a = _array(row["vectors"], np.int32).reshape(n, dim)
+                low = _array(b"".join(m["low"] for m in blocks), np.int32).reshape(len(blocks), dim)
+                high = _array(b"".join(m["high"] for m in blocks), np.int32).reshape(len(blocks), dim)
                 least_score, most_score = bounds(a, low, high)
                 least = _array(row["least"]).reshape(n, -1)
                 if windows:
@@ -339,8 +339,8 @@ def _read(cfg: HardNegatives, windows: bool):
                 one = {c: batch.column(c)[k].as_py() for c in batch.schema.names}
                 dim = one["dim"]
                 who = _array(one["who"], np.int32)
-                a = _array(one["a_vectors"], np.int32).reshape(-1, dim)[who]
                 n = len(one["a_rows"]) // 8
+                a = _array(one["a_vectors"], np.int32).reshape(n, dim)[who]
                 rows, ids = _array(one["rows"]), _array(one["ids"])
                 x = _array(one["vectors"], np.int32).reshape(len(rows), dim)
                 score = _product(a, x)

@@ -433,4 +433,4 @@ def test_against_sql(spark, name):
 
 
 def test_every_operator_is_registered(spark):
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.queries()) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.queries()) == list(range(1, 14))
