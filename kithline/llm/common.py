@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kithline.plans.staging import Staged, Staging
 
-#: Ids that may be broadcast (16 MB of numbers); with more of them, a shuffle join is used.
-BROADCAST_IDS = 2_000_000
+#: Rows of numbers that may be broadcast: as a hash table on the executors they take some 50 to 100 bytes each, so 20 MB
+#: at most. With more of them, a shuffle join is used.
+BROADCAST_IDS = 200_000
+#: Bytes of a batch that goes to a Python worker while an operator handles many long texts at once.
+BATCH_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +38,32 @@ def met(table_: Staged) -> DataFrame:
     return F.broadcast(table_.df) if table_.rows <= BROADCAST_IDS else table_.df
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Within it, batches for Python workers hold ``BATCH_BYTES`` at most, or one row."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
+def bitmap(rows: DataFrame, hashed: Column, bits: int) -> np.ndarray:
+    """A table of ``bits`` bits (a power of two), 64 to a word, with one set per hash that occurs. The words are put
+    together by Spark, so at most ``bits / 64`` rows reach the driver, whatever the input."""
+    slot = rows.select(hashed.bitwiseAND(F.lit(bits - 1)).alias("slot"))
+    words = slot.groupBy(F.shiftright("slot", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("set")).toArrow()
+    table = np.zeros(max(bits // 64, 1), dtype=np.uint64)
+    table[words.column("word").to_numpy()] = words.column("set").to_numpy().view(np.uint64)
+    return table
+
+
 def connected_components(edges: DataFrame, staging: Staging, max_rounds: int = 60) -> DataFrame:
     """(id, root) of every node of ``edges(a, b)`` that is not its component's smallest.
 

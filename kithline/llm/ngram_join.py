@@ -1,18 +1,18 @@
 """Exact self-join of documents on the Jaccard similarity of their word shingles, with several global token orders.
 
 A set of n shingles and one that overlaps it enough must share one of the first ``n - ceil(t n) + 1`` shingles of *any*
-global order. One order makes the candidates, and a candidate pair must also share a prefix shingle under each further
-order before the sets are compared. All orders put frequent shingles last (by a fixed-size count table over all
-documents), so that passages which many documents share are in hardly any prefix.
+global order. One order makes the candidates. All orders put frequent shingles last (by a fixed-size count table over
+all documents), so that passages which many documents share are in hardly any prefix.
 
-Texts travel only for candidates that a cheap bound leaves: parities of the shingles per slot tell in how many shingles
-two sets differ at least, and so how large their overlap can be at most.
+Filters meet before any text travels: a candidate pair must share a prefix shingle under every further order, which the
+sets' prefix signatures (32 bits a shingle) tell, and the parities of the shingles per slot, which tell in how many
+shingles two sets differ at least, must leave room for the overlap. Texts are fetched for the pairs that are left, and compared.
 
-Equal sets are one class, standing for all its documents. Candidates are met in an order that spares most of them, and
-loses no link: every member of a prefix bucket first meets one member of it, the links found give components, and this
-is repeated with other members while it joins components; then all bucket members of *different* components meet.
-A group of k near copies so costs some k comparisons, not k*k. Where in its prefix a shingle stands bounds the overlap of
-two sets whose first common shingle it is, which spares more.
+Equal sets are one class before anything else: tasks emit a set once, and Spark's partial aggregation does the rest, so a
+copy group of any size is one set. Candidates are met in an order that spares most of them, and loses no link: every
+member of a prefix bucket first meets one member of it, and the links found give components; then the bucket members of
+*different* components meet, in tiles of bounded size. A group of k near copies so costs some k comparisons, not k*k.
+Where in its prefix a shingle stands bounds the overlap of two sets whose first common shingle it is, which spares more.
 
 Defined results: a null or wordless text has no shingle and no link; a text of fewer words than a shingle is one shingle;
 rows with the same id are one node; a row without id gets its set size and no component; other columns are ignored.
@@ -27,10 +27,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
+from kithline.config import DEFAULT
 from kithline.llm import words as W
-from kithline.llm.common import connected_components, only_ids
+from kithline.llm.common import bitmap, connected_components, met, small_batches
+from kithline.operators.skew import tiled_join
 from kithline.plans.staging import Staged, Staging
 
 
@@ -38,17 +39,17 @@ from kithline.plans.staging import Staged, Staging
 class JaccardJoin:
     width: int = 5
     percent: int = 75
-    #: Further orders that a candidate pair must pass before it is compared.
+    #: Further orders under which a candidate pair must share a prefix shingle.
     more_orders: int = 2
-    #: Entries of the count table (its size does not depend on the input).
+    #: Entries of the count table, and bits of the table of shared prefix shingles (their sizes do not depend on the input).
     count_slots: int = 1 << 17
-    #: Bucket members meet one of theirs until at most so many pairs of different components per member are left.
-    pairs_per_member: int = 2
-    most_attempts: int = 1
+    shared_bits: int = 1 << 25
     #: Pairs of different components from which on a bucket's join looks at parities, before a pair comes to be.
     dense_pairs: int = 2_000
     #: First shingles of a set that are looked through for an earlier meeting of two sets in a crowded bucket.
     earlier: int = 32
+    #: Sets that a task remembers, so as to emit each once.
+    task_sets: int = 200_000
 
 
 def _sets(texts: pa.Array, cfg: JaccardJoin) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -67,52 +68,59 @@ def _parities(tokens: np.ndarray, most: int = 8192, slots: int = 64) -> bytes:
     return np.packbits(hit.astype(np.uint8)).tobytes()
 
 
-def _bounded(cfg: "JaccardJoin"):
-    """Keeps the pairs whose overlap, as the parities bound it from above, can be large enough."""
+def _overlap_bound(bits_a: bytes, bits_b: bytes, n_a: int, n_b: int) -> int:
+    """The most shingles two sets can have in common, as their parities tell."""
+    a, b = np.frombuffer(bits_a, dtype=np.uint8), np.frombuffer(bits_b, dtype=np.uint8)
+    while len(a) > len(b):
+        a = a[:len(a) // 2] ^ a[len(a) // 2:]
+    while len(b) > len(a):
+        b = b[:len(b) // 2] ^ b[len(b) // 2:]
+    return (n_a + n_b - int(np.bitwise_count(a ^ b).sum())) // 2
+
+
+def _filtered(cfg: JaccardJoin):
+    """Keeps the pairs that share a prefix shingle under every further order, and whose parities allow enough overlap."""
+    columns = ("bits_a", "bits_b", "n_a", "n_b", "orders_a", "orders_b")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("bits_a", "bits_b", "n_a", "n_b")]
             kept = []
-            for k, (bits_a, bits_b, n_a, n_b) in enumerate(zip(*columns)):
-                a, b = np.frombuffer(bits_a, dtype=np.uint8), np.frombuffer(bits_b, dtype=np.uint8)
-                while len(a) > len(b):
-                    a = a[:len(a) // 2] ^ a[len(a) // 2:]
-                while len(b) > len(a):
-                    b = b[:len(b) // 2] ^ b[len(b) // 2:]
-                common = (n_a + n_b - int(np.bitwise_count(a ^ b).sum())) // 2
-                if 100 * common >= cfg.percent * (n_a + n_b - common):
+            for k, (bits_a, bits_b, n_a, n_b, orders_a, orders_b) in enumerate(zip(*[batch.column(c).to_pylist() for c in columns])):
+                common = _overlap_bound(bits_a, bits_b, n_a, n_b)
+                if 100 * common >= cfg.percent * (n_a + n_b - common) and all(
+                        len(np.intersect1d(np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32), True)) for x, y in zip(orders_a, orders_b)):
                     kept.append(k)
             yield batch.select(["a", "b"]).take(pa.array(kept, type=pa.int64()))
     return run
 
 
+def _keys(tokens: np.ndarray, sizes: np.ndarray, seed: int) -> np.ndarray:
+    """One 64-bit key per set, of its shingles in any order."""
+    sums = np.zeros(len(tokens) + 1, dtype=np.uint64)
+    np.cumsum(W.mix(tokens, seed), out=sums[1:])
+    border = np.concatenate(([0], np.cumsum(sizes)))
+    return W.mix(sums[border[1:]] - sums[border[:-1]], seed).view(np.int64)
+
+
 def _describe(cfg: JaccardJoin):
-    """Rows (kind 0, doc_id, set size, key, parities) per document, then (kind 1, slot, count) for the count table."""
-    names = ["kind", "id", "n", "key1", "key2", "bits", "short"]
+    """Rows (kind 0, doc_id, tag, set size, set, key) per document, then (kind 1, slot, .., count) for the count table."""
+    names = ["kind", "id", "tag", "n", "set", "key"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(cfg.count_slots, dtype=np.int64)
         for batch in batches:
-            ids = batch.column("doc_id")
+            ids, tags = batch.column("doc_id"), batch.column("tag")
             for row, sets in _sets(batch.column("text"), cfg):
                 sizes = np.array([len(s) for s in sets], dtype=np.int64)
                 tokens = np.concatenate(sets)
-                counts += np.bincount((tokens % np.uint64(cfg.count_slots)).astype(np.int64), minlength=cfg.count_slots)
-                keys = []
-                for seed in (101, 102):
-                    sums = np.concatenate(([0], np.cumsum(W.mix(tokens, seed), dtype=np.uint64))).astype(np.uint64)
-                    border = np.concatenate(([0], np.cumsum(sizes)))
-                    keys.append((sums[border[1:]] - sums[border[:-1]]).view(np.int64))
+                np.add.at(counts, (tokens % np.uint64(cfg.count_slots)).astype(np.int64), 1)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.zeros(len(sets), dtype=np.int32)), ids.slice(row, len(sets)), pa.array(sizes),
-                     pa.array(keys[0]), pa.array(keys[1]), pa.array([_parities(s) for s in sets], type=pa.binary()),
-                     pa.array([np.frombuffer(_parities(s, 512, 512), dtype=np.int64) for s in sets], type=pa.list_(pa.int64()))],
-                    names=names)
+                    [pa.array(np.zeros(len(sets), dtype=np.int32)), ids.slice(row, len(sets)), tags.slice(row, len(sets)), pa.array(sizes),
+                     pa.array(_keys(tokens, sizes, 101)), pa.array(_keys(tokens, sizes, 102))], names=names)
         slots = np.flatnonzero(counts)
         zero = pa.array(np.zeros(len(slots), dtype=np.int64))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.ones(len(slots), dtype=np.int32)), pa.array(slots), pa.array(counts[slots]), zero, zero,
-             pa.nulls(len(slots), pa.binary()), pa.nulls(len(slots), pa.list_(pa.int64()))], names=names)
+            [pa.array(np.ones(len(slots), dtype=np.int32)), pa.array(slots), zero, pa.array(counts[slots]), zero, zero], names=names)
     return run
 
 
@@ -134,64 +142,90 @@ def _prefix(tokens: np.ndarray, order: int, levels: np.ndarray, cfg: JaccardJoin
     return tokens[first[np.argsort(rank[first])]]
 
 
-def _postings(levels, cfg: JaccardJoin):
-    """(token, doc_id, place) of every document's prefix in the first order."""
+def _new_sets(batches: Iterator[pa.RecordBatch], cfg: JaccardJoin) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
+    """(sets, their keys) of the texts, each set that is not empty mostly once."""
+    seen: set[int] = set()
+    for batch in batches:
+        for _, sets in _sets(batch.column("text"), cfg):
+            sizes = np.array([len(s) for s in sets], dtype=np.int64)
+            keys = _keys(np.concatenate(sets), sizes, 101)
+            fresh = []
+            for k, key in enumerate(keys.tolist()):
+                if sizes[k] and key not in seen:
+                    seen.add(key)
+                    fresh.append(k)
+            if len(seen) > cfg.task_sets:
+                seen = set()
+            if fresh:
+                yield [sets[k] for k in fresh], keys[fresh]
+
+
+def _prefix_tokens(levels, cfg: JaccardJoin):
+    """(token, set) of every set's prefix in the first order."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-            for row, sets in _sets(batch.column("text"), cfg):
-                parts = [_prefix(s, 1, levels.value, cfg) if len(s) else s for s in sets]
-                sizes = np.array([len(p) for p in parts])
-                owner = np.repeat(ids[row:row + len(sets)], sizes)
-                place = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(parts).view(np.int64)), pa.array(owner.astype(np.int64)), pa.array(place.astype(np.int32))],
-                    names=["token", "doc_id", "place"])
+        for sets, keys in _new_sets(batches, cfg):
+            parts = [_prefix(s, 1, levels.value, cfg) for s in sets]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(parts).view(np.int64)), pa.array(np.repeat(keys, [len(p) for p in parts]))], names=["token", "set"])
     return run
 
 
-def _compare(levels, cfg: JaccardJoin):
-    """Keeps the pairs that pass every further order and then the exact comparison of their sets."""
-    orders = range(2, 2 + cfg.more_orders)
+_SKETCH = "token long, set long, n long, place int, bits binary, orders array<binary>, short array<bigint>, begin array<bigint>"
+
+
+def _sketches(levels, shared, cfg: JaccardJoin):
+    """(token, set, n, place) of prefix shingles that may be shared, then (set, n, bits, orders, short, begin) of their sets."""
+    names = [c.split()[0] for c in _SKETCH.split(", ")]
+    mask = np.uint64(cfg.shared_bits - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows == 0:
+        for sets, keys in _new_sets(batches, cfg):
+            tokens, owner, places, rows = [], [], [], []
+            for k, s in enumerate(sets):
+                prefix = _prefix(s, 1, levels.value, cfg)
+                slot = prefix & mask
+                hit = np.flatnonzero((shared.value[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1))
+                if len(hit):
+                    tokens.append(prefix[hit])
+                    owner.append(np.full(len(hit), k))
+                    places.append(hit)
+                    orders = [np.unique((_prefix(s, order, levels.value, cfg) >> np.uint64(32)).astype(np.uint32)).tobytes()
+                              for order in range(2, 2 + cfg.more_orders)]
+                    rows.append((k, len(s), _parities(s), orders, np.frombuffer(_parities(s, 512, 512), dtype=np.int64),
+                                 prefix[:cfg.earlier].view(np.int64)))
+            if not rows:
                 continue
-            # An id may have several texts, so a run of equal rows on the right is one of equal ids and texts.
-            right, tag = batch.column("b").to_numpy(), batch.column("tag_b").to_numpy()
-            new = np.concatenate(([True], (right[1:] != right[:-1]) | (tag[1:] != tag[:-1])))
-            change, which = np.flatnonzero(new), np.cumsum(new) - 1
-            others = [s for _, sets in _sets(batch.column("text_b").take(pa.array(change)), cfg) for s in sets]
-            prefixes: dict[tuple[int, int], np.ndarray] = {}
-            kept = []
-            for row, sets in _sets(batch.column("text_a"), cfg):
-                for k, a in enumerate(sets):
-                    at = which[row + k]
-                    b = others[at]
-                    passed = len(a) > 0 and len(b) > 0
-                    for order in orders if passed else ():
-                        if (at, order) not in prefixes:
-                            prefixes[at, order] = _prefix(b, order, levels.value, cfg)
-                        if not len(np.intersect1d(_prefix(a, order, levels.value, cfg), prefixes[at, order], True)):
-                            passed = False
-                            break
-                    if passed:
-                        common = len(np.intersect1d(a, b, True))
-                        if 100 * common >= cfg.percent * (len(a) + len(b) - common):
-                            kept.append(row + k)
-            yield batch.select(["a", "b"]).take(pa.array(kept, type=pa.int64()))
+            owner, n = np.concatenate(owner), len(np.concatenate(tokens))
+            size = np.array([len(s) for s in sets], dtype=np.int64)
+            none = [pa.nulls(n, t) for t in (pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int64()), pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(tokens).view(np.int64)), pa.array(keys[owner]), pa.array(size[owner]),
+                 pa.array(np.concatenate(places).astype(np.int32)), *none], names=names)
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(len(rows), pa.int64()), pa.array(keys[[r[0] for r in rows]]), pa.array([r[1] for r in rows], pa.int64()),
+                 pa.nulls(len(rows), pa.int32()), pa.array([r[2] for r in rows], pa.binary()), pa.array([r[3] for r in rows], pa.list_(pa.binary())),
+                 pa.array([r[4] for r in rows], pa.list_(pa.int64())), pa.array([r[5] for r in rows], pa.list_(pa.int64()))], names=names)
     return run
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, levels, cfg: JaccardJoin, staging: Staging) -> DataFrame:
-    """The pairs ``(a, b)`` that link. Texts travel only for ids that occur in a pair."""
-    pairs = staging.put(pairs, "pairs")
-    ids = staging.put(pairs.df.select(F.col("a").alias("id")).union(pairs.df.select("b")).distinct(), "ids")
-    texts = only_ids(docs.select("doc_id", "text"), ids, "doc_id")
-    left = pairs.df.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-    both = left.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"), F.xxhash64("text").alias("tag_b")), "b")
-    return both.mapInArrow(_compare(levels, cfg), "a long, b long")
+def _compare(cfg: JaccardJoin):
+    """Keeps the pairs whose sets are similar enough. A run of equal sets on the right is read once."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            right, kept = batch.column("b").to_numpy(), []
+            for row, sets in _sets(batch.column("text_a"), cfg):
+                at = np.arange(row, row + len(sets))
+                change = at[np.concatenate(([True], right[at[1:]] != right[at[:-1]]))]
+                others = (s for _, some in _sets(batch.column("text_b").take(pa.array(change)), cfg) for s in some)
+                starts, b = set(change.tolist()), None
+                for k, a in zip(at.tolist(), sets):
+                    if k in starts:
+                        b = next(others)
+                    common = len(np.intersect1d(a, b, True))
+                    if common and 100 * common >= cfg.percent * (len(a) + len(b) - common):
+                        kept.append(k)
+            yield batch.select(["a", "b"]).take(pa.array(kept, type=pa.int64()))
+    return run
 
 
 def _fits(cfg: JaccardJoin):
@@ -205,84 +239,93 @@ def jaccard_components(docs: DataFrame, staging: Staging, cfg: JaccardJoin = Jac
     """(doc_id, n_shingles, component_id, class_id) of every row of ``docs(doc_id, text)``.
 
     ``class_id`` is the smallest document with the same set, ``component_id`` the smallest one that links reach."""
-    spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    described = staging.put(docs.mapInArrow(_describe(cfg), "kind int, id long, n long, key1 long, key2 long, bits binary, short array<bigint>"), "sets").df
-    levels = spark.sparkContext.broadcast(_levels(described.where("kind = 1"), cfg))
-    sets = described.where("kind = 0")
-    classes = sets.where("n > 0").groupBy("n", "key1", "key2").agg(F.min("id").alias("class_id"))
-    members = staging.put(sets.join(classes, ["n", "key1", "key2"], "left").select(
-        F.col("id").alias("doc_id"), "n", F.coalesce("class_id", "id").alias("class_id"), "bits", "short"), "classes").df
-    node = members.where("n > 0 and doc_id is not null").select("doc_id", "class_id", "n").distinct()
-    parities = members.where("n > 0 and doc_id = class_id").select("doc_id", "n", "bits", "short").distinct()
-
-    def possible(pairs: DataFrame) -> DataFrame:
-        """The pairs whose parities allow a link; texts are fetched for these only."""
-        for side in ("a", "b"):
-            pairs = pairs.join(parities.select(F.col("doc_id").alias(side), F.col("n").alias(f"n_{side}"),
-                                               F.col("bits").alias(f"bits_{side}")), [side, f"n_{side}"])
-        return pairs.mapInArrow(_bounded(cfg), "a long, b long").distinct()
-
-    bucket = Window.partitionBy("token")
-
-    def across_labels(rows: DataFrame, name: str) -> Staged:
+    with small_batches(docs.sparkSession):
+        return _components(docs, staging, cfg)
+
+
+def _components(docs: DataFrame, staging: Staging, cfg: JaccardJoin) -> DataFrame:
+    context = docs.sparkSession.sparkContext
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tag"))
+    described = staging.put(docs.mapInArrow(_describe(cfg), "kind int, id long, tag long, n long, set long, key long"), "sets").df
+    levels = context.broadcast(_levels(described.where("kind = 1"), cfg))
+    rows = described.where("kind = 0")
+    # Equal sets are one class; its smallest id, and there its smallest tag, say where its text is.
+    classes = rows.where("n > 0 and id is not null").groupBy("set", "key", "n").agg(F.min("id").alias("class_id"))
+    classes = staging.put(rows.join(classes, ["set", "key", "n"]).where("id = class_id").groupBy("set", "key", "n", "class_id").agg(
+        F.min("tag").alias("tag")), "classes")
+    named = docs.where("doc_id is not null")
+
+    tokens = named.mapInArrow(_prefix_tokens(levels, cfg), "token long, set long").groupBy("token").agg(
+        F.min("set").alias("low"), F.max("set").alias("high")).where("low < high").select("token")
+    tokens = staging.put(tokens, "shared-tokens").df
+    shared = context.broadcast(bitmap(tokens, F.col("token"), cfg.shared_bits))
+    sketched = staging.put(named.mapInArrow(_sketches(levels, shared, cfg), _SKETCH), "sketches").df
+    postings = sketched.where("token is not null").select("token", "set", "n", "place").join(tokens, "token").groupBy("token", "set", "n").agg(
+        F.min("place").alias("place"))
+    sketches = staging.put(sketched.where("token is null").select("set", "n", "bits", "orders", "short", "begin").dropDuplicates(["set"]), "set-sketches").df
+
+    def verified(pairs: DataFrame) -> Staged:
+        """The pairs ``(a, b)`` of sets that link. Filters first; texts travel only for what they leave."""
+        for side in "ab":
+            pairs = pairs.join(sketches.select(F.col("set").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("n", "bits", "orders")]), side)
+        pairs = staging.put(pairs.mapInArrow(_filtered(cfg), "a long, b long"), "pairs").df
+        sets = pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct()
+        places = staging.put(sets.join(classes.df, "set").select("set", F.col("class_id").alias("doc_id"), "tag"), "places")
+        texts = named.join(met(places), ["doc_id", "tag"]).select("set", "text").dropDuplicates(["set"])
+        texts = staging.put(texts, "texts").df
+        both = pairs.join(texts.select(F.col("set").alias("a"), F.col("text").alias("text_a")), "a").join(
+            texts.select(F.col("set").alias("b"), F.col("text").alias("text_b")), "b")
+        return staging.put(both.mapInArrow(_compare(cfg), "a long, b long"), "set-links")
+
+    def mixed(members: DataFrame, name: str) -> DataFrame:
         """The members of buckets that hold more than one component."""
-        limits = {"low": F.min("label").over(bucket), "high": F.max("label").over(bucket)}
-        return staging.put(rows.withColumns(limits).where("low < high").drop("low", "high"), name)
-
-    postings = docs.where("doc_id is not null").mapInArrow(_postings(levels, cfg), "token long, doc_id long, place int")
-    limits = {"low": F.min("doc_id").over(bucket), "high": F.max("doc_id").over(bucket)}
-    shared = staging.put(postings.withColumns(limits).where("low < high").drop("low", "high"), "buckets").df
-    classed = shared.join(node, "doc_id").groupBy("token", F.col("class_id").alias("id"), "n").agg(F.min("place").alias("place"))
-    mixed = across_labels(classed.withColumn("label", F.col("id")), "mixed")
-    tried, found = None, None
-    for attempt in range(cfg.most_attempts):
-        # Every member of a bucket meets one of its members, another one at each attempt.
-        member = F.struct(F.xxhash64("id", F.lit(attempt)).alias("draw"), "id", "n", "place", "label")
-        stars = mixed.df.withColumn("first", F.min(member).over(bucket)).where("label != first.label").select(
-            F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("place").alias("place_a"),
-            F.col("first.id").alias("b"), F.col("first.n").alias("n_b"), F.col("first.place").alias("place_b")).where(_fits(cfg))
-        swap = F.col("a") < F.col("b")
-        stars = stars.select(*[F.when(swap, F.col(y)).otherwise(F.col(x)).alias(x) for x, y in
-                               (("a", "b"), ("b", "a"), ("n_a", "n_b"), ("n_b", "n_a"))]).distinct()
-        if tried is not None:
-            stars = stars.join(tried.select("a", "b"), ["a", "b"], "left_anti")
-        stars = staging.put(stars, "stars")
-        tried = stars.df if tried is None else tried.unionByName(stars.df)
-        links = staging.put(_verified(docs, possible(stars.df), levels, cfg, staging), "links")
-        found = links.df if found is None else found.unionByName(links.df)
-        roots = connected_components(found, staging).withColumnRenamed("root", "new")
-        mixed = across_labels(mixed.df.join(roots, "id", "left").withColumn("label", F.coalesce("new", "label")).drop("new"), "mixed")
-        per_token = mixed.df.groupBy("token", "label").agg(F.count(F.lit(1)).alias("k")).groupBy("token").agg(
-            ((F.pow(F.sum("k"), F.lit(2)) - F.sum(F.col("k") * F.col("k"))) / 2).alias("pairs"))
-        per_token = staging.put(per_token, "bucket-pairs").df
-        pairs = per_token.agg(F.sum("pairs")).first()[0] or 0
-        if links.rows * 20 <= stars.rows or pairs <= cfg.pairs_per_member * mixed.rows:
-            break
-
-    def across(rows: DataFrame, *more: str) -> DataFrame:
-        sides = [rows.select("token", F.col("id").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("n", "place", "label", *more)])
-                 for s in "ab"]
-        condition = (F.col("a") > F.col("b")) & (F.col("label_a") != F.col("label_b")) & _fits(cfg)
-        if more:
-            apart = F.aggregate(F.zip_with("short_a", "short_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
-            common = (F.col("n_a") + F.col("n_b") - apart) / 2
-            condition &= common * (100 + cfg.percent) >= (F.col("n_a") + F.col("n_b")) * cfg.percent
-            # A pair that shares an earlier shingle comes to be there, and not once more for every further one.
-            condition &= ~F.coalesce(F.arrays_overlap("earlier_a", "earlier_b"), F.lit(False))
-        return sides[0].join(sides[1], on=[sides[0]["token"] == sides[1]["token"], condition]).select("a", "b", "n_a", "n_b")
-
-    dense = per_token.where(F.col("pairs") > cfg.dense_pairs).select("token")
-    crowded = mixed.df.join(dense, "token", "left_semi").join(
-        parities.select(F.col("doc_id").alias("id"), "n", "short"), ["id", "n"])
-    begins = mixed.df.groupBy("id", "n").agg(F.slice(F.array_sort(F.collect_list(F.struct("place", "token"))), 1, cfg.earlier).alias("begin"))
-    crowded = crowded.join(begins, ["id", "n"]).withColumn("earlier", F.transform(
-        F.filter("begin", lambda x: x["place"] < F.col("place")), lambda x: x["token"])).drop("begin")
-    pairs = across(mixed.df.join(dense, "token", "left_anti")).unionByName(across(crowded, "short", "earlier"))
-    pairs = pairs.distinct().join(tried.select("a", "b"), ["a", "b"], "left_anti")
-    more = _verified(docs, possible(pairs), levels, cfg, staging)
-    same = node.where("doc_id != class_id").select(F.col("doc_id").alias("a"), F.col("class_id").alias("b"))
-    final = connected_components(found.unionByName(more).unionByName(same), staging)
-    return members.join(final.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"),
-        F.coalesce("root", "doc_id").alias("component_id"), "class_id")
+        several = members.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+        return staging.put(members.join(several.select("token"), "token"), name).df
+
+    # Every member of a bucket meets one of its members.
+    members = staging.put(postings, "buckets").df.withColumn("draw", F.xxhash64("set"))
+    chosen = members.groupBy("token").agg(*[F.min_by(c, "draw").alias(f"{c}_b") for c in ("n", "place")], F.min_by("set", "draw").alias("b"))
+    stars = members.select("token", F.col("set").alias("a"), F.col("n").alias("n_a"), F.col("place").alias("place_a")).join(
+        chosen, "token").where((F.col("a") != F.col("b")) & _fits(cfg))
+    stars = staging.put(stars.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "stars").df
+    found = verified(stars).df
+    roots = connected_components(found, staging)
+    rest = mixed(members.drop("draw").join(roots.withColumnRenamed("id", "set"), "set", "left").withColumn(
+        "label", F.coalesce("root", "set")).drop("root"), "mixed")
+
+    # Then the members of different components meet; those of crowded buckets only where their parities allow, and
+    # where they share no earlier shingle, so that a pair comes once and not for every shingle that it shares.
+    per_token = rest.groupBy("token", "label").agg(F.count(F.lit(1)).alias("k")).groupBy("token").agg(
+        ((F.pow(F.sum("k"), F.lit(2)) - F.sum(F.col("k") * F.col("k"))) / 2).alias("pairs"))
+    dense = staging.put(per_token.where(F.col("pairs") > cfg.dense_pairs).select("token"), "crowded-tokens")
+
+    def sides(rows: DataFrame, *more: str) -> list[DataFrame]:
+        return [rows.select("token", F.col("set").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("n", "place", "label", *more)]) for s in "ab"]
+
+    apart = (F.col("a") > F.col("b")) & (F.col("label_a") != F.col("label_b")) & _fits(cfg)
+    left, right = sides(rest.join(met(dense), "token", "left_anti"))
+    pairs = left.join(right, "token").where(apart).select("a", "b")
+    if dense.rows:
+        crowded = rest.join(met(dense), "token", "left_semi").join(sketches.select("set", "short", "begin"), "set")
+        before = F.slice("begin", F.lit(1), F.col("place"))
+        left, right = sides(crowded.withColumn("earlier", before).drop("begin"), "short", "earlier")
+        differ = F.aggregate(F.zip_with("short_a", "short_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
+        common = (F.col("n_a") + F.col("n_b") - differ) / 2
+        enough = common * (100 + cfg.percent) >= (F.col("n_a") + F.col("n_b")) * cfg.percent
+        met_before = F.coalesce(F.arrays_overlap("earlier_a", "earlier_b"), F.lit(False))
+        pairs = pairs.unionByName(tiled_join(left, right, ["token"], "a", "b", DEFAULT, staging).where(
+            apart & enough & ~met_before).select("a", "b"))
+    more = verified(staging.put(pairs.distinct().join(stars, ["a", "b"], "left_anti"), "across").df)
+
+    # Links between sets, and from every document to its set's smallest one.
+    smallest = classes.df.select("set", "class_id")
+    links = found.unionByName(more.df)
+    for side in "ab":
+        links = links.join(smallest.withColumnRenamed("set", side), side).drop(side).withColumnRenamed("class_id", f"doc_{side}")
+    members_of = staging.put(rows.join(classes.df.select("set", "key", "n", "class_id"), ["set", "key", "n"], "left").select(
+        F.col("id").alias("doc_id"), "n", F.coalesce("class_id", "id").alias("class_id")), "members").df
+    same = members_of.where("n > 0 and doc_id != class_id").select(F.col("doc_id").alias("a"), F.col("class_id").alias("b"))
+    final = connected_components(links.select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b")).unionByName(same), staging)
+    return members_of.join(final.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "doc_id").alias("component_id"),
+        F.when(F.col("doc_id").isNotNull(), F.col("class_id")).alias("class_id"))
