@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from kithline.llm import decontamination, fingerprints, html_text, language_id, oracle, quality, queries, secrets, sentencepiece_fst, toxicity
 from kithline.llm import words as W
 from kithline.llm.ngram_join import JaccardJoin, jaccard_components
-from kithline.llm.substring_dedup import remove_repeated_passages
+from kithline.llm import substring_dedup
+from kithline.llm.substring_dedup import SubstringDedup, remove_repeated_passages
 from kithline.plans.staging import Staging
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -205,7 +206,7 @@ def brute_components(rows):
     return collections.Counter((i, len(s), find(i)) for i in sets for s in sets[i])
 
 
-@pytest.mark.parametrize("cfg", [JaccardJoin(), JaccardJoin(count_slots=64, dense_pairs=0, pairs_per_member=0), JaccardJoin(most_attempts=1, dense_pairs=3)])
+@pytest.mark.parametrize("cfg", [JaccardJoin(), JaccardJoin(count_slots=64, dense_pairs=0, shared_bits=64), JaccardJoin(dense_pairs=3, task_sets=2)])
 def test_components_equal_brute_force(spark, cfg):
     rng = random.Random(11)
     rows = [r for r in RAGGED if r[0] is not None]
@@ -216,7 +217,7 @@ def test_components_equal_brute_force(spark, cfg):
             for _ in range(rng.randint(0, 5)):
                 copy[rng.randrange(len(copy))] = f"x{rng.randint(0, 9)}"
             rows.append((100 * base + k + 100, " ".join(copy[: rng.randint(70, 80)])))
-    rows += [(i + 1000, t) for i, t in rows[-5:]]
+    rows += [(i + 1000, t) for i, t in rows[-5:]] + [(i + 2000, rows[-1][1]) for i in range(70)]  # a third are copies of one text
     got = jaccard_components(docs_of(spark, rows), Staging(spark), cfg).select("doc_id", "n_shingles", "component_id").collect()
     assert collections.Counter(map(tuple, got)) == brute_components(rows)
 
@@ -389,11 +390,41 @@ def test_repeated_passages_equal_brute_force(spark):
         gone = {j for k in range(len(w) - 34) if count[tuple(w[k:k + 35])] > 1 for j in range(k, k + 35)}
         kept = " ".join(x for j, x in enumerate(w) if j not in gone)
         expected[i, len(w), len(gone), hashlib.sha256(kept.encode()).hexdigest(), kept] += 1
-    got = remove_repeated_passages(docs_of(spark, rows), Staging(spark), with_text=True).collect()
-    assert collections.Counter(map(tuple, got)) == expected
+    for cfg in (SubstringDedup(), SubstringDedup(task_texts=1)):
+        got = remove_repeated_passages(docs_of(spark, rows), Staging(spark), cfg, with_text=True).collect()
+        assert collections.Counter(tuple(r)[:5] for r in got) == expected
+    for r in got:  # the factors are what goes, and each is where its reference says
+        assert len({j for f in r.factors for j in range(f.start, f.start + f.words)}) == r.n_removed
     assert remove_repeated_passages(docs_of(spark, rows).limit(0), Staging(spark)).count() == 0
 
 
+def test_rows_without_id_and_copies_stay_apart(spark):
+    # 10,000 copies without id, others under one id, and a text that repeats nothing.
+    copy, alone = " ".join(f"c{k}" for k in range(60)), " ".join(f"u{k}" for k in range(60))
+    rows = [(None, copy)] * 10_000 + [(5, copy), (5, alone), (None, " ".join(f"v{k}" for k in range(50)))] + [(5, "short copy")] * 3
+    got = remove_repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(6), Staging(spark)).groupBy(
+        "doc_id", "n_words", "n_removed").count().collect()
+    assert {tuple(r) for r in got} == {(None, 60, 60, 10_000), (5, 60, 60, 1), (5, 60, 0, 1), (None, 50, 0, 1), (5, 2, 0, 3)}
+
+
+def test_factors_follow_the_reference():
+    found = [{"start": s, "size": n, "ref": r, "ref_start": at} for s, n, r, at in
+             ((0, 10, 7, 100), (10, 5, 7, 110), (15, 5, 7, 300), (20, 1, None, None), (40, 2, 8, 0))]
+    assert substring_dedup.factors(found, 35) == [(0, 49, 7, 100), (15, 40, 7, 300), (40, 36, 8, 0)]
+
+
+def test_hostile_words_are_not_equal(spark):
+    a, b = "a", "b"
+    for _ in range(10):
+        a, b = a + b, b + a
+    rows = [(1, " ".join([a] + [f"x{k}" for k in range(40)])), (2, " ".join([b] + [f"y{k}" for k in range(40)])),
+            (3, " ".join([a] * 41)), (4, " ".join([b] * 41))]
+    got = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), Staging(spark)).collect()
+    assert all(r.doc_id == r.component_id for r in got)
+    got = remove_repeated_passages(spark.createDataFrame(rows[:2], "doc_id long, text string"), Staging(spark)).collect()
+    assert all(r.n_removed == 0 for r in got)
+
+
 # --- op10
 
 @pytest.mark.parametrize("cfg", [fingerprints.ScaledSketch(), fingerprints.ScaledSketch(range_rows=3)])
