@@ -7,6 +7,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -96,6 +97,67 @@ def test_linked_lists_of_an_article_stay():
     assert html_text.main_text(page) == "\n\n".join([body, body, "The data", body])
 
 
+GOOD = "<p>A good paragraph, with commas, and of a fair length, as articles have them.</p>"
+TEXT = "A good paragraph, with commas, and of a fair length, as articles have them."
+
+
+@pytest.mark.parametrize("inner,expected", [
+    ("<header class='entry-header'><h1>Title</h1></header>{}", "Title\n\n{}"), ("<div class='article-header'><h1>Title</h1></div>{}", "Title\n\n{}"),
+    ("<div class='header'><h1>Title</h1></div>{}", "Title\n\n{}"), ("<h1>Comments</h1>{}", "Comments\n\n{}"), ("<h2>Related</h2>{}", "Related\n\n{}"),
+    ("{}<section id='related-work'><h2>Related work</h2><p>Others, too.</p></section>", "{}\n\nRelated work\n\nOthers, too."),
+    ("{}<div id='discussion'><p>We discuss.</p></div>", "{}\n\nWe discuss."), ("{}<p class='modal-verbs'>May and must.</p>", "{}\n\nMay and must."),
+    ("{}<section><h2>Responses</h2><p>The cell responds.</p></section>", "{}\n\nResponses\n\nThe cell responds."),
+    ("{}<span class=ad><span>buy</span> now</span>", "{}"), ("{}<div class='share-buttons'>Share</div><div id=comments><p>First!</p></div>", "{}"),
+    ("{}<section><h2>3 Comments</h2><p>Nice, really, nice, so nice, very.</p></section>", "{}"), ("{}<div class='ad'>Buy</div><nav>x</nav><footer>y</footer>", "{}"),
+    ("<div class='widget'>{}</div>", "{}"),
+])
+def test_what_an_article_keeps(inner, expected):
+    for tag in ("article", "main"):
+        page = f"<body><nav><a href=/>Home</a></nav><{tag}>{inner.format(GOOD)}</{tag}><footer>f</footer></body>"
+        assert html_text.main_text(page) == expected.format(TEXT)
+
+
+def test_several_articles_and_wrapped_pages():
+    assert html_text.main_text(f"<main><article>{GOOD}</article><article>{GOOD}</article></main>") == f"{TEXT}\n\n{TEXT}"
+    assert html_text.main_text(f"<body><article>{GOOD}</article><article>{GOOD}</article><article><p>x</p></article></body>") == f"{TEXT}\n\n{TEXT}"
+    assert html_text.main_text(f"<body><div class='with-sidebar'><div>{GOOD * 3}</div></div><div class='sidebar'>s</div></body>") == "\n\n".join([TEXT] * 3)
+    assert html_text.main_text(f"<main><div>intro</div><article>{GOOD}</article></main>") == TEXT
+
+
+@pytest.mark.parametrize("page,size", [
+    ("<a" * 1_000_000, 2_000_000), ("<!" * 500_000, 1_000_000), ("<div>" * 100_000, 0), ("<div>x" * 50_000, 149_998),
+    ("<center>" * 50_000 + "<li>y" * 50_000, 149_998), ("<div>" * 50_000 + "</ul>" * 50_000 + "z", 1), ("<p 'a" * 100_000 + ">w", None), ("<b>" * 200_000 + "v", 1),
+    ("<div class=x><span class=ad>" * 20_000, 0), ("<div class=widget>q" * 20_000, None)])
+def test_hostile_pages_take_linear_time(page, size):
+    start = time.process_time()
+    text = html_text.main_text(page)
+    assert time.process_time() - start < 3 and (size is None or len(text) == size)
+
+
+def test_sums_equal_a_plain_scorer():
+    rng = random.Random(12)
+    for _ in range(200):
+        page = "".join(rng.choice(["<div>", "</div>", "<section>", "</section>", "<p>", "</p>", "<h2>", "<li>", "<ul>", "</ul>",
+                                   "some text, with, commas ", "<a href=x>a link</a> ", "long text without any of these " * 3]) for _ in range(30))
+        tree = html_text._Page(page)
+        length, linked, points = tree._sums()
+        for node in range(len(tree.tag)):
+            expected = [0, 0, 0.0]
+            for block, text, links in tree.blocks:
+                path = [block]
+                while path[-1] > 0:
+                    path.append(tree.parent[path[-1]])
+                if node in path:
+                    expected[0] += len(text)
+                    expected[1] += links
+                first = 1 if tree.tag[block] in html_text.LEAVES and block else 0
+                if node in path[first:]:
+                    worth = (1.0 if len(text) >= 25 else 0.2) + text.count(",") + min(len(text) / 100, 3.0)
+                    worth *= (0.2 if tree.tag[block] in html_text.HEADINGS else 1) * (1 - links / len(text))
+                    expected[2] += worth / 2 ** (path.index(node) - first)
+            assert (length[node], linked[node]) == tuple(expected[:2]) and points[node] == pytest.approx(expected[2])
+
+
 def test_extract_keeps_every_page(spark):
     pages = spark.createDataFrame([(1, "u", p, "x") for p, _ in PAGES] + [(None, None, "<p>z", "x")],
                                   "page_id long, url string, html string, text string")
