@@ -21,6 +21,7 @@ from kithline.operators import deterministic as det  # noqa: E402
 from kithline.operators import probabilistic as prob  # noqa: E402
 from kithline.operators import survivorship as gold  # noqa: E402
 from kithline.operators.normalize import normalize, normalize_source  # noqa: E402
+from kithline.operators.numbering import KEYS, number_records, record_names, with_names  # noqa: E402
 from kithline.plans.staging import Staging  # noqa: E402
 from kithline.sources.derived import derived_sources  # noqa: E402
 from kithline.sources.readers import empty_source, read_parquet, read_sectioned_json  # noqa: E402
@@ -67,26 +68,28 @@ def _scored(spark: SparkSession, sf_dir: str, band: Callable[[DataFrame], DataFr
             cfg: LinkageConfig = DEFAULT, floor: float | None = None) -> DataFrame:
     """Record pairs of the fuzzy pass, rounded for comparison."""
     sources, staging = derived_sources(spark, sf_dir), Staging(spark)
-    normalized = staging.put(normalize(sources), "normalized")
-    links = staging.put(det.deterministic_links(normalized.df, DEFAULT), "det-links")
-    scored, members = prob.fuzzy_pass(normalized.df, links.df, tuple(sources), staging, cfg, floor)
-    pairs = prob.record_pairs(band(scored.df), members, staging, cfg)
+    normalized = number_records(staging.put(normalize(sources), "normalized").df, staging)
+    links = staging.put(det.deterministic_links(normalized, staging, DEFAULT), "det-links")
+    scored, members = prob.fuzzy_pass(normalized, links.df, tuple(sources), staging, cfg, floor)
+    pairs = prob.record_pairs(band(scored.df), members, record_names(normalized), staging, cfg)
     return pairs.withColumn("jw_name", F.round("jw_name", 6))
 
 
 def _links(spark: SparkSession, sf_dir: str, *columns: str) -> tuple[DataFrame, DataFrame]:
-    """(staged normalized records, their exact links); with ``columns`` no others are staged."""
-    normalized = _normalized(spark, sf_dir)
-    staged = Staging(spark).put(normalized.select(*columns) if columns else normalized, "normalized")
-    return staged.df, det.deterministic_links(staged.df)
+    """(numbered records, their exact links); with ``columns`` no others are staged."""
+    normalized, staging = _normalized(spark, sf_dir), Staging(spark)
+    staged = staging.put(normalized.select(*columns) if columns else normalized, "normalized")
+    numbered = number_records(staged.df, staging)
+    return numbered, det.deterministic_links(numbered, staging)
 
 
+ROOT = ("root_source", "root_id")
 LINK_COLUMNS = ("source_system", "source_id", *sorted({c for r in DEFAULT.rules for c in r.columns}))
 
 
 def _unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     normalized, links = _links(spark, sf_dir)
-    return det.unmatched_records(normalized, links).drop("node")
+    return det.unmatched_records(normalized, links).drop("record_no")
 
 
 def _rule(rule_id: str) -> Query:
@@ -217,17 +220,23 @@ def _parquet_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _matched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _links(spark, sf_dir, *LINK_COLUMNS)[1].select("node.*").distinct()
+    numbered, links = _links(spark, sf_dir, *LINK_COLUMNS)
+    return with_names(links.select("node").distinct(), record_names(numbered), {"node": tuple(KEYS)})
 
 
 def _det_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _links(spark, sf_dir, *LINK_COLUMNS)[1].select(
-        "node.*", F.col("root.source_system").alias("root_source"), F.col("root.source_id").alias("root_id"), "rule_id")
+    numbered, links = _links(spark, sf_dir, *LINK_COLUMNS)
+    return with_names(links.select("node", "root", "rule_id"), record_names(numbered), {"node": tuple(KEYS), "root": ROOT})
 
 
 def _components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _run(spark, sf_dir).components.select(
-        "node.*", F.col("root.source_system").alias("root_source"), F.col("root.source_id").alias("root_id"))
+    run = _run(spark, sf_dir)
+    return with_names(run.components.select(*KEYS, "root"), record_names(run.normalized), {"root": ROOT})
+
+
+def _attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    run = _run(spark, sf_dir)
+    return with_names(run.attribution, record_names(run.normalized), {"node": tuple(KEYS)}).select(*KEYS, "match_method", "confidence")
 
 
 def _fallback_name(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -270,8 +279,8 @@ def queries() -> dict[str, Query]:
         "prob_auto": lambda s, d: _scored(s, d, prob.auto_pairs),                           # FLT7
         "prob_review": lambda s, d: _scored(s, d, prob.review_pairs),                       # FLT8 FLT9
         "components": _components,                                                          # GR1 AG3 AG12 UN4
-        "customer_ids": lambda s, d: _run(s, d).components.select("node.*", "mal_customer_id"),  # GR2 SC13 SC14
-        "method_attribution": lambda s, d: _run(s, d).attribution.select("node.*", "match_method", "confidence"),  # AG4
+        "customer_ids": lambda s, d: _run(s, d).components.select(*KEYS, "mal_customer_id"),  # GR2 SC13 SC14
+        "method_attribution": _attribution,  # AG4
         "crosswalk": lambda s, d: _run(s, d).crosswalk,                                     # CO4 JN6 JN10
         "review_queue": lambda s, d: _run(s, d).review_queue,                               # CO5
         "linked_rows": _linked,                                                             # JN11

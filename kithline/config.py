@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from kithline.operators.sieve import Sieve
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -69,6 +71,8 @@ class LinkageConfig:
     tile_pairs: int = 4_000_000
     # The table of cut keys is broadcast up to this many rows; a longer one meets its rows by a shuffle.
     broadcast_keys: int = 100_000
+    # Sizes of the sketch that sieves out exact keys of a single record.
+    sieve: Sieve = Sieve()
     # Component rounds grow with the logarithm of the longest chain; more than this is a fault.
     max_rounds: int = 60
 

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kithline.config import DEFAULT, LinkageConfig
-from kithline.functions.ids import customer_id, record_node
+from kithline.functions.ids import customer_id
+from kithline.operators.numbering import KEYS, NUMBER, number_records, record_names, with_numbers
 from kithline.plans.staging import Staged, Staging
 
 
@@ -37,7 +38,7 @@ def _round(links: DataFrame, staging: Staging) -> DataFrame:
 
 
 def connected_components(edges: DataFrame, staging: Staging, cfg: LinkageConfig = DEFAULT) -> Staged:
-    """(node, root) for every node of ``edges(node, root)`` that is not its component's smallest.
+    """(node, root) for every node of ``edges(node, root)``, record numbers, that is not its component's smallest.
 
     Each round is written out, so a lost executor costs one round at most. Reaching ``max_rounds`` raises; partial
     labels are never returned.
@@ -53,10 +54,14 @@ def connected_components(edges: DataFrame, staging: Staging, cfg: LinkageConfig
     raise RuntimeError(f"components did not settle in {cfg.max_rounds} rounds")
 
 
-def component_map(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """(node, root, mal_customer_id) for all ``nodes``; a node without a link is its own component."""
-    rooted = nodes.join(links, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    return rooted.withColumn("mal_customer_id", customer_id(F.col("root")))
+def component_map(names: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, source_system, source_id, root, mal_customer_id) for all records of ``names``; one without a link is its
+    own component. Only linked records look up the name of their smallest one."""
+    own = names.withColumnRenamed(NUMBER, "node")
+    roots = links.join(own.select(F.col("node").alias("root"), F.struct(*KEYS).alias("root_key")), "root")
+    rooted = own.join(roots, "node", "left")
+    return rooted.select("node", *KEYS, F.coalesce("root", "node").alias("root"),
+                         customer_id(F.coalesce("root_key", F.struct(*KEYS))).alias("mal_customer_id"))
 
 
 def assign_ids(normalized: DataFrame, pairs: DataFrame, staging: Staging, cfg: LinkageConfig = DEFAULT) -> DataFrame:
@@ -64,9 +69,7 @@ def assign_ids(normalized: DataFrame, pairs: DataFrame, staging: Staging, cfg: L
 
     Pairs that name a record outside ``normalized`` are ignored.
     """
-    nodes = normalized.select(record_node().alias("node")).distinct()
-    left, right = record_node("left_source", "left_id"), record_node("right_source", "right_id")
-    edges = pairs.select(left.alias("node"), right.alias("root"))
-    edges = edges.join(nodes, "node").join(nodes.withColumnRenamed("node", "root"), "root").select("node", "root")
-    links = connected_components(edges, staging, cfg)
-    return component_map(nodes, links.df).select("node.*", "mal_customer_id")
+    names = record_names(number_records(normalized, staging))
+    edges = with_numbers(pairs, names, {"node": ("left_source", "left_id"), "root": ("right_source", "right_id")})
+    links = connected_components(edges.select("node", "root"), staging, cfg)
+    return component_map(names, links.df).select(*KEYS, "mal_customer_id")

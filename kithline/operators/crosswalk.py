@@ -16,12 +16,11 @@ def method_attribution(det: DataFrame, auto: DataFrame) -> DataFrame:
 
     The smallest method name wins, which puts deterministic before probabilistic.
     """
-    return (
-        det.select("node", "confidence", F.lit(DETERMINISTIC).alias("match_method"))
-        .unionByName(auto.select("node", "confidence", F.lit(PROBABILISTIC_AUTO).alias("match_method")))
-        .groupBy("node")
-        .agg(F.min("match_method").alias("match_method"), F.max("confidence").alias("confidence"))
-    )
+    methods = sorted((DETERMINISTIC, PROBABILISTIC_AUTO))
+    rows = det.select("node", "confidence", F.lit(methods.index(DETERMINISTIC)).alias("method")).unionByName(
+        auto.select("node", "confidence", F.lit(methods.index(PROBABILISTIC_AUTO)).alias("method")))
+    best = rows.groupBy("node").agg(F.min("method").alias("method"), F.max("confidence").alias("confidence"))
+    return best.select("node", F.get(F.array(*[F.lit(m) for m in methods]), F.col("method")).alias("match_method"), "confidence")
 
 
 def attribution_of_pairs(deterministic_pairs: DataFrame, auto_pairs: DataFrame) -> DataFrame:
@@ -30,9 +29,9 @@ def attribution_of_pairs(deterministic_pairs: DataFrame, auto_pairs: DataFrame)
 
 
 def build_crosswalk(components: DataFrame, attribution: DataFrame, run_ts: datetime) -> DataFrame:
-    """One row per record: its customer, how it got there and how surely."""
+    """One row per record: its customer, how it got there and how surely. Both sides name records by ``node``."""
     return components.join(attribution, "node", "left").select(
-        "node.*", "mal_customer_id",
+        "source_system", "source_id", "mal_customer_id",
         F.coalesce("match_method", F.lit(NEW_CUSTOMER)).alias("match_method"),
         F.coalesce("confidence", F.lit(0.0)).alias("confidence"),
         F.lit(run_ts).alias("resolved_at"),

@@ -20,13 +20,13 @@ from pyspark.sql import functions as F
 
 from kithline.config import DEFAULT, LinkageConfig
 from kithline.functions.contact import email_domain
-from kithline.functions.ids import record_node
 from kithline.functions.names import block_key
 from kithline.functions.similarity import (
     confidence, dob_score, domain_score, jaro_winkler, jaro_winkler_bound, near_dates, other_signals, phone_score,
     phone_tail,
 )
-from kithline.operators.deterministic import pair_columns, pair_endpoints, unmatched_records
+from kithline.operators.deterministic import PAIR, PAIR_COLUMNS, pair_endpoints, unmatched_records
+from kithline.operators.numbering import KEYS, NUMBER, number_records, record_names, with_names, with_numbers
 from kithline.operators.skew import tiled_join
 from kithline.plans.staging import Staged, Staging
 
@@ -36,9 +36,9 @@ SEPARATOR = "\u0001"  # cannot occur in a clean name, phone or date
 
 
 def block_records(unmatched: DataFrame, cfg: LinkageConfig = DEFAULT) -> DataFrame:
-    """(node, attributes, profile): the records that take part in the fuzzy pass."""
+    """(node, attributes, profile): the numbered records that take part in the fuzzy pass."""
     rows = unmatched.select(
-        record_node().alias("node"), "source_system", F.col("name_english").alias("name"), "dob",
+        F.col(NUMBER).alias("node"), "source_system", F.col("name_english").alias("name"), "dob",
         F.col("phone_e164").alias("phone"), email_domain(F.col("email")).alias("domain"),
         block_key(F.col("name_english"), cfg.block_null_names).alias("block"),
     ).where(F.col("block").isNotNull())
@@ -56,7 +56,8 @@ def profiles(records: DataFrame) -> DataFrame:
 
 def block_sizes(unmatched: DataFrame, cfg: LinkageConfig = DEFAULT) -> DataFrame:
     """(block_key, records, candidate_pairs): how many cross-system pairs a block stands for, without making them."""
-    per_system = block_records(unmatched, cfg).groupBy("block", "source_system").agg(F.countDistinct("node").alias("n"))
+    rows = unmatched if NUMBER in unmatched.columns else unmatched.withColumn(NUMBER, F.struct(*KEYS))
+    per_system = block_records(rows, cfg).groupBy("block", "source_system").agg(F.countDistinct("node").alias("n"))
     squares = F.sum(F.col("n") * F.col("n"))
     return per_system.groupBy("block").agg(
         F.sum("n").alias("records"),
@@ -143,11 +144,11 @@ def score_profiles(
     rows = table.select("rep", *ATTRIBUTES)
     # A row looks for partners in the systems that sort after its own, one copy per system.
     later = F.filter(F.array(*[F.lit(s) for s in sorted(systems)]), lambda s: s > F.col("source_system"))
-    left = keys.of(rows.withColumn("partner", F.explode(later)).drop("source_system"), False)
+    left = keys.of(rows.withColumn("partner", F.explode(later)).withColumnRenamed("source_system", "system_l"), False)
     right = keys.of(rows.withColumnRenamed("source_system", "partner"), True)
     suffixed = [
-        side.select("partner", "link_key", *[F.col(c).alias(f"{c}_{s}") for c in ("rep", *ATTRIBUTES[1:])])
-        for side, s in ((left, "l"), (right, "r"))
+        side.select("partner", "link_key", *more, *[F.col(c).alias(f"{c}_{s}") for c in ("rep", *ATTRIBUTES[1:])])
+        for side, s, more in ((left, "l", ["system_l"]), (right, "r", []))
     ]
     both = tiled_join(*suffixed, ["partner", "link_key"], "rep_l", "rep_r", cfg, staging)
     l, r = (lambda c: F.col(f"{c}_l")), (lambda c: F.col(f"{c}_r"))
@@ -163,8 +164,8 @@ def score_profiles(
     cheap = other_signals(F.col("dob_score"), F.col("phone_score"), F.col("email_domain_score"), cfg)
     reachable = cheap + jaro_winkler_bound(l("name"), r("name")) * cfg.weight_name >= keys._floor
     texts = [
-        _profile_text(F.col(f"rep_{s}.source_system"), *[F.col(f"{c}_{s}") for c in ATTRIBUTES[1:-1]])
-        .alias(f"profile_{s}") for s in "lr"
+        _profile_text(F.col(system), *[F.col(f"{c}_{s}") for c in ATTRIBUTES[1:-1]])
+        .alias(f"profile_{s}") for s, system in (("l", "system_l"), ("r", "partner"))
     ]
     named = scored.where(reachable).select(
         "rep_l", "rep_r", *texts, jaro_winkler(l("name"), r("name")).alias("jw_name"),
@@ -187,15 +188,17 @@ def profile_members(records: DataFrame, profile_pairs: DataFrame) -> DataFrame:
     return members.select("node", "rep").distinct()
 
 
-def record_pairs(profile_pairs: DataFrame, members: Staged, staging: Staging, cfg: LinkageConfig = DEFAULT) -> DataFrame:
-    """The pair table behind profile pairs: every record of one profile with every record of the other."""
+def record_pairs(profile_pairs: DataFrame, members: Staged, names: DataFrame, staging: Staging,
+                 cfg: LinkageConfig = DEFAULT) -> DataFrame:
+    """The pair table behind profile pairs: every record of one profile with every record of the other, by the ``names``
+    of the record numbers."""
     left = members.df.select(F.col("node").alias("l"), F.col("rep").alias("rep_l"))
     right = members.df.select(F.col("node").alias("r"), F.col("rep").alias("rep_r"))
     half = staging.put(
         tiled_join(profile_pairs.select("rep_l", "rep_r", *SCORES), left, ["rep_l"], "rep_r", "l", cfg, staging)
         .drop("rep_l"), "half-pairs")
     whole = tiled_join(half.df, right, ["rep_r"], "l", "r", cfg, staging)
-    return whole.select(*pair_columns("l", "r"), *SCORES)
+    return with_names(whole, names, PAIR).select(*PAIR_COLUMNS, *SCORES)
 
 
 def fuzzy_pass(
@@ -206,7 +209,7 @@ def fuzzy_pass(
     cfg: LinkageConfig = DEFAULT,
     min_confidence: float | None = None,
 ) -> tuple[Staged, Staged]:
-    """Scored profile pairs and the members of their profiles, over all records that are not ``matched`` nodes."""
+    """Scored profile pairs and the members of their profiles, over all numbered records that are not ``matched``."""
     records = staging.put(block_records(unmatched_records(normalized, matched), cfg), "fuzzy-records")
     table = staging.put(profiles(records.df), "profiles")
     scored = staging.put(score_profiles(table.df, systems, staging, cfg, min_confidence), "scored")
@@ -225,9 +228,12 @@ def probabilistic_match(
 
     The default is the review threshold, below which no later step looks. 0 asks for every pair of every block.
     """
-    scored, members = fuzzy_pass(
-        normalized, pair_endpoints(deterministic_pairs), systems, staging, cfg, min_confidence)
-    return record_pairs(scored.df, members, staging, cfg)
+    numbered = number_records(normalized, staging)
+    names = record_names(numbered)
+    ends = pair_endpoints(deterministic_pairs).select("node.*")
+    matched = with_numbers(ends, names, {"node": tuple(KEYS)})
+    scored, members = fuzzy_pass(numbered, matched, systems, staging, cfg, min_confidence)
+    return record_pairs(scored.df, members, names, staging, cfg)
 
 
 def auto_pairs(scored: DataFrame, cfg: LinkageConfig = DEFAULT) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kithline.config import DEFAULT, SEGMENT_TIERS, LinkageConfig
+from kithline.operators.numbering import NUMBER
 
 GROUP = "mal_customer_id"
 LINKED = ("t24", "sfdc")  # fixed values: the authority for regulatory fields, and the next one for the English name
@@ -63,7 +64,7 @@ def source_list() -> Column:
 
 def linked_records(normalized: DataFrame, crosswalk: DataFrame) -> DataFrame:
     """Normalized records with their customer id; only columns that are used travel."""
-    return normalized.join(crosswalk.select("source_system", "source_id", GROUP), ["source_system", "source_id"])
+    return normalized.drop(NUMBER).join(crosswalk.select("source_system", "source_id", GROUP), ["source_system", "source_id"])
 
 
 def t24_pick(linked: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ from kithline.operators import deterministic as det
 from kithline.operators import probabilistic as prob
 from kithline.operators.components import assign_ids, component_map, connected_components
 from kithline.operators.normalize import normalize
+from kithline.operators.numbering import KEYS, number_records, record_names, with_names
 from kithline.operators.survivorship import survivorship
 from kithline.plans.staging import Staging
 from kithline.sources.adapters import ADAPTERS, Adapter
@@ -88,10 +89,11 @@ class Resolver:
     def run(self, sources: Mapping[str, DataFrame], run_ts: datetime | None = None) -> Resolution:
         """Link all sources. Steps that are read more than once are staged; nothing passes through the driver."""
         cfg, staging, run_ts = self.cfg, self.staging(), run_ts or _now()
-        normalized = staging.put(self.normalize(sources), "normalized")
-        links = staging.put(det.deterministic_links(normalized.df, cfg), "det-links")
+        normalized = number_records(staging.put(self.normalize(sources), "normalized").df, staging)
+        names = record_names(normalized)
+        links = staging.put(det.deterministic_links(normalized, staging, cfg), "det-links")
 
-        scored, members = prob.fuzzy_pass(normalized.df, links.df, tuple(sources), staging, cfg)
+        scored, members = prob.fuzzy_pass(normalized, links.df, tuple(sources), staging, cfg)
         auto, review = prob.auto_pairs(scored.df, cfg), prob.review_pairs(scored.df, cfg)
 
         linked = staging.put(members.df.join(prob.best_scores(auto), "rep"), "auto-linked").df
@@ -101,23 +103,22 @@ class Resolver:
             .unionByName(auto.select(F.col("rep_l").alias("node"), F.col("rep_r").alias("root")))
         )
         roots = connected_components(edges, staging, cfg)
-        nodes = normalized.df.select(det.record_node().alias("node")).distinct()
-        components = component_map(nodes, roots.df)
+        components = component_map(names, roots.df)
         attribution = xw.method_attribution(links.df, linked)
         crosswalk = staging.put(xw.build_crosswalk(components, attribution, run_ts), "crosswalk")
 
         def review_queue() -> DataFrame:
-            return xw.build_review_queue(prob.record_pairs(review, members, staging, cfg), run_ts)
+            return xw.build_review_queue(prob.record_pairs(review, members, names, staging, cfg), run_ts)
 
         gold_rows = crosswalk.df
         if cfg.hold_review:
             waiting = members.df.join(prob.best_scores(review), "rep")
-            gold_rows = xw.held_back(gold_rows, waiting.select("node.*"))
+            gold_rows = xw.held_back(gold_rows, with_names(waiting.select("node"), names, {"node": tuple(KEYS)}))
         return Resolution(
-            dim_customer=survivorship(normalized.df, gold_rows, run_ts, cfg),
+            dim_customer=survivorship(normalized, gold_rows, run_ts, cfg),
             crosswalk=crosswalk.df,
             stats=xw.run_stats(crosswalk.df, _queue_size(review, members.df)),
-            normalized=normalized.df,
+            normalized=normalized,
             det_links=links.df,
             components=components,
             attribution=attribution,

@@ -7,13 +7,15 @@ from dataclasses import replace
 import brute
 import pytest
 from fixtures import normalized, random_records
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from kithline.config import DEFAULT
-from kithline.functions.ids import record_node
 from kithline.operators.components import assign_ids, connected_components
 from kithline.operators.deterministic import deterministic_links, deterministic_match
 from kithline.operators.probabilistic import block_sizes, probabilistic_match
+from kithline.operators.numbering import number_records, record_names
+from kithline.operators.sieve import Sieve, seen_twice
 from kithline.operators.skew import tiled_join
 from kithline.plans.staging import Staging
 
@@ -47,7 +49,10 @@ def test_deterministic_pairs_and_links(spark, seed, hot, cfg, cross):
     assert len(rows) == len(expected)
     assert {((r.left_source, r.left_id), (r.right_source, r.right_id)): (r.rule_id, r.confidence) for r in rows} == expected
 
-    links = deterministic_links(df, cfg).collect()
+    numbered, staging = number_records(df, Staging(spark)), Staging(spark)
+    names = {r.record_no: (r.source_system, r.source_id) for r in record_names(numbered).collect()}
+    assert [names[k] for k in sorted(names)] == sorted(set(names.values())) == sorted({brute.key(r) for r in records})
+    links = [Row(node=names[r.node], root=names[r.root], confidence=r.confidence) for r in deterministic_links(numbered, staging, cfg).collect()]
     assert {tuple(r.node) for r in links} == {n for pair in expected for n in pair}
     nodes = {brute.key(r) for r in records}
     assert brute.components(nodes, [(tuple(r.node), tuple(r.root)) for r in links]) == brute.components(nodes, expected)
@@ -110,17 +115,17 @@ def test_components(spark, shape, cfg):
     }[shape]
     nodes = sorted({x for e in edges for x in e} | {99})
     key = lambda i: ("s", f"{i * 37 % 101:03d}")
-    df = spark.createDataFrame([(*key(a), *key(b)) for a, b in edges], "ls string, li string, rs string, ri string").select(
-        record_node("ls", "li").alias("node"), record_node("rs", "ri").alias("root"))
+    number = {key(i): i * 37 % 101 for i in range(n + 100)}
+    back = {v: k for k, v in number.items()}
+    df = spark.createDataFrame([(number[key(a)], number[key(b)]) for a, b in edges], "node long, root long")
     rows = connected_components(df, Staging(spark), cfg).df.collect()
-    got = {tuple(r.node): tuple(r.root) for r in rows}
+    got = {back[r.node]: back[r.root] for r in rows}
     expected = brute.components([key(i) for i in nodes], [(key(a), key(b)) for a, b in edges])
     assert got == {n: r for n, r in expected.items() if n != r} and len(rows) == len(got)
 
 
 def test_component_rounds_are_bounded_by_an_error(spark):
-    df = spark.createDataFrame([(f"{i:02d}", f"{i + 1:02d}") for i in range(30)], "a string, b string").select(
-        record_node(F.lit("s"), F.col("a")).alias("node"), record_node(F.lit("s"), F.col("b")).alias("root"))
+    df = spark.createDataFrame([(i, i + 1) for i in range(30)], "node long, root long")
     with pytest.raises(RuntimeError, match="did not settle"):
         connected_components(df, Staging(spark), replace(DEFAULT, max_rounds=1))
 
@@ -136,6 +141,27 @@ def test_assign_ids_ignores_unknown_records(spark):
         n: brute.customer_id(root) for n, root in expected.items()}
 
 
+@pytest.mark.parametrize("sieve", [Sieve(), Sieve(per_key=1, least_slots=64, most_slots=64), Sieve(most_words=0)])
+def test_the_sieve_keeps_every_shared_key(spark, sieve):
+    rows = spark.range(2000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 10 = 1 THEN NULL ELSE concat('k', id % 1500) END AS k", "id AS x")
+    kept = {r.x for r in seen_twice(rows, ["k"], 2000, Staging(spark), sieve).collect()}
+    shared = {r.x for r in rows.join(rows.groupBy("k").count().where("count > 1"), "k").collect()}
+    assert shared <= kept
+    if sieve == Sieve():
+        assert len(kept) < len(shared) + 400
+
+
+def test_numbers_keep_the_order_whatever_the_partitions(spark):
+    rows = spark.range(3000).selectExpr("concat('s', id % 3) AS source_system", "CAST(id % 1700 * 7919 % 1700 AS STRING) AS source_id", "id AS x")
+    for parts in (1, 7, 200):
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+        got = number_records(rows.repartition(5), Staging(spark)).collect()
+        keys = sorted((r.source_system, r.source_id) for r in got)
+        assert len(got) == 3000 and all(r.record_no == keys.index((r.source_system, r.source_id)) for r in got[:200])
+        assert [k for _, k in sorted({(r.record_no, (r.source_system, r.source_id)) for r in got})] == sorted(set(keys))
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
 @pytest.mark.parametrize("cfg", [DEFAULT, TINY, SHUFFLED])
 def test_tiled_join_equals_a_plain_join(spark, cfg):
     rows = spark.range(200).selectExpr("CASE WHEN id % 3 = 0 THEN 0 WHEN id % 10 = 1 THEN NULL ELSE id % 17 END AS k", "id AS x")

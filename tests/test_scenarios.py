@@ -221,7 +221,7 @@ def test_steps_alone_give_the_run(spark, sources, run):
     auto = auto_pairs(scored)
     keys = ["left_source", "left_id", "right_source", "right_id"]
     ids = resolver.assign_ids(normalized, det.select(keys).unionByName(auto.select(keys)))
-    nodes = ids.select(F.struct("source_system", "source_id").alias("node"), "mal_customer_id")
+    nodes = ids.withColumn("node", F.struct("source_system", "source_id"))
     walk = xw.build_crosswalk(nodes, xw.attribution_of_pairs(det, auto), RUN_TS)
     assert walk.exceptAll(run.crosswalk).isEmpty() and run.crosswalk.exceptAll(walk).isEmpty()
     queue = xw.build_review_queue(review_pairs(scored), RUN_TS)
