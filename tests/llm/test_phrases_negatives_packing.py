@@ -98,8 +98,8 @@ def phrase_texts():
     return rows + [("hot", "the same old text, the same old text")] * 300
 
 
-@pytest.mark.parametrize("cfg", [Collocations(least=9, slots=1 << 16), Collocations(least=9, slots=256, shard=60, row_words=16, task_words=7),
-                                 Collocations(least=15, top=7, longest=3, slots=256, shard=50)])
+@pytest.mark.parametrize("cfg", [Collocations(least=9, slots=1 << 16), Collocations(least=9, slots=256, most_slots=256, bits=256, shard=100, row_words=16, task_words=7),
+                                 Collocations(least=300, top=7, longest=3, slots=64, most_slots=64, bits=64, shard=50)])
 def test_phrases_equal_brute_force(spark, cfg):
     rows = phrase_texts()
     docs = spark.createDataFrame([(k, lang, t, 1, "w", "h") for k, (lang, t) in enumerate(rows)], "doc_id long, lang string, text string, n int, word string, hash string")
