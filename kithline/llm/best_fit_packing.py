@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -41,7 +42,7 @@ class Packing:
     #: Opened pieces that one task packs again.
     pieces_per_task: int = 50_000
     #: Words whose ids a task remembers, at most twice as many.
-    memory_words: int = 100_000
+    memory_words: int = 150_000
     #: Texts are encoded word by word; a longer word is encoded without being remembered.
     longest_word: int = 64
 
@@ -51,41 +52,51 @@ _PLAIN = re.compile("[\t-\r -~À-ÖØ-öø-įı-ſ]*")
 _SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ſ]+|[0-9]|[^\t-\r 0-9a-zß-öø-ſ]+")
 
 
+#: The printable character that stands for each byte in a byte-level vocabulary: itself, or one of those from 256 on.
+_OWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_CHARS = {b: b for b in _OWN} | {b: 256 + k for k, b in enumerate(sorted(set(range(256)) - set(_OWN)))}
+
+
 class WordIds:
     """Token ids of texts, word by word; known words are remembered in two generations, of which the older one is dropped.
 
-    Plain texts are split by the model's own pattern. Other texts are cut at blanks, tabs and line feeds only, which its
-    pattern never crosses and its normaliser composes with nothing, so a part's ids do not depend on its neighbours."""
+    Plain texts are split by the model's own pattern, and a new word goes to its merges alone. Other texts are cut at blanks,
+    tabs and line feeds only, which its pattern never crosses and its normaliser composes with nothing, so a part's
+    ids do not depend on its neighbours; new parts go through the whole tokenizer."""
 
     def __init__(self, model: str, cfg: Packing):
         from tokenizers import Tokenizer
 
-        self._encode = Tokenizer.from_file(model).encode_batch
+        tokenizer = Tokenizer.from_file(model)
+        self._encode, self._merge = tokenizer.encode, tokenizer.model.tokenize
         self._known: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
         self._cfg = cfg
 
     @staticmethod
-    def _parts(text: str) -> list[str]:
+    def _parts(text: str) -> tuple[list[str], bool]:
         if _PLAIN.fullmatch(text) and "<|" not in text:
-            return _SPLIT.findall(text.lower())
-        return text.replace("\n", " ").replace("\t", " ").split(" ")
+            return _SPLIT.findall(text.lower()), True
+        return text.replace("\n", " ").replace("\t", " ").split(" "), False
+
+    def _learn(self, part: str, plain: bool) -> bytes:
+        if not plain:
+            return array("I", self._encode(part, add_special_tokens=False).ids).tobytes()
+        if not part.isascii():
+            part = part.encode("utf-8").decode("latin-1").translate(_BYTE_CHARS)
+        return array("I", [token.id for token in self._merge(part)]).tobytes()
 
     def ids(self, text: str) -> bytes:
         """Little-endian 32-bit ids."""
-        parts, known = self._parts(text), self._known
-        missing = []
+        (parts, plain), known, older = self._parts(text), self._known, self._older
+        long = []
         for part in set(parts).difference(known):
-            if part in self._older:
-                known[part] = self._older[part]
-            else:
-                missing.append(part)
-        for part, done in zip(missing, self._encode(missing, add_special_tokens=False) if missing else ()):
-            known[part] = np.array(done.ids, dtype="<u4").tobytes()
-        found = b"".join([known[part] for part in parts])
-        for part in missing:
+            known[part] = older[part] if part in older else self._learn(part, plain)
             if len(part) > self._cfg.longest_word:
-                del known[part]
+                long.append(part)
+        found = b"".join([known[part] for part in parts])
+        for part in long:
+            del known[part]
         if len(known) > self._cfg.memory_words:
             self._known, self._older = {}, known
         return found
