@@ -13,13 +13,15 @@ have likeness 1, an empty and another one 0.
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from kithline.llm.common import met
+from kithline.plans.staging import Staged, Staging
+
 _LOWEST = -(2**63)
 _SPACES = r"[ \t\n\x0B\f\r]+"
 
@@ -29,9 +31,9 @@ class ScaledSketch:
     width: int = 5
     #: One hash in ``scale`` is retained.
     scale: int = 8
-    #: Documents per ordered range when neighbours are looked up, and the most ranges.
-    range_rows: int = 2_000
-    most_ranges: int = 10_000
+    #: Documents per bucket when neighbours are looked up; more of them from so many buckets on.
+    bucket_rows: int = 1_000
+    most_buckets: int = 1 << 17
 
     @property
     def threshold(self) -> int:
@@ -87,58 +89,69 @@ def as_hex(a: Column) -> Column:
     return F.array_join(F.transform(a, lambda x: F.lower(F.lpad(F.hex(x), 16, "0"))), "")
 
 
-def _range_of(value: Column, cuts: list[int]) -> Column:
-    """How many of the sorted ``cuts`` are not above ``value``: first among every k-th of them, then within k."""
-    if not cuts:
-        return F.lit(0)
-    k = math.isqrt(len(cuts)) + 1
-    blocks = [cuts[i:i + k] for i in range(0, len(cuts), k)]
-    heads = F.array(*[F.lit(b[0]) for b in blocks])
-    inner = F.array(*[F.array(*[F.lit(c) for c in b]) for b in blocks])
-    return _bound(F.size(F.filter(heads, lambda c: c <= value)), lambda n: F.when(n == 0, F.lit(0)).otherwise(
-        (n - 1) * k + F.size(F.filter(F.get(inner, n - 1), lambda c: c <= value))))
-
-
-def with_next(docs: DataFrame, derived: dict[str, Column], carried: list[str], cfg: ScaledSketch = ScaledSketch()) -> DataFrame:
-    """Rows of ``docs(doc_id, text, ...)`` with ``derived`` columns, and ``next_<c>`` for every carried column of the row that
-    follows by descending id, the last one's being the first. Rows without id come last, equal ids by descending text.
-
-    Ids are cut into ranges by their quantiles; a range is ordered alone, with the first row of the following range put
-    behind its last. At most ``most_ranges`` such rows exist, so no task sees more than its range."""
-    order = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LOWEST))
-    ids = docs.select(order.alias("_order"))
-    ranges = max(1, min(cfg.most_ranges, ids.count() // cfg.range_rows))
-    cuts: list[int] = []
-    if ranges > 1:
-        shares = [k / ranges for k in range(1, ranges)]
-        cuts = sorted(set(ids.agg(F.percentile_approx("_order", shares, 20 * ranges).alias("c")).first()["c"]))
-    ranged = docs.withColumn("_order", order)
-    ranged = ranged.withColumn("_range", _range_of(F.col("_order"), cuts))
-    # The first row of each range (few rows, by the bound on ranges) goes to the end of the range above it.
-    first = ranged.groupBy("_range").agg(F.max("_order").alias("_order"))
-    by_range = Window.orderBy("_range")
-    moved = first.select("_order", F.lead("_range").over(by_range).alias("_above"), F.min("_range").over(
-        by_range.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_lowest")).select(
-        "_order", F.coalesce("_above", "_lowest").alias("_target"))
-    ghost = ranged.drop("_range").join(F.broadcast(moved), "_order").withColumn("_rank", F.row_number().over(
-        Window.partitionBy("_order").orderBy(F.desc_nulls_last("text")))).where("_rank = 1").drop("_rank")
-    both = ranged.withColumn("_ghost", F.lit(False)).unionByName(
-        ghost.withColumnRenamed("_target", "_range").withColumn("_ghost", F.lit(True))).withColumns(derived)
-    following = Window.partitionBy("_range").orderBy("_ghost", F.desc("_order"), F.desc_nulls_last("text"))
-    return both.select("*", *[F.lead(c).over(following).alias(f"next_{c}") for c in carried]).where("not _ghost").drop(
-        "_order", "_range", "_ghost")
-
-
-def fingerprint_with_edits(docs: DataFrame, cfg: ScaledSketch = ScaledSketch()) -> DataFrame:
+def _bucket(heads: Column, steps: int, order: Column, tie: Column) -> Column:
+    """The last of the descending ``heads(order, tie)`` that is not below a key, by ``steps`` halvings."""
+    def halve(span: Column, _: Column) -> Column:
+        middle = F.floor((span["low"] + span["high"] + 1) / 2).cast("int")
+        head = F.get(heads, middle)
+        behind = (head["order"] > order) | ((head["order"] == order) & (head["tie"] >= tie))
+        return F.struct(F.when(behind, middle).otherwise(span["low"]).alias("low"),
+                        F.when(behind, span["high"]).otherwise(F.greatest(span["low"], middle - 1)).alias("high"))
+    start = F.struct(F.lit(0).alias("low"), (F.size(heads) - 1).alias("high"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, halve)["low"]
+
+
+def with_next(docs: DataFrame, derived: dict[str, Column], carried: list[str], staging: Staging,
+              cfg: ScaledSketch = ScaledSketch()) -> DataFrame:
+    """Distinct rows of ``docs(doc_id, text)`` with their number ``n_rows``, ``derived`` columns, and ``next_<c>`` for every carried column
+    of the row that follows by descending id, the last one's being the first. Rows without id come last; rows with one id go by
+    the descending hash of their texts. A row that is there several times follows itself but for the last time.
+
+    The keys alone are ranked, sorted by ranges with the partitions' sizes as offsets, and every so many of them begin a
+    bucket of equal size. Texts are shuffled once, to their bucket, and a bucket's first row to the one before it, too."""
+    order, tie = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LOWEST)), F.xxhash64("text")
+    docs = docs.withColumns({"_order": order, "_tie": tie})
+    key = ["_order", "_tie"]
+    by = [F.desc(c) for c in key]
+    keys = docs.groupBy(*key).agg(F.count(F.lit(1)).alias("n_rows")).repartitionByRange(*by).sortWithinPartitions(*by)
+    placed = staging.put(keys.withColumn("_place", F.monotonically_increasing_id()), "keys")
+    part = F.shiftright("_place", 33)
+    before = F.coalesce(F.sum("_rows").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = placed.df.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows")).select("_part", before.alias("_offset"))
+    offsets = staging.put(offsets, "offsets").df  # one row per partition
+    rank = F.col("_offset") + F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    size = max(cfg.bucket_rows, -(-placed.rows // cfg.most_buckets))
+    heads = staging.put(placed.df.withColumn("_part", part).join(F.broadcast(offsets), "_part").where(rank % size == 0).select(
+        *key, F.floor(rank / size).cast("int").alias("_bucket")), "heads")
+    listed = heads.df.agg(F.array_sort(F.collect_list(F.struct("_bucket", F.col("_order").alias("order"), F.col("_tie").alias("tie")))))
+    bucket = _bucket(F.col("_heads"), max(heads.rows, 1).bit_length() + 1, F.col("_order"), F.col("_tie"))
+    # Equal rows have one key; one of them stands for all.
+    several = staging.put(placed.df.where("n_rows > 1").select(*key, "n_rows"), "several")
+    single = docs.join(met(Staged(several.df.select(*key), several.rows)), key, "left_anti").withColumn("n_rows", F.lit(1).cast("long"))
+    copied = docs.join(met(several), key).dropDuplicates(key)
+    rows = single.unionByName(copied).withColumns(derived).withColumn("_heads", listed.scalar()).withColumn("_bucket", bucket).drop("_heads")
+    ghosts = rows.drop("_bucket").join(met(heads), key).withColumn(
+        "_bucket", F.when(F.col("_bucket") > 0, F.col("_bucket") - 1).otherwise(F.lit(heads.rows - 1)))
+    both = rows.withColumn("_ghost", F.lit(False)).unionByName(ghosts.withColumn("_ghost", F.lit(True)))
+    following = Window.partitionBy("_bucket").orderBy("_ghost", *by)
+    return both.select("*", *[F.lead(c).over(following).alias(f"next_{c}") for c in carried]).where("not _ghost").drop(*key, "_bucket", "_ghost")
+
+
+def fingerprint_with_edits(docs: DataFrame, staging: Staging, cfg: ScaledSketch = ScaledSketch()) -> DataFrame:
     """Per row of ``docs(doc_id, text)`` its fingerprint, that of the text whose second half is replaced by the beginning of the
     next document, and the likeness to both."""
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    pairs = with_next(own, {"n_chars": F.length("text").cast("long"), "own": fingerprint(F.col("text"), cfg)}, ["text", "own"], cfg)
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    pairs = with_next(own, {"n_chars": F.length("text").cast("long"), "own": fingerprint(F.col("text"), cfg)}, ["text", "own"], staging, cfg)
+    # All but one of equal rows are followed by themselves.
+    copies = F.array(F.struct("next_text", "next_own", F.lit(1).cast("long").alias("rows")), F.struct(
+        F.col("text").alias("next_text"), F.col("own").alias("next_own"), (F.col("n_rows") - 1).alias("rows")))
+    pairs = pairs.withColumn("following", F.explode(F.filter(copies, lambda c: c["rows"] > 0))).select("doc_id", "text", "n_chars", "own", "following.*")
     half = F.floor(F.col("n_chars") / 2).cast("int")
     edited = pairs.withColumn("edited", F.concat(
         F.substr("text", F.lit(1), F.col("n_chars").cast("int") - half), F.substr("next_text", F.lit(1), half)))
-    edited = edited.select("doc_id", "n_chars", "own", "next_own", F.sha2("edited", 256).alias("edited_sha256"),
+    edited = edited.select("doc_id", "n_chars", "own", "next_own", "rows", F.sha2("edited", 256).alias("edited_sha256"),
                            fingerprint(F.col("edited"), cfg).alias("other"))
-    return edited.select(
+    result = edited.select(
         "doc_id", "n_chars", "edited_sha256", as_hex(F.col("own")).alias("fingerprint"), as_hex(F.col("other")).alias("edited_fingerprint"),
-        likeness(F.col("own"), F.col("other")).alias("near_edited"), likeness(F.col("own"), F.col("next_own")).alias("near_next"))
+        likeness(F.col("own"), F.col("other")).alias("near_edited"), likeness(F.col("own"), F.col("next_own")).alias("near_next"), "rows")
+    return result.withColumn("rows", F.explode(F.sequence(F.lit(1).cast("long"), "rows"))).drop("rows")
