@@ -22,6 +22,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kithline.llm.common import met
+from kithline.plans.staging import Staging
+
 # The base patterns, in the order in which kinds are listed, and the least length of each.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A | re.I)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
@@ -114,12 +117,15 @@ def linked_parts(scanned: DataFrame, cfg: SecretScan) -> DataFrame:
     return complete.groupBy("doc_id", "tag").agg(F.collect_set(F.struct("start", "rank", "end")).alias("linked"))
 
 
-def scan(docs: DataFrame, cfg: SecretScan = SecretScan()) -> DataFrame:
-    """(doc_id, base, found) per row of ``docs(doc_id, text)``: base spans, and all spans, as sorted arrays."""
+def scan(docs: DataFrame, staging: Staging, cfg: SecretScan = SecretScan()) -> DataFrame:
+    """(doc_id, tag, base, found) per row of ``docs(doc_id, text)``: base spans, and all spans, as sorted arrays.
+
+    The texts are read once; what is found in them is written, as the linking reads it from several sides."""
     scanned = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
     ).withColumn("tag", F.xxhash64("text")).mapInArrow(
         _scan, f"doc_id long, tag long, base array<{_SPAN}>, parts array<{_PART}>")
+    scanned = staging.put(scanned, "spans").df
     links = linked_parts(scanned, cfg)
     return scanned.join(links, ["doc_id", "tag"], "left").select(
         F.nullif("doc_id", F.lit(-(2**63))).alias("doc_id"), "tag", "base",
@@ -154,12 +160,17 @@ def _redact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
 
-def redact(docs: DataFrame, cfg: SecretScan = SecretScan()) -> DataFrame:
-    """``docs(doc_id, text, ...)`` with every span replaced by ``[secret]``; overlapping spans become one."""
-    row = {"_row_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))), "_row_tag": F.xxhash64(F.coalesce("text", F.lit("")))}
-    found = scan(docs, cfg).where(F.size("found") > 0).select(
+def redact(docs: DataFrame, staging: Staging, cfg: SecretScan = SecretScan()) -> DataFrame:
+    """``docs(doc_id, text, ...)`` with every span replaced by ``[secret]``; overlapping spans become one. Further columns
+    stay, whatever their names."""
+    own = [f"_own_{k}" for k in range(len(docs.columns))]
+    named = docs.toDF(*own)  # names of this function cannot clash with these
+    doc_id, text = (F.col(own[docs.columns.index(c)]) for c in ("doc_id", "text"))
+    row = {"_row_id": F.coalesce(doc_id.cast("long"), F.lit(-(2**63))), "_row_tag": F.xxhash64(F.coalesce(text, F.lit("")))}
+    found = scan(docs, staging, cfg).where(F.size("found") > 0).select(
         F.coalesce("doc_id", F.lit(-(2**63))).alias("_row_id"), F.col("tag").alias("_row_tag"), F.col("found").alias("_row_spans"),
     ).groupBy("_row_id", "_row_tag").agg(F.first("_row_spans").alias("_row_spans"))
-    marked = docs.withColumns(row).join(found, [*row], "left").select(*docs.columns, "_row_spans")
-    schema = ", ".join([*[f"`{n}` {t}" for n, t in docs.dtypes], f"_row_spans array<{_SPAN}>"])
-    return marked.mapInArrow(_redact, schema).drop("_row_spans")
+    found = staging.put(found, "redactions")
+    marked = named.withColumns(row).join(met(found), [*row], "left").select(*own, "_row_spans").withColumnRenamed(own[docs.columns.index("text")], "text")
+    schema = ", ".join([*[f"`{n}` {t}" for n, t in marked.dtypes]])
+    return marked.mapInArrow(_redact, schema).drop("_row_spans").toDF(*docs.columns)
