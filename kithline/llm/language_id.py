@@ -35,9 +35,13 @@ class CrossParsing:
     reference_chars: int = 40_000
     #: Characters per language, of other labelled rows, that give the usual phrase rate of the language.
     calibration_chars: int = 20_000
-    #: Labelled rows per language that reach the driver at most, and characters of each.
-    sample_rows: int = 400
-    sample_chars: int = 2_000
+    #: Labelled rows per language that reach the driver, twice as many at most.
+    sample_rows: int = 100
+    #: Texts longer than this are drawn (a few, and whole as all are) only for a language that has no shorter one.
+    longest_drawn: int = 5_000
+    long_rows: int = 4
+    #: More labels than this are taken for a fault of the column.
+    most_languages: int = 2_000
     #: Columns of a dense transition table, for callers that bring one; ``fit`` has no limit on letters.
     alphabet: int = 47
     line: int = 1024
@@ -190,7 +194,9 @@ class Model:
 
 
 def _mixed(texts: list[str], chars: int) -> str:
-    return "\n".join(texts)[:chars]
+    """Whole texts, until there are so many characters."""
+    sizes = np.cumsum([len(t) for t in texts])
+    return "\n".join(texts[:int(np.searchsorted(sizes, chars)) + 1])
 
 
 def fit(docs: DataFrame, may_learn: Column, cfg: CrossParsing = CrossParsing()) -> Model | None:
@@ -198,16 +204,20 @@ def fit(docs: DataFrame, may_learn: Column, cfg: CrossParsing = CrossParsing())
     spark = docs.sparkSession
     labelled = docs.where(may_learn & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     rank = F.xxhash64("text")
-    best = labelled.select("lang", F.struct(rank.alias("rank"), F.substring("text", 1, cfg.sample_chars).alias("text")).alias("row"))
+    drawn = labelled.select("lang", rank.alias("rank"), (F.length("text") > cfg.longest_drawn).alias("long"), "text")
     # The hash-first rows per language, by a bounded range of hashes: the sample does not grow with the input.
-    sizes = labelled.select("lang", rank.alias("rank")).distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()
+    sizes = drawn.select("lang", "long", "rank").distinct().groupBy("lang").agg(
+        F.count_if(~F.col("long")).alias("short"), F.count(F.lit(1)).alias("n")).limit(cfg.most_languages + 1).collect()
     if not sizes:
         return None
+    if len(sizes) > cfg.most_languages:
+        raise ValueError(f"more than {cfg.most_languages} different languages: is this the language column?")
     share = spark.createDataFrame(
-        [(r["lang"], min(1.0, 2.0 * cfg.sample_rows / r["n"])) for r in sizes], "lang string, share double")
-    span = F.pmod(F.col("row.rank"), F.lit(1 << 40)) < F.col("share") * (1 << 40)
+        [(r["lang"], not r["short"], min(1.0, (2.0 * cfg.sample_rows / r["short"]) if r["short"] else (2.0 * cfg.long_rows / r["n"]))) for r in sizes],
+        "lang string, long boolean, share double")
+    span = F.pmod(F.col("rank"), F.lit(1 << 40)) < F.col("share") * (1 << 40)
     # Copies have one hash and are in the share together, so they are one row each after it.
-    rows = best.join(F.broadcast(share), "lang").where(span).select("lang", "row.rank", "row.text").distinct().collect()
+    rows = drawn.join(F.broadcast(share), ["lang", "long"]).where(span).select("lang", "rank", "text").distinct().collect()
     texts: dict[str, list[str]] = {}
     for r in sorted(rows, key=lambda r: (r["lang"], r["rank"], r["text"])):
         texts.setdefault(r["lang"], []).append(r["text"])

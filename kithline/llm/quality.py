@@ -34,7 +34,8 @@ class CoTraining:
     slots: int = 1 << 16
     sample_rows: int = 2_500
     pool_rows: int = 4_000
-    sample_chars: int = 10_000
+    #: Texts longer than this are not drawn for the samples; those drawn are read whole.
+    longest_drawn: int = 200_000
     rounds: int = 3
     #: Share of the pool that each view hands over per round.
     share: float = 0.05
@@ -161,8 +162,8 @@ def _pick(view, rows: np.ndarray):
 def _sample(rows: DataFrame, most: int, total: int, cfg: CoTraining) -> list:
     """The first ``most`` of ``total`` distinct texts in the order of their hashes, each with its smallest page metadata."""
     draw = F.pmod("hash", F.lit(1 << 20))
-    near = rows.withColumn("hash", F.xxhash64("text")).where(draw < min(1.0, 1.5 * most / max(total, 1)) * (1 << 20))
-    once = near.groupBy("hash").agg(F.min(F.struct(F.substring("text", 1, cfg.sample_chars).alias("text"), *PAGE_COLUMNS)).alias("row"))
+    near = rows.where(F.length("text") <= cfg.longest_drawn).withColumn("hash", F.xxhash64("text")).where(draw < min(1.0, 1.5 * most / max(total, 1)) * (1 << 20))
+    once = near.groupBy("hash").agg(F.min(F.struct("text", *PAGE_COLUMNS)).alias("row"))
     return once.orderBy(draw, "hash").limit(most).select("row.*").collect()
 
 

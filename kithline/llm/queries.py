@@ -23,7 +23,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.scan(table(spark, sf_dir, "documents"))
+    found = secrets.scan(table(spark, sf_dir, "documents"), Staging(spark))
     return found.select(
         "doc_id", *[secrets.count_of("base", kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
         F.sha2(secrets.as_text("base"), 256).alias("base_sha256"), secrets.as_text("found").alias("spans"))
@@ -53,9 +53,11 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels, fold = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), crc_fold(F.col("doc_id"))
     wanted = labels.select("doc_id", F.col("quality").alias("label")).where("label is not null").distinct()
-    wanted = met(Staging(spark).put(wanted, "labels"))
+    staging = Staging(spark)
+    wanted = met(staging.put(wanted, "labels"))
     pages = docs.where(fold != 0).select("doc_id", "text", *quality.PAGE_COLUMNS)
-    model = quality.fit(pages.join(wanted, "doc_id"), pages.join(wanted, "doc_id", "left_anti"))
+    known = staging.put(pages.join(wanted, "doc_id"), "labelled").df  # read for counts and draws
+    model = quality.fit(known, pages.join(wanted, "doc_id", "left_anti"))
     return quality.score(docs, model).select(
         "doc_id", (fold == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
@@ -92,7 +94,8 @@ def queries() -> dict[str, Query]:
         "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
         "op9_language_id": op9_language_id,
         "op5_decontamination": op5_decontamination,
-        "op10_fingerprints": lambda spark, sf_dir: fingerprints.fingerprint_with_edits(table(spark, sf_dir, "documents")),
+        "op10_fingerprints": lambda spark, sf_dir: fingerprints.fingerprint_with_edits(
+            table(spark, sf_dir, "documents"), Staging(spark)),
         "op6_toxicity": op6_toxicity,
         "op8_quality": op8_quality,
         "op7_substring_dedup": op7_substring_dedup,

@@ -39,7 +39,8 @@ class FactorizationMachine:
     terms: int = 6_000
     factors: int = 8
     sample_rows: int = 6_000
-    sample_chars: int = 20_000
+    #: Texts longer than this are not drawn for the sample; those drawn are read whole.
+    longest_drawn: int = 200_000
     epochs: int = 12
     rate: float = 0.15
     penalty: float = 1e-5
@@ -191,12 +192,15 @@ def fit(labelled: DataFrame, cfg: FactorizationMachine = FactorizationMachine())
 
     draw = F.xxhash64("text").alias("draw")
     # Copies have one hash, so shares are of distinct texts, and copies are one row each after the draw.
-    distinct = {r["label"]: r["count"] for r in rows.select("label", draw).distinct().groupBy("label").count().collect()}
-    share_of = F.when(F.col("label") == 1, F.lit(min(1.0, 1.5 * cfg.sample_rows / distinct[1]))).otherwise(
-        F.lit(min(1.0, 1.5 * cfg.sample_rows / distinct[0])))
-    sample = rows.select("label", draw, "text").where(F.pmod(F.col("draw"), F.lit(1 << 20)) < share_of * (1 << 20))
-    picked = [sample.where(F.col("label") == k).select("label", "draw", F.substring("text", 1, cfg.sample_chars).alias("text")).distinct().orderBy(
+    distinct = {r["label"]: r["count"] for r in rows.where(F.length("text") <= cfg.longest_drawn).select("label", draw).distinct().groupBy(
+        "label").count().collect()}
+    share_of = F.when(F.col("label") == 1, F.lit(min(1.0, 1.5 * cfg.sample_rows / distinct.get(1, 1)))).otherwise(
+        F.lit(min(1.0, 1.5 * cfg.sample_rows / distinct.get(0, 1))))
+    sample = rows.where(F.length("text") <= cfg.longest_drawn).select("label", draw, "text").where(F.pmod(F.col("draw"), F.lit(1 << 20)) < share_of * (1 << 20))
+    picked = [sample.where(F.col("label") == k).distinct().orderBy(
         F.pmod(F.col("draw"), F.lit(1 << 20)), "draw").limit(cfg.sample_rows).collect() for k in (0, 1)]
+    if not all(picked):
+        return float(total[1] / total.sum())
     texts = [r["text"] for part in picked for r in part]
     labels = np.array([r["label"] for part in picked for r in part], dtype=np.float64)
     rng = np.random.default_rng(5)
@@ -230,4 +234,5 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, may_learn: Column,
     wanted = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")).where(
         F.col("label").isNotNull() & may_learn).distinct()
     wanted = met(staging.put(wanted, "labels"))
-    return docs.where(may_learn).select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id").select("text", "label")
+    rows = docs.where(may_learn).select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id").select("text", "label")
+    return staging.put(rows, "labelled").df  # read for counts, shares and draws
