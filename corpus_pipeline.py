@@ -72,7 +72,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces secrets in texts; every document stays, ``n_chars`` follows the text."""
-    return secrets.redact(docs.select(*COLUMNS)).withColumn(
+    return secrets.redact(docs.select(*COLUMNS), Staging(spark)).withColumn(
         "n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars"))).select(*COLUMNS)
 
 
