@@ -23,9 +23,10 @@ from kithline.operators import survivorship as gold  # noqa: E402
 from kithline.operators.normalize import normalize, normalize_source  # noqa: E402
 from kithline.operators.numbering import KEYS, number_records, record_names, with_names  # noqa: E402
 from kithline.plans.staging import Staging  # noqa: E402
-from kithline.sources.derived import derived_sources  # noqa: E402
-from kithline.sources.readers import empty_source, read_parquet, read_sectioned_json  # noqa: E402
-from kithline.sources.sinks import write_files  # noqa: E402
+from kithline.sources.derived import derived_sources, name_forms, phone_forms  # noqa: E402
+from kithline.sources.readers import (  # noqa: E402
+    SILVER_TABLES, empty_source, read_parquet, read_sectioned_json, read_sectioned_lines, read_tables)
+from kithline.sources.sinks import GOLD_TABLES, publish, published, write_files, write_sectioned, write_tables  # noqa: E402
 from oracle_queries import oracle_sql as _oracle_sql  # noqa: E402
 
 try:  # the subpackage for training text, with the pipeline on top of it, may be absent
@@ -208,6 +209,67 @@ def _sectioned_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize(read_sectioned_json(spark, path, lines=True))
 
 
+def _catalog(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A run from catalog tables to catalog tables, in a database below the staging folder."""
+    folder = Staging(spark).folder
+    database = "kithline_" + folder.rsplit("-", 1)[1]
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{folder}'")
+    for system, df in derived_sources(spark, sf_dir).items():
+        df.write.saveAsTable(f"{database}.{system}")
+    run = Resolver(spark).run(read_tables(spark, {s: f"{database}.{s}" for s in SILVER_TABLES}), RUN_TS)
+    write_tables(run.results(), {r: f"{database}.gold_{r}" for r in GOLD_TABLES})
+    return spark.table(f"{database}.gold_{name}")
+
+
+def _export_texts(results: dict[str, DataFrame]) -> DataFrame:
+    """(section, a, b, c, d, e): columns of all four results as text, for one comparison."""
+    day = F.date_format(F.lit(RUN_TS), "yyyy-MM-dd")
+    picked = {
+        "crosswalk": ("source_system", "source_id", "mal_customer_id", "match_method", F.date_format("resolved_at", "yyyy-MM-dd")),
+        "review_queue": ("left_source", "left_id", "right_source", "right_id", F.date_format("queued_at", "yyyy-MM-dd")),
+        "dim_customer": ("mal_customer_id", "name_english", "name_arabic", "email", F.date_format("dob", "yyyy-MM-dd")),
+        "stats": ("deterministic", "probabilistic_auto", "review_queue", "new_customer", "total"),
+    }
+    parts = [results[name].select(F.lit(name).alias("section"), *[
+        (F.col(c) if isinstance(c, str) else c).cast("string").alias(a) for a, c in zip("abcde", columns)]) for name, columns in picked.items()]
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part)
+    return result
+
+
+def _exported(write_and_read: Callable[[SparkSession, Resolution], dict[str, DataFrame]]) -> Query:
+    """All four results of a run, written by a sink and read back."""
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        run = _run(spark, sf_dir)
+        return _export_texts(write_and_read(spark, run))
+    return query
+
+
+def _json_folders(spark: SparkSession, run: Resolution) -> dict[str, DataFrame]:
+    folder, results = f"{run.staging.folder}/json", run.results()
+    write_files(results, folder, "json")
+    return {name: spark.read.schema(df.schema).json(f"{folder}/{name}") for name, df in results.items()}
+
+
+def _published(spark: SparkSession, run: Resolution) -> dict[str, DataFrame]:
+    publish(spark, run.results(), f"{run.staging.folder}/gold")
+    return published(spark, f"{run.staging.folder}/gold")
+
+
+def _sectioned_export(spark: SparkSession, run: Resolution) -> dict[str, DataFrame]:
+    folder, results = f"{run.staging.folder}/document", run.results()
+    write_sectioned(results, folder, run.staging)
+    return read_sectioned_lines(spark, folder, {name: df.schema for name, df in results.items()})
+
+
+def _sectioned_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All derived sources as one JSON document, read back in byte ranges and unified."""
+    staging = Staging(spark)
+    write_sectioned(derived_sources(spark, sf_dir), f"{staging.folder}/document", staging)
+    return normalize(read_sectioned_lines(spark, f"{staging.folder}/document"))
+
+
 def _empty_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run's input in which one source has no rows."""
     return normalize({**derived_sources(spark, sf_dir), "amplitude": empty_source(spark, "amplitude")})
@@ -305,7 +367,15 @@ def queries() -> dict[str, Query]:
         "sink_crosswalk": _staged_sinks("parquet", "crosswalk"),                            # SNK1
         "sink_review_queue": _staged_sinks("parquet", "review_queue"),                      # SNK2
         "sink_dim_customer": _staged_sinks("parquet", "dim_customer"),                      # SNK3
-        "json_export": _staged_sinks("json", "dim_customer"),                               # SNK4
+        "json_export": _staged_sinks("json", "dim_customer"),                               # SNK4, one result in full
+        "json_export_all": _exported(_json_folders),                                        # SNK4
+        "published_results": _exported(_published),                                         # SNK1-SNK3 as a unit
+        "sectioned_export": _exported(_sectioned_export),                                   # SNK4, one document in parts
+        "sectioned_lines": _sectioned_lines,                                                # SRC2 by byte ranges
+        "catalog_crosswalk": lambda s, d: _catalog(s, d, "crosswalk"),                      # SRC1 SNK1
+        "catalog_dim_customer": lambda s, d: _catalog(s, d, "dim_customer"),                # SRC1 SNK3
+        "name_forms": lambda s, d: name_forms(s, d).withColumn("name_english", fn.normalize_name(F.col("raw"))).drop("raw"),  # SC4
+        "phone_forms": lambda s, d: phone_forms(s, d).withColumn("phone_e164", fn.normalize_phone(F.col("raw"))).drop("raw"),  # SC1
         # The same results with tiny bounds, so that hot keys are cut and moved in the ways large tables need.
         "det_best_tiled": lambda s, d: det.deterministic_match(_normalized(s, d), Staging(s), HOT),
         "prob_scored_tiled": lambda s, d: _scored(s, d, cfg=HOT),
@@ -313,6 +383,7 @@ def queries() -> dict[str, Query]:
         "dim_customer_tiled": lambda s, d: _run(s, d, HOT).dim_customer,
         # A lower floor than any later step looks at: the whole block is compared.
         "prob_scored_all": lambda s, d: _scored(s, d, floor=0.3),
+        "prob_scored_every": lambda s, d: _scored(s, d, floor=0.0),
     }
 
     table |= LLM_QUERIES

@@ -59,7 +59,7 @@ def normalize_phone(raw: Column, strict: bool = False) -> Column:
     plain = F.concat(F.lit("+971"), F.nullif(F.regexp_extract(raw, LOCAL_SHAPE, 1), F.lit("")))
     ascii_digits = F.translate(raw, OTHER_DIGITS + "＋", "0123456789" * 3 + "+")
     # Whatever is left besides digits and a leading plus makes the last match fail.
-    bare = F.regexp_replace(ascii_digits, rf"(?i)(?U)^[^0-9+]+|\(0\)|{EXTENSION}|{SEPARATORS}", "")
+    bare = F.regexp_replace(ascii_digits, rf"(?i)(?U)^[^0-9+]+|[\s.\-/]*\(0\)|{EXTENSION}|{SEPARATORS}", "")
     local = F.regexp_replace(bare, LOCAL_SHAPE, "+971$1")
     return F.coalesce(
         plain,

@@ -114,3 +114,42 @@ def amplitude(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def derived_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {"t24": t24(spark, sf_dir), "sfdc": sfdc(spark, sf_dir), "amplitude": amplitude(spark, sf_dir)}
+
+
+# -- Free forms of names and phones ---------------------------------------------------------------------------------------
+
+FULL_WIDTH = "".join(chr(0xFEE0 + ord(c)) for c in "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
+ARABIC_DIGITS = "٠١٢٣٤٥٦٧٨٩"
+
+
+def name_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(source_id, raw): every customer's name as people write it. Cleaning must give the plain name, or for one form in
+    eight the bare Arabic letters: accents as one or two code points, full-width letters, no-break blanks, hyphens and
+    quotes, other cases, ligatures, and vowel marks."""
+    return _people(spark, sf_dir).selectExpr("cast(k as string) AS source_id", f"""CASE k % 8
+        WHEN 0 THEN concat(translate(first_name, 'aeoniuAEO', 'áèöñîüÀÉÓ'), ' ', translate(last_name, 'acso', 'ăčšô'))
+        WHEN 1 THEN concat(regexp_replace(first_name, '([aeiou])', '$1\u0301'), ' ', regexp_replace(last_name, '([aeiou])', '$1\u0308\u0323'))
+        WHEN 2 THEN translate(concat(first_name, ' ', last_name), 'abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ', '{FULL_WIDTH}')
+        WHEN 3 THEN concat('\u00a0', upper(first_name), '\u2003-\u00a0', last_name, '\u2019')
+        WHEN 4 THEN concat('\u201c', first_name, '\u201d  (', lower(last_name), ')')
+        WHEN 5 THEN concat(first_name, 'ﬁ', char(9), last_name, 'ß²')
+        WHEN 6 THEN concat('مُحَمَّد ', 'أَحْمَد ', k)
+        ELSE concat(first_name, '_', k, '. ', last_name, ',') END AS raw""")
+
+
+def phone_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(source_id, raw): every customer's number as people write it: separators, words, extensions, other digits, landlines,
+    foreign numbers, and numbers that are none."""
+    return _people(spark, sf_dir).selectExpr("cast(k as string) AS source_id", f"""CASE k % 12
+        WHEN 0 THEN concat('Tel: +971 (0) ', left(m9, 2), ' ', substr(m9, 3, 3), '-', substr(m9, 6), ' ext. ', k % 90 + 10)
+        WHEN 1 THEN translate(concat('0', m9), '0123456789', '{ARABIC_DIGITS}')
+        WHEN 2 THEN concat('＋971 ', translate(m9, '0123456789', '０１２３４５６７８９'))
+        WHEN 3 THEN concat('04-2', right(m9, 3), '.', right(k7, 3))
+        WHEN 4 THEN concat('+44 20 7946 ', lpad(cast(k % 10000 as string), 4, '0'))
+        WHEN 5 THEN concat('0049 (0) 30/', right(k7, 6))
+        WHEN 6 THEN concat('+999', k7)
+        WHEN 7 THEN concat('12', right(k7, 3))
+        WHEN 8 THEN concat('+1 (212) 555-', lpad(cast(k % 10000 as string), 4, '0'), ' x', k % 9)
+        WHEN 9 THEN concat('800 ', right(k7, 4))
+        WHEN 10 THEN concat('call ', m9, ' or ', m9)
+        ELSE concat('mobile 00971 ', m9, ', #', k % 100) END AS raw""")

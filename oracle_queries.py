@@ -302,7 +302,8 @@ SAME_RESULT = {
     "parquet_sources": "union_sources", "sectioned_json": "union_sources", "sink_crosswalk": "crosswalk",
     "sink_review_queue": "review_queue", "sink_dim_customer": "dim_customer", "json_export": "dim_customer",
     "det_best_tiled": "det_best", "prob_scored_tiled": "prob_scored", "review_queue_tiled": "review_queue",
-    "dim_customer_tiled": "dim_customer",
+    "dim_customer_tiled": "dim_customer", "sectioned_lines": "union_sources", "catalog_crosswalk": "crosswalk",
+    "catalog_dim_customer": "dim_customer", "published_results": "json_export_all", "sectioned_export": "json_export_all",
 }
 
 
@@ -358,6 +359,24 @@ def _plain_queries() -> dict[str, str]:
             GROUP BY block_key"""),
         "prob_scored": _links(f"SELECT {PAIR}, {SCORES} FROM scored"),
         "prob_scored_all": _links(f"SELECT {PAIR}, {SCORES} FROM candidates WHERE confidence >= 0.3"),
+        "prob_scored_every": _links(f"SELECT {PAIR}, {SCORES} FROM candidates WHERE confidence >= 0"),
+        "json_export_all": _gold("""SELECT 'crosswalk' AS section, source_system AS a, source_id AS b, mal_customer_id AS c, match_method AS d,
+                '2025-01-01' AS e FROM crosswalk
+            UNION ALL SELECT 'review_queue', left_source, left_id, right_source, right_id, '2025-01-01' FROM review
+            UNION ALL SELECT 'dim_customer', mal_customer_id, name_english, name_arabic, email, strftime(dob, '%Y-%m-%d') FROM dim
+            UNION ALL SELECT 'stats', d::VARCHAR, p::VARCHAR, r::VARCHAR, n::VARCHAR, (d + p + r + n)::VARCHAR FROM (
+                SELECT count(*) FILTER (WHERE match_method = 'deterministic') AS d, count(*) FILTER (WHERE match_method = 'probabilistic_auto') AS p,
+                    (SELECT count(*) FROM review) AS r, count(*) FILTER (WHERE match_method = 'new_customer') AS n FROM crosswalk)"""),
+        # The raw forms are decorations of the plain name, which cleaning must bring back.
+        "name_forms": _sources("""SELECT k::VARCHAR AS source_id, CASE k % 8
+            WHEN 5 THEN lower(first_name) || 'fi ' || lower(last_name) || 'ß2' WHEN 6 THEN 'محمد احمد ' || k
+            WHEN 7 THEN lower(first_name) || '_' || k || ' ' || lower(last_name)
+            ELSE lower(first_name) || ' ' || lower(last_name) END AS name_english FROM people"""),
+        "phone_forms": _sources("""SELECT k::VARCHAR AS source_id, CASE k % 12
+            WHEN 3 THEN '+97142' || right(m9, 3) || right(k7, 3) WHEN 4 THEN '+44207946' || lpad((k % 10000)::VARCHAR, 4, '0')
+            WHEN 5 THEN '+4930' || right(k7, 6) WHEN 8 THEN '+1212555' || lpad((k % 10000)::VARCHAR, 4, '0')
+            WHEN 9 THEN '+971800' || right(k7, 4) WHEN 0 THEN '+971' || m9 WHEN 1 THEN '+971' || m9 WHEN 2 THEN '+971' || m9
+            WHEN 11 THEN '+971' || m9 END AS phone_e164 FROM people"""),
         "empty_source": _sources("SELECT * FROM n_t24 UNION ALL SELECT * FROM n_sfdc"),
         "prob_auto": _links(f"SELECT {PAIR}, {SCORES} FROM auto"),
         "prob_review": _links(f"SELECT {PAIR}, {SCORES} FROM review"),
