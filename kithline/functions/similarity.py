@@ -88,14 +88,48 @@ def jaro_winkler(a: Column, b: Column) -> Column:
     return F.when(equal, F.lit(1.0)).otherwise(_jaro_winkler_once(F.when(~equal, a), F.when(~equal, b)))
 
 
-def jaro_winkler_bound(a: Column, b: Column) -> Column:
-    """A value Jaro-Winkler cannot exceed, from the lengths and the common prefix alone."""
+#: Letters with a place in the packed counts, in two halves, and how many of each are told apart.
+LETTERS = ("abcdefghijklm", "nopqrstuvwxyz")
+LETTER_COUNT = 4
+
+
+def letter_counts(name: Column) -> Column:
+    """(low, high, rest): how often each letter stands in a name, packed so that what two names share is a bit count.
+
+    A letter's count is a run of that many set bits, four at most; ``rest`` is the number of all other characters."""
+    def count(letter: str) -> Column:
+        return F.least(F.length(name) - F.length(F.replace(name, F.lit(letter), F.lit(""))), F.lit(LETTER_COUNT))
+
+    def packed(letters: str) -> Column:
+        runs = [F.element_at(F.array(*[F.lit(((1 << n) - 1) << (LETTER_COUNT * k)).cast("long") for n in range(LETTER_COUNT + 1)]), count(c) + 1)
+                for k, c in enumerate(letters)]
+        return _or_all(runs)
+    told = _add_all([count(c) for letters in LETTERS for c in letters])
+    return F.struct(packed(LETTERS[0]).alias("low"), packed(LETTERS[1]).alias("high"), (F.length(name) - told).alias("rest"))
+
+
+def _or_all(columns: list[Column]) -> Column:
+    return columns[0] if len(columns) == 1 else _or_all(columns[:len(columns) // 2]).bitwiseOR(_or_all(columns[len(columns) // 2:]))
+
+
+def _add_all(columns: list[Column]) -> Column:
+    return columns[0] if len(columns) == 1 else _add_all(columns[:len(columns) // 2]) + _add_all(columns[len(columns) // 2:])
+
+
+def shared_letters(a: Column, b: Column) -> Column:
+    """At least as many as the characters that two names' packed counts can match."""
+    return F.bit_count(a["low"].bitwiseAND(b["low"])) + F.bit_count(a["high"].bitwiseAND(b["high"])) + F.least(a["rest"], b["rest"])
+
+
+def jaro_winkler_bound(a: Column, b: Column, matches: Column | None = None) -> Column:
+    """A value Jaro-Winkler cannot exceed, from the lengths, the common prefix, and the most ``matches``, if they are known."""
     short, long = F.least(F.length(a), F.length(b)), F.greatest(F.length(a), F.length(b))
-    jaro = (F.lit(2.0) + short / F.greatest(long, F.lit(1))) / F.lit(3.0)
+    most = short if matches is None else F.least(short, matches)
+    jaro = (F.lit(1.0) + most / F.greatest(short, F.lit(1)) + most / F.greatest(long, F.lit(1))) / F.lit(3.0)
     prefix = F.lit(0)
     for n in (1, 2, 3, 4):
         prefix = F.when((F.left(a, F.lit(n)) == F.left(b, F.lit(n))) & (short >= n), F.lit(n)).otherwise(prefix)
-    return F.when(a.isNull() | b.isNull() | (short == 0), F.lit(0.0)).otherwise(
+    return F.when(a.isNull() | b.isNull() | (most == 0), F.lit(0.0)).otherwise(
         jaro + prefix * F.lit(0.1) * (F.lit(1.0) - jaro))
 
 

@@ -22,8 +22,8 @@ from kithline.config import DEFAULT, LinkageConfig
 from kithline.functions.contact import email_domain
 from kithline.functions.names import block_key
 from kithline.functions.similarity import (
-    confidence, dob_score, domain_score, jaro_winkler, jaro_winkler_bound, near_dates, other_signals, phone_score,
-    phone_tail,
+    confidence, dob_score, domain_score, jaro_winkler, jaro_winkler_bound, letter_counts, near_dates, other_signals, phone_score,
+    phone_tail, shared_letters,
 )
 from kithline.operators.deterministic import PAIR, PAIR_COLUMNS, pair_endpoints, unmatched_records
 from kithline.operators.numbering import KEYS, NUMBER, number_records, record_names, with_names, with_numbers
@@ -141,13 +141,13 @@ def score_profiles(
     """(rep_l, profile_l, rep_r, profile_r, scores) of all profile pairs of two systems that reach ``min_confidence``."""
     floor = cfg.review_threshold if min_confidence is None else min_confidence
     keys = _Keys(floor, cfg)
-    rows = table.select("rep", *ATTRIBUTES)
+    rows = table.select("rep", *ATTRIBUTES, letter_counts(F.col("name")).alias("letters"))
     # A row looks for partners in the systems that sort after its own, one copy per system.
     later = F.filter(F.array(*[F.lit(s) for s in sorted(systems)]), lambda s: s > F.col("source_system"))
     left = keys.of(rows.withColumn("partner", F.explode(later)).withColumnRenamed("source_system", "system_l"), False)
     right = keys.of(rows.withColumnRenamed("source_system", "partner"), True)
     suffixed = [
-        side.select("partner", "link_key", *more, *[F.col(c).alias(f"{c}_{s}") for c in ("rep", *ATTRIBUTES[1:])])
+        side.select("partner", "link_key", *more, *[F.col(c).alias(f"{c}_{s}") for c in ("rep", "letters", *ATTRIBUTES[1:])])
         for side, s, more in ((left, "l", ["system_l"]), (right, "r", []))
     ]
     both = tiled_join(*suffixed, ["partner", "link_key"], "rep_l", "rep_r", cfg, staging)
@@ -162,7 +162,7 @@ def score_profiles(
     })
     # The best the name could add decides who goes on to the Jaro-Winkler batches.
     cheap = other_signals(F.col("dob_score"), F.col("phone_score"), F.col("email_domain_score"), cfg)
-    reachable = cheap + jaro_winkler_bound(l("name"), r("name")) * cfg.weight_name >= keys._floor
+    reachable = cheap + jaro_winkler_bound(l("name"), r("name"), shared_letters(l("letters"), r("letters"))) * cfg.weight_name >= keys._floor
     texts = [
         _profile_text(F.col(system), *[F.col(f"{c}_{s}") for c in ATTRIBUTES[1:-1]])
         .alias(f"profile_{s}") for s, system in (("l", "system_l"), ("r", "partner"))

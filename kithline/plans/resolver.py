@@ -19,7 +19,7 @@ from kithline.operators.components import assign_ids, component_map, connected_c
 from kithline.operators.normalize import normalize
 from kithline.operators.numbering import KEYS, number_records, record_names, with_names
 from kithline.operators.survivorship import survivorship
-from kithline.plans.staging import Staging
+from kithline.plans.staging import Staging, inputs_key
 from kithline.sources.adapters import ADAPTERS, Adapter
 
 
@@ -66,8 +66,8 @@ class Resolver:
                  folder: str | None = None):
         self.spark, self.cfg, self.adapters, self._folder = spark, cfg, adapters, folder
 
-    def staging(self) -> Staging:
-        return Staging(self.spark, self._folder)
+    def staging(self, key: str | None = None) -> Staging:
+        return Staging(self.spark, self._folder, key)
 
     def normalize(self, sources: Mapping[str, DataFrame]) -> DataFrame:
         return normalize(sources, self.cfg, self.adapters)
@@ -86,9 +86,15 @@ class Resolver:
     def survivorship(self, normalized: DataFrame, crosswalk: DataFrame, run_ts: datetime | None = None) -> DataFrame:
         return survivorship(normalized, crosswalk, run_ts or _now(), self.cfg)
 
-    def run(self, sources: Mapping[str, DataFrame], run_ts: datetime | None = None) -> Resolution:
-        """Link all sources. Steps that are read more than once are staged; nothing passes through the driver."""
-        cfg, staging, run_ts = self.cfg, self.staging(), run_ts or _now()
+    def run(self, sources: Mapping[str, DataFrame], run_ts: datetime | None = None, resume: bool = False) -> Resolution:
+        """Link all sources. Steps that are read more than once are staged; nothing passes through the driver.
+
+        With ``resume`` a run whose driver was lost goes on where it ended: finished tables of a run over the same files with
+        the same settings and ``run_ts`` are taken up. That needs a fixed ``run_ts`` and a folder that outlives the driver."""
+        if resume and run_ts is None:
+            raise ValueError("a run that may be resumed needs its run_ts")
+        cfg, run_ts = self.cfg, run_ts or _now()
+        staging = self.staging(inputs_key(sources, cfg, sorted(self.adapters.items()), run_ts) if resume else None)
         normalized = number_records(staging.put(self.normalize(sources), "normalized").df, staging)
         names = record_names(normalized)
         links = staging.put(det.deterministic_links(normalized, staging, cfg), "det-links")

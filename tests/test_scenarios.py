@@ -19,6 +19,8 @@ from kithline.operators.deterministic import deterministic_match
 from kithline.operators.normalize import normalize, normalize_source
 from kithline.operators.probabilistic import auto_pairs, probabilistic_match, review_pairs
 from kithline.plans.staging import Staging
+from kithline.sources.derived import derived_sources
+from kithline.sources.readers import read_parquet
 from kithline.sources.adapters import ADAPTERS, Adapter
 from kithline.sources.schemas import NORMALIZED
 
@@ -286,3 +288,32 @@ def test_empty_sources(spark):
     run = Resolver(spark).run({"t24": frame(spark, "t24", [])}, RUN_TS)
     assert [df.count() for df in run.results().values()] == [0, 0, 0, 1]
     assert run.stats.first().total == 0
+
+
+def test_a_lost_run_goes_on(spark, tmp_path, monkeypatch):
+    """A run ends after the scores were staged; the next one reads what is there, and gives the same results."""
+    files = {}
+    for name, df in derived_sources(spark, "/root/testdata/sf0.001").items():
+        df.write.parquet(str(tmp_path / name))
+        files[name] = str(tmp_path / name)
+    whole = Resolver(spark, folder=str(tmp_path / "a")).run(read_parquet(spark, files), RUN_TS)
+    put = Staging.put
+
+    def lost(self, df, name):
+        if name == "members":
+            raise RuntimeError("driver lost")
+        return put(self, df, name)
+    monkeypatch.setattr(Staging, "put", lost)
+    resolver = Resolver(spark, folder=str(tmp_path / "b"))
+    with pytest.raises(RuntimeError, match="driver lost"):
+        resolver.run(read_parquet(spark, files), RUN_TS, resume=True)
+    monkeypatch.undo()
+    run = resolver.run(read_parquet(spark, files), RUN_TS, resume=True)
+    assert {"normalized", "numbered", "det-links", "scored"} <= set(run.staging.reused) and "members" not in run.staging.reused
+    assert sorted(map(tuple, run.crosswalk.collect())) == sorted(map(tuple, whole.crosswalk.collect()))
+    assert sorted(map(str, run.dim_customer.collect())) == sorted(map(str, whole.dim_customer.collect()))
+    # Other settings, or other files, are another run.
+    assert not Resolver(spark, replace(DEFAULT, auto_threshold=0.8), folder=str(tmp_path / "b")).run(
+        read_parquet(spark, files), RUN_TS, resume=True).staging.reused
+    with pytest.raises(ValueError, match="run_ts"):
+        resolver.run(read_parquet(spark, files), resume=True)
