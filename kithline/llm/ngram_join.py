@@ -78,22 +78,27 @@ def _overlap_bound(bits_a: bytes, bits_b: bytes, n_a: int, n_b: int) -> int:
     return (n_a + n_b - int(np.bitwise_count(a ^ b).sum())) // 2
 
 
-def _filtered(cfg: JaccardJoin):
-    """Keeps the pairs that share a prefix shingle under every further order, and whose parities allow enough overlap."""
-    columns = ("bits_a", "bits_b", "n_a", "n_b", "orders_a", "orders_b")
-
+def _bounded(cfg: JaccardJoin):
+    """Keeps the pairs whose parities allow enough overlap."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept = []
-            for k, (bits_a, bits_b, n_a, n_b, orders_a, orders_b) in enumerate(zip(*[batch.column(c).to_pylist() for c in columns])):
+            for k, (bits_a, bits_b, n_a, n_b) in enumerate(zip(*[batch.column(c).to_pylist() for c in ("bits_a", "bits_b", "n_a", "n_b")])):
                 common = _overlap_bound(bits_a, bits_b, n_a, n_b)
-                if 100 * common >= cfg.percent * (n_a + n_b - common) and all(
-                        len(np.intersect1d(np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32), True)) for x, y in zip(orders_a, orders_b)):
+                if 100 * common >= cfg.percent * (n_a + n_b - common):
                     kept.append(k)
             yield batch.select(["a", "b"]).take(pa.array(kept, type=pa.int64()))
     return run
 
 
+def _in_all_orders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Keeps the pairs that share a prefix shingle under every further order."""
+    for batch in batches:
+        kept = [k for k, (a, b) in enumerate(zip(batch.column("orders_a").to_pylist(), batch.column("orders_b").to_pylist())) if all(
+            len(np.intersect1d(np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32), True)) for x, y in zip(a, b))]
+        yield batch.select(["a", "b"]).take(pa.array(kept, type=pa.int64()))
+
+
 def _keys(tokens: np.ndarray, sizes: np.ndarray, seed: int) -> np.ndarray:
     """One 64-bit key per set, of its shingles in any order."""
     sums = np.zeros(len(tokens) + 1, dtype=np.uint64)
@@ -127,8 +132,8 @@ def _describe(cfg: JaccardJoin):
 def _levels(counts: DataFrame, cfg: JaccardJoin) -> np.ndarray:
     """How far each slot's count stands out, as a small number; at most ``count_slots`` rows reach the driver."""
     total = np.zeros(cfg.count_slots, dtype=np.float64)
-    for slot, n in counts.groupBy("id").agg(F.sum("n").alias("n")).collect():
-        total[slot] = n
+    summed = counts.groupBy("id").agg(F.sum("n").alias("n")).toArrow()
+    total[summed.column("id").to_numpy()] = summed.column("n").to_numpy()
     mean = total.mean()
     return np.floor(np.log2(np.maximum((total - mean) / (2 * np.sqrt(mean + 1)), 0.5)) + 1).astype(np.uint64)
 
@@ -170,17 +175,18 @@ def _prefix_tokens(levels, cfg: JaccardJoin):
     return run
 
 
-_SKETCH = "token long, set long, n long, place int, bits binary, orders array<binary>, short array<bigint>, begin array<bigint>"
+_SKETCH = "token long, set long, n long, place int, nth int, bits binary, orders array<binary>, short array<bigint>, begin array<bigint>"
 
 
 def _sketches(levels, shared, cfg: JaccardJoin):
-    """(token, set, n, place) of prefix shingles that may be shared, then (set, n, bits, orders, short, begin) of their sets."""
+    """(token, set, n, place, nth) of prefix shingles that may be shared, then (set, n, bits, orders, short, begin) of their
+    sets. ``nth`` counts the shingles of the prefix that may be shared, ``begin`` holds the first of them."""
     names = [c.split()[0] for c in _SKETCH.split(", ")]
     mask = np.uint64(cfg.shared_bits - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for sets, keys in _new_sets(batches, cfg):
-            tokens, owner, places, rows = [], [], [], []
+            tokens, owner, places, nth, rows = [], [], [], [], []
             for k, s in enumerate(sets):
                 prefix = _prefix(s, 1, levels.value, cfg)
                 slot = prefix & mask
@@ -189,10 +195,11 @@ def _sketches(levels, shared, cfg: JaccardJoin):
                     tokens.append(prefix[hit])
                     owner.append(np.full(len(hit), k))
                     places.append(hit)
+                    nth.append(np.arange(len(hit)))
                     orders = [np.unique((_prefix(s, order, levels.value, cfg) >> np.uint64(32)).astype(np.uint32)).tobytes()
                               for order in range(2, 2 + cfg.more_orders)]
                     rows.append((k, len(s), _parities(s), orders, np.frombuffer(_parities(s, 512, 512), dtype=np.int64),
-                                 prefix[:cfg.earlier].view(np.int64)))
+                                 prefix[hit[:cfg.earlier]].view(np.int64)))
             if not rows:
                 continue
             owner, n = np.concatenate(owner), len(np.concatenate(tokens))
@@ -200,10 +207,10 @@ def _sketches(levels, shared, cfg: JaccardJoin):
             none = [pa.nulls(n, t) for t in (pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int64()), pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(tokens).view(np.int64)), pa.array(keys[owner]), pa.array(size[owner]),
-                 pa.array(np.concatenate(places).astype(np.int32)), *none], names=names)
+                 pa.array(np.concatenate(places).astype(np.int32)), pa.array(np.concatenate(nth).astype(np.int32)), *none], names=names)
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(len(rows), pa.int64()), pa.array(keys[[r[0] for r in rows]]), pa.array([r[1] for r in rows], pa.int64()),
-                 pa.nulls(len(rows), pa.int32()), pa.array([r[2] for r in rows], pa.binary()), pa.array([r[3] for r in rows], pa.list_(pa.binary())),
+                 pa.nulls(len(rows), pa.int32()), pa.nulls(len(rows), pa.int32()), pa.array([r[2] for r in rows], pa.binary()), pa.array([r[3] for r in rows], pa.list_(pa.binary())),
                  pa.array([r[4] for r in rows], pa.list_(pa.int64())), pa.array([r[5] for r in rows], pa.list_(pa.int64()))], names=names)
     return run
 
@@ -260,15 +267,17 @@ def _components(docs: DataFrame, staging: Staging, cfg: JaccardJoin) -> DataFram
     tokens = staging.put(tokens, "shared-tokens").df
     shared = context.broadcast(bitmap(tokens, F.col("token"), cfg.shared_bits))
     sketched = staging.put(named.mapInArrow(_sketches(levels, shared, cfg), _SKETCH), "sketches").df
-    postings = sketched.where("token is not null").select("token", "set", "n", "place").join(tokens, "token").groupBy("token", "set", "n").agg(
-        F.min("place").alias("place"))
+    postings = sketched.where("token is not null").select("token", "set", "n", "place", "nth").join(tokens, "token").groupBy("token", "set", "n").agg(
+        F.min("place").alias("place"), F.min("nth").alias("nth"))
     sketches = staging.put(sketched.where("token is null").select("set", "n", "bits", "orders", "short", "begin").dropDuplicates(["set"]), "set-sketches").df
 
     def verified(pairs: DataFrame) -> Staged:
         """The pairs ``(a, b)`` of sets that link. Filters first; texts travel only for what they leave."""
-        for side in "ab":
-            pairs = pairs.join(sketches.select(F.col("set").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("n", "bits", "orders")]), side)
-        pairs = staging.put(pairs.mapInArrow(_filtered(cfg), "a long, b long"), "pairs").df
+        # The small sketches first: hardly a pair that does not link is left for the larger ones.
+        for name, columns, keep in (("bounded", ("n", "bits"), _bounded(cfg)), ("pairs", ("orders",), _in_all_orders)):
+            for side in "ab":
+                pairs = pairs.join(sketches.select(F.col("set").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]), side)
+            pairs = staging.put(pairs.mapInArrow(keep, "a long, b long"), name).df
         sets = pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct()
         places = staging.put(sets.join(classes.df, "set").select("set", F.col("class_id").alias("doc_id"), "tag"), "places")
         texts = named.join(met(places), ["doc_id", "tag"]).select("set", "text").dropDuplicates(["set"])
@@ -289,8 +298,8 @@ def _components(docs: DataFrame, staging: Staging, cfg: JaccardJoin) -> DataFram
         chosen, "token").where((F.col("a") != F.col("b")) & _fits(cfg))
     stars = staging.put(stars.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "stars").df
     found = verified(stars).df
-    roots = connected_components(found, staging)
-    rest = mixed(members.drop("draw").join(roots.withColumnRenamed("id", "set"), "set", "left").withColumn(
+    roots = staging.put(connected_components(found, staging).withColumnRenamed("id", "set"), "labels")
+    rest = mixed(members.drop("draw").join(met(roots), "set", "left").withColumn(
         "label", F.coalesce("root", "set")).drop("root"), "mixed")
 
     # Then the members of different components meet; those of crowded buckets only where their parities allow, and
@@ -307,7 +316,7 @@ def _components(docs: DataFrame, staging: Staging, cfg: JaccardJoin) -> DataFram
     pairs = left.join(right, "token").where(apart).select("a", "b")
     if dense.rows:
         crowded = rest.join(met(dense), "token", "left_semi").join(sketches.select("set", "short", "begin"), "set")
-        before = F.slice("begin", F.lit(1), F.col("place"))
+        before = F.slice("begin", F.lit(1), F.col("nth"))
         left, right = sides(crowded.withColumn("earlier", before).drop("begin"), "short", "earlier")
         differ = F.aggregate(F.zip_with("short_a", "short_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
         common = (F.col("n_a") + F.col("n_b") - differ) / 2
