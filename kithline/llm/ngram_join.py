@@ -43,7 +43,7 @@ class JaccardJoin:
     more_orders: int = 2
     #: Entries of the count table, and bits of the table of shared prefix shingles (their sizes do not depend on the input).
     count_slots: int = 1 << 17
-    shared_bits: int = 1 << 25
+    shared_bits: int = 1 << 24
     #: Pairs of different components from which on a bucket's join looks at parities, before a pair comes to be.
     dense_pairs: int = 2_000
     #: First shingles of a set that are looked through for an earlier meeting of two sets in a crowded bucket.
