@@ -1,7 +1,7 @@
 """SentencePiece encoding and decoding as shortest paths in a weighted finite-state transducer.
 
 Three transducers are compiled once per worker from a model's piece table: the *normaliser* (a blank becomes the mark
-U+2581, one mark is put in front), the *pieces* (a trie whose accepting paths emit a piece id), and the *byte fallback*
+U+2581, one mark is put in front and runs of blanks become one if the model says so), the *pieces* (a trie whose accepting paths emit a piece id), and the *byte fallback*
 (a character that is no piece emits its UTF-8 bytes' pieces). Composed with an input they give a lattice over positions,
 and the result is its shortest path in the tropical semiring (weights add along a path, the least sum wins).
 
@@ -14,7 +14,8 @@ and the result is its shortest path in the tropical semiring (weights add along
 A lattice falls apart between two characters that stand next to each other in no piece, as before most blanks and around
 punctuation. Each such part is composed once and its path kept (a bounded memo per worker): results do not depend on it.
 
-Defined results: a null or empty text has no ids; ids decode to the text again, with U+2581 itself read as a blank.
+Defined results: a null or empty text has no ids, and null ids decode to the empty text; ids decode to the text again, with U+2581
+itself read as a blank, and with blanks as the normaliser leaves them; an empty table has no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,6 +33,40 @@ MARK = "▁"
 #: A part is a run of marks and what follows up to the next mark.
 _PART = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 _INFINITY = float("inf")
+_BLANKS = re.compile(" +")
+
+
+def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
+    """(number, value) of the fields of a message in the protocol buffers' wire format."""
+    at = 0
+
+    def number() -> int:
+        nonlocal at
+        value = shift = 0
+        while True:
+            byte = data[at]
+            at += 1
+            value |= (byte & 127) << shift
+            shift += 7
+            if byte < 128:
+                return value
+    while at < len(data):
+        key = number()
+        if key & 7 == 0:
+            yield key >> 3, number()
+            continue
+        size = {1: 8, 5: 4}.get(key & 7) or number()
+        yield key >> 3, data[at:at + size]
+        at += size
+
+
+def _settings(model: bytes) -> tuple[dict, dict]:
+    """The last value of each field of a model's trainer (2) and normaliser (3) settings."""
+    found: dict[int, dict] = {2: {}, 3: {}}
+    for number, value in _fields(model):
+        if number in found:
+            found[number].update(_fields(value))
+    return found[2], found[3]
 
 
 @dataclass(frozen=True)
@@ -41,20 +76,34 @@ class PieceTable:
     pieces: dict[str, tuple[int, float]]
     byte_ids: tuple[int, ...]
     kind: str = "bpe"
+    #: The model's normaliser: a mark in front, and runs of blanks as one, with none at the ends.
+    mark_in_front: bool = True
+    one_blank: bool = False
 
     @staticmethod
-    def load(path: str, kind: str = "bpe") -> PieceTable:
-        """Reads a model file, on the driver; the table travels with the tasks."""
+    def load(model_file: str | bytes) -> PieceTable:
+        """Reads a model, a file or its bytes, on the driver; the table travels with the tasks.
+
+        Kind and normaliser are the model's own. A model that asks for more than this module does, such as a table of
+        character replacements, is refused."""
         import sentencepiece
 
-        model = sentencepiece.SentencePieceProcessor(model_file=path)
+        model = sentencepiece.SentencePieceProcessor(**{"model_proto" if isinstance(model_file, bytes) else "model_file": model_file})
+        trainer, normaliser = _settings(model.serialized_model_proto())
+        kind = {1: "unigram", 2: "bpe"}.get(trainer.get(3, 1))
+        refused = [what for what, wrong in (
+            ("a kind other than unigram and bpe", kind is None), ("a table of character replacements", bool(normaliser.get(2))),
+            ("blanks that are not escaped", not normaliser.get(5, 1)), ("marks as endings", bool(trainer.get(24, 0))),
+            ("no byte fallback", not trainer.get(35, 0))) if wrong]
+        if refused:
+            raise ValueError(f"not supported in a model: {', '.join(refused)}")
         pieces, byte_ids = {}, {}
         for i in range(model.vocab_size()):
             if model.is_byte(i):
                 byte_ids[int(model.id_to_piece(i)[3:5], 16)] = i
             elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
                 pieces[model.id_to_piece(i)] = (i, model.get_score(i))
-        return PieceTable(pieces, tuple(byte_ids[b] for b in range(256)), kind)
+        return PieceTable(pieces, tuple(byte_ids[b] for b in range(256)), kind, bool(normaliser.get(3, 1)), bool(normaliser.get(4, 1)))
 
 
 @dataclass
@@ -73,13 +122,16 @@ class Transducer:
             for c in piece:
                 node = node.setdefault(c, {})
             node[""] = (piece, number, score)
+        # An unknown character costs ten more than the least likely piece, as the library has it.
+        self._unknown = 10.0 - min((score for _, score in self.table.pieces.values()), default=0.0)
         self._inner = {piece[k:k + 2] for piece in self.table.pieces for k in range(len(piece) - 1)}
         self._text = {number: piece.replace(MARK, " ").encode("utf-8") for piece, (number, _) in self.table.pieces.items()}
         self._text |= {number: bytes([b]) for b, number in enumerate(self.table.byte_ids)}
 
-    @staticmethod
-    def normalise(text: str) -> str:
-        return MARK + text.replace(" ", MARK) if text else ""
+    def normalise(self, text: str) -> str:
+        if self.table.one_blank:
+            text = _BLANKS.sub(" ", text).strip(" ")
+        return (MARK if self.table.mark_in_front else "") + text.replace(" ", MARK) if text else ""
 
     def _merged(self, text: str) -> list[str]:
         """What merging gives: of all neighbours that form a piece, the best-scored pair joins first, leftmost on ties."""
@@ -113,7 +165,7 @@ class Transducer:
                 arcs.append((to, piece, -score, (number,)))
         if not arcs or arcs[0][0] > at + 1:  # the character itself is no piece
             spelled = tuple(self.table.byte_ids[b] for b in part[at].encode("utf-8", "surrogatepass"))
-            arcs.append((at + 1, part[at], 1e6, spelled))
+            arcs.append((at + 1, part[at], self._unknown, spelled))
         return arcs
 
     def _least_sum(self, part: str) -> tuple[int, ...]:
@@ -194,7 +246,8 @@ class Transducer:
     def decode(self, ids) -> str:
         """The inverse transducer: ids to text; the mark put in front is taken off."""
         spelled = b"".join(map(self._text.__getitem__, ids))
-        return spelled.decode("utf-8", "replace").removeprefix(" ")
+        text = spelled.decode("utf-8", "replace")
+        return text.removeprefix(" ") if self.table.mark_in_front else text
 
 
 _COMPILED: dict[int, Transducer] = {}

@@ -239,6 +239,37 @@ def test_encoding_equals_the_library(spark, piece_table):
     assert [r.text for r in back] == [t or "" for _, t in rows]
 
 
+def test_kind_and_normaliser_are_the_models_own(spark, piece_table):
+    sentencepiece = pytest.importorskip("sentencepiece")
+    plain = sentencepiece.SentencePieceProcessor(model_file=queries.PIECE_MODEL).serialized_model_proto()
+    rng, pieces = random.Random(14), list(piece_table.pieces)
+    texts = ["", " ", "  a  b ", "a", "漢\U0001F600 x  "] + ["".join(rng.choice(pieces) for _ in range(rng.randint(1, 5))).replace("▁", " ") for _ in range(150)]
+    # Fields that stand behind the others win: blanks are folded, no mark in front, another kind.
+    for more in (b"\x1a\x02\x20\x01", b"\x1a\x02\x18\x00", b"\x1a\x04\x18\x00\x20\x01"):
+        library = sentencepiece.SentencePieceProcessor(model_proto=plain + more)
+        machine = sentencepiece_fst.Transducer(sentencepiece_fst.PieceTable.load(plain + more))
+        for text in texts:
+            ids = np.frombuffer(machine.encode(text), "<i4").tolist()
+            assert ids == library.encode(text) and machine.decode(ids) == library.decode(ids)
+    library = sentencepiece.SentencePieceProcessor(model_proto=plain + b"\x12\x02\x18\x01")
+    table = sentencepiece_fst.PieceTable.load(plain + b"\x12\x02\x18\x01")
+    machine, scores = sentencepiece_fst.Transducer(table), dict(table.pieces.values())
+    assert table.kind == "unigram"
+
+    def weight(ids):  # several paths may weigh the same; runs of bytes are characters that are no piece
+        spelled = bytes(table.byte_ids.index(i) for i in ids if i not in scores)
+        return sum(-scores[i] for i in ids if i in scores) + machine._unknown * len(spelled.decode("utf-8"))
+    for text in texts:
+        ids = np.frombuffer(machine.encode(text), "<i4").tolist()
+        assert weight(ids) == weight(library.encode(text)) and machine.decode(ids) == library.decode(ids)
+    for more, what in ((b"\x1a\x03\x12\x01x", "replacements"), (b"\x12\x02\x18\x04", "kind"), (b"\x12\x03\xc0\x01\x01", "endings")):
+        with pytest.raises((ValueError, RuntimeError), match=what if what != "replacements" else None):
+            sentencepiece_fst.PieceTable.load(plain + more)
+    assert sentencepiece_fst.encode(docs_of(spark, RAGGED).limit(0), piece_table).count() == 0
+    ids = spark.createDataFrame([(1, None), (None, [])], "doc_id long, token_ids array<int>")
+    assert [r.text for r in sentencepiece_fst.decode(ids, piece_table).collect()] == ["", ""]
+
+
 def test_unigram_path_is_the_least_sum():
     pieces = {p: (k + 300, s) for k, (p, s) in enumerate({"▁": -2.0, "a": -1.5, "b": -1.5, "ab": -2.2, "▁a": -2.4, "ba": -3.1, "aba": -3.0}.items())}
     machine = sentencepiece_fst.Transducer(sentencepiece_fst.PieceTable(pieces, tuple(range(256)), "unigram"))
