@@ -10,7 +10,8 @@ import hashlib
 import os
 import tempfile
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -54,6 +55,20 @@ def inputs_key(frames: Mapping[str, DataFrame], *settings: object) -> str:
     return digest.hexdigest()[:32]
 
 
+_OPENED: list[list[Staging]] = []
+
+
+@contextmanager
+def released() -> Iterator[None]:
+    """Deletes, at its end, the tables of every ``Staging`` that was opened within it."""
+    _OPENED.append([])
+    try:
+        yield
+    finally:
+        for staging in _OPENED.pop():
+            staging.release()
+
+
 class Staging:
     """One folder per run below the shared folder; ``put`` writes a table there and reads it back.
 
@@ -65,6 +80,8 @@ class Staging:
         self.spark, self._resumes = spark, key is not None
         self.folder = os.path.join(folder or shared_folder(spark), f"linkage-{key or uuid.uuid4().hex}")
         self.reused: list[str] = []
+        for opened in _OPENED[-1:]:
+            opened.append(self)
         self._tables = 0
 
     def _finished(self, path: str) -> bool:
