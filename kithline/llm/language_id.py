@@ -281,17 +281,20 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     return docs.mapInArrow(_predict(shared), "doc_id long, lang_pred string, score double, rate double")
 
 
-def _known(model, columns: list[str]):
+def _known(model, columns: list[str], fill: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predict = _predict(model)
         for batch in batches:
             tags = [t for part in predict(iter([batch])) for t in part.column("lang_pred").to_pylist()]
-            yield batch.select(columns).filter(pa.array([t != UNKNOWN for t in tags], pa.bool_()))
+            arrays = [batch.column(c) if c != fill else pa.array(
+                [t if own is None else own for own, t in zip(batch.column(c).to_pylist(), tags)], pa.string()) for c in columns]
+            yield pa.RecordBatch.from_arrays(arrays, names=columns).filter(pa.array([t != UNKNOWN for t in tags], pa.bool_()))
     return run
 
 
-def keep_known(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of ``docs(doc_id, text, ...)`` whose text is in some language."""
+def keep_known(docs: DataFrame, model: Model, fill: str | None = None) -> DataFrame:
+    """The rows of ``docs(doc_id, text, ...)`` whose text is in some language; a null in the column ``fill`` becomes the language
+    that was found."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes)
-    return docs.mapInArrow(_known(shared, docs.columns), schema)
+    return docs.mapInArrow(_known(shared, docs.columns, fill), schema)

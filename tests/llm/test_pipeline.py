@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline as P
+from kithline.plans import staging as plans
 from kithline.plans.staging import Staging
 
 WORDS = [f"word{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(120)]
@@ -25,6 +26,7 @@ def test_stages(spark, tmp_path):
         kept.append({r.doc_id: r for r in docs.collect()})
         assert name == P.STAGES[-1][0] or tuple(docs.columns) == P.COLUMNS
     assert set(kept[0]) == {1, 2, 3, 7, 8, 9, None, 10}
+    assert kept[0][9].lang in ("xx", "yy") and all(kept[0][i].lang == lang for i, _, lang in ROWS if i in kept[0] and i != 9)
     assert set(kept[1]) == {1, 7, 8, 9, None, 10}
     assert set(kept[2]) == {1, 8, 9, None, 10}
     assert kept[3][8].text == "here is [secret] and more text" and kept[3][8].n_chars == len(kept[3][8].text)
@@ -32,6 +34,16 @@ def test_stages(spark, tmp_path):
     assert set(kept[4]) == set(kept[3]) and all(r.round_trip for r in kept[4].values())
 
 
+def test_a_run_leaves_only_its_result(spark, tmp_path, monkeypatch):
+    folder = tmp_path / "shared"
+    spark.createDataFrame([(1, ITEM)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    spark.createDataFrame([(i, t, lang, "s", len(t or "")) for i, t, lang in ROWS], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(
+        str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(plans, "shared_folder", lambda spark: str(folder))
+    assert {r.doc_id for r in P.run(spark, str(tmp_path)).collect()} == {1, 8, 9, None, 10}
+    assert [p.name for run in folder.iterdir() for p in run.iterdir()] == ["001-sentencepiece"]
+
+
 def test_empty_tables(spark, tmp_path):
     spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
