@@ -13,7 +13,7 @@ from kithline.llm import decontamination, language_id, secrets, sentencepiece_fs
 from kithline.llm.common import table
 from kithline.llm.ngram_join import jaccard_components
 from kithline.llm.queries import PIECE_MODEL
-from kithline.plans.staging import Staging
+from kithline.plans.staging import Staging, released
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -48,12 +48,12 @@ def _once(docs: DataFrame, staging: Staging) -> DataFrame:
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops what is in no language: null texts and texts without a letter. Any lettered text is nearest to some language,
-    whatever its phrase rate, so the parse itself drops nothing."""
+    """Drops what is in no language: null texts and texts without a letter; fills a missing ``lang`` with the language found.
+    Any lettered text is nearest to some language, whatever its phrase rate, so the parse itself drops nothing."""
     model = language_id.fit(docs, F.lit(True))
     if model is None:  # nothing labelled to learn from: only the letters decide
         return docs.where(F.col("text").rlike(r"\p{L}")).select(*COLUMNS)
-    return language_id.keep_known(docs.select(*COLUMNS), model)
+    return language_id.keep_known(docs.select(*COLUMNS), model, fill="lang")
 
 
 def one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -93,8 +93,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Applies the stages to ``documents``."""
+    """Applies the stages to ``documents``. What a stage staged is deleted when its result is written, and that when the
+    next one's is."""
     docs, staging = table(spark, sf_dir, "documents"), Staging(spark)
     for name, stage in STAGES:
-        docs = staging.put(stage(spark, docs, sf_dir), name).df
+        last, staging = staging, Staging(spark)
+        with released():
+            docs = staging.put(stage(spark, docs, sf_dir), name).df
+        last.release()
     return docs
