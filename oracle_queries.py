@@ -303,7 +303,7 @@ SAME_RESULT = {
     "sink_review_queue": "review_queue", "sink_dim_customer": "dim_customer", "json_export": "dim_customer",
     "det_best_tiled": "det_best", "prob_scored_tiled": "prob_scored", "review_queue_tiled": "review_queue",
     "dim_customer_tiled": "dim_customer", "sectioned_lines": "union_sources", "catalog_crosswalk": "crosswalk",
-    "catalog_dim_customer": "dim_customer", "published_results": "json_export_all", "sectioned_export": "json_export_all",
+    "catalog_dim_customer": "dim_customer", "dim_customer_merged": "dim_customer", "published_results": "json_export_all", "sectioned_export": "json_export_all",
 }
 
 

@@ -13,7 +13,7 @@ CHECKED = ("union_sources phone_clean eid_valid weighted_confidence det_best det
            "components method_attribution review_queue dim_customer dim_customer_hold_review run_stats name_clean phone_strict "
            "email_clean sql_functions jw_scores first_value_contact sectioned_json json_export empty_source prob_scored_all "
            "det_best_tiled dim_customer_tiled name_forms phone_forms json_export_all published_results sectioned_export sectioned_lines "
-           "catalog_dim_customer prob_scored_every").split()
+           "catalog_dim_customer prob_scored_every dim_customer_merged").split()
 
 
 def test_every_query_has_sql():

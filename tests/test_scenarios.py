@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from kithline import LinkageConfig, Resolver
 from kithline.config import DEFAULT
 from kithline.operators import crosswalk as xw
+from kithline.operators import golden_state as states
 from kithline.operators import survivorship as gold
 from kithline.operators.deterministic import deterministic_match
 from kithline.operators.normalize import normalize, normalize_source
@@ -317,3 +318,33 @@ def test_a_lost_run_goes_on(spark, tmp_path, monkeypatch):
         read_parquet(spark, files), RUN_TS, resume=True).staging.reused
     with pytest.raises(ValueError, match="run_ts"):
         resolver.run(read_parquet(spark, files), resume=True)
+
+
+@pytest.mark.parametrize("mode", ["attribute", "row"])
+def test_states_of_parts_give_the_golden_records(spark, mode):
+    """Ties, missing times and moved customers included."""
+    cfg, rng = replace(DEFAULT, contact_mode=mode), random.Random(15)
+    rows = []
+    for k in range(400):
+        rows.append((f"c{rng.randint(0, 40)}", rng.choice(["t24", "sfdc", "amplitude", "web"]), f"r{k}", rng.choice([None, "784"]),
+                     rng.choice([None, date(1980, 1, 1 + k % 28)]), rng.choice([None, f"n{k}"]), rng.choice([None, f"a{k}"]), rng.choice([None, f"p{k}"]),
+                     rng.choice([None, f"e{k}"]), rng.choice([None, "LOW", "HIGH"]), rng.choice([None, "mass", "private", "x"]), rng.choice([None, "OK"]),
+                     rng.choice([None, datetime(2020, 1, 1 + k % 3)]), rng.choice([None, datetime(2021, 1, 1 + k % 3)])))
+    columns = [gold.GROUP, *NORMALIZED.names]
+    linked = spark.createDataFrame(rows, ", ".join(
+        f"{n} {'string' if n == gold.GROUP else NORMALIZED[n].dataType.simpleString()}" for n in columns))
+    # Customers c30 and up were joined with those 30 below, after the first part was kept.
+    number = F.substring(gold.GROUP, 2, 9).cast("int")
+    joined = linked.withColumn(gold.GROUP, F.when(number >= 30, F.concat(F.lit("c"), number - 30)).otherwise(F.col(gold.GROUP)))
+    late = F.pmod(F.xxhash64("source_id"), F.lit(4)) == 0
+    moved = linked.select(F.col(gold.GROUP).alias("old_id"), F.when(
+        number >= 30, F.concat(F.lit("c"), number - 30)).otherwise(F.col(gold.GROUP)).alias("new_id")).distinct()
+    kept = states.golden_states(linked.where(~late))
+    fresh, gone = states.refresh_states(kept, states.golden_states(joined.where(late)), moved)
+    left = kept.join(fresh.select(gold.GROUP).unionByName(gone), gold.GROUP, "left_anti")
+    got = states.golden_records(left.unionByName(fresh), RUN_TS, cfg)
+    keys = joined.select("source_system", "source_id", gold.GROUP)
+    expected = gold.survivorship(joined.drop(gold.GROUP), keys, RUN_TS, cfg)
+    assert got.columns == expected.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
+    assert states.golden_states(linked.limit(0)).count() == 0
