@@ -348,3 +348,28 @@ def test_states_of_parts_give_the_golden_records(spark, mode):
     assert got.columns == expected.columns
     assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
     assert states.golden_states(linked.limit(0)).count() == 0
+
+
+def test_a_run_makes_no_pairs_for_review(spark, monkeypatch):
+    """30 x 30 records agree on name and domain alone: the run and its counters write none of their pairs, the queue has all.
+
+    Copies, near dates, equal tails and scores above the band are counted as the queue has them."""
+    core = [t24(customer_id=f"{i}", name_english="Dmitri Moreau", email=f"a{i}@d.example", mobile=f"050{1000000 + i}") for i in range(30)]
+    core += [t24(customer_id=f"N{i}", name_english="Dmitri Moreau", email="n@d.example", dob=date(1990, 1, 1 + i)) for i in range(3)]
+    core += [t24(customer_id=f"C{i}", name_english="Dmitri Moreau", email="c@d.example") for i in range(2)]
+    crm = [sfdc("Dmitri", "Moreau", contact_id=f"{i}", email=f"b{i}@d.example", phone=f"055{2000000 + i}") for i in range(30)]
+    crm += [sfdc("Dmitri", "Moreau", contact_id="N", email="m@d.example", dob=date(1990, 3, 1), phone="0559000001"),
+            sfdc("Dmitri", "Moreau", contact_id="E", email="e@d.example", dob=date(1990, 1, 2)),
+            sfdc("Dmitri", "Moreau", contact_id="T", email="t@d.example", phone="0521000005")]
+    written, put = {}, Staging.put
+
+    def counted(self, df, name):
+        staged = put(self, df, name)
+        written[name] = max(written.get(name, 0), staged.rows)
+        return staged
+    monkeypatch.setattr(Staging, "put", counted)
+    run = Resolver(spark).run({"t24": frame(spark, "t24", core), "sfdc": frame(spark, "sfdc", crm)}, RUN_TS)
+    stats = run.stats.first()
+    assert max(written.values()) < 200
+    queue = run.review_queue.collect()
+    assert stats.review_queue == len(queue) == len({tuple(r[:4]) for r in queue}) > 900
