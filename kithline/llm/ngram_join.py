@@ -11,7 +11,8 @@ shingles two sets differ at least, must leave room for the overlap. Texts are fe
 Equal sets are one class before anything else: tasks emit a set once, and Spark's partial aggregation does the rest, so a
 copy group of any size is one set. Candidates are met in an order that spares most of them, and loses no link: every
 member of a prefix bucket first meets one member of it, and the links found give components; then the bucket members of
-*different* components meet, in tiles of bounded size. A group of k near copies so costs some k comparisons, not k*k.
+*different* components meet, in tiles of bounded size. A group of k near copies so costs some k comparisons, not k*k. Where
+buckets of several components are crowded, their members first meet some more members, as long as that finds links.
 Where in its prefix a shingle stands bounds the overlap of two sets whose first common shingle it is, which spares more.
 
 Defined results: a null or wordless text has no shingle and no link; a text of fewer words than a shingle is one shingle;
@@ -46,6 +47,11 @@ class JaccardJoin:
     shared_bits: int = 1 << 24
     #: Pairs of different components from which on a bucket's join looks at parities, before a pair comes to be.
     dense_pairs: int = 2_000
+    #: How often the members of crowded buckets meet some more members, at most, and how many of them; a round that finds
+    #: fewer links than ``least_linked`` is the last.
+    more_stars: int = 6
+    centres: int = 4
+    least_linked: int = 100
     #: First shingles of a set that are looked through for an earlier meeting of two sets in a crowded bucket.
     earlier: int = 32
     #: Sets that a task remembers, so as to emit each once.
@@ -298,31 +304,55 @@ def _components(docs: DataFrame, staging: Staging, cfg: JaccardJoin) -> DataFram
         chosen, "token").where((F.col("a") != F.col("b")) & _fits(cfg))
     stars = staging.put(stars.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "stars").df
     found = verified(stars).df
-    roots = staging.put(connected_components(found, staging).withColumnRenamed("id", "set"), "labels")
-    rest = mixed(members.drop("draw").join(met(roots), "set", "left").withColumn(
-        "label", F.coalesce("root", "set")).drop("root"), "mixed")
+
+    apart = (F.col("label_a") != F.col("label_b")) & _fits(cfg)
+    differ = F.aggregate(F.zip_with("short_a", "short_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
+    common = (F.col("n_a") + F.col("n_b") - differ) / 2
+    enough = common * (100 + cfg.percent) >= (F.col("n_a") + F.col("n_b")) * cfg.percent
+
+    def side(rows: DataFrame, s: str, *more: str) -> DataFrame:
+        return rows.select("token", F.col("set").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("n", "place", "label", *more)])
+
+    def unlinked() -> tuple[DataFrame, Staged]:
+        """The members of buckets of several components, and the buckets that stand for many pairs."""
+        roots = staging.put(connected_components(found, staging).withColumnRenamed("id", "set"), "labels")
+        rest = mixed(members.drop("draw").join(met(roots), "set", "left").withColumn(
+            "label", F.coalesce("root", "set")).drop("root"), "mixed")
+        per_token = rest.groupBy("token", "label").agg(F.count(F.lit(1)).alias("k")).groupBy("token").agg(
+            ((F.pow(F.sum("k"), F.lit(2)) - F.sum(F.col("k") * F.col("k"))) / 2).alias("pairs"))
+        return rest, staging.put(per_token.where(F.col("pairs") > cfg.dense_pairs).select("token"), "crowded-tokens")
+
+    rest, dense = unlinked()
+    # The members of crowded buckets meet further members, drawn alike in all buckets.
+    for turn in range(cfg.more_stars):
+        if not dense.rows:
+            break
+        crowded = rest.join(met(dense), "token", "left_semi").join(sketches.select("set", "short"), "set")
+        row = F.struct("set", "n", "place", "label", "short")
+        drawn = crowded.groupBy("token").agg(*[
+            F.min_by(row, F.xxhash64("set", F.lit(cfg.centres * turn + c))).alias(f"c{c}") for c in range(cfg.centres)])
+        drawn = drawn.select("token", F.explode(F.array_distinct(F.array(*[f"c{c}" for c in range(cfg.centres)]))).alias("c")).select("token", "c.*")
+        near = side(crowded, "a", "short").join(side(drawn, "b", "short"), "token").where(apart & enough)
+        near = near.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+        near = staging.put(near.join(stars, ["a", "b"], "left_anti"), "more-stars")
+        linked = verified(near.df)
+        stars, found = stars.unionByName(near.df), found.unionByName(linked.df)
+        if linked.rows:
+            rest, dense = unlinked()
+        if linked.rows < cfg.least_linked:
+            break
 
     # Then the members of different components meet; those of crowded buckets only where their parities allow, and
     # where they share no earlier shingle, so that a pair comes once and not for every shingle that it shares.
-    per_token = rest.groupBy("token", "label").agg(F.count(F.lit(1)).alias("k")).groupBy("token").agg(
-        ((F.pow(F.sum("k"), F.lit(2)) - F.sum(F.col("k") * F.col("k"))) / 2).alias("pairs"))
-    dense = staging.put(per_token.where(F.col("pairs") > cfg.dense_pairs).select("token"), "crowded-tokens")
-
-    def sides(rows: DataFrame, *more: str) -> list[DataFrame]:
-        return [rows.select("token", F.col("set").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("n", "place", "label", *more)]) for s in "ab"]
-
-    apart = (F.col("a") > F.col("b")) & (F.col("label_a") != F.col("label_b")) & _fits(cfg)
-    left, right = sides(rest.join(met(dense), "token", "left_anti"))
-    pairs = left.join(right, "token").where(apart).select("a", "b")
+    apart = (F.col("a") > F.col("b")) & apart
+    sparse = rest.join(met(dense), "token", "left_anti")
+    pairs = side(sparse, "a").join(side(sparse, "b"), "token").where(apart).select("a", "b")
     if dense.rows:
         crowded = rest.join(met(dense), "token", "left_semi").join(sketches.select("set", "short", "begin"), "set")
         before = F.slice("begin", F.lit(1), F.col("nth"))
-        left, right = sides(crowded.withColumn("earlier", before).drop("begin"), "short", "earlier")
-        differ = F.aggregate(F.zip_with("short_a", "short_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
-        common = (F.col("n_a") + F.col("n_b") - differ) / 2
-        enough = common * (100 + cfg.percent) >= (F.col("n_a") + F.col("n_b")) * cfg.percent
+        crowded = crowded.withColumn("earlier", before).drop("begin")
         met_before = F.coalesce(F.arrays_overlap("earlier_a", "earlier_b"), F.lit(False))
-        pairs = pairs.unionByName(tiled_join(left, right, ["token"], "a", "b", DEFAULT, staging).where(
+        pairs = pairs.unionByName(tiled_join(*[side(crowded, s, "short", "earlier") for s in "ab"], ["token"], "a", "b", DEFAULT, staging).where(
             apart & enough & ~met_before).select("a", "b"))
     more = verified(staging.put(pairs.distinct().join(stars, ["a", "b"], "left_anti"), "across").df)
 

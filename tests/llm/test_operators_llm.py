@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import collections
+import glob
 import hashlib
 import itertools
 import random
@@ -302,6 +303,29 @@ def brute_components(rows):
     return collections.Counter((i, len(s), find(i)) for i in sets for s in sets[i])
 
 
+def test_near_copies_meet_a_few_of_their_crowd(spark):
+    """Copies that link with a part of the others only: nearly all are joined before every pair of components is met."""
+    rng = random.Random(4)
+    base = [f"word{k}" for k in range(120)]
+    rows = []
+    for i in range(260):
+        words = list(base)
+        for at in rng.sample(range(120), rng.choice([1, 2, 2, 2])):
+            words[at] = f"x{i}y{at}"
+        rows.append((i, " ".join(words)))
+    sets = [{tuple(t.split()[k:k + 5]) for k in range(116)} for _, t in rows]
+    links = [(a, b) for a in range(260) for b in range(a) if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    root = list(range(260))
+    for _ in rows:
+        for a, b in links:
+            root[a] = root[b] = min(root[a], root[b])
+    staging = Staging(spark)
+    got = jaccard_components(docs_of(spark, rows), staging, JaccardJoin(dense_pairs=200, least_linked=5)).collect()
+    assert {(r.doc_id, r.component_id) for r in got} == {(i, root[i]) for i in range(260)}
+    across = spark.read.parquet(*glob.glob(f"{staging.folder}/*-across")).count()
+    assert len(links) > 4000 and across < len(links) / 8, (len(links), across)
+
+
 @pytest.mark.parametrize("cfg", [JaccardJoin(), JaccardJoin(count_slots=64, dense_pairs=0, shared_bits=64), JaccardJoin(dense_pairs=3, task_sets=2)])
 def test_components_equal_brute_force(spark, cfg):
     rng = random.Random(11)
