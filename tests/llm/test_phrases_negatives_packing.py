@@ -107,6 +107,26 @@ def test_phrases_equal_brute_force(spark, cfg):
     assert {tuple(r) for r in got} == brute_phrases(rows, cfg) and len(got) == len({tuple(r) for r in got})
 
 
+def test_a_task_leaves_out_phrases_that_are_known():
+    class Value:
+        def __init__(self, value):
+            self.value = value
+
+    rng = np.random.default_rng(5)
+    words = rng.integers(1, 40, 5000).astype(np.uint64)
+    batch = pa.RecordBatch.from_arrays([pa.array([words.view(np.int64)], pa.list_(pa.int64()))], names=["words"])
+    every = Value(np.full(64, 2**64 - 1, dtype=np.uint64))
+
+    def named(known):
+        found = collocations._candidates(2, every, every, known, 100, Collocations())(iter([batch]))
+        return np.concatenate([b.column("phrase").flatten().to_numpy().view(np.uint64).reshape(-1, 2) for b in found])
+
+    phrases = named(None)
+    hashes = np.sort(np.array([collocations._phrase(p, 2)[0][0] for p in phrases]))
+    assert len(phrases) > 1000 and len(named(Value(hashes))) == 0
+    assert len(named(Value(hashes[::2]))) == len(hashes) - len(hashes[::2]) and len(named(Value(hashes[:0]))) == len(hashes)
+
+
 def test_phrases_of_odd_tables(spark):
     docs = spark.createDataFrame([(i, "en", t) for i, t in ODD], "doc_id long, lang string, text string")
     assert collocations.mine(docs, Staging(spark)).count() == 0
