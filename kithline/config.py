@@ -69,6 +69,8 @@ class LinkageConfig:
 
     # Scale. A key that stands for more pairs than this is cut into tiles of at most so many in a pair join.
     tile_pairs: int = 4_000_000
+    # Tiles that the pairs of all cut keys make, about; with more pairs the tiles are larger, so that copies of rows are bounded.
+    most_tiles: int = 4_096
     # The table of cut keys is broadcast up to this many rows; a longer one meets its rows by a shuffle.
     broadcast_keys: int = 100_000
     # Sizes of the sketch that sieves out exact keys of a single record.

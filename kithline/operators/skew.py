@@ -14,6 +14,11 @@ from kithline.config import LinkageConfig
 from kithline.plans.staging import Staging
 
 
+def tile_size(pairs: float, cfg: LinkageConfig) -> float:
+    """How many pairs a tile stands for, when the keys that are cut stand for so many ``pairs``."""
+    return max(cfg.tile_pairs, pairs / cfg.most_tiles)
+
+
 def tiled_join(
     left: DataFrame,
     right: DataFrame,
@@ -27,16 +32,23 @@ def tiled_join(
 
     The pairs of every key above ``tile_pairs`` are cut into a grid: a left row belongs to one of its key's left slices
     and is copied to every right slice, and the other way round, so that a tile stands for about ``tile_pairs`` pairs at
-    most. Slices are taken from a hash of the ``spread`` columns, which is stable when a task is retried. Keys are
-    counted on both sides, map-side combined, and only those to be cut are listed.
+    most. A tile stands for no less than its share of all those pairs among ``most_tiles``: smaller ones would not balance
+    better, but copy every row once more for every few rows that it meets. Slices are taken from a hash of the ``spread``
+    columns, which is stable when a task is retried. Keys are counted on both sides, map-side combined, and only those to
+    be cut are listed.
     """
     keys = list(keys)
     counts = [side.groupBy(*keys).agg(F.count(F.lit(1)).alias(name)) for side, name in ((left, "_l"), (right, "_r"))]
-    rows = max(1, int(cfg.tile_pairs ** 0.5))
-    cut = counts[0].join(counts[1], keys).where(F.col("_l").cast("double") * F.col("_r") > cfg.tile_pairs).select(
+    pairs = F.col("_l").cast("double") * F.col("_r")
+    grid = staging.put(counts[0].join(counts[1], keys).where(pairs > cfg.tile_pairs), "tiles")
+    if not grid.rows:
+        return left.join(right, keys)
+    tile = tile_size(grid.df.agg(F.sum(pairs)).first()[0], cfg)
+    rows = max(1, int(tile ** 0.5))
+    table = grid.df.where(pairs > tile).select(
         *keys, F.ceil(F.col("_l") / rows).cast("int").alias("_slices_l"), F.ceil(F.col("_r") / rows).cast("int").alias("_slices_r"))
-    grid = staging.put(cut, "tiles")
-    table = F.broadcast(grid.df) if grid.rows <= cfg.broadcast_keys else grid.df
+    if grid.rows <= cfg.broadcast_keys:
+        table = F.broadcast(table)
 
     def slices(side: DataFrame, own: str, other: str, spread: str) -> DataFrame:
         return (

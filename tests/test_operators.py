@@ -18,7 +18,7 @@ from kithline.operators.deterministic import deterministic_links, deterministic_
 from kithline.operators.probabilistic import block_sizes, probabilistic_match
 from kithline.operators.numbering import number_records, record_names
 from kithline.operators.sieve import Sieve, seen_twice
-from kithline.operators.skew import tiled_join
+from kithline.operators.skew import tile_size, tiled_join
 from kithline.plans.staging import Staging
 
 SYSTEMS = ("t24", "sfdc", "amplitude")
@@ -172,6 +172,19 @@ def test_tiled_join_equals_a_plain_join(spark, cfg):
     assert got == sorted(map(tuple, rows.join(other, "k").select("k", "x", "z").collect()))
 
 
+@pytest.mark.parametrize("broadcast_keys", [0, 1000])
+def test_copies_of_tiles_do_not_grow_with_the_pairs(spark, broadcast_keys):
+    cfg = replace(TINY, most_tiles=16, broadcast_keys=broadcast_keys)
+    rows = spark.range(1200).selectExpr("id % 3 AS k", "id AS x")
+    other = spark.range(600).selectExpr("id % 3 AS k", "id AS z")
+    joined = tiled_join(rows, other, ["k"], "x", "z", cfg, Staging(spark))
+    assert joined.count() == 3 * 400 * 200
+    # 16 tiles over three keys: a row is copied to a few of them, not to one for every two rows that it meets.
+    copies = 1200 * -(-200 // int(tile_size(3 * 400 * 200, cfg) ** 0.5))
+    assert tile_size(60, TINY) == 4 and copies < 4 * 1200
+    assert joined.select("x", "z").distinct().count() == 3 * 400 * 200
+
+
 def test_letter_counts_bound_the_matches(spark):
     rng = random.Random(13)
     letters = "aaabcdeeenorstzé漢 _09"
