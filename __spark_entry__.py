@@ -308,12 +308,12 @@ def _det_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _components(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = _run(spark, sf_dir)
-    return with_names(run.components.select(*KEYS, "root"), record_names(run.normalized), {"root": ROOT})
+    return with_names(run.components.select(*KEYS, "root"), run.names, {"root": ROOT})
 
 
 def _attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = _run(spark, sf_dir)
-    return with_names(run.attribution, record_names(run.normalized), {"node": tuple(KEYS)}).select(*KEYS, "match_method", "confidence")
+    return with_names(run.attribution, run.names, {"node": tuple(KEYS)}).select(*KEYS, "match_method", "confidence")
 
 
 def _fallback_name(spark: SparkSession, sf_dir: str) -> DataFrame:

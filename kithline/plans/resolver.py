@@ -30,6 +30,7 @@ class Resolution:
     dim_customer: DataFrame
     crosswalk: DataFrame
     normalized: DataFrame
+    names: DataFrame
     det_links: DataFrame
     components: DataFrame
     attribution: DataFrame
@@ -101,7 +102,7 @@ class Resolver:
         cfg, run_ts = self.cfg, run_ts or _now()
         staging = self.staging(inputs_key(sources, cfg, sorted(self.adapters.items()), run_ts) if resume else None)
         normalized = number_records(staging.put(self.normalize(sources), "normalized").df, staging)
-        names = record_names(normalized)
+        names = staging.put(record_names(normalized), "names").df
         links = staging.put(det.deterministic_links(normalized, staging, cfg), "det-links")
 
         records, table = prob.fuzzy_profiles(normalized, links.df, staging, cfg)
@@ -138,6 +139,7 @@ class Resolver:
             crosswalk=crosswalk.df,
             make_stats=stats,
             normalized=normalized,
+            names=names,
             det_links=links.df,
             components=components,
             attribution=attribution,
