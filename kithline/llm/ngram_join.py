@@ -10,9 +10,10 @@ shingles two sets differ at least, must leave room for the overlap. Texts are fe
 
 Equal sets are one class before anything else: tasks emit a set once, and Spark's partial aggregation does the rest, so a
 copy group of any size is one set. Candidates are met in an order that spares most of them, and loses no link: every
-member of a prefix bucket first meets one member of it, and the links found give components; then the bucket members of
-*different* components meet, in tiles of bounded size. A group of k near copies so costs some k comparisons, not k*k. Where
-buckets of several components are crowded, their members first meet some more members, as long as that finds links.
+member of a prefix bucket first meets one member of it, in a crowded bucket several ones, and the links found give components;
+then the bucket members of *different* components meet, in tiles of bounded size. A group of k near copies so costs some k
+comparisons, not k*k. Where buckets of several components are still crowded, their members first meet some more members, as
+long as that finds links.
 Where in its prefix a shingle stands bounds the overlap of two sets whose first common shingle it is, which spares more.
 
 Defined results: a null or wordless text has no shingle and no link; a text of fewer words than a shingle is one shingle;
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 
 from kithline.config import DEFAULT
 from kithline.llm import words as W
-from kithline.llm.common import bitmap, connected_components, met, small_batches
+from kithline.llm.common import BROADCAST_IDS, bitmap, connected_components, few, met, small_batches
 from kithline.operators.skew import tiled_join
 from kithline.plans.staging import Staged, Staging
 
@@ -45,13 +46,17 @@ class JaccardJoin:
     #: Entries of the count table, and bits of the table of shared prefix shingles (their sizes do not depend on the input).
     count_slots: int = 1 << 17
     shared_bits: int = 1 << 24
-    #: Pairs of different components from which on a bucket's join looks at parities, before a pair comes to be.
+    #: Pairs (later: of different components) from which on a bucket is crowded: its join looks at parities, before a pair comes to be.
     dense_pairs: int = 2_000
-    #: How often the members of crowded buckets meet some more members, at most, and how many of them; a round that finds
-    #: fewer links than ``least_linked`` is the last.
+    #: How often the members of crowded buckets meet some members, at most, and how many of them, about; a further round that
+    #: finds fewer links than ``least_linked``, or than one for ``members_linked`` members, is the last.
     more_stars: int = 6
-    centres: int = 4
+    centres: int = 8
     least_linked: int = 100
+    members_linked: int = 100
+    #: Pairs whose texts are compared without further filters, and pairs of a task.
+    few_pairs: int = 10_000
+    task_pairs: int = 1_000
     #: First shingles of a set that are looked through for an earlier meeting of two sets in a crowded bucket.
     earlier: int = 32
     #: Sets that a task remembers, so as to emit each once.
@@ -277,84 +282,108 @@ def _components(docs: DataFrame, staging: Staging, cfg: JaccardJoin) -> DataFram
         F.min("place").alias("place"), F.min("nth").alias("nth"))
     sketches = staging.put(sketched.where("token is null").select("set", "n", "bits", "orders", "short", "begin").dropDuplicates(["set"]), "set-sketches").df
 
-    def verified(pairs: DataFrame) -> Staged:
+    def ends(pairs: Staged) -> DataFrame:
+        """(set) of pairs, for a semi join."""
+        sets = pairs.df.select(F.col("a").alias("set")).unionByName(pairs.df.select(F.col("b").alias("set")))
+        return F.broadcast(sets.distinct()) if 2 * pairs.rows <= BROADCAST_IDS else sets.distinct()
+
+    def verified(staged: Staged) -> Staged:
         """The pairs ``(a, b)`` of sets that link. Filters first; texts travel only for what they leave."""
+        pairs = staged.df
         # The small sketches first: hardly a pair that does not link is left for the larger ones.
         for name, columns, keep in (("bounded", ("n", "bits"), _bounded(cfg)), ("pairs", ("orders",), _in_all_orders)):
+            if staged.rows <= cfg.few_pairs:
+                break
+            # Only the sketches of sets in these pairs are shuffled.
+            some = sketches.select("set", *columns).join(ends(staged), "set", "left_semi")
             for side in "ab":
-                pairs = pairs.join(sketches.select(F.col("set").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]), side)
-            pairs = staging.put(pairs.mapInArrow(keep, "a long, b long"), name).df
-        sets = pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct()
-        places = staging.put(sets.join(classes.df, "set").select("set", F.col("class_id").alias("doc_id"), "tag"), "places")
+                pairs = pairs.join(some.select(F.col("set").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]), side)
+            staged = staging.put(few(pairs, staged.rows, cfg.task_pairs).mapInArrow(keep, "a long, b long"), name)
+            pairs = staged.df
+        sets = classes.df.join(ends(staged), "set", "left_semi")
+        places = staging.put(few(sets.select("set", F.col("class_id").alias("doc_id"), "tag"), 2 * staged.rows), "places")
         texts = named.join(met(places), ["doc_id", "tag"]).select("set", "text").dropDuplicates(["set"])
-        texts = staging.put(texts, "texts").df
+        texts = staging.put(few(texts, places.rows, cfg.task_pairs), "texts").df
         both = pairs.join(texts.select(F.col("set").alias("a"), F.col("text").alias("text_a")), "a").join(
             texts.select(F.col("set").alias("b"), F.col("text").alias("text_b")), "b")
-        return staging.put(both.mapInArrow(_compare(cfg), "a long, b long"), "set-links")
+        return staging.put(few(both, staged.rows, cfg.task_pairs).mapInArrow(_compare(cfg), "a long, b long"), "set-links")
 
     def mixed(members: DataFrame, name: str) -> DataFrame:
         """The members of buckets that hold more than one component."""
         several = members.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-        return staging.put(members.join(several.select("token"), "token"), name).df
-
-    # Every member of a bucket meets one of its members.
-    members = staging.put(postings, "buckets").df.withColumn("draw", F.xxhash64("set"))
-    chosen = members.groupBy("token").agg(*[F.min_by(c, "draw").alias(f"{c}_b") for c in ("n", "place")], F.min_by("set", "draw").alias("b"))
-    stars = members.select("token", F.col("set").alias("a"), F.col("n").alias("n_a"), F.col("place").alias("place_a")).join(
-        chosen, "token").where((F.col("a") != F.col("b")) & _fits(cfg))
-    stars = staging.put(stars.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "stars").df
-    found = verified(stars).df
+        return staging.put(few(members.join(several.select("token"), "token"), buckets.rows), name).df
 
-    apart = (F.col("label_a") != F.col("label_b")) & _fits(cfg)
     differ = F.aggregate(F.zip_with("short_a", "short_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
     common = (F.col("n_a") + F.col("n_b") - differ) / 2
     enough = common * (100 + cfg.percent) >= (F.col("n_a") + F.col("n_b")) * cfg.percent
 
     def side(rows: DataFrame, s: str, *more: str) -> DataFrame:
-        return rows.select("token", F.col("set").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("n", "place", "label", *more)])
+        return rows.select("token", F.col("set").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("n", "place", *more)])
+
+    def ordered(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+    def crowd(rows: DataFrame, dense: Staged, *more: str) -> Staged:
+        """The members of crowded buckets, with what their sketches tell."""
+        return staging.put(few(rows.join(met(dense), "token").join(sketches.select("set", *more), "set"), buckets.rows), "crowded")
+
+    def centred(crowded: DataFrame, turn: int, where, *more: str) -> DataFrame:
+        """The pairs of members of crowded buckets with some of the ``k`` members that may be centres, drawn alike in all buckets."""
+        draw = F.xxhash64("set", F.lit(turn)).cast("double") / 2.0 ** 64 + 0.5
+        drawn = crowded.where(F.col("centre") & (draw * F.col("k") < cfg.centres))
+        return side(crowded, "a", "short", *more).join(side(drawn, "b", "short", *more), "token").where(where & _fits(cfg) & enough).select("a", "b")
+
+    # Every member of a bucket meets one of its members, in a crowded bucket some.
+    buckets = staging.put(postings, "buckets")
+    members = few(buckets.df, buckets.rows)
+    drawn = members.withColumn("draw", F.xxhash64("set"))
+    chosen = drawn.groupBy("token").agg(*[F.min_by(c, "draw").alias(f"{c}_b") for c in ("n", "place")], F.min_by("set", "draw").alias("b"))
+    other = F.col("a") != F.col("b")
+    stars = side(members, "a").join(chosen, "token").where(other & _fits(cfg)).select("a", "b")
+    sizes = members.groupBy("token").agg(F.count(F.lit(1)).alias("k"), F.lit(True).alias("centre"))
+    dense = staging.put(few(sizes.where(F.col("k") * (F.col("k") - 1) / 2 > cfg.dense_pairs), buckets.rows), "crowded-tokens")
+    if dense.rows:
+        stars = stars.unionByName(centred(crowd(members, dense, "short").df, 0, other))
+    first = staging.put(few(ordered(stars), buckets.rows), "stars")
+    stars, found = first.df, verified(first).df
+
+    apart = F.col("label_a") != F.col("label_b")
 
     def unlinked() -> tuple[DataFrame, Staged]:
-        """The members of buckets of several components, and the buckets that stand for many pairs."""
+        """The members of buckets of several components, and the buckets that stand for many pairs with their largest component."""
         roots = staging.put(connected_components(found, staging).withColumnRenamed("id", "set"), "labels")
-        rest = mixed(members.drop("draw").join(met(roots), "set", "left").withColumn(
-            "label", F.coalesce("root", "set")).drop("root"), "mixed")
+        rest = mixed(members.join(met(roots), "set", "left").withColumn("label", F.coalesce("root", "set")).drop("root"), "mixed")
         per_token = rest.groupBy("token", "label").agg(F.count(F.lit(1)).alias("k")).groupBy("token").agg(
-            ((F.pow(F.sum("k"), F.lit(2)) - F.sum(F.col("k") * F.col("k"))) / 2).alias("pairs"))
-        return rest, staging.put(per_token.where(F.col("pairs") > cfg.dense_pairs).select("token"), "crowded-tokens")
+            ((F.pow(F.sum("k"), F.lit(2)) - F.sum(F.col("k") * F.col("k"))) / 2).alias("pairs"), F.max(F.struct("k", "label")).alias("top"))
+        return rest, staging.put(few(per_token.where(F.col("pairs") > cfg.dense_pairs).select(
+            "token", "top.k", F.col("top.label").alias("largest")), buckets.rows), "crowded-tokens")
 
     rest, dense = unlinked()
-    # The members of crowded buckets meet further members, drawn alike in all buckets.
-    for turn in range(cfg.more_stars):
+    # What was not linked meets members of the largest component of its crowded buckets.
+    for turn in range(1, cfg.more_stars):
         if not dense.rows:
             break
-        crowded = rest.join(met(dense), "token", "left_semi").join(sketches.select("set", "short"), "set")
-        row = F.struct("set", "n", "place", "label", "short")
-        drawn = crowded.groupBy("token").agg(*[
-            F.min_by(row, F.xxhash64("set", F.lit(cfg.centres * turn + c))).alias(f"c{c}") for c in range(cfg.centres)])
-        drawn = drawn.select("token", F.explode(F.array_distinct(F.array(*[f"c{c}" for c in range(cfg.centres)]))).alias("c")).select("token", "c.*")
-        near = side(crowded, "a", "short").join(side(drawn, "b", "short"), "token").where(apart & enough)
-        near = near.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-        near = staging.put(near.join(stars, ["a", "b"], "left_anti"), "more-stars")
-        linked = verified(near.df)
+        crowded = crowd(rest, dense, "short")
+        near = ordered(centred(crowded.df.withColumn("centre", F.col("label") == F.col("largest")), turn, apart, "label"))
+        near = staging.put(few(near.join(stars, ["a", "b"], "left_anti"), cfg.centres * crowded.rows), "more-stars")
+        linked = verified(near)
         stars, found = stars.unionByName(near.df), found.unionByName(linked.df)
         if linked.rows:
             rest, dense = unlinked()
-        if linked.rows < cfg.least_linked:
+        if linked.rows < cfg.least_linked or linked.rows * cfg.members_linked < crowded.rows:
             break
 
     # Then the members of different components meet; those of crowded buckets only where their parities allow, and
     # where they share no earlier shingle, so that a pair comes once and not for every shingle that it shares.
-    apart = (F.col("a") > F.col("b")) & apart
+    apart = (F.col("a") > F.col("b")) & apart & _fits(cfg)
     sparse = rest.join(met(dense), "token", "left_anti")
-    pairs = side(sparse, "a").join(side(sparse, "b"), "token").where(apart).select("a", "b")
+    pairs = side(sparse, "a", "label").join(side(sparse, "b", "label"), "token").where(apart).select("a", "b")
     if dense.rows:
-        crowded = rest.join(met(dense), "token", "left_semi").join(sketches.select("set", "short", "begin"), "set")
-        before = F.slice("begin", F.lit(1), F.col("nth"))
-        crowded = crowded.withColumn("earlier", before).drop("begin")
+        crowded = crowd(rest, dense, "short", "begin").df.withColumn("earlier", F.slice("begin", F.lit(1), F.col("nth")))
         met_before = F.coalesce(F.arrays_overlap("earlier_a", "earlier_b"), F.lit(False))
-        pairs = pairs.unionByName(tiled_join(*[side(crowded, s, "short", "earlier") for s in "ab"], ["token"], "a", "b", DEFAULT, staging).where(
+        pairs = pairs.unionByName(tiled_join(*[side(crowded, s, "label", "short", "earlier") for s in "ab"], ["token"], "a", "b", DEFAULT, staging).where(
             apart & enough & ~met_before).select("a", "b"))
-    more = verified(staging.put(pairs.distinct().join(stars, ["a", "b"], "left_anti"), "across").df)
+    more = verified(staging.put(pairs.distinct().join(stars, ["a", "b"], "left_anti"), "across"))
 
     # Links between sets, and from every document to its set's smallest one.
     smallest = classes.df.select("set", "class_id")

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from kithline.llm import decontamination, fingerprints, html_text, language_id, oracle, quality, queries, secrets, sentencepiece_fst, toxicity
 from kithline.llm import words as W
+from kithline.llm.common import connected_components
 from kithline.llm.ngram_join import JaccardJoin, jaccard_components
 from kithline.llm import substring_dedup
 from kithline.llm.substring_dedup import SubstringDedup, remove_repeated_passages
@@ -342,6 +343,23 @@ def test_components_equal_brute_force(spark, cfg):
     assert collections.Counter(map(tuple, got)) == brute_components(rows)
 
 
+def test_small_tables_of_components_take_few_tasks(spark):
+    edges = spark.createDataFrame([(k, k + 1) for k in range(300) if k % 10 < 8], "a long, b long").repartition(30)
+    names = {"spark.sql.shuffle.partitions": "30", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in names}
+    staging = Staging(spark)
+    try:
+        for name, value in names.items():
+            spark.conf.set(name, value)
+        got = {(r.id, r.root) for r in connected_components(edges, staging).collect()}
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert got == {(k, k - k % 10) for k in range(300) if 0 < k % 10 < 9}
+    rounds = [*glob.glob(f"{staging.folder}/*-large-star"), *glob.glob(f"{staging.folder}/*-small-star")]
+    assert rounds and all(len(glob.glob(f"{path}/part-*")) == 1 for path in rounds)
+
+
 def test_links_of_every_text_of_a_repeated_id(spark):
     one, two = ([f"{k}{i}" for i in range(60)] for k in "pq")
     rows = [(5, " ".join(one)), (5, " ".join(two)), (6, " ".join(one[:57])), (7, " ".join(two[:57]))]
