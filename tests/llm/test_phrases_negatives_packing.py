@@ -127,6 +127,20 @@ def test_a_task_leaves_out_phrases_that_are_known():
     assert len(named(Value(hashes[::2]))) == len(hashes) - len(hashes[::2]) and len(named(Value(hashes[:0]))) == len(hashes)
 
 
+def test_a_task_passes_on_blocks_of_counts():
+    phrases = np.array([(a, b) for a in range(1, 61) for b in range(1, 61)], dtype=np.uint64)
+    trie = type("Broadcast", (), {"value": (collocations.Trie.build(phrases), np.arange(len(phrases)) * 3)})
+    batch = pa.RecordBatch.from_arrays([pa.array([phrases.ravel().view(np.int64).tolist()])], names=["words"])
+    tasks = [pa.Table.from_batches(collocations._count(trie, 2, Collocations())(iter([batch]))).to_batches() for _ in range(2)]
+    assert all(sum(b.num_rows for b in task) == 4 for task in tasks)
+    words, n = phrases.ravel().tolist(), collections.Counter()
+    for pair in zip(words, words[1:]):
+        n[pair] += 2
+    got = pa.Table.from_batches(collocations._counted(trie, Collocations(least=3))(itertools.chain(*tasks)))
+    assert dict(zip(got.column("cid").to_pylist(), got.column("a").to_pylist())) == {
+        3 * k: n[tuple(p)] for k, p in enumerate(phrases.tolist()) if n[tuple(p)] >= 3}
+
+
 def test_phrases_of_odd_tables(spark):
     docs = spark.createDataFrame([(i, "en", t) for i, t in ODD], "doc_id long, lang string, text string")
     assert collocations.mine(docs, Staging(spark)).count() == 0
