@@ -45,7 +45,7 @@ class JaccardJoin:
     more_orders: int = 2
     #: Entries of the count table, and bits of the table of shared prefix shingles (their sizes do not depend on the input).
     count_slots: int = 1 << 17
-    shared_bits: int = 1 << 24
+    shared_bits: int = 1 << 26
     #: Pairs (later: of different components) from which on a bucket is crowded: its join looks at parities, before a pair comes to be.
     dense_pairs: int = 2_000
     #: How often the members of crowded buckets meet some members, at most, and how many of them, about; a further round that
@@ -349,7 +349,7 @@ def _components(docs: DataFrame, staging: Staging, cfg: JaccardJoin) -> DataFram
 
     apart = F.col("label_a") != F.col("label_b")
 
-    def unlinked() -> tuple[DataFrame, Staged]:
+    def unlinked(members: DataFrame) -> tuple[DataFrame, Staged]:
         """The members of buckets of several components, and the buckets that stand for many pairs with their largest component."""
         roots = staging.put(connected_components(found, staging).withColumnRenamed("id", "set"), "labels")
         rest = mixed(members.join(met(roots), "set", "left").withColumn("label", F.coalesce("root", "set")).drop("root"), "mixed")
@@ -358,7 +358,7 @@ def _components(docs: DataFrame, staging: Staging, cfg: JaccardJoin) -> DataFram
         return rest, staging.put(few(per_token.where(F.col("pairs") > cfg.dense_pairs).select(
             "token", "top.k", F.col("top.label").alias("largest")), buckets.rows), "crowded-tokens")
 
-    rest, dense = unlinked()
+    rest, dense = unlinked(members)
     # What was not linked meets members of the largest component of its crowded buckets.
     for turn in range(1, cfg.more_stars):
         if not dense.rows:
@@ -368,8 +368,9 @@ def _components(docs: DataFrame, staging: Staging, cfg: JaccardJoin) -> DataFram
         near = staging.put(few(near.join(stars, ["a", "b"], "left_anti"), cfg.centres * crowded.rows), "more-stars")
         linked = verified(near)
         stars, found = stars.unionByName(near.df), found.unionByName(linked.df)
-        if linked.rows:
-            rest, dense = unlinked()
+        # Without a few last links no more than some pairs meet in vain.
+        if linked.rows >= cfg.least_linked:
+            rest, dense = unlinked(rest.drop("label"))
         if linked.rows < cfg.least_linked or linked.rows * cfg.members_linked < crowded.rows:
             break
 
