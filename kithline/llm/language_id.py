@@ -26,7 +26,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kithline.llm.common import let_go
+
 UNKNOWN = "und"
+#: Rows of a batch that are turned into texts at once.
+PART_ROWS = 1_000
 
 
 @dataclass(frozen=True)
@@ -247,6 +251,7 @@ def _predict(model):
     names = ["doc_id", "lang_pred", "score", "rate"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         m: Model = model.value
         for batch in batches:
             texts = batch.column("text").to_pylist()
@@ -284,7 +289,8 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
 def _known(model, columns: list[str], fill: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predict = _predict(model)
-        for batch in batches:
+        # A batch may hold some 10,000 texts: only a part of it is held a second and third time, as Python texts and as a result.
+        for batch in (whole.slice(row, PART_ROWS) for whole in batches for row in range(0, whole.num_rows, PART_ROWS)):
             tags = [t for part in predict(iter([batch])) for t in part.column("lang_pred").to_pylist()]
             arrays = [batch.column(c) if c != fill else pa.array(
                 [t if own is None else own for own, t in zip(batch.column(c).to_pylist(), tags)], pa.string()) for c in columns]

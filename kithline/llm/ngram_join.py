@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from kithline.config import DEFAULT
 from kithline.llm import words as W
-from kithline.llm.common import BROADCAST_IDS, bitmap, connected_components, few, met, small_batches
+from kithline.llm.common import BROADCAST_IDS, bitmap, connected_components, few, let_go, met, small_batches
 from kithline.operators.skew import tiled_join
 from kithline.plans.staging import Staged, Staging
 
@@ -123,6 +123,7 @@ def _describe(cfg: JaccardJoin):
     names = ["kind", "id", "tag", "n", "set", "key"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         counts = np.zeros(cfg.count_slots, dtype=np.int64)
         for batch in batches:
             ids, tags = batch.column("doc_id"), batch.column("tag")
@@ -160,6 +161,7 @@ def _prefix(tokens: np.ndarray, order: int, levels: np.ndarray, cfg: JaccardJoin
 
 def _new_sets(batches: Iterator[pa.RecordBatch], cfg: JaccardJoin) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
     """(sets, their keys) of the texts, each set that is not empty mostly once."""
+    let_go()
     seen: set[int] = set()
     for batch in batches:
         for _, sets in _sets(batch.column("text"), cfg):

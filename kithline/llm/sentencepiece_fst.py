@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kithline.llm.common import held
+
 MARK = "▁"
 #: A part is a run of marks and what follows up to the next mark.
 _PART = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
@@ -106,17 +108,38 @@ class PieceTable:
         return PieceTable(pieces, tuple(byte_ids[b] for b in range(256)), kind, bool(normaliser.get(3, 1)), bool(normaliser.get(4, 1)))
 
 
+class _Memo(dict):
+    """Values of at most ``most`` keys in two generations: the older one goes when the younger one is half of it, so what
+    is asked for again and again stays."""
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.most, self.older = most, {}
+
+    def recall(self, key):
+        """The value of a key that is not in the younger generation; None if it is in neither."""
+        value = self.older.get(key)
+        if value is not None:
+            self.keep(key, value)
+        return value
+
+    def keep(self, key, value) -> None:
+        if 2 * (len(self) + 1) > self.most:
+            self.older = self.copy()
+            self.clear()
+        self[key] = value
+
+
 @dataclass
 class Transducer:
     table: PieceTable
-    memo_parts: int = 400_000
-    memo_pairs: int = 2_000_000
+    memo_parts: int = 200_000
+    memo_atoms: int = 400_000
+    memo_pairs: int = 400_000
     _trie: dict = field(default_factory=dict)
-    _paths: dict[str, bytes] = field(default_factory=dict)
-    _atoms: dict[str, bytes] = field(default_factory=dict)
-    _pairs: dict[tuple[str, str], bool] = field(default_factory=dict)
 
     def __post_init__(self):
+        self._paths, self._atoms, self._pairs = _Memo(self.memo_parts), _Memo(self.memo_atoms), _Memo(self.memo_pairs)
         for piece, (number, score) in self.table.pieces.items():
             node = self._trie
             for c in piece:
@@ -149,10 +172,10 @@ class Transducer:
     def _neighbours(self, left: str, right: str) -> bool:
         known = self._pairs.get((left, right))
         if known is None:
-            if len(self._pairs) >= self.memo_pairs:
-                self._pairs.clear()
+            known = self._pairs.recall((left, right))
+        if known is None:
             known = left + right not in self.table.pieces and self._merged(left + right) == [left, right]
-            self._pairs[left, right] = known
+            self._pairs.keep((left, right), known)
         return known
 
     def _arcs(self, part: str, at: int) -> list[tuple[int, str, float, tuple[int, ...]]]:
@@ -219,12 +242,12 @@ class Transducer:
                 atom = part[begin:at]
                 ids = self._atoms.get(atom)
                 if ids is None:
-                    if len(self._atoms) >= self.memo_parts:
-                        self._atoms.clear()
+                    ids = self._atoms.recall(atom)
+                if ids is None:
                     path = self._only_finite(atom) if self.table.kind == "bpe" else self._least_sum(atom)
                     ids = np.array(path, dtype="<i4").tobytes()
                     if len(atom) <= 64:
-                        self._atoms[atom] = ids
+                        self._atoms.keep(atom, ids)
                 out.append(ids)
                 begin = at
         return b"".join(out)
@@ -235,11 +258,11 @@ class Transducer:
         for part in _PART.findall(self.normalise(text or "")):
             ids = self._paths.get(part)
             if ids is None:
-                if len(self._paths) >= self.memo_parts:
-                    self._paths.clear()
+                ids = self._paths.recall(part)
+            if ids is None:
                 ids = self.shortest_path(part)
                 if len(part) <= 64:
-                    self._paths[part] = ids
+                    self._paths.keep(part, ids)
             out.append(ids)
         return b"".join(out)
 
@@ -250,15 +273,9 @@ class Transducer:
         return text.removeprefix(" ") if self.table.mark_in_front else text
 
 
-_COMPILED: dict[int, Transducer] = {}
-
-
 def _compiled(shared) -> Transducer:
-    """The transducer of a broadcast table, compiled once per worker process."""
-    if shared.id not in _COMPILED:
-        _COMPILED.clear()
-        _COMPILED[shared.id] = Transducer(shared.value)
-    return _COMPILED[shared.id]
+    """The transducer of a broadcast table, compiled once per worker process as long as that runs no other operator."""
+    return held(shared.id, lambda: Transducer(shared.value))
 
 
 @dataclass
@@ -281,7 +298,7 @@ def _encode(shared: _Shared):
             texts = batch.column("text")
             while row < batch.num_rows:
                 start, encoded, same, size = row, [], [], 0
-                while row < batch.num_rows and size < 8_000_000:
+                while row < batch.num_rows and size < 2_000_000:
                     text = texts[row].as_py()
                     ids = machine.encode(text)
                     encoded.append(ids)

@@ -20,7 +20,7 @@ from kithline.llm import decontamination, fingerprints, html_text, language_id,
 from kithline.llm import words as W
 from kithline.llm.common import connected_components
 from kithline.llm.ngram_join import JaccardJoin, jaccard_components
-from kithline.llm import substring_dedup
+from kithline.llm import ngram_join, substring_dedup
 from kithline.llm.substring_dedup import SubstringDedup, remove_repeated_passages
 from kithline.plans.staging import Staging
 
@@ -272,6 +272,35 @@ def test_kind_and_normaliser_are_the_models_own(spark, piece_table):
     assert [r.text for r in sentencepiece_fst.decode(ids, piece_table).collect()] == ["", ""]
 
 
+def test_worker_processes_keep_little(spark, piece_table):
+    """Memos stay within their sizes, with the same ids, and what the encoder keeps is gone where another operator runs."""
+    texts = [t for _, t in texts_of(spark)][:40]
+    small = sentencepiece_fst.Transducer(piece_table, memo_parts=8, memo_atoms=8, memo_pairs=8)
+    whole = sentencepiece_fst.Transducer(piece_table)
+    assert [small.encode(t) for t in texts] == [whole.encode(t) for t in texts]
+    for memo in (small._paths, small._atoms, small._pairs):
+        assert 0 < len(memo) + len(memo.older) <= 8
+    shared = sentencepiece_fst._Shared("key", type("Value", (), {"value": piece_table}))
+    for run in (language_id._predict(shared), ngram_join._describe(JaccardJoin()), ngram_join._prefix_tokens(shared, JaccardJoin())):
+        machine = sentencepiece_fst._compiled(shared)
+        assert sentencepiece_fst._compiled(shared) is machine
+        list(run(iter([])))
+        assert sentencepiece_fst._compiled(shared) is not machine
+
+
+def test_parts_of_batches_hold_the_same_rows(monkeypatch):
+    texts = ["alle meine texte", None, "all of my texts", "7 8 9", "one more of mine"]
+    model = language_id.Model(["x"], np.arange(0x110000, dtype=np.int32), np.zeros((2, 47), dtype=np.int32), np.array([1]), np.ones(1), language_id.CrossParsing())
+    shared = type("Value", (), {"value": model})
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(5)), "text": texts, "lang": [None, "a", None, None, "b"]})
+    whole = list(language_id._known(shared, ["doc_id", "text", "lang"], "lang")(iter([batch])))
+    monkeypatch.setattr(language_id, "PART_ROWS", 2)
+    parts = list(language_id._known(shared, ["doc_id", "text", "lang"], "lang")(iter([batch])))
+    assert max(p.num_rows for p in parts) <= 2
+    assert pa.Table.from_batches(parts).to_pylist() == pa.Table.from_batches(whole).to_pylist() == [
+        {"doc_id": i, "text": texts[i], "lang": own} for i, own in ((0, "x"), (2, "x"), (4, "b"))]
+
+
 def test_unigram_path_is_the_least_sum():
     pieces = {p: (k + 300, s) for k, (p, s) in enumerate({"▁": -2.0, "a": -1.5, "b": -1.5, "ab": -2.2, "▁a": -2.4, "ba": -3.1, "aba": -3.0}.items())}
     machine = sentencepiece_fst.Transducer(sentencepiece_fst.PieceTable(pieces, tuple(range(256)), "unigram"))
