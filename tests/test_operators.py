@@ -15,7 +15,7 @@ from kithline.config import DEFAULT
 from kithline.functions.similarity import jaro_winkler_bound, letter_counts, shared_letters
 from kithline.operators.components import assign_ids, connected_components
 from kithline.operators.deterministic import deterministic_links, deterministic_match
-from kithline.operators.probabilistic import block_sizes, probabilistic_match
+from kithline.operators.probabilistic import block_records, block_sizes, probabilistic_match, profiles, score_profiles
 from kithline.operators.numbering import number_records, record_names
 from kithline.operators.sieve import Sieve, seen_twice
 from kithline.operators.skew import tile_size, tiled_join
@@ -82,6 +82,20 @@ def test_probabilistic_pairs(spark, seed, hot, cfg, floor):
     assert got == pytest.approx(expected) and got.keys() == expected.keys()
 
 
+def test_pairs_of_whole_blocks_are_dealt_over_tasks(spark):
+    """Small tables make many pairs: tasks follow from the pairs, and name scores are rounded behind the confidence."""
+    staging, cfg = Staging(spark), replace(TINY, tile_pairs=1_000_000)
+    table = profiles(block_records(number_records(normalized(spark, random_records(3, 120)), staging), cfg))
+    table = staging.put(table, "profiles").df
+    whole = score_profiles(table, SYSTEMS, staging, cfg, 0.0)
+    dealt = score_profiles(table, SYSTEMS, staging, replace(cfg, task_pairs=20, name_scale=2), 0.0)
+    n = whole.count()
+    assert n > 400 and dealt.rdd.getNumPartitions() >= n / 20 > whole.rdd.getNumPartitions()
+    kept = [c for c in whole.columns if c != "jw_name"]
+    assert sorted(map(tuple, dealt.select(*kept, "jw_name").collect())) == sorted(
+        map(tuple, whole.select(*kept, F.round("jw_name", 2)).collect()))
+
+
 @pytest.mark.parametrize("options", [
     {"block_null_names": True}, {"confidence_scale": 3, "dob_tolerance_days": 7},
     {"weight_name": 0.2, "weight_dob": 0.5, "dob_tolerance_days": 0}, {"weight_email_domain": 0.3, "weight_dob": 0.1},
