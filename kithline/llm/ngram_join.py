@@ -59,6 +59,8 @@ class JaccardJoin:
     task_pairs: int = 1_000
     #: First shingles of a set that are looked through for an earlier meeting of two sets in a crowded bucket.
     earlier: int = 32
+    #: Bytes of a batch for a Python worker: the JVM's side holds on to buffers of twice that, several a task.
+    batch_bytes: int = 2 << 20
     #: Sets that a task remembers, so as to emit each once.
     task_sets: int = 200_000
 
@@ -259,7 +261,7 @@ def jaccard_components(docs: DataFrame, staging: Staging, cfg: JaccardJoin = Jac
     """(doc_id, n_shingles, component_id, class_id) of every row of ``docs(doc_id, text)``.
 
     ``class_id`` is the smallest document with the same set, ``component_id`` the smallest one that links reach."""
-    with small_batches(docs.sparkSession):
+    with small_batches(docs.sparkSession, cfg.batch_bytes):
         return _components(docs, staging, cfg)
 
 
