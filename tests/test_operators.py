@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 from dataclasses import replace
+from datetime import date
 
 import brute
 import pytest
@@ -15,7 +16,7 @@ from kithline.config import DEFAULT
 from kithline.functions.similarity import jaro_winkler_bound, letter_counts, shared_letters
 from kithline.operators.components import assign_ids, connected_components
 from kithline.operators.deterministic import deterministic_links, deterministic_match
-from kithline.operators.probabilistic import block_records, block_sizes, probabilistic_match, profiles, score_profiles
+from kithline.operators.probabilistic import _alike_pairs, block_records, block_sizes, probabilistic_match, profiles, score_profiles
 from kithline.operators.numbering import number_records, record_names
 from kithline.operators.sieve import Sieve, seen_twice
 from kithline.operators.skew import tile_size, tiled_join
@@ -82,6 +83,25 @@ def test_probabilistic_pairs(spark, seed, hot, cfg, floor):
     assert got == pytest.approx(expected) and got.keys() == expected.keys()
 
 
+def test_pairs_that_agree_on_name_and_domain_alone_are_scored_once(spark):
+    """No confidence is rounded, and no name or phone compared, for each of those pairs."""
+    rows = [{"source_system": s, "source_id": f"{s}{k}", "name_english": "ann lee", "email": f"{s}{k}@x.y", "dob": None if k == 3 else dob,
+             "phone_e164": phone} for s, dob in (("t24", date(1970, 1, 1)), ("sfdc", date(1970, 1, 1 + 30)), ("amplitude", date(1990, 1, 1)))
+            for k, phone in enumerate(("+971501234567", "+971521234567", "+971509999999", None))]
+    numbered = normalized(spark, rows).withColumn("record_no", F.monotonically_increasing_id())
+    table = profiles(block_records(numbered))
+    pairs = _alike_pairs(table, SYSTEMS, Staging(spark), DEFAULT, DEFAULT.review_threshold)
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert "round(" not in plan and "phone_score" in plan
+    got = {(r.id_l, r.id_r) for r in pairs.collect()}
+    near = lambda a, b: a and b and abs((a - b).days) <= DEFAULT.dob_tolerance_days
+    tail = lambda a, b: a and b and a[-6:] == b[-6:]
+    want = {(a["source_id"], b["source_id"]) for a in rows for b in rows if a["source_system"] < b["source_system"]
+            and not near(a["dob"], b["dob"]) and not tail(a["phone_e164"], b["phone_e164"])}
+    assert got == want and want
+    assert {tuple(r[c] for c in ("jw_name", "dob_score", "phone_score", "email_domain_score", "confidence")) for r in pairs.collect()} == {(1.0, 0.0, 0.0, 1.0, 0.5)}
+
+
 def test_pairs_of_whole_blocks_are_dealt_over_tasks(spark):
     """Small tables make many pairs: tasks follow from the pairs, and name scores are rounded behind the confidence."""
     staging, cfg = Staging(spark), replace(TINY, tile_pairs=1_000_000)
