@@ -127,6 +127,37 @@ def test_a_task_leaves_out_phrases_that_are_known():
     assert len(named(Value(hashes[::2]))) == len(hashes) - len(hashes[::2]) and len(named(Value(hashes[:0]))) == len(hashes)
 
 
+def test_runs_are_narrowed_to_the_words_of_candidates():
+    """Every longer phrase of candidates is counted as before, in rows whose last words begin the next row, too."""
+    class Value:
+        def __init__(self, value):
+            self.value = value
+
+    cfg, rng = Collocations(row_words=50, longest=4), np.random.default_rng(6)
+    words = rng.choice([0] * 3 + [1] * 4 + list(range(2, 30)), 3000).astype(np.uint64)
+    rows = [words[k:k + 53] for k in range(0, 3000, 50)]
+    batch = pa.RecordBatch.from_arrays([pa.array([r.view(np.int64).tolist() for r in rows], pa.list_(pa.int64()))], names=["words"])
+    frequent = Value(np.full(64, 2**64 - 1, dtype=np.uint64))
+    # A candidate holds no word above 12.
+    pairs = np.array([(a, b) for a in range(1, 13) for b in range(1, 13)], dtype=np.uint64)
+    heavy = np.zeros(1 << 14, dtype=np.uint64)
+    _, hashed = collocations._places(np.append(pairs, np.zeros((len(pairs), 1), np.uint64), 1).ravel(), 2, frequent.value, None, 10**6)
+    slot = hashed & np.uint64(64 * len(heavy) - 1)
+    np.bitwise_or.at(heavy, (slot >> np.uint64(6)).astype(np.int64), np.uint64(1) << (slot & np.uint64(63)))
+    narrow = list(collocations._narrowed(2, frequent, Value(heavy), cfg)(iter([batch])))
+    assert sum(len(b.column("words").flatten()) for b in narrow) < 0.75 * sum(map(len, rows))
+
+    def phrases(batches):
+        n = collections.Counter()
+        for row, own in collocations._runs(iter(batches), cfg):
+            for k in (2, 3, 4):
+                n.update(tuple(row[i:i + k].tolist()) for i in range(min(own, len(row) - k + 1)) if all(0 < w < 13 for w in row[i:i + k]))
+        return n
+    assert phrases(narrow) == phrases([batch]) and max(map(len, phrases([batch]))) == 4
+    again = list(collocations._narrowed(2, frequent, Value(heavy), cfg)(iter(narrow)))
+    assert phrases(again) == phrases([batch])
+
+
 def test_a_task_passes_on_blocks_of_counts():
     phrases = np.array([(a, b) for a in range(1, 61) for b in range(1, 61)], dtype=np.uint64)
     trie = type("Broadcast", (), {"value": (collocations.Trie.build(phrases), np.arange(len(phrases)) * 3)})
